@@ -126,7 +126,8 @@ def order_item_sets(order_lines: DataFrame) -> DataFrame:
     """Distinct items of each order."""
     return (order_lines.groupBy("ol_w_id", "ol_d_id", "ol_o_id")
             .agg(F.size(F.collect_set("ol_i_id")).alias("n_items"),
-                 F.array_join(F.array_sort(F.collect_set("ol_i_id")), ",").alias("item_set")))
+                 F.array_join(F.transform(F.array_sort(F.collect_set("ol_i_id")), lambda x: x.cast("string")), ",")
+                  .alias("item_set")))
 
 
 def order_amounts(order_lines: DataFrame) -> DataFrame:
