@@ -55,8 +55,8 @@ def refilled_stock(q0, consumed) -> Column:
 
 
 def epoch_ms_between(start, end) -> Column:
-    return ((F.unix_micros(col(end).cast("timestamp")) -
-             F.unix_micros(col(start).cast("timestamp"))) / F.lit(1000)).cast("long")
+    """Whole milliseconds from ``start`` to ``end`` (time-zone independent)."""
+    return F.timestamp_diff("MILLISECOND", col(start), col(end)).cast("long")
 
 
 def safe_int(c) -> Column:

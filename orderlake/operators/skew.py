@@ -108,3 +108,21 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
                      .otherwise(F.array(F.lit(0)))))
                 .drop("__hot"))
     return lft.join(rgt, on=[*keys, "__salt"], how=how).drop("__salt")
+
+
+def running_max(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str,
+                out: str, range_col: str | None = None, width: int = DEFAULT_RANGE_WIDTH) -> DataFrame:
+    """Running max of ``value`` per group (NULLs ignored), e.g. to carry the
+    last header position forward. Same range-split plan as ``running_totals``:
+    per-range maxima, a prefix max over ranges, a local running max."""
+    keys = list(keys)
+    rc = range_col or order_cols[0]
+    rng = "__range"
+    d = df.withColumn(rng, F.floor(F.col(rc) / F.lit(width)).cast("long"))
+    totals = d.groupBy(*keys, rng).agg(F.max(value).alias("__t"))
+    wo = W.partitionBy(*keys).orderBy(rng).rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(*keys, rng, F.max("__t").over(wo).alias("__o"))
+    wl = W.partitionBy(*keys, rng).orderBy(*order_cols).rowsBetween(W.unboundedPreceding, 0)
+    local = d.select(*df.columns, rng, F.max(value).over(wl).alias("__l"))
+    j = local.join(offsets, on=[*keys, rng], how="inner")
+    return j.select(*df.columns, F.greatest(F.col("__o"), F.col("__l")).alias(out))

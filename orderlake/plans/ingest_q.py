@@ -1,0 +1,288 @@
+"""Registered ingest, transaction-log, scalar, metrics and streaming queries."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions.scalar import epoch_ms_between
+from ..operators import metrics, reads
+from ..session import scratch_table_path
+from ..sources import csv_io, txlog
+from ..sources.schema import BASE_SCHEMAS, ORDER, ORDER_LINE, PRIMARY_KEYS
+from ..streaming import streams
+from .registry import register
+
+_SCRIPTS: dict[tuple, str] = {}
+
+
+def _scratch(t, name):
+    return scratch_table_path(t.spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# --------------------------------------------------------------- CSV ingest
+
+
+def _ingest(t):
+    base = _scratch(t, "ingest")
+    parts = []
+    for name, schema in BASE_SCHEMAS.items():
+        path = f"{base}/{name}"
+        csv_io.write_csv(t.base(name).select(*schema.fieldNames()), path, header=False)
+        df = csv_io.read_csv(t.spark, path, schema, header=False)
+        k = PRIMARY_KEYS[name][-1]
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"),
+                            F.sum(F.col(k).cast("long")).alias("key_sum"))
+                       .select(F.lit(name).alias("table_name"), "n_rows", "key_sum"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_INGEST_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(sum({PRIMARY_KEYS[name][-1]}) AS BIGINT) AS key_sum "
+    f"FROM {'w_orders' if name == 'orders' else name}"
+    for name in BASE_SCHEMAS)
+
+register("ingest_base_tables", _INGEST_SQL)(_ingest)
+
+
+def _csv_round_trip(t):
+    path = _scratch(t, "csv-round-trip")
+    csv_io.write_csv(t.order_lines.select(*ORDER_LINE.fieldNames()), path, header=True)
+    return csv_io.read_csv(t.spark, path, ORDER_LINE, header=True)
+
+
+register("csv_round_trip", "SELECT * FROM order_lines")(_csv_round_trip)
+
+
+def _null_token(t):
+    path = _scratch(t, "null-token")
+    csv_io.write_csv(t.orders.select(*ORDER.fieldNames()), path, header=False, null_token="null")
+    return csv_io.read_csv(t.spark, path, ORDER, header=False, null_token="null")
+
+
+register("null_token_load", "SELECT * FROM w_orders")(_null_token)
+
+# ---------------------------------------------------------- transaction log
+
+
+def _script_dir(t):
+    key = (id(t.spark), t.sf_dir)
+    d = _SCRIPTS.get(key)
+    if d is None:
+        d = txlog.write_scripts(t, _scratch(t, "scripts"))
+        _SCRIPTS[key] = d
+    return d
+
+
+def _parsed(t):
+    lines = txlog.read_script_lines(t.spark, _script_dir(t))
+    return txlog.transactions(txlog.parse_scripts(lines))
+
+
+_TX_SQL = """
+, m AS (SELECT seq, count(*) AS m FROM new_order_line_requests GROUP BY seq),
+tx AS (
+  SELECT CAST(r.seq % 20 AS INTEGER) AS client, 'N' AS txn_type, r.w_id, r.d_id, r.c_id,
+    CAST(NULL AS DECIMAL(12,2)) AS amount, CAST(NULL AS INTEGER) AS carrier_id,
+    CAST(NULL AS INTEGER) AS threshold, CAST(NULL AS INTEGER) AS last_l,
+    CAST(coalesce(m.m, 0) AS INTEGER) AS n_items
+  FROM new_order_requests r LEFT JOIN m ON m.seq = r.seq
+  UNION ALL SELECT CAST(seq % 20 AS INTEGER), 'P', w_id, d_id, c_id, amount, NULL, NULL, NULL, NULL
+  FROM payment_requests
+  UNION ALL SELECT CAST(w_id % 20 AS INTEGER), 'D', w_id, NULL, NULL, NULL, carrier_id, NULL, NULL, NULL
+  FROM delivery_requests
+  UNION ALL SELECT CAST(c_id % 20 AS INTEGER), 'O', w_id, d_id, c_id, NULL, NULL, NULL, NULL, NULL
+  FROM customer_requests
+  UNION ALL SELECT CAST(c_id % 20 AS INTEGER), 'R', w_id, d_id, c_id, NULL, NULL, NULL, NULL, NULL
+  FROM customer_requests
+  UNION ALL SELECT CAST((w_id * 10 + d_id) % 20 AS INTEGER), 'S', w_id, d_id, NULL, NULL, NULL, threshold,
+    last_l, NULL FROM stock_level_requests
+  UNION ALL SELECT CAST((w_id * 10 + d_id) % 20 AS INTEGER), 'I', w_id, d_id, NULL, NULL, NULL, NULL,
+    last_l, NULL FROM popular_requests
+  UNION ALL SELECT CAST(w_id % 20 AS INTEGER), 'T', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+  FROM warehouses)
+"""
+
+register("parse_transaction_log", _TX_SQL + "SELECT * FROM tx")(
+    lambda t: _parsed(t)[0].select("client", "txn_type", "w_id", "d_id", "c_id", "amount", "carrier_id",
+                                   "threshold", "last_l", "n_items"))
+
+_MIX_SQL = _TX_SQL + "SELECT txn_type, count(*) AS n_txn FROM tx GROUP BY txn_type"
+
+register("transaction_mix", _MIX_SQL)(
+    lambda t: _parsed(t)[0].groupBy("txn_type").agg(F.count(F.lit(1)).alias("n_txn")))
+
+register("transaction_log_rejects", """
+SELECT CAST(event_id % 20 AS INTEGER) AS client, 'short_record' AS reason, count(*) AS n
+FROM events WHERE event_type = 'error' GROUP BY 1
+""")(lambda t: _parsed(t)[1].groupBy("client", "reason").agg(F.count(F.lit(1)).alias("n")))
+
+# ------------------------------------------------------------------ scalars
+
+register("safe_int_parse", """
+SELECT c_id, c_last AS raw_name, TRY_CAST(split_part(c_last, '#', 2) AS INTEGER) AS name_number,
+  TRY_CAST(c_first AS INTEGER) AS segment_number
+FROM customers
+""")(lambda t: t.customers.select(
+    "c_id", F.col("c_last").alias("raw_name"),
+    F.split_part(F.col("c_last"), F.lit("#"), F.lit(2)).try_cast("int").alias("name_number"),
+    F.col("c_first").try_cast("int").alias("segment_number")))
+
+
+def _report(t):
+    top = reads.top_balance(t.customers, t.districts, t.warehouses)
+    s = top.select(
+        "rank",
+        F.col("c_w_id").cast("string").alias("c_w_id"), F.col("c_d_id").cast("string").alias("c_d_id"),
+        F.col("c_id").cast("string").alias("c_id"), "customer_name",
+        F.format_string("%.2f", F.col("c_balance").cast("double")).alias("c_balance"), "w_name", "d_name")
+    return s.unpivot(["rank"], ["c_w_id", "c_d_id", "c_id", "customer_name", "c_balance", "w_name", "d_name"],
+                     "field", "value")
+
+
+register("report_long_form", """
+, top AS (
+  SELECT c_w_id, c_d_id, c_id, c_first, c_middle, c_last, c_balance FROM customers
+  ORDER BY c_balance DESC NULLS LAST, c_w_id, c_d_id, c_id LIMIT 10),
+r AS (
+  SELECT CAST(row_number() OVER (ORDER BY t.c_balance DESC NULLS LAST, t.c_w_id, t.c_d_id, t.c_id) AS INTEGER) AS rank,
+    t.*, w.w_name, d.d_name
+  FROM top t
+  LEFT JOIN districts d ON d.d_w_id = t.c_w_id AND d.d_id = t.c_d_id
+  LEFT JOIN warehouses w ON w.w_id = t.c_w_id)
+SELECT rank, 'c_w_id' AS field, CAST(c_w_id AS VARCHAR) AS value FROM r
+UNION ALL SELECT rank, 'c_d_id', CAST(c_d_id AS VARCHAR) FROM r
+UNION ALL SELECT rank, 'c_id', CAST(c_id AS VARCHAR) FROM r
+UNION ALL SELECT rank, 'customer_name', concat_ws(' ', c_first, c_middle, c_last) FROM r
+UNION ALL SELECT rank, 'c_balance', printf('%.2f', c_balance) FROM r
+UNION ALL SELECT rank, 'w_name', w_name FROM r
+UNION ALL SELECT rank, 'd_name', d_name FROM r
+""")(_report)
+
+
+def _scalar_decimal(t):
+    d = t.districts.select(F.col("d_w_id").alias("ol_w_id"), F.col("d_id").alias("ol_d_id"), "d_tax")
+    j = t.order_lines.select("ol_w_id", "ol_d_id", "ol_o_id", "ol_number", "ol_amount").join(
+        d, ["ol_w_id", "ol_d_id"], "inner")
+    x = F.col("ol_amount") * (F.lit(1) + F.col("d_tax")).cast("decimal(6,4)")
+    return j.select("ol_w_id", "ol_d_id", "ol_o_id", "ol_number",
+                    x.cast("decimal(18,6)").alias("with_tax"),
+                    F.bround(x, 1).cast("decimal(18,1)").alias("half_even"),
+                    F.round(x, 1).cast("decimal(18,1)").alias("half_up"),
+                    (F.col("ol_amount") - F.col("ol_amount") * F.col("d_tax")).cast("decimal(18,6)").alias("net"))
+
+
+register("scalar_decimal", """
+SELECT ol.ol_w_id, ol.ol_d_id, ol.ol_o_id, ol.ol_number,
+  CAST(ol.ol_amount * CAST(1 + d.d_tax AS DECIMAL(6,4)) AS DECIMAL(18,6)) AS with_tax,
+  CAST(round_even(ol.ol_amount * CAST(1 + d.d_tax AS DECIMAL(6,4)), 1) AS DECIMAL(18,1)) AS half_even,
+  CAST(round(ol.ol_amount * CAST(1 + d.d_tax AS DECIMAL(6,4)), 1) AS DECIMAL(18,1)) AS half_up,
+  CAST(ol.ol_amount - ol.ol_amount * d.d_tax AS DECIMAL(18,6)) AS net
+FROM order_lines ol JOIN districts d ON d.d_w_id = ol.ol_w_id AND d.d_id = ol.ol_d_id
+""")(_scalar_decimal)
+
+
+def _scalar_datetime(t):
+    o = t.orders.select(F.col("o_w_id").alias("ol_w_id"), F.col("o_d_id").alias("ol_d_id"),
+                        F.col("o_id").alias("ol_o_id"), "o_entry_d")
+    j = (t.order_lines.filter(F.col("ol_delivery_d").isNotNull())
+         .select("ol_w_id", "ol_d_id", "ol_o_id", "ol_number", "ol_delivery_d")
+         .join(o, ["ol_w_id", "ol_d_id", "ol_o_id"], "inner"))
+    return j.select("ol_w_id", "ol_d_id", "ol_o_id", "ol_number",
+                    F.date_format("o_entry_d", "yyyy-MM-dd HH:mm:ss").alias("entry_text"),
+                    F.date_format("ol_delivery_d", "yyyy-MM-dd HH:mm:ss").alias("delivery_text"),
+                    epoch_ms_between("o_entry_d", "ol_delivery_d").alias("ms_to_delivery"))
+
+
+register("scalar_datetime", """
+SELECT ol.ol_w_id, ol.ol_d_id, ol.ol_o_id, ol.ol_number,
+  strftime(o.o_entry_d, '%Y-%m-%d %H:%M:%S') AS entry_text,
+  strftime(ol.ol_delivery_d, '%Y-%m-%d %H:%M:%S') AS delivery_text,
+  epoch_ms(ol.ol_delivery_d) - epoch_ms(o.o_entry_d) AS ms_to_delivery
+FROM order_lines ol
+JOIN w_orders o ON o.o_w_id = ol.ol_w_id AND o.o_d_id = ol.ol_d_id AND o.o_id = ol.ol_o_id
+WHERE ol.ol_delivery_d IS NOT NULL
+""")(_scalar_datetime)
+
+# ------------------------------------------------------------------ metrics
+
+register("client_latency_stats", """
+SELECT client, count(*) AS n_txn,
+  CAST(CAST((sum(CAST(round(latency_ms * 100) AS BIGINT)) * 100 * 2 + count(*)) // (2 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms,
+  CAST(round(quantile_cont(latency_ms, 0.5), 4) AS DECIMAL(18,4)) AS median_ms,
+  CAST(round(quantile_cont(latency_ms, 0.95), 4) AS DECIMAL(18,4)) AS p95_ms,
+  CAST(round(quantile_cont(latency_ms, 0.99), 4) AS DECIMAL(18,4)) AS p99_ms
+FROM transaction_events GROUP BY client
+""")(lambda t: metrics.client_latency_stats(t.transaction_events))
+
+register("client_latency_stats_exclusive", """
+, r AS (
+  SELECT client, latency_ms AS v,
+    row_number() OVER (PARTITION BY client ORDER BY latency_ms) AS rk,
+    count(*) OVER (PARTITION BY client) AS n
+  FROM transaction_events),
+k AS (
+  SELECT DISTINCT client, n,
+    least(greatest(95 * (n + 1) // 100, 1), n - 1) AS j95,
+    least(greatest(99 * (n + 1) // 100, 1), n - 1) AS j99
+  FROM r),
+x AS (
+  SELECT k.client, k.n, k.j95, k.j99,
+    95 * (k.n + 1) - 100 * k.j95 AS d95, 99 * (k.n + 1) - 100 * k.j99 AS d99,
+    max(CASE WHEN r.rk = k.j95 THEN r.v END) AS a95, max(CASE WHEN r.rk = k.j95 + 1 THEN r.v END) AS b95,
+    max(CASE WHEN r.rk = k.j99 THEN r.v END) AS a99, max(CASE WHEN r.rk = k.j99 + 1 THEN r.v END) AS b99,
+    sum(CAST(round(r.v * 100) AS BIGINT)) AS s, median(r.v) AS med
+  FROM k JOIN r ON r.client = k.client
+  GROUP BY k.client, k.n, k.j95, k.j99)
+SELECT client, n AS n_txn,
+  CAST(CAST((s * 100 * 2 + n) // (2 * n) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms,
+  CAST(round(med, 4) AS DECIMAL(18,4)) AS median_ms,
+  CAST(round((a95 * (100 - d95) + b95 * d95) / 100, 4) AS DECIMAL(18,4)) AS p95_ms,
+  CAST(round((a99 * (100 - d99) + b99 * d99) / 100, 4) AS DECIMAL(18,4)) AS p99_ms
+FROM x
+""")(lambda t: metrics.client_latency_stats_exclusive(t.transaction_events))
+
+_THROUGHPUT_SQL = """
+, g AS (
+  SELECT client, count(*) AS n_txn,
+    CAST(CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DECIMAL(20,0)) * CAST(0.000001 AS DECIMAL(6,6))
+         AS DECIMAL(20,6)) AS elapsed_s,
+    CAST(CAST(sum(CAST(round(latency_ms * 100) AS BIGINT)) AS DECIMAL(20,0)) * CAST(0.00001 AS DECIMAL(5,5)) AS DECIMAL(20,5)) AS latency_s,
+    sum(CAST(round(latency_ms * 100) AS BIGINT)) AS cents
+  FROM transaction_events GROUP BY client),
+tp AS (
+  SELECT client, n_txn, elapsed_s, latency_s,
+    CAST(round(n_txn / CAST(elapsed_s AS DOUBLE), 4) AS DECIMAL(18,4)) AS txn_per_s,
+    CAST(round(n_txn / CAST(latency_s AS DOUBLE), 4) AS DECIMAL(18,4)) AS txn_per_latency_s,
+    CAST(CAST((cents * 100 * 2 + n_txn) // (2 * n_txn) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms
+  FROM g)
+"""
+
+register("client_throughput", _THROUGHPUT_SQL + "SELECT * FROM tp")(
+    lambda t: metrics.client_throughput(t.transaction_events))
+
+register("throughput_summary", _THROUGHPUT_SQL + """
+SELECT count(*) AS n_clients, min(txn_per_s) AS min_txn_per_s, max(txn_per_s) AS max_txn_per_s,
+  CAST(CAST((sum(CAST(txn_per_s * 10000 AS BIGINT)) * 1 * 2 + count(*)) // (2 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS avg_txn_per_s
+FROM tp
+""")(lambda t: metrics.throughput_summary(metrics.client_throughput(t.transaction_events)))
+
+# ------------------------------------------------------------------ streams
+
+register("stream_transaction_counts", _MIX_SQL)(
+    lambda t: streams.stream_transaction_counts(t.spark, _script_dir(t)))
+
+register("stream_payment_totals", """
+SELECT w_id, d_id, c_id, CAST(sum(amount) AS DECIMAL(18,2)) AS paid, count(*) AS n_payments
+FROM payment_requests GROUP BY w_id, d_id, c_id
+""")(lambda t: streams.stream_payment_totals(t.spark, t.sf_dir, t.customers))
+
+register("stream_window_latency", """
+SELECT date_trunc('day', ts) AS window_start, client, count(*) AS n_txn,
+  CAST(CAST((sum(CAST(round(latency_ms * 100) AS BIGINT)) * 100 * 2 + count(*)) // (2 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms, max(latency_ms) AS max_latency_ms
+FROM transaction_events GROUP BY 1, 2
+""")(lambda t: streams.stream_window_latency(t.spark, t.sf_dir))

@@ -21,10 +21,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Broadcast joins happen only where a side has a proven size bound and the
-    # code asks for it (see orderlake.operators.joins.bounded_broadcast).
+    # A join side is broadcast only when its measured size is under this
+    # threshold (file-size estimate, re-checked by AQE on runtime shuffle
+    # statistics); larger sides fall back to sort-merge joins. Explicit
+    # broadcast hints are used only on sides with a proven row bound.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.ansi.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }
