@@ -68,25 +68,6 @@ def order_status_check(requests: DataFrame, customers: DataFrame, orders: DataFr
 # ------------------------------------------------------------- last L orders
 
 
-def last_l_order_keys(requests: DataFrame, districts: DataFrame) -> DataFrame:
-    """Expand each (w, d, L) request to the order numbers [N-L, N).
-
-    Turning the range into explicit keys makes the following join an equi
-    join on the full order key, which spreads evenly even when one district
-    holds most orders, and lets Spark prune by key.
-    """
-    d = districts.select(F.col("d_w_id").alias("w_id"), "d_id", "d_next_o_id")
-    r = requests.join(d, ["w_id", "d_id"], "inner")
-    lo = F.greatest(F.col("d_next_o_id") - F.col("last_l"), F.lit(1))
-    return r.select(*requests.columns,
-                    F.explode(F.sequence(lo, F.col("d_next_o_id") - 1)).alias("o_id"))
-
-
-def _nonempty_range(df: DataFrame) -> DataFrame:
-    # sequence(a, b) with a > b counts down; keep only real ranges.
-    return df
-
-
 def last_l_orders(requests: DataFrame, districts: DataFrame, orders: DataFrame) -> DataFrame:
     d = districts.select(F.col("d_w_id").alias("w_id"), "d_id", "d_next_o_id")
     r = (requests.join(d, ["w_id", "d_id"], "inner")
@@ -140,13 +121,22 @@ def stock_level(requests: DataFrame, districts: DataFrame, order_lines: DataFram
 # --------------------------------------------------------------- Popular-Item
 
 
+def _popular_lines_of(selected_orders: DataFrame, order_lines: DataFrame, mode: str) -> DataFrame:
+    """Popular lines of the selected orders only: the lines are cut to those
+    orders (semi join on the full order key) before the per-order window."""
+    keys = selected_orders.select(F.col("w_id").alias("ol_w_id"), F.col("d_id").alias("ol_d_id"),
+                                  F.col("o_id").alias("ol_o_id")).distinct()
+    lines = order_lines.join(keys, ["ol_w_id", "ol_d_id", "ol_o_id"], "left_semi")
+    return derived.popular_lines(lines, mode)
+
+
 def popular_items(requests: DataFrame, districts: DataFrame, orders: DataFrame,
                   order_lines: DataFrame, items: DataFrame, customers: DataFrame,
                   mode: str = "max") -> DataFrame:
     """Popular lines of the last L orders of each district, with names (T-I)."""
     req = requests.select("w_id", "d_id", "last_l")
     o = last_l_orders(req, districts, orders)
-    pl = derived.popular_lines(order_lines, mode).select(
+    pl = _popular_lines_of(o, order_lines, mode).select(
         F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"),
         F.col("ol_o_id").alias("o_id"), F.col("ol_i_id").alias("i_id"), "ol_quantity")
     c = customers.select(F.col("c_w_id").alias("w_id"), F.col("c_d_id").alias("d_id"), "c_id",
@@ -171,7 +161,7 @@ def popular_items_pct(requests: DataFrame, districts: DataFrame, orders: DataFra
     req = requests.select("w_id", "d_id", "last_l")
     o = last_l_orders(req, districts, orders).select("w_id", "d_id", "last_l", "o_id")
     found = o.groupBy("w_id", "d_id", "last_l").agg(F.count(F.lit(1)).alias("n_found"))
-    pl = derived.popular_lines(order_lines, mode).select(
+    pl = _popular_lines_of(o, order_lines, mode).select(
         F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"),
         F.col("ol_o_id").alias("o_id"), F.col("ol_i_id").alias("i_id"))
     hits = o.join(pl, ["w_id", "d_id", "o_id"], "inner")
@@ -244,19 +234,43 @@ def order_items(orders: DataFrame, order_lines: DataFrame) -> DataFrame:
     return derived.customer_order_items(orders, order_lines)
 
 
-def item_pairs(order_items_df: DataFrame, keep_order: bool = False) -> DataFrame:
+def order_item_arrays(orders: DataFrame, order_lines: DataFrame) -> DataFrame:
+    """(w, d, c, o, items): the sorted distinct items of every order.
+
+    Lines are reduced to one row per order before the join with orders, so
+    the join is one-to-one on the order key. An order holds at most a few
+    dozen lines (o_ol_cnt is a two-digit number): the array is bounded.
+    """
+    per_order = (order_lines.groupBy(F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"),
+                                     F.col("ol_o_id").alias("o_id"))
+                 .agg(F.array_sort(F.collect_set("ol_i_id")).alias("items")))
+    o = orders.select(F.col("o_w_id").alias("w_id"), F.col("o_d_id").alias("d_id"), "o_id",
+                      F.col("o_c_id").alias("c_id"))
+    return o.join(per_order, ["w_id", "d_id", "o_id"], "inner").select("w_id", "d_id", "c_id", "o_id", "items")
+
+
+# Pairs (x, y) with x < y of a sorted distinct array, built by higher-order
+# functions inside the task: no self join, no shuffle.
+_PAIRS = ("flatten(transform(items, (x, k) -> "
+          "transform(slice(items, k + 2, greatest(size(items) - k - 1, 0)), y -> named_struct('i1_id', x, 'i2_id', y))))")
+
+
+def item_pairs(arrays: DataFrame, keep_order: bool = False) -> DataFrame:
     """Distinct pairs i1 < i2 of items bought together in one order.
 
-    The self join is on the order key; an order holds at most a few dozen
-    lines (o_ol_cnt is a two-digit number), so the pairs per order are
-    bounded. ``i1 < i2`` halves the pairs and drops an item paired with
-    itself. Without ``keep_order`` the pair is reduced to the customer.
+    ``i1 < i2`` halves the pairs and drops an item paired with itself.
+    Without ``keep_order`` the pair is reduced to the customer.
     """
-    a = order_items_df.select("w_id", "d_id", "c_id", "o_id", F.col("i_id").alias("i1_id"))
-    b = order_items_df.select("w_id", "d_id", "c_id", "o_id", F.col("i_id").alias("i2_id"))
-    p = a.join(b, ["w_id", "d_id", "c_id", "o_id"], "inner").filter(F.col("i1_id") < F.col("i2_id"))
-    cols = ["w_id", "d_id", "c_id"] + (["o_id"] if keep_order else []) + ["i1_id", "i2_id"]
-    return p.select(*cols).distinct()
+    cols = ["w_id", "d_id", "c_id"] + (["o_id"] if keep_order else [])
+    p = arrays.select(*cols, F.explode(F.expr(_PAIRS)).alias("p"))
+    return p.select(*cols, "p.i1_id", "p.i2_id").distinct()
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """The pair table feeds the hot-key count and both join sides; writing it
+    once to the shared checkpoint folder cuts its lineage, so it is neither
+    recomputed three times nor rebuilt from scratch when an executor is lost."""
+    return df.checkpoint(eager=True)
 
 
 def _pair_matches(pairs: DataFrame, requests: DataFrame | None, keep_order: bool,
@@ -283,7 +297,7 @@ def related_customers(orders: DataFrame, order_lines: DataFrame, requests: DataF
 
     Output: one row per (customer, related customer), both directions.
     """
-    pairs = item_pairs(order_items(orders, order_lines))
+    pairs = _checkpointed(item_pairs(order_item_arrays(orders, order_lines)))
     m = _pair_matches(pairs, requests, False, salts, hot_threshold)
     return m.select("w_id", "d_id", "c_id", F.col("r_w_id"), F.col("r_d_id"), F.col("r_c_id")).distinct()
 
@@ -297,7 +311,7 @@ def order_overlaps(orders: DataFrame, order_lines: DataFrame, requests: DataFram
     pair of items); the overlap is then counted from the matched pairs: the
     distinct items appearing in them.
     """
-    pairs = item_pairs(order_items(orders, order_lines), keep_order=True)
+    pairs = _checkpointed(item_pairs(order_item_arrays(orders, order_lines), keep_order=True))
     m = _pair_matches(pairs, requests, True, salts, hot_threshold)
     ks = ["w_id", "d_id", "c_id", "o_id", "r_w_id", "r_d_id", "r_c_id", "r_o_id"]
     return (m.select(*ks, F.explode(F.array("i1_id", "i2_id")).alias("i_id"))

@@ -190,7 +190,7 @@ register("item_pairs", """
 SELECT DISTINCT a.w_id, a.d_id, a.c_id, a.i_id AS i1_id, b.i_id AS i2_id
 FROM oi a JOIN oi b ON a.w_id = b.w_id AND a.d_id = b.d_id AND a.c_id = b.c_id AND a.o_id = b.o_id
 WHERE a.i_id < b.i_id
-""")(lambda t: reads.item_pairs(reads.order_items(t.orders, t.order_lines)))
+""")(lambda t: reads.item_pairs(reads.order_item_arrays(t.orders, t.order_lines)))
 
 register("orders_containing_items", """
 , oi AS (

@@ -6,9 +6,10 @@ Record layout, one per line, comma separated (first field = type code):
   S,w_id,d_id,T,L              I,w_id,d_id,L         T     R,w_id,d_id,c_id
 
 Parsing is distributed: files are split by the text reader as usual and the
-order of lines inside a file is kept as (split start, row position); the
-header a New-Order item line belongs to is found with a running max of
-header positions (``skew.running_max``), so no file is held by one task.
+order of lines inside a file is kept as (split start, row position); line
+numbers and the header each New-Order item line belongs to are carried
+across splits through small per-split totals, so no file is held by one
+task.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import running_max, sequence_numbers
+from pyspark.sql import Window as W
 
 # Type codes and the minimum number of fields of each record.
 MIN_FIELDS = {"N": 5, "P": 5, "D": 3, "O": 4, "S": 5, "I": 4, "T": 1, "R": 4}
@@ -77,38 +78,70 @@ def write_scripts(t, out_dir: str) -> str:
 
 
 def read_script_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, client number and dense line number per file."""
+    """Raw lines with their file, client number and order key inside the file.
+
+    The order of lines in a file is (split start, row position in the
+    split): ``monotonically_increasing_id`` increases within a split and is
+    taken right at the scan, so it is stable when a task is re-run.
+    """
     raw = spark.read.text(path).select(
         F.col("value").alias("text"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"))
-    raw = raw.withColumn("client", F.regexp_extract("file", r"client=(\d+)", 1).cast("int"))
-    # Order inside a file = (split start, row position within the split);
-    # ``pos`` increases within a split. Ranges are cut on the split start, so
-    # each split is numbered by its own task and only per-split counts are
-    # combined per file.
-    numbered = sequence_numbers(raw, ["file"], ["block", "pos"], "line_no", range_col="block",
-                                width=1)
-    return numbered.filter(F.trim("text") != "")
+    return raw.withColumn("client", F.regexp_extract("file", r"client=(\d+)", 1).cast("int"))
 
 
-def parse_scripts(lines: DataFrame) -> DataFrame:
-    """Classify every line and attach New-Order item lines to their header.
+def _fields(c):
+    return F.transform(F.split(c, ","), lambda x: F.trim(x))
+
 
-    Returns one row per line with: file, client, line_no, kind ('header' or
-    'item'), code, fields (array of trimmed strings), header_line, item_idx.
+def parse_scripts(lines: DataFrame) -> DataFrame:
+    """Number every line of a file and carry its header forward.
+
+    One row per non-blank line with: file, client, line_no, kind ('header'
+    or 'item'), code, fields, header_line, header_code, header_m (the item
+    count M of a New-Order header) and item_idx (position after the header).
+
+    Plan (no file is held by one task): each split is numbered by a window
+    over (file, split); the same window carries the last header, as a struct
+    (position, code, M), forward inside the split; one small aggregate per
+    split gives its line count and last header; a window over those rows
+    gives every split its line offset and the header open at its start; a
+    join on (file, split) puts it together.
     """
-    f = F.transform(F.split(F.col("text"), ","), lambda x: F.trim(x))
+    f = _fields(F.col("text"))
     code = F.upper(f[0])
-    is_header = code.rlike("^[A-Z]$")
-    d = lines.select("file", "client", "line_no", "text", f.alias("fields"),
-                     F.when(is_header, code).alias("code"))
-    d = d.withColumn("__hpos", F.when(F.col("code").isNotNull(), F.col("line_no")))
-    d = running_max(d, ["file"], ["line_no"], "__hpos", "header_line", range_col="line_no")
-    return d.select("file", "client", "line_no", "fields", "code", "header_line",
-                    F.when(F.col("code").isNotNull(), "header").otherwise("item").alias("kind"),
-                    (F.col("line_no") - F.col("header_line")).alias("item_idx"))
+    d = lines.filter(F.trim("text") != "").select(
+        "file", "block", "pos", "client", f.alias("fields"),
+        F.when(code.rlike("^[A-Z]$"), code).alias("code"))
+    m = F.when(F.col("code") == "N", F.try_element_at("fields", F.lit(5)).try_cast("int"))
+    wl = W.partitionBy("file", "block").orderBy("pos")
+    run = W.partitionBy("file", "block").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    d = d.withColumn("__rn", F.row_number().over(wl))
+    hdr = F.when(F.col("code").isNotNull(),
+                 F.struct(F.col("__rn").cast("long").alias("p"), F.col("code").alias("c"), m.alias("m")))
+    d = d.withColumn("__h", hdr).withColumn("__lh", F.max("__h").over(run))
+
+    per = d.groupBy("file", "block").agg(F.count(F.lit(1)).alias("__cnt"), F.max("__h").alias("__last"))
+    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    per = per.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
+    per = per.withColumn("__glast", F.when(F.col("__last").isNotNull(), F.struct(
+        (F.col("__off") + F.col("__last.p")).alias("p"), F.col("__last.c").alias("c"),
+        F.col("__last.m").alias("m"))))
+    per = per.withColumn("__prev", F.max("__glast").over(before)).select("file", "block", "__off", "__prev")
+
+    j = d.join(per, ["file", "block"], "inner")
+    cur = F.when(F.col("__lh").isNotNull(), F.struct(
+        (F.col("__off") + F.col("__lh.p")).alias("p"), F.col("__lh.c").alias("c"), F.col("__lh.m").alias("m")))
+    j = j.withColumn("__hd", F.coalesce(cur, F.col("__prev")))
+    line_no = (F.col("__off") + F.col("__rn")).cast("long")
+    return j.select(
+        "file", "client", line_no.alias("line_no"), "fields", "code",
+        F.when(F.col("code").isNotNull(), "header").otherwise("item").alias("kind"),
+        F.col("__hd.p").alias("header_line"), F.col("__hd.c").alias("header_code"),
+        F.col("__hd.m").alias("header_m"),
+        (line_no - F.col("__hd.p")).alias("item_idx"))
 
 
 def _int(a, i):
@@ -123,17 +156,26 @@ def transactions(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid transactions and rejected lines.
 
     A header is valid when it has enough numeric fields; a New-Order header
-    also needs all M item lines right after it. Item lines beyond M, before
-    any header, or after a non-New-Order header are orphans.
+    also needs its M item lines right after it. Item lines beyond M, before
+    any header, or after another type of header are orphans. A New-Order
+    header and its item lines share (file, header_line), so one grouped
+    aggregate counts the attached items; orphans are found line by line.
     """
-    hdr = parsed.filter(F.col("kind") == "header")
-    items = parsed.filter(F.col("kind") == "item")
+    attached = ((F.col("kind") == "item") & (F.col("header_code") == "N") & (F.col("item_idx") >= 1)
+                & (F.col("item_idx") <= F.col("header_m")) & (F.size("fields") >= ITEM_FIELDS))
+    p = parsed.withColumn("attached", F.coalesce(attached, F.lit(False)))
+    groups = (p.filter((F.col("kind") == "header") | F.col("attached"))
+               .groupBy("file", "header_line")
+               .agg(F.min("client").alias("client"),
+                    F.first(F.when(F.col("kind") == "header", F.col("fields")), ignorenulls=True).alias("fields"),
+                    F.first(F.when(F.col("kind") == "header", F.col("code")), ignorenulls=True).alias("code"),
+                    F.count(F.when(F.col("attached"), 1)).alias("n_found")))
     a = F.col("fields")
     n = F.size(a)
     minf = F.create_map(*[x for k, v in MIN_FIELDS.items() for x in (F.lit(k), F.lit(v))])
     need = F.try_element_at(minf, F.col("code"))
-    typed = hdr.select(
-        "file", "client", "line_no", F.col("code").alias("txn_type"), "fields",
+    typed = groups.select(
+        "file", "client", F.col("header_line").alias("line_no"), F.col("code").alias("txn_type"), "n_found",
         F.when(F.col("code") == "N", _int(a, 3)).when(F.col("code").isin("T"), F.lit(None))
          .otherwise(_int(a, 2)).alias("w_id"),
         F.when(F.col("code") == "N", _int(a, 4))
@@ -147,42 +189,29 @@ def transactions(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("code") == "N", _int(a, 5)).alias("n_items"),
         (n >= F.coalesce(need, F.lit(10 ** 6))).alias("arity_ok"),
         need.isNotNull().alias("known"))
+    c = F.col
     numeric_ok = (
-        F.when(F.col("txn_type") == "T", True)
-         .when(F.col("txn_type") == "D", F.col("w_id").isNotNull() & F.col("carrier_id").isNotNull())
-         .when(F.col("txn_type") == "N", F.col("w_id").isNotNull() & F.col("d_id").isNotNull()
-               & F.col("c_id").isNotNull() & F.col("n_items").isNotNull())
-         .when(F.col("txn_type") == "P", F.col("w_id").isNotNull() & F.col("d_id").isNotNull()
-               & F.col("c_id").isNotNull() & F.col("amount").isNotNull())
-         .when(F.col("txn_type") == "S", F.col("w_id").isNotNull() & F.col("d_id").isNotNull()
-               & F.col("threshold").isNotNull() & F.col("last_l").isNotNull())
-         .when(F.col("txn_type") == "I", F.col("w_id").isNotNull() & F.col("d_id").isNotNull()
-               & F.col("last_l").isNotNull())
-         .otherwise(F.col("w_id").isNotNull() & F.col("d_id").isNotNull() & F.col("c_id").isNotNull()))
-    typed = typed.withColumn("fields_ok", F.col("known") & F.col("arity_ok") & F.coalesce(numeric_ok, F.lit(False)))
-
-    # Item lines that belong to a New-Order header (1 <= idx <= M, 3 fields).
-    heads = typed.select("file", F.col("line_no").alias("header_line"), "txn_type", "n_items")
-    it = items.join(heads, ["file", "header_line"], "left")
-    good_item = ((F.col("txn_type") == "N") & (F.col("item_idx") >= 1) &
-                 (F.col("item_idx") <= F.col("n_items")) & (F.size("fields") >= ITEM_FIELDS))
-    it = it.withColumn("attached", F.coalesce(good_item, F.lit(False)))
-    got = (it.filter("attached").groupBy("file", "header_line")
-             .agg(F.count(F.lit(1)).alias("n_found")))
-    tx = (typed.join(got, (typed.file == got.file) & (typed.line_no == got.header_line), "left")
-               .drop(got.file).drop("header_line")
-               .withColumn("n_found", F.coalesce(F.col("n_found"), F.lit(0))))
-    complete = (F.col("txn_type") != "N") | (F.col("n_found") == F.col("n_items"))
-    valid = tx.filter(F.col("fields_ok") & complete)
-    reason = (F.when(~F.col("known"), "unknown_type").when(~F.col("arity_ok"), "short_record")
-               .when(~F.col("fields_ok"), "bad_number").otherwise("incomplete_order"))
-    rejected_headers = tx.filter(~(F.col("fields_ok") & complete)).select(
-        "file", "client", "line_no", reason.alias("reason"))
-    rejected_items = it.filter(~F.col("attached")).select(
-        "file", "client", "line_no", F.lit("orphan_line").alias("reason"))
+        F.when(c("txn_type") == "T", True)
+         .when(c("txn_type") == "D", c("w_id").isNotNull() & c("carrier_id").isNotNull())
+         .when(c("txn_type") == "N", c("w_id").isNotNull() & c("d_id").isNotNull()
+               & c("c_id").isNotNull() & c("n_items").isNotNull())
+         .when(c("txn_type") == "P", c("w_id").isNotNull() & c("d_id").isNotNull()
+               & c("c_id").isNotNull() & c("amount").isNotNull())
+         .when(c("txn_type") == "S", c("w_id").isNotNull() & c("d_id").isNotNull()
+               & c("threshold").isNotNull() & c("last_l").isNotNull())
+         .when(c("txn_type") == "I", c("w_id").isNotNull() & c("d_id").isNotNull() & c("last_l").isNotNull())
+         .otherwise(c("w_id").isNotNull() & c("d_id").isNotNull() & c("c_id").isNotNull()))
+    ok = c("known") & c("arity_ok") & F.coalesce(numeric_ok, F.lit(False))
+    complete = (c("txn_type") != "N") | (c("n_found") == c("n_items"))
     cols = ["file", "client", "line_no", "txn_type", "w_id", "d_id", "c_id", "amount", "carrier_id",
             "threshold", "last_l", "n_items"]
-    return valid.select(*cols), rejected_headers.unionByName(rejected_items)
+    valid = typed.filter(ok & complete).select(*cols)
+    reason = (F.when(~c("known"), "unknown_type").when(~c("arity_ok"), "short_record")
+               .when(~ok, "bad_number").otherwise("incomplete_order"))
+    bad_headers = typed.filter(~(ok & complete)).select("file", "client", "line_no", reason.alias("reason"))
+    orphans = p.filter((c("kind") == "item") & ~c("attached")).select(
+        "file", "client", "line_no", F.lit("orphan_line").alias("reason"))
+    return valid, bad_headers.unionByName(orphans)
 
 
 def new_order_items(parsed: DataFrame) -> DataFrame:
