@@ -21,11 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # A join side is broadcast only when its measured size is under this
-    # threshold (file-size estimate, re-checked by AQE on runtime shuffle
-    # statistics); larger sides fall back to sort-merge joins. Explicit
+    # spark.sql.autoBroadcastJoinThreshold keeps Spark's default: a join side
+    # is broadcast only when its estimated size is under it, and AQE re-checks
+    # on measured shuffle sizes; larger sides use sort-merge joins. Explicit
     # broadcast hints are used only on sides with a proven row bound.
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
 }
