@@ -299,3 +299,43 @@ def new_order_popular_lines(headers: DataFrame, new_lines: DataFrame, items: Dat
     return (pl.join(h, ["ol_w_id", "ol_d_id", "ol_o_id"], "inner").join(it, "ol_i_id", "inner")
               .select("seq", "ol_w_id", "ol_d_id", "ol_o_id", "ol_number", "ol_i_id", "i_name",
                       "ol_quantity"))
+
+
+# ------------------------------------------------------------- whole batch
+
+
+def apply_batch(tables: dict, payments: DataFrame, new_orders: DataFrame, new_lines: DataFrame,
+                deliveries: DataFrame, checkpoint: bool = True) -> dict:
+    """Apply one batch of requests and return the new version of every table.
+
+    Order inside the batch: payments, then new orders, then deliveries
+    (payment and delivery deltas on a customer add up, so their order does
+    not matter; deliveries see the orders the batch inserted). The orders
+    and order lines versions are read by four delivery steps, so they are
+    checkpointed to the shared folder (lineage cut, no recomputation, and
+    a lost executor does not replay the whole batch).
+    """
+    wh = payment_warehouses(tables["warehouses"], payments)
+    di = payment_districts(tables["districts"], payments)
+    cu = payment_customers(tables["customers"], payments)
+    items, stocks = tables["items"], tables["stocks"]
+    h = new_order_headers(new_orders, new_lines, tables["districts"], items, stocks)
+    nl = new_order_lines(h, new_lines, new_orders, items, stocks)
+    st = new_order_stock(stocks, new_lines, new_orders, items)
+    di = new_order_districts(di, new_orders)
+    orders = tables["orders"]
+    orders = orders.unionByName(h.select(*orders.columns))
+    lines = tables["order_lines"].unionByName(nl)
+    if checkpoint:
+        orders = orders.checkpoint(eager=True)
+        lines = lines.checkpoint(eager=True)
+    dl = delivered_orders(orders, deliveries)
+    return {
+        "warehouses": wh,
+        "districts": di,
+        "customers": deliver_customers(cu, lines, dl),
+        "orders": deliver_orders(orders, dl),
+        "order_lines": deliver_lines(lines, dl),
+        "items": items,
+        "stocks": st,
+    }

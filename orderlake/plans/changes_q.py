@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import changes
+from ..operators import audit, changes
+from .derived_q import _db_state_sql
 from .registry import register
 
 # ------------------------------------------------------------------ Payment
@@ -210,4 +211,55 @@ WHERE NOT EXISTS (SELECT 1 FROM w_orders o
                   WHERE o.o_w_id = h.o_w_id AND o.o_d_id = h.o_d_id AND o.o_id = h.o_id)
 """)(lambda t: changes.insert_if_absent(t.orders, _headers(t), ["o_w_id", "o_d_id", "o_id"]))
 
-_ = F  # keep the functions import for callers extending this module
+# ------------------------------------------------------------- whole batch
+
+
+def _batch_state(t):
+    new = changes.apply_batch({n: t.base(n) for n in ("warehouses", "districts", "customers", "orders",
+                                                       "order_lines", "items", "stocks")},
+                              t.payment_requests, t.new_order_requests, t.new_order_line_requests,
+                              t.delivery_requests)
+    return audit.db_state(new["warehouses"], new["districts"], new["customers"], new["orders"],
+                          new["order_lines"], new["stocks"])
+
+
+register("db_state_after_batch", _NEW_ORDER + """
+, pay_c AS (SELECT w_id, d_id, c_id, sum(amount) AS paid, count(*) AS n FROM payment_requests GROUP BY 1, 2, 3),
+pay_d AS (SELECT w_id, d_id, sum(amount) AS paid FROM payment_requests GROUP BY 1, 2),
+pay_w AS (SELECT w_id, sum(amount) AS paid FROM payment_requests GROUP BY 1),
+n_new AS (SELECT w_id, d_id, count(*) AS n FROM new_order_requests GROUP BY 1, 2),
+wh2 AS (SELECT w.w_ytd + coalesce(p.paid, 0) AS w_ytd FROM warehouses w LEFT JOIN pay_w p ON p.w_id = w.w_id),
+di2 AS (SELECT d.d_ytd + coalesce(p.paid, 0) AS d_ytd, d.d_next_o_id + coalesce(n.n, 0) AS d_next_o_id
+        FROM districts d LEFT JOIN pay_d p ON p.w_id = d.d_w_id AND p.d_id = d.d_id
+        LEFT JOIN n_new n ON n.w_id = d.d_w_id AND n.d_id = d.d_id),
+ord2 AS (SELECT o_w_id, o_d_id, o_id, o_c_id, o_carrier_id, o_ol_cnt FROM w_orders
+         UNION ALL SELECT o_w_id, o_d_id, o_id, o_c_id, o_carrier_id, o_ol_cnt FROM hdr),
+lines2 AS (SELECT ol_w_id, ol_d_id, ol_o_id, ol_amount, ol_quantity FROM order_lines
+           UNION ALL SELECT ol_w_id, ol_d_id, ol_o_id, ol_amount, ol_quantity FROM nl),
+und AS (SELECT o_w_id AS w_id, o_d_id AS d_id, o_id, o_c_id AS c_id,
+          row_number() OVER (PARTITION BY o_w_id, o_d_id ORDER BY o_id) AS k
+        FROM ord2 WHERE o_carrier_id IS NULL),
+rq AS (SELECT w_id, carrier_id, row_number() OVER (PARTITION BY w_id ORDER BY seq) AS k FROM delivery_requests),
+delivered AS (SELECT und.w_id, und.d_id, und.o_id, und.c_id, rq.carrier_id
+              FROM und JOIN rq ON rq.w_id = und.w_id AND rq.k = und.k),
+ord3 AS (SELECT o.o_id, o.o_ol_cnt FROM ord2 o),
+amt AS (SELECT dl.w_id, dl.d_id, dl.c_id, sum(l.ol_amount) AS amount
+        FROM delivered dl JOIN lines2 l ON l.ol_w_id = dl.w_id AND l.ol_d_id = dl.d_id AND l.ol_o_id = dl.o_id
+        GROUP BY 1, 2, 3),
+ndel AS (SELECT w_id, d_id, c_id, count(*) AS n FROM delivered GROUP BY 1, 2, 3),
+cu2 AS (SELECT c.c_balance - coalesce(p.paid, 0) + coalesce(a.amount, 0) AS c_balance,
+          c.c_ytd_payment + coalesce(p.paid, 0) AS c_ytd_payment,
+          c.c_payment_cnt + coalesce(p.n, 0) AS c_payment_cnt,
+          c.c_delivery_cnt + coalesce(nd.n, 0) AS c_delivery_cnt
+        FROM customers c
+        LEFT JOIN pay_c p ON p.w_id = c.c_w_id AND p.d_id = c.c_d_id AND p.c_id = c.c_id
+        LEFT JOIN amt a ON a.w_id = c.c_w_id AND a.d_id = c.c_d_id AND a.c_id = c.c_id
+        LEFT JOIN ndel nd ON nd.w_id = c.c_w_id AND nd.d_id = c.c_d_id AND nd.c_id = c.c_id),
+su AS (SELECT supply_w_id AS s_w_id, i_id AS s_i_id, sum(quantity) AS used, count(*) AS n,
+         sum(CASE WHEN supply_w_id <> w_id THEN 1 ELSE 0 END) AS remote FROM chk GROUP BY 1, 2),
+st2 AS (SELECT s.s_quantity - coalesce(su.used, 0) + 100 * CASE WHEN 10 - (s.s_quantity - coalesce(su.used, 0)) > 0
+                 THEN (10 - (s.s_quantity - coalesce(su.used, 0)) + 99) // 100 ELSE 0 END AS s_quantity,
+          s.s_ytd + coalesce(su.used, 0) AS s_ytd, s.s_order_cnt + coalesce(su.n, 0) AS s_order_cnt,
+          s.s_remote_cnt + coalesce(su.remote, 0) AS s_remote_cnt
+        FROM stocks s LEFT JOIN su ON su.s_w_id = s.s_w_id AND su.s_i_id = s.s_i_id)
+""" + _db_state_sql("wh2", "di2", "cu2", "ord3", "lines2", "st2"))(_batch_state)

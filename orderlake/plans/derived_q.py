@@ -81,26 +81,31 @@ FROM order_lines GROUP BY ol_w_id, ol_d_id, ol_o_id
 
 # ------------------------------------------------------------------- audits
 
-_DB_STATE = """
+def _db_state_sql(w="warehouses", d="districts", c="customers", o="w_orders", ol="order_lines",
+                  s="stocks"):
+    return f"""
 SELECT
-  (SELECT CAST(sum(w_ytd) AS DECIMAL(38,2)) FROM warehouses) AS sum_w_ytd,
-  (SELECT CAST(sum(d_ytd) AS DECIMAL(38,2)) FROM districts) AS sum_d_ytd,
-  (SELECT CAST(sum(d_next_o_id) AS BIGINT) FROM districts) AS sum_d_next_o_id,
-  (SELECT CAST(sum(c_balance) AS DECIMAL(38,2)) FROM customers) AS sum_c_balance,
-  (SELECT CAST(sum(c_ytd_payment) AS DECIMAL(38,2)) FROM customers) AS sum_c_ytd_payment,
-  (SELECT CAST(sum(c_payment_cnt) AS BIGINT) FROM customers) AS sum_c_payment_cnt,
-  (SELECT CAST(sum(c_delivery_cnt) AS BIGINT) FROM customers) AS sum_c_delivery_cnt,
-  (SELECT CAST(max(o_id) AS BIGINT) FROM w_orders) AS max_o_id,
-  (SELECT CAST(sum(o_ol_cnt) AS BIGINT) FROM w_orders) AS sum_o_ol_cnt,
-  (SELECT CAST(sum(ol_amount) AS DECIMAL(38,2)) FROM order_lines) AS sum_ol_amount,
-  (SELECT CAST(sum(ol_quantity) AS BIGINT) FROM order_lines) AS sum_ol_quantity,
-  (SELECT CAST(sum(s_quantity) AS BIGINT) FROM stocks) AS sum_s_quantity,
-  (SELECT CAST(sum(s_ytd) AS DECIMAL(38,2)) FROM stocks) AS sum_s_ytd,
-  (SELECT CAST(sum(s_order_cnt) AS BIGINT) FROM stocks) AS sum_s_order_cnt,
-  (SELECT CAST(sum(s_remote_cnt) AS BIGINT) FROM stocks) AS sum_s_remote_cnt
+  (SELECT CAST(sum(w_ytd) AS DECIMAL(38,2)) FROM {w}) AS sum_w_ytd,
+  (SELECT CAST(sum(d_ytd) AS DECIMAL(38,2)) FROM {d}) AS sum_d_ytd,
+  (SELECT CAST(sum(d_next_o_id) AS BIGINT) FROM {d}) AS sum_d_next_o_id,
+  (SELECT CAST(sum(c_balance) AS DECIMAL(38,2)) FROM {c}) AS sum_c_balance,
+  (SELECT CAST(sum(c_ytd_payment) AS DECIMAL(38,2)) FROM {c}) AS sum_c_ytd_payment,
+  (SELECT CAST(sum(c_payment_cnt) AS BIGINT) FROM {c}) AS sum_c_payment_cnt,
+  (SELECT CAST(sum(c_delivery_cnt) AS BIGINT) FROM {c}) AS sum_c_delivery_cnt,
+  (SELECT CAST(max(o_id) AS BIGINT) FROM {o}) AS max_o_id,
+  (SELECT CAST(sum(o_ol_cnt) AS BIGINT) FROM {o}) AS sum_o_ol_cnt,
+  (SELECT CAST(sum(ol_amount) AS DECIMAL(38,2)) FROM {ol}) AS sum_ol_amount,
+  (SELECT CAST(sum(ol_quantity) AS BIGINT) FROM {ol}) AS sum_ol_quantity,
+  (SELECT CAST(sum(s_quantity) AS BIGINT) FROM {s}) AS sum_s_quantity,
+  (SELECT CAST(sum(s_ytd) AS DECIMAL(38,2)) FROM {s}) AS sum_s_ytd,
+  (SELECT CAST(sum(s_order_cnt) AS BIGINT) FROM {s}) AS sum_s_order_cnt,
+  (SELECT CAST(sum(s_remote_cnt) AS BIGINT) FROM {s}) AS sum_s_remote_cnt
 """
 
 
+_DB_STATE = _db_state_sql()
+
+
 def _state_tables(t):
     return (t.warehouses, t.districts, t.customers, t.orders, t.order_lines, t.stocks)
 
