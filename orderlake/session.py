@@ -49,16 +49,21 @@ def get_session(master: str | None = None, app_name: str = "orderlake",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Only when ``spark.checkpoint.dir`` is unset (local runs, tests) is a
-    scratch folder created and registered.
+    ``spark.checkpoint.dir`` is a static setting: it is read, never written.
+    Only when neither it nor a context checkpoint folder is set (local runs,
+    tests) is a scratch folder created and registered with the context.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="orderlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur
+    d = tempfile.mkdtemp(prefix="orderlake-ckpt-")
+    sc.setCheckpointDir(d)
     return d
 
 

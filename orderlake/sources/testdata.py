@@ -311,11 +311,14 @@ class Tables:
         return getattr(self, name)
 
 
-class ParquetTables(Tables):
-    """Base tables already stored as parquet (the production layout).
+REQUEST_TABLES = ["payment_requests", "new_order_requests", "new_order_line_requests",
+                  "delivery_requests", "customer_requests", "stock_level_requests",
+                  "popular_requests", "transaction_events"]
 
-    Request tables still come from the driver data set.
-    """
+
+class ParquetTables(Tables):
+    """Base and request tables already stored as parquet (the production
+    layout: requests arrive as data, they are not re-derived per query)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, table_dir: str):
         super().__init__(spark, sf_dir)
@@ -352,15 +355,50 @@ class ParquetTables(Tables):
     def stocks(self):
         return self._stored("stocks")
 
+    @cached_property
+    def payment_requests(self):
+        return self._stored("payment_requests")
+
+    @cached_property
+    def new_order_requests(self):
+        return self._stored("new_order_requests")
+
+    @cached_property
+    def new_order_line_requests(self):
+        return self._stored("new_order_line_requests")
+
+    @cached_property
+    def delivery_requests(self):
+        return self._stored("delivery_requests")
+
+    @cached_property
+    def customer_requests(self):
+        return self._stored("customer_requests")
+
+    @cached_property
+    def stock_level_requests(self):
+        return self._stored("stock_level_requests")
+
+    @cached_property
+    def popular_requests(self):
+        return self._stored("popular_requests")
+
+    @cached_property
+    def transaction_events(self):
+        return self._stored("transaction_events")
+
 
-def write_base_tables(t: Tables, out_dir: str, mode: str = "overwrite") -> None:
-    """Persist the seven base tables as parquet, sorted by their keys.
+def write_base_tables(t: Tables, out_dir: str, mode: str = "overwrite", requests: bool = True) -> None:
+    """Persist the seven base tables (and the request tables) as parquet.
 
-    Sorting within partitions by the primary key keeps parquet min/max stats
-    tight, so key-range filters skip row groups.
+    Base tables are sorted within partitions by the primary key, which keeps
+    parquet min/max stats tight, so key filters skip row groups.
     """
     from ..sources.schema import PRIMARY_KEYS
+    out = out_dir.rstrip("/")
     for name in BASE_SCHEMAS:
         df = t.base(name)
-        (df.sortWithinPartitions(*PRIMARY_KEYS[name])
-           .write.mode(mode).parquet(f"{out_dir.rstrip('/')}/{name}"))
+        df.sortWithinPartitions(*PRIMARY_KEYS[name]).write.mode(mode).parquet(f"{out}/{name}")
+    if requests:
+        for name in REQUEST_TABLES:
+            getattr(t, name).write.mode(mode).parquet(f"{out}/{name}")

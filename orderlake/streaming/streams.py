@@ -77,13 +77,26 @@ def stream_payment_totals(spark: SparkSession, sf_dir: str, customers: DataFrame
     return _run_to_table(spark, agg, "payments")
 
 
+_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(c):
+    """Wall-clock time read as UTC -> instant, whatever the session time zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, c))
+
+
+def instant_to_ntz(c):
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _EPOCH_NTZ)
+
+
 def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20) -> DataFrame:
     """Per-day, per-client transaction count and latency.
 
-    Event time is ``ts``; a one-hour watermark bounds lateness.
+    Event time is ``ts`` (wall clock, read as UTC); a one-hour watermark
+    bounds lateness.
     """
     e = events_stream(spark, sf_dir).select(
-        F.col("ts").cast("timestamp").alias("ts"),
+        ntz_to_instant(F.col("ts")).alias("ts"),
         (F.col("user_id") % clients).cast("int").alias("client"),
         F.col("value").alias("latency_ms"))
     agg = (e.withWatermark("ts", "1 hour")
@@ -91,6 +104,6 @@ def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20) -
             .agg(F.count(F.lit(1)).alias("n_txn"),
                  F.sum(F.round(F.col("latency_ms") * 100).cast("long")).alias("cents"),
                  F.max("latency_ms").alias("max_latency_ms")))
-    out = agg.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "client", "n_txn",
+    out = agg.select(instant_to_ntz(F.col("window.start")).alias("window_start"), "client", "n_txn",
                      mean_e4("cents", "n_txn").alias("mean_ms"), "max_latency_ms")
     return _run_to_table(spark, out, "window-latency")

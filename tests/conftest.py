@@ -19,6 +19,6 @@ def spark():
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     # Tests set their own checkpoint folder only when the session has none.
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="orderlake-test-"))
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderlake-test-"))
     yield spark
