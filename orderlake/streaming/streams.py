@@ -77,16 +77,17 @@ def stream_payment_totals(spark: SparkSession, sf_dir: str, customers: DataFrame
     return _run_to_table(spark, agg, "payments")
 
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch_ntz():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def ntz_to_instant(c):
     """Wall-clock time read as UTC -> instant, whatever the session time zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, c))
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
 
 
 def instant_to_ntz(c):
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
 
 
 def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20) -> DataFrame:

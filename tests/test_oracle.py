@@ -41,3 +41,12 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0
     assert df.columns == ["w_id", "d_id", "c_id", "r_w_id", "r_d_id", "r_c_id"]
+
+
+def test_entry_imports_without_a_session():
+    """The driver imports the entry module before it builds a session."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert len(e.queries()) == len(e.oracle_sql())"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
