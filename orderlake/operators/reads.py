@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 
 from ..functions.scalar import full_name
 from . import derived
-from .skew import salted_join
+from .skew import hot_keys, salted_join
 
 # ---------------------------------------------------------------- Order-Status
 
@@ -279,14 +279,16 @@ def _pair_matches(pairs: DataFrame, requests: DataFrame | None, keep_order: bool
     keeping only customers in another warehouse (J7, F4).
 
     The join is on (i1, i2). A pair bought by very many customers is a hot
-    key; ``salted_join`` splits it over ``salts`` tasks.
+    key. Hot keys are counted on the full pair table ("theirs", which
+    contains every requesting side); that side is split over ``salts`` tasks
+    and the requesting side ("mine") is copied once per salt for hot keys.
     """
     ks = ["w_id", "d_id", "c_id"] + (["o_id"] if keep_order else [])
     mine = pairs if requests is None else pairs.join(
         requests.select("w_id", "d_id", "c_id").distinct(), ["w_id", "d_id", "c_id"], "left_semi")
     theirs = pairs.select(*[F.col(c).alias(f"r_{c}") for c in ks], "i1_id", "i2_id")
-    j = salted_join(mine, theirs, ["i1_id", "i2_id"], salts=salts, threshold=hot_threshold,
-                    left_salt_col="c_id")
+    hot = hot_keys(pairs, ["i1_id", "i2_id"], hot_threshold)
+    j = salted_join(theirs, mine, ["i1_id", "i2_id"], salts=salts, left_salt_col="r_c_id", hot=hot)
     return j.filter(F.col("w_id") != F.col("r_w_id"))
 
 
