@@ -286,3 +286,17 @@ SELECT date_trunc('day', ts) AS window_start, client, count(*) AS n_txn,
   CAST(CAST((sum(CAST(round(latency_ms * 100) AS BIGINT)) * 100 * 2 + count(*)) // (2 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms, max(latency_ms) AS max_latency_ms
 FROM transaction_events GROUP BY 1, 2
 """)(lambda t: streams.stream_window_latency(t.spark, t.sf_dir))
+
+register("stream_top_balance", """
+, pay AS (SELECT w_id, d_id, c_id, sum(amount) AS paid FROM payment_requests GROUP BY 1, 2, 3),
+cu AS (SELECT c.c_w_id, c.c_d_id, c.c_id, c.c_first, c.c_middle, c.c_last,
+         CAST(c.c_balance - coalesce(p.paid, 0) AS DECIMAL(12,2)) AS c_balance
+       FROM customers c LEFT JOIN pay p ON p.w_id = c.c_w_id AND p.d_id = c.c_d_id AND p.c_id = c.c_id),
+top AS (SELECT * FROM cu ORDER BY c_balance DESC NULLS LAST, c_w_id, c_d_id, c_id LIMIT 10)
+SELECT CAST(row_number() OVER (ORDER BY t.c_balance DESC NULLS LAST, t.c_w_id, t.c_d_id, t.c_id) AS INTEGER) AS rank,
+  t.c_w_id, t.c_d_id, t.c_id, t.c_first, t.c_middle, t.c_last,
+  concat_ws(' ', t.c_first, t.c_middle, t.c_last) AS customer_name, t.c_balance, w.w_name, d.d_name
+FROM top t
+LEFT JOIN districts d ON d.d_w_id = t.c_w_id AND d.d_id = t.c_d_id
+LEFT JOIN warehouses w ON w.w_id = t.c_w_id
+""")(lambda t: streams.stream_top_balance(t.spark, t.sf_dir, t.customers, t.districts, t.warehouses))

@@ -108,3 +108,42 @@ def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20) -
     out = agg.select(instant_to_ntz(F.col("window.start")).alias("window_start"), "client", "n_txn",
                      mean_e4("cents", "n_txn").alias("mean_ms"), "max_latency_ms")
     return _run_to_table(spark, out, "window-latency")
+
+
+def stream_top_balance(spark: SparkSession, sf_dir: str, customers: DataFrame, districts: DataFrame,
+                       warehouses: DataFrame, k: int = 10) -> DataFrame:
+    """Top balances kept current as payments arrive.
+
+    Each micro-batch of purchase events becomes a new version of the
+    customer table: batch n reads version n, applies the batch's payment
+    deltas (``payment_customers``: aggregated per customer, one join) and
+    writes version n + 1 under the shared checkpoint folder. A replayed
+    batch rewrites the same version from the same input, so the result is
+    idempotent. The top k is then read from the latest version.
+    """
+    from ..operators.changes import payment_customers
+    from ..operators.reads import top_balance
+
+    base = scratch_table_path(spark, f"stream-top-balance-{uuid.uuid4().hex[:12]}")
+    cust_cols = customers.columns
+    customers.write.mode("overwrite").parquet(f"{base}/customers/v-0")
+    latest = {"version": 0}
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        cur = spark.read.parquet(f"{base}/customers/v-{batch_id}")
+        keys = cur.select("c_id", "c_w_id", "c_d_id")
+        pay = (batch.join(keys, batch.user_id == keys.c_id, "inner")
+                    .select(F.col("event_id").alias("seq"), F.col("c_w_id").alias("w_id"),
+                            F.col("c_d_id").alias("d_id"), "c_id",
+                            F.col("value").cast("decimal(12,2)").alias("amount")))
+        new = payment_customers(cur.select(*cust_cols), pay)
+        new.write.mode("overwrite").parquet(f"{base}/customers/v-{batch_id + 1}")
+        latest["version"] = max(latest["version"], batch_id + 1)
+
+    e = events_stream(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    q = (e.writeStream.foreachBatch(apply)
+          .option("checkpointLocation", f"{base}/checkpoint")
+          .trigger(availableNow=True).start())
+    q.awaitTermination()
+    final = spark.read.parquet(f"{base}/customers/v-{latest['version']}")
+    return top_balance(final, districts, warehouses, k)
