@@ -40,8 +40,9 @@ def _run_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+def events_stream(spark: SparkSession, sf_dir: str, pattern: str = "events.parquet") -> DataFrame:
+    """Event files arriving in ``sf_dir`` (one file per micro-batch)."""
+    return (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", pattern)
                  .option("maxFilesPerTrigger", 1).parquet(sf_dir))
 
 
@@ -111,7 +112,7 @@ def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20) -
 
 
 def stream_top_balance(spark: SparkSession, sf_dir: str, customers: DataFrame, districts: DataFrame,
-                       warehouses: DataFrame, k: int = 10) -> DataFrame:
+                       warehouses: DataFrame, k: int = 10, pattern: str = "events.parquet") -> DataFrame:
     """Top balances kept current as payments arrive.
 
     Each micro-batch of purchase events becomes a new version of the
@@ -140,7 +141,7 @@ def stream_top_balance(spark: SparkSession, sf_dir: str, customers: DataFrame, d
         new.write.mode("overwrite").parquet(f"{base}/customers/v-{batch_id + 1}")
         latest["version"] = max(latest["version"], batch_id + 1)
 
-    e = events_stream(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    e = events_stream(spark, sf_dir, pattern).filter(F.col("event_type") == "purchase")
     q = (e.writeStream.foreachBatch(apply)
           .option("checkpointLocation", f"{base}/checkpoint")
           .trigger(availableNow=True).start())

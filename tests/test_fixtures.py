@@ -310,3 +310,25 @@ def test_transaction_script_parse_across_splits(spark, tmp_path):
         assert items == expect_items
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_top_balance_stream_over_several_batches(spark, tmp_path):
+    """Three event files = three micro-batches = three customer versions."""
+    from orderlake.streaming import streams
+    cu = table(spark, "customers", [dict(c_w_id=1, c_d_id=1, c_id=c, c_first="F", c_middle="OE",
+                                         c_last=f"C{c}", c_balance=Decimal("100.00"),
+                                         c_ytd_payment=Decimal("0"), c_payment_cnt=0)
+                                    for c in range(1, 13)])
+    di = table(spark, "districts", [dict(d_w_id=1, d_id=1, d_name="D1")])
+    wh = table(spark, "warehouses", [dict(w_id=1, w_name="W")])
+    schema = streams.EVENTS_SCHEMA
+    for b in range(3):
+        rows = [(b * 100 + c, dt.datetime(2024, 1, 1, b), c, "purchase", float(c * (b + 1)), "{}")
+                for c in range(1, 13)] + [(b * 100 + 50, dt.datetime(2024, 1, 1, b), 1, "view", 99.0, "{}")]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"batch{b}"))
+        src = next(p for p in (tmp_path / f"batch{b}").iterdir() if p.name.endswith(".parquet"))
+        src.rename(tmp_path / f"events-{b}.parquet")
+    got = streams.stream_top_balance(spark, str(tmp_path), cu, di, wh, k=3, pattern="events-*.parquet")
+    rows = [(r.rank, r.c_id, r.c_balance) for r in got.orderBy("rank").collect()]
+    # customer c paid c * (1 + 2 + 3) in total
+    assert rows == [(1, 1, Decimal("94.00")), (2, 2, Decimal("88.00")), (3, 3, Decimal("82.00"))]
