@@ -107,7 +107,9 @@ def delivered_orders(orders: DataFrame, requests: DataFrame) -> DataFrame:
     both sides are numbered and matched by an equi join on
     (warehouse, district, number).
     """
-    rq = sequence_numbers(requests.select("seq", "w_id", "carrier_id", "delivery_d"),
+    # A request without a delivery time is stamped with the current time.
+    rq = sequence_numbers(requests.select("seq", "w_id", "carrier_id",
+                                          F.coalesce(F.col("delivery_d"), F.localtimestamp()).alias("delivery_d")),
                           ["w_id"], ["seq"], "k")
     rq = rq.select("seq", "w_id", "carrier_id", "delivery_d", "k",
                    F.explode(F.sequence(F.lit(1), F.lit(DISTRICTS_PER_WAREHOUSE))).alias("d_id"))
@@ -162,20 +164,27 @@ def deliver_remaining_queue(orders: DataFrame, delivered: DataFrame) -> DataFram
 
 
 def new_order_checked_lines(line_requests: DataFrame, requests: DataFrame, items: DataFrame,
-                            stocks: DataFrame) -> DataFrame:
+                            stocks: DataFrame, with_dist: bool = False) -> DataFrame:
     """Every requested line with its order, item price and starting stock.
 
     ``accepted`` is False when the item or the supplying stock row is missing
-    (V15): such lines are reported, the rest of the order goes ahead.
+    (V15): such lines are reported, the rest of the order goes ahead. With
+    ``with_dist`` the stock row's district info for the order's district is
+    carried as ``s_dist`` (V17).
     """
     r = requests.select("seq", "w_id", "d_id", "c_id")
     it = items.select(F.col("i_id"), "i_name", "i_price", F.lit(True).alias("__item"))
+    extra = ([F.array(*[F.col(f"s_dist_{k:02d}") for k in range(1, 11)]).alias("__dists")]
+             if with_dist else [])
     st = stocks.select(F.col("s_w_id").alias("supply_w_id"), F.col("s_i_id").alias("i_id"),
-                       F.col("s_quantity").alias("q0"))
+                       F.col("s_quantity").alias("q0"), *extra)
     j = (line_requests.join(r, "seq", "inner")
          .join(it, "i_id", "left")
          .join(st, ["supply_w_id", "i_id"], "left"))
-    return j.withColumn("accepted", F.col("__item").isNotNull() & F.col("q0").isNotNull()).drop("__item")
+    j = j.withColumn("accepted", F.col("__item").isNotNull() & F.col("q0").isNotNull()).drop("__item")
+    if with_dist:
+        j = j.withColumn("s_dist", F.try_element_at("__dists", F.col("d_id"))).drop("__dists")
+    return j
 
 
 def new_order_headers(requests: DataFrame, line_requests: DataFrame, districts: DataFrame,
@@ -209,9 +218,15 @@ def new_order_headers(requests: DataFrame, line_requests: DataFrame, districts:
 
 
 def new_order_lines(headers: DataFrame, line_requests: DataFrame, requests: DataFrame,
-                    items: DataFrame, stocks: DataFrame) -> DataFrame:
-    """The order lines inserted by the batch."""
-    lines = new_order_checked_lines(line_requests, requests, items, stocks).filter("accepted")
+                    items: DataFrame, stocks: DataFrame, dist_info: str = "literal") -> DataFrame:
+    """The order lines inserted by the batch.
+
+    ``dist_info='literal'`` writes ``S_DIST_<d>`` (V17, the reference's
+    behaviour); ``'stock'`` reads the supplying stock row's s_dist_<d>.
+    """
+    by_stock = dist_info == "stock"
+    lines = new_order_checked_lines(line_requests, requests, items, stocks, with_dist=by_stock).filter("accepted")
+    dist = F.col("s_dist") if by_stock else F.concat(F.lit("S_DIST_"), F.col("d_id").cast("string"))
     h = headers.select("seq", "o_id")
     j = lines.join(h, "seq", "inner")
     return j.select(
@@ -221,7 +236,7 @@ def new_order_lines(headers: DataFrame, line_requests: DataFrame, requests: Data
         (F.col("quantity") * F.col("i_price")).cast("decimal(12,2)").alias("ol_amount"),
         F.col("supply_w_id").alias("ol_supply_w_id"),
         F.col("quantity").alias("ol_quantity"),
-        F.concat(F.lit("S_DIST_"), F.col("d_id").cast("string")).alias("ol_dist_info"))
+        dist.alias("ol_dist_info"))
 
 
 def new_order_stock(stocks: DataFrame, line_requests: DataFrame, requests: DataFrame,

@@ -332,3 +332,26 @@ def test_top_balance_stream_over_several_batches(spark, tmp_path):
     rows = [(r.rank, r.c_id, r.c_balance) for r in got.orderBy("rank").collect()]
     # customer c paid c * (1 + 2 + 3) in total
     assert rows == [(1, 1, Decimal("94.00")), (2, 2, Decimal("88.00")), (3, 3, Decimal("82.00"))]
+
+
+def test_dist_info_literal_or_from_stock(spark):
+    rows = []
+    for w in (1, 2):
+        for i in (1, 2, 3):
+            r = dict(s_w_id=w, s_i_id=i, s_quantity=50, s_ytd=Decimal("0"), s_order_cnt=0, s_remote_cnt=0)
+            r.update({f"s_dist_{k:02d}": f"w{w}i{i}d{k}" for k in range(1, 11)})
+            rows.append(r)
+    wh, di, cu, it, st = _new_order_world(spark, rows)
+    req = spark.createDataFrame([(1, 1, 1, 5, TS)], "seq long, w_id int, d_id int, c_id long, entry_d timestamp_ntz")
+    lr = spark.createDataFrame([(1, 1, 2, 2, 3)], "seq long, line_no int, i_id long, supply_w_id int, quantity int")
+    h = changes.new_order_headers(req, lr, di, it, st)
+    lit_ = changes.new_order_lines(h, lr, req, it, st).first().ol_dist_info
+    stock = changes.new_order_lines(h, lr, req, it, st, dist_info="stock").first().ol_dist_info
+    assert (lit_, stock) == ("S_DIST_1", "w2i2d1")
+
+
+def test_delivery_without_time_is_stamped_now(spark):
+    o = orders(spark, [(1, 1, 1, 5, None)])
+    req = spark.createDataFrame([(1, 1, 3, None)], "seq long, w_id int, carrier_id int, delivery_d timestamp_ntz")
+    got = changes.delivered_orders(o, req).first()
+    assert got.delivery_d is not None and got.delivery_d.year >= 2024
