@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from .skew import running_totals
 
 
 def _r4(c):
@@ -73,9 +74,10 @@ def client_latency_stats_exclusive(events: DataFrame) -> DataFrame:
     from the cumulative histogram as the least value whose cumulative count
     reaches r. Needs n >= 2; clients with fewer values get NULL quantiles.
     """
-    h = latency_histogram(events)
-    w = W.partitionBy("client").orderBy("latency_ms").rowsBetween(W.unboundedPreceding, 0)
-    cum = h.withColumn("cum", F.sum("freq").over(w))
+    h = latency_histogram(events).withColumn("__c", cents("latency_ms"))
+    # Cumulative count per client in latency order, range-split on the
+    # latency itself, so a busy client is spread over many tasks.
+    cum = running_totals(h, ["client"], ["latency_ms"], {"cum": F.col("freq")}, range_col="__c")
     tot = h.groupBy("client").agg(F.sum("freq").alias("n"),
                                   F.sum("cents").alias("s"))
     j95, d95 = _exclusive_ranks(F.col("n"), 95)
