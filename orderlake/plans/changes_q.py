@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import audit, changes
 from .derived_q import _db_state_sql
