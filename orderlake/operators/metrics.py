@@ -3,8 +3,10 @@
 Per-client quantiles are computed from a value histogram: rows are first
 combined to (client, latency, count) inside each task, so a client with a
 third of all transactions ships one row per distinct latency, not one per
-transaction. Latencies are recorded to 0.01 ms, which bounds the histogram
-of a client by its latency range, not by its number of transactions.
+transaction. Cumulative counts over the histogram are range-split on the
+latency, and a quantile is read as "the least latency whose cumulative
+count reaches rank r" by a grouped aggregate: no task holds all values of
+a client.
 """
 
 from __future__ import annotations
@@ -39,20 +41,48 @@ def latency_histogram(events: DataFrame) -> DataFrame:
                                                       F.sum(cents("latency_ms")).alias("cents"))
 
 
+def cumulative_histogram(events: DataFrame) -> DataFrame:
+    """(client, latency_ms, freq, cents, cum): cumulative count per client in
+    latency order, range-split on the latency itself so a busy client is
+    spread over many tasks."""
+    h = latency_histogram(events).withColumn("__c", cents("latency_ms"))
+    return running_totals(h, ["client"], ["latency_ms"], {"cum": F.col("freq")}, range_col="__c")
+
+
+def _value_at(rank_col: str):
+    """x_r, the r-th smallest value: the least latency whose cumulative
+    count reaches r (aggregate over the cumulative histogram)."""
+    return F.min(F.when(F.col("cum") >= F.col(rank_col), F.col("latency_ms")))
+
+
 def client_latency_stats(events: DataFrame) -> DataFrame:
-    """Count, mean, median and linear p95/p99 per client.
+    """Count, mean, median and linear p50/p95/p99 per client.
 
-    ``percentile`` with a frequency column is the exact linear-interpolation
-    quantile over the histogram.
+    Linear interpolation between closest ranks: for p (in percent) the
+    position is h = (n - 1) * p / 100, with lo = floor(h) and
+    frac = h - lo computed in integers; the value is
+    x_(lo+1) + frac * (x_(lo+2) - x_(lo+1)). Ranks are read from the
+    cumulative histogram, so no task holds a client's values.
     """
-    h = latency_histogram(events)
-    g = h.groupBy("client").agg(
-        F.sum("freq").alias("n_txn"),
-        F.sum("cents").alias("cents"),
-        F.percentile("latency_ms", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)), F.col("freq")).alias("q"))
-    return g.select("client", F.col("n_txn").cast("long").alias("n_txn"),
-                    mean_e4("cents", "n_txn").alias("mean_ms"), _r4(F.col("q")[0]).alias("median_ms"),
-                    _r4(F.col("q")[1]).alias("p95_ms"), _r4(F.col("q")[2]).alias("p99_ms"))
+    cum = cumulative_histogram(events)
+    tot = cum.groupBy("client").agg(F.sum("freq").alias("n"), F.sum("cents").alias("s"))
+    cols = []
+    for p in (50, 95, 99):
+        h100 = (F.col("n") - 1) * F.lit(p)
+        lo = F.floor(h100 / F.lit(100)).cast("long")
+        cols += [(lo + 1).alias(f"a{p}"), F.least(lo + 2, F.col("n")).alias(f"b{p}"),
+                 (h100 - lo * 100).alias(f"f{p}")]
+    ranks = tot.select("client", "n", "s", *cols)
+    j = cum.join(ranks, "client", "inner")
+    keys = ["client", "n", "s"] + [f"f{p}" for p in (50, 95, 99)]
+    g = j.groupBy(*keys).agg(*[_value_at(f"{x}{p}").alias(f"x{x}{p}") for p in (50, 95, 99) for x in "ab"])
+
+    def lin(p):
+        a, b = F.col(f"xa{p}"), F.col(f"xb{p}")
+        return _r4(a + (b - a) * F.col(f"f{p}") / F.lit(100))
+
+    return g.select("client", F.col("n").cast("long").alias("n_txn"), mean_e4("s", "n").alias("mean_ms"),
+                    lin(50).alias("median_ms"), lin(95).alias("p95_ms"), lin(99).alias("p99_ms"))
 
 
 def _exclusive_ranks(n, i):
@@ -74,11 +104,8 @@ def client_latency_stats_exclusive(events: DataFrame) -> DataFrame:
     from the cumulative histogram as the least value whose cumulative count
     reaches r. Needs n >= 2; clients with fewer values get NULL quantiles.
     """
-    h = latency_histogram(events).withColumn("__c", cents("latency_ms"))
-    # Cumulative count per client in latency order, range-split on the
-    # latency itself, so a busy client is spread over many tasks.
-    cum = running_totals(h, ["client"], ["latency_ms"], {"cum": F.col("freq")}, range_col="__c")
-    tot = h.groupBy("client").agg(F.sum("freq").alias("n"),
+    cum = cumulative_histogram(events)
+    tot = cum.groupBy("client").agg(F.sum("freq").alias("n"),
                                   F.sum("cents").alias("s"))
     j95, d95 = _exclusive_ranks(F.col("n"), 95)
     j99, d99 = _exclusive_ranks(F.col("n"), 99)
@@ -88,8 +115,7 @@ def client_latency_stats_exclusive(events: DataFrame) -> DataFrame:
                        j95.alias("j95"), d95.alias("d95"), j99.alias("j99"), d99.alias("d99"))
     ranks = ranks.withColumn("mb", F.col("__half") + 1).drop("__half")
 
-    def at(r):
-        return F.min(F.when(F.col("cum") >= F.col(r), F.col("latency_ms")))
+    at = _value_at
 
     j = cum.join(ranks, "client", "inner")
     g = j.groupBy("client", "n", "s", "d95", "d99").agg(
