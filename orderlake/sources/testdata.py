@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..operators.skew import sequence_numbers
 from ..sources.schema import BASE_SCHEMAS
 
 # Fixed values of the adapter (FIXTURES.md section 3).
@@ -111,10 +112,12 @@ class Tables:
     @cached_property
     def _base_orders_numbered(self) -> DataFrame:
         o = self._orders_keyed.filter(F.col("o_orderkey") % NEW_ORDER_EVERY != 0)
-        w = W.partitionBy("o_w_id", "o_d_id").orderBy("o_orderkey")
+        # Order numbers per district by order key; range-split so a busy
+        # district is numbered by many tasks.
+        o = sequence_numbers(o, ["o_w_id", "o_d_id"], ["o_orderkey"], "__rn")
         return o.select(
             "o_w_id", "o_d_id",
-            F.row_number().over(w).cast("int").alias("o_id"),
+            F.col("__rn").cast("int").alias("o_id"),
             F.col("o_custkey").alias("o_c_id"),
             F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("int"))
              .otherwise((F.col("o_orderkey") % 10 + 1).cast("int")).alias("o_carrier_id"),
