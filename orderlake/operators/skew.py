@@ -73,14 +73,19 @@ def sequence_numbers(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     return r.withColumn(out, F.col(out).cast("long"))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows.
+# Fixed bound on the broadcast hot-key list: the hottest keys only.
+MAX_HOT_KEYS = 10_000
 
-    At most ``rows / threshold`` keys qualify, so the result has a size bound
-    that follows from the threshold and may be broadcast.
+
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """The (at most ``max_keys``) hottest keys with more than ``threshold`` rows.
+
+    The list has a fixed row bound, so it may be broadcast whatever the data
+    size. Keys beyond the bound are still joined exactly, only without the
+    extra split (AQE's skew-join split still applies to them).
     """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-              .filter(F.col("__n") > threshold).select(*keys))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold)
+    return counts.orderBy(F.col("__n").desc(), *keys).limit(max_keys).select(*keys)
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
@@ -91,8 +96,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     For a hot key the left rows are split into ``salts`` groups (by a hash of
     ``left_salt_col`` or of the whole row) and the right rows are copied once
     per salt; other keys keep salt 0 and are not copied. Each (key, salt)
-    pair then goes to its own task. The hot-key list is bounded by
-    ``rows / threshold`` and is broadcast.
+    pair then goes to its own task. The hot-key list has a fixed row bound
+    (``hot_keys``) and is broadcast.
     """
     keys = list(keys)
     if hot is None:

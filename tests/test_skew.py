@@ -46,3 +46,14 @@ def test_salted_join_equals_join(spark):
     got = salted_join(left, right, ["k"], salts=4, threshold=50, left_salt_col="a")
     want = left.join(right, "k")
     assert sorted(got.select("k", "a", "b").collect()) == sorted(want.select("k", "a", "b").collect())
+
+
+def test_salted_join_with_capped_hot_list_is_exact(spark):
+    from orderlake.operators.skew import hot_keys
+    left = spark.createDataFrame([(i % 3, i) for i in range(900)], "k int, a int")   # three hot keys
+    right = spark.createDataFrame([(k, k * 10 + j) for k in range(3) for j in range(4)], "k int, b int")
+    hot = hot_keys(left, ["k"], threshold=10, max_keys=1)
+    assert hot.count() == 1
+    got = salted_join(left, right, ["k"], salts=5, left_salt_col="a", hot=hot)
+    want = left.join(right, "k")
+    assert sorted(got.select("k", "a", "b").collect()) == sorted(want.select("k", "a", "b").collect())
