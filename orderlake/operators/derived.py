@@ -85,10 +85,19 @@ def popular_lines(order_lines: DataFrame, mode: str = "max") -> DataFrame:
                        .filter(F.col("ol_quantity") == F.col("__best")).drop("__best"))
 
 
+def ranked_lines(order_lines: DataFrame, mode: str = "max") -> DataFrame:
+    """Lines with dense rank 1 of quantity in their order (W1, F11):
+    descending for ``max`` (most ordered first), ascending for ``min``."""
+    q = F.col("ol_quantity").desc() if mode == "max" else F.col("ol_quantity").asc()
+    w = W.partitionBy("ol_w_id", "ol_d_id", "ol_o_id").orderBy(q)
+    return (order_lines.withColumn("__rank", F.dense_rank().over(w))
+                       .filter(F.col("__rank") == 1).drop("__rank"))
+
+
 def popular_items_snapshot(orders: DataFrame, order_lines: DataFrame, items: DataFrame,
                            customers: DataFrame, mode: str = "max") -> DataFrame:
     """Popular lines of every order with item and customer names."""
-    pl = popular_lines(order_lines, mode).select(
+    pl = ranked_lines(order_lines, mode).select(
         F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"),
         F.col("ol_o_id").alias("o_id"), F.col("ol_i_id").alias("i_id"), "ol_quantity")
     o = orders.select(F.col("o_w_id").alias("w_id"), F.col("o_d_id").alias("d_id"), "o_id",

@@ -355,3 +355,11 @@ def test_delivery_without_time_is_stamped_now(spark):
     req = spark.createDataFrame([(1, 1, 3, None)], "seq long, w_id int, carrier_id int, delivery_d timestamp_ntz")
     got = changes.delivered_orders(o, req).first()
     assert got.delivery_d is not None and got.delivery_d.year >= 2024
+
+
+def test_dense_rank_snapshot_equals_arg_max(spark):
+    ol = lines(spark, [(1, 1, 10, 5), (1, 2, 11, 9), (1, 3, 12, 9), (1, 4, 13, 2), (2, 1, 14, 3)])
+    for m in ("max", "min"):
+        a = sorted(r.ol_i_id for r in derived.ranked_lines(ol, m).collect())
+        b = sorted(r.ol_i_id for r in derived.popular_lines(ol, m).collect())
+        assert a == b
