@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import address_line, money, refilled_stock
+from ..session import cut_lineage
 from . import derived
 from .skew import running_totals, sequence_numbers
 
@@ -327,8 +328,8 @@ def apply_batch(tables: dict, payments: DataFrame, new_orders: DataFrame, new_li
     (payment and delivery deltas on a customer add up, so their order does
     not matter; deliveries see the orders the batch inserted). The orders
     and order lines versions are read by four delivery steps, so they are
-    checkpointed to the shared folder (lineage cut, no recomputation, and
-    a lost executor does not replay the whole batch).
+    written as parquet tables in the shared checkpoint folder (lineage cut,
+    no recomputation, and a lost executor does not replay the whole batch).
     """
     wh = payment_warehouses(tables["warehouses"], payments)
     di = payment_districts(tables["districts"], payments)
@@ -342,8 +343,8 @@ def apply_batch(tables: dict, payments: DataFrame, new_orders: DataFrame, new_li
     orders = orders.unionByName(h.select(*orders.columns))
     lines = tables["order_lines"].unionByName(nl)
     if checkpoint:
-        orders = orders.checkpoint(eager=True)
-        lines = lines.checkpoint(eager=True)
+        orders = cut_lineage(orders, "orders-version")
+        lines = cut_lineage(lines, "order-lines-version")
     dl = delivered_orders(orders, deliveries)
     return {
         "warehouses": wh,

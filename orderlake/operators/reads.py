@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.scalar import full_name
+from ..session import cut_lineage
 from . import derived
 from .skew import hot_keys, salted_join
 
@@ -267,10 +268,11 @@ def item_pairs(arrays: DataFrame, keep_order: bool = False) -> DataFrame:
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
-    """The pair table feeds the hot-key count and both join sides; writing it
-    once to the shared checkpoint folder cuts its lineage, so it is neither
-    recomputed three times nor rebuilt from scratch when an executor is lost."""
-    return df.checkpoint(eager=True)
+    """The pair table feeds the hot-key count and both join sides; it is
+    written once as a parquet table in the shared checkpoint folder, so it
+    is neither recomputed three times nor rebuilt from scratch when an
+    executor is lost, and the hot-key count reads only the item columns."""
+    return cut_lineage(df, "item-pairs")
 
 
 def _pair_matches(pairs: DataFrame, requests: DataFrame | None, keep_order: bool,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job of this library relies on. They are defaults, never overrides
 # of what the cluster already set.
@@ -71,3 +71,14 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """Folder for a written intermediate table, under the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    read it back: later stages start from durable, columnar data (no
+    recomputation, no lineage replay when an executor is lost, and readers
+    can prune columns)."""
+    import uuid
+    path = scratch_table_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
