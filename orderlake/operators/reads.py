@@ -173,8 +173,9 @@ def popular_items_pct(requests: DataFrame, districts: DataFrame, orders: DataFra
     j = per_item.join(found, ["w_id", "d_id", "last_l"], "inner").join(it, "i_id", "inner")
     den = F.col("n_found") if denominator == "found" else F.col("last_l")
     pct = F.bround(F.col("n_orders") * F.lit(100.0) / den, 2).cast("decimal(6,2)")
-    return j.select("w_id", "d_id", "last_l", "i_id", "i_name", "n_orders", "n_found",
-                    pct.alias("pct"))
+    # Most popular first within each request (O6); a distributed range sort.
+    return (j.select("w_id", "d_id", "last_l", "i_id", "i_name", "n_orders", "n_found", pct.alias("pct"))
+             .orderBy("w_id", "d_id", "last_l", F.col("n_orders").desc(), "i_id"))
 
 
 # ---------------------------------------------------------------- Top-Balance
