@@ -327,9 +327,11 @@ def apply_batch(tables: dict, payments: DataFrame, new_orders: DataFrame, new_li
     Order inside the batch: payments, then new orders, then deliveries
     (payment and delivery deltas on a customer add up, so their order does
     not matter; deliveries see the orders the batch inserted). The orders
-    and order lines versions are read by four delivery steps, so they are
-    written as parquet tables in the shared checkpoint folder (lineage cut,
-    no recomputation, and a lost executor does not replay the whole batch).
+    and order lines versions are read by four delivery steps, so the rows the
+    batch inserts are written as parquet tables in the shared checkpoint
+    folder first (lineage cut, no recomputation of the New-Order plan, and a
+    lost executor does not replay the batch); the base rows are already
+    stored.
     """
     wh = payment_warehouses(tables["warehouses"], payments)
     di = payment_districts(tables["districts"], payments)
@@ -340,11 +342,15 @@ def apply_batch(tables: dict, payments: DataFrame, new_orders: DataFrame, new_li
     st = new_order_stock(stocks, new_lines, new_orders, items)
     di = new_order_districts(di, new_orders)
     orders = tables["orders"]
-    orders = orders.unionByName(h.select(*orders.columns))
-    lines = tables["order_lines"].unionByName(nl)
+    new_orders_rows = h.select(*orders.columns)
     if checkpoint:
-        orders = cut_lineage(orders, "orders-version")
-        lines = cut_lineage(lines, "order-lines-version")
+        # The base versions are already stored; only the batch's new rows are
+        # written (parquet in the shared checkpoint folder), which cuts their
+        # lineage before the four delivery steps read them.
+        new_orders_rows = cut_lineage(new_orders_rows, "new-orders")
+        nl = cut_lineage(nl, "new-order-lines")
+    orders = orders.unionByName(new_orders_rows)
+    lines = tables["order_lines"].unionByName(nl)
     dl = delivered_orders(orders, deliveries)
     return {
         "warehouses": wh,
