@@ -1,7 +1,7 @@
 """SparkSession construction and shared-folder helpers.
 
-On a cluster the session comes from the platform; ``get_session`` only fills
-in settings that are unset. ``spark.checkpoint.dir`` is read from the session;
+On a cluster the session comes from the platform; ``apply_defaults`` only
+fills in settings that are unset. ``spark.checkpoint.dir`` is read from the session;
 a scratch folder is created only where it is unset (local runs and tests).
 """
 
@@ -13,7 +13,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job of this library relies on. They are defaults, never overrides
-# of what the cluster already set.
+# of what the cluster already set (see ``apply_defaults``).
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,26 +21,42 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Runtime bloom filters prune the large side of a join (e.g. stocks
+    # against the lines of recent orders) before it is shuffled.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # spark.sql.autoBroadcastJoinThreshold keeps Spark's default: a join side
     # is broadcast only when its estimated size is under it, and AQE re-checks
     # on measured shuffle sizes; larger sides use sort-merge joins. Explicit
     # broadcast hints are used only on sides with a proven row bound.
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.ui.enabled": "false",
 }
 
+# Static settings used only when this process creates a local session.
+LOCAL_ONLY_CONF = {"spark.ui.enabled": "false"}
+
+
+def apply_defaults(spark: SparkSession) -> None:
+    """Set each of ``DEFAULT_CONF`` only where the session has no value for
+    it, so settings from the cluster or the caller always win."""
+    for k, v in DEFAULT_CONF.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+
 
 def get_session(master: str | None = None, app_name: str = "orderlake",
                 shuffle_partitions: int | None = None) -> SparkSession:
+    """The active session (or a new local one when ``master`` is given),
+    with the library defaults filled in where unset."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
-        builder = builder.config(k, v)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("ORDERLAKE_DRIVER_MEMORY", "16g"))
+        for k, v in LOCAL_ONLY_CONF.items():
+            builder = builder.config(k, v)
+        builder = builder.config("spark.driver.memory", os.environ.get("ORDERLAKE_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
+    apply_defaults(spark)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
