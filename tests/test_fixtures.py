@@ -363,3 +363,25 @@ def test_dense_rank_snapshot_equals_arg_max(spark):
         a = sorted(r.ol_i_id for r in derived.ranked_lines(ol, m).collect())
         b = sorted(r.ol_i_id for r in derived.popular_lines(ol, m).collect())
         assert a == b
+
+
+def test_new_order_rewrites_only_touched_stock_partitions(spark, tmp_path):
+    import os as _os
+    from orderlake.sources import versions
+    wh, di, cu, it, st = _new_order_world(spark)
+    path = str(tmp_path / "stocks")
+    versions.write_partitioned(st, path, ["s_w_id"])
+    untouched = {f: _os.path.getmtime(_os.path.join(path, "s_w_id=2", f))
+                 for f in _os.listdir(_os.path.join(path, "s_w_id=2"))}
+    req = spark.createDataFrame([(1, 1, 1, 5, TS)], "seq long, w_id int, d_id int, c_id long, entry_d timestamp_ntz")
+    lr = spark.createDataFrame([(1, 1, 1, 1, 5), (1, 2, 3, 1, 4)],
+                               "seq long, line_no int, i_id long, supply_w_id int, quantity int")
+    cur = spark.read.parquet(path)
+    new = changes.new_order_stock(cur.select(*st.columns), lr, req, it)
+    delta = lr.select(F.col("supply_w_id").alias("s_w_id"))
+    versions.write_touched_partitions(versions.touched_rows(new, delta, ["s_w_id"]), path, ["s_w_id"])
+    after = {f: _os.path.getmtime(_os.path.join(path, "s_w_id=2", f))
+             for f in _os.listdir(_os.path.join(path, "s_w_id=2"))}
+    assert after == untouched
+    got = {(r.s_w_id, r.s_i_id): r.s_quantity for r in spark.read.parquet(path).collect()}
+    assert got == {(1, 1): 107, (1, 2): 12, (1, 3): 108, (2, 1): 12, (2, 2): 12, (2, 3): 12}
