@@ -63,3 +63,25 @@ def test_delivery_invariants(spark):
     assert no.filter("o_carrier_id IS NULL").count() == q0 - n
     # at most one delivered order per district per request
     assert dl.groupBy("w_id", "d_id").count().filter("count > 1").count() == 0
+
+
+def test_whole_batch_invariants(spark):
+    t = tables_for(spark, SF)
+    base = {n: t.base(n) for n in ("warehouses", "districts", "customers", "orders", "order_lines",
+                                   "items", "stocks")}
+    new = changes.apply_batch(base, t.payment_requests, t.new_order_requests, t.new_order_line_requests,
+                              t.delivery_requests)
+    n_new, n_pay = t.new_order_requests.count(), t.payment_requests.count()
+    assert _sum(new["districts"], "d_next_o_id") - _sum(base["districts"], "d_next_o_id") == n_new
+    assert new["orders"].count() == base["orders"].count() + n_new
+    assert new["orders"].groupBy(*PRIMARY_KEYS["orders"]).count().filter("count > 1").count() == 0
+    assert _sum(new["customers"], "c_payment_cnt") == n_pay
+    paid = _sum(t.payment_requests, "amount")
+    assert _sum(new["warehouses"], "w_ytd") - _sum(base["warehouses"], "w_ytd") == paid
+    assert _sum(new["districts"], "d_ytd") - _sum(base["districts"], "d_ytd") == paid
+    n_del = _sum(new["customers"], "c_delivery_cnt")
+    # one order per district per Delivery request at most
+    assert 0 < n_del <= 10 * t.delivery_requests.count()
+    undelivered_before = base["orders"].filter("o_carrier_id IS NULL").count() + n_new
+    assert new["orders"].filter("o_carrier_id IS NULL").count() == undelivered_before - n_del
+    assert new["stocks"].filter("s_quantity < 10").count() == 0
