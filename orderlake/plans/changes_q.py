@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from ..operators import audit, changes
 from .derived_q import _db_state_sql
+from ..session import cut_lineage
+from ..sources import txlog
 from .registry import register
 
 # ------------------------------------------------------------------ Payment
@@ -222,7 +224,7 @@ def _batch_state(t):
                           new["order_lines"], new["stocks"])
 
 
-register("db_state_after_batch", _NEW_ORDER + """
+_BATCH_SQL = """
 , pay_c AS (SELECT w_id, d_id, c_id, sum(amount) AS paid, count(*) AS n FROM payment_requests GROUP BY 1, 2, 3),
 pay_d AS (SELECT w_id, d_id, sum(amount) AS paid FROM payment_requests GROUP BY 1, 2),
 pay_w AS (SELECT w_id, sum(amount) AS paid FROM payment_requests GROUP BY 1),
@@ -261,4 +263,30 @@ st2 AS (SELECT s.s_quantity - coalesce(su.used, 0) + 100 * CASE WHEN 10 - (s.s_q
           s.s_ytd + coalesce(su.used, 0) AS s_ytd, s.s_order_cnt + coalesce(su.n, 0) AS s_order_cnt,
           s.s_remote_cnt + coalesce(su.remote, 0) AS s_remote_cnt
         FROM stocks s LEFT JOIN su ON su.s_w_id = s.s_w_id AND su.s_i_id = s.s_i_id)
-""" + _db_state_sql("wh2", "di2", "cu2", "ord3", "lines2", "st2"))(_batch_state)
+"""
+
+register("db_state_after_batch", _NEW_ORDER + _BATCH_SQL + _db_state_sql(
+    "wh2", "di2", "cu2", "ord3", "lines2", "st2"))(_batch_state)
+
+
+def _log_batch_state(t):
+    from .ingest_q import _parsed_frames
+    valid, parsed = _parsed_frames(t)
+    # The parsed requests feed many steps of the batch: written once to the
+    # shared checkpoint folder, so the parse runs once.
+    req = {k: cut_lineage(v, f"script-{k}") for k, v in txlog.request_tables(valid, parsed).items()}
+    new = changes.apply_batch({n: t.base(n) for n in ("warehouses", "districts", "customers", "orders",
+                                                       "order_lines", "items", "stocks")},
+                              req["payments"], req["new_orders"], req["new_lines"], req["deliveries"])
+    return audit.db_state(new["warehouses"], new["districts"], new["customers"], new["orders"],
+                          new["order_lines"], new["stocks"])
+
+
+# Same state as db_state_after_batch, except that new orders are numbered in
+# the order the client scripts issue them: by client (seq % 20), then seq.
+_LOG_NEW_ORDER = _NEW_ORDER.replace(
+    "row_number() OVER (PARTITION BY r.w_id, r.d_id ORDER BY r.seq)",
+    "row_number() OVER (PARTITION BY r.w_id, r.d_id ORDER BY r.seq % 20, r.seq)")
+
+register("db_state_after_script_batch", _LOG_NEW_ORDER + _BATCH_SQL + _db_state_sql(
+    "wh2", "di2", "cu2", "ord3", "lines2", "st2"))(_log_batch_state)

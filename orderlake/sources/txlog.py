@@ -222,3 +222,26 @@ def new_order_items(parsed: DataFrame) -> DataFrame:
                   .select("file", "header_line", F.col("item_idx").alias("line_no"),
                           _long(a, 1).alias("i_id"), _int(a, 2).alias("supply_w_id"),
                           _int(a, 3).alias("quantity")))
+
+
+def request_tables(valid: DataFrame, parsed: DataFrame) -> dict:
+    """Request tables of the write transactions found in the scripts.
+
+    ``seq`` orders requests as the clients issued them: by client file, then
+    by line (client * 2^40 + line number). Entry and delivery times are the
+    time of the run, as when the transactions are executed.
+    """
+    seq = (F.col("client").cast("long") * F.lit(1 << 40) + F.col("line_no")).alias("seq")
+    now = F.localtimestamp()
+    pay = valid.filter(F.col("txn_type") == "P").select(seq, "w_id", "d_id", "c_id", "amount")
+    heads = valid.filter(F.col("txn_type") == "N")
+    new_orders = heads.select(seq, "w_id", "d_id", "c_id", now.alias("entry_d"))
+    items = new_order_items(parsed).filter(F.col("line_no") >= 1)
+    hk = heads.select("file", F.col("line_no").alias("header_line"), "n_items", seq)
+    new_lines = (items.join(hk, ["file", "header_line"], "inner")
+                      .filter(F.col("line_no") <= F.col("n_items"))
+                      .select("seq", F.col("line_no").cast("int").alias("line_no"), "i_id",
+                              "supply_w_id", "quantity"))
+    deliveries = valid.filter(F.col("txn_type") == "D").select(seq, "w_id", "carrier_id",
+                                                                now.alias("delivery_d"))
+    return {"payments": pay, "new_orders": new_orders, "new_lines": new_lines, "deliveries": deliveries}
