@@ -270,10 +270,13 @@ register("db_state_after_batch", _NEW_ORDER + _BATCH_SQL + _db_state_sql(
 
 
 def _log_batch_state(t):
-    from .ingest_q import _parsed_frames
-    valid, parsed = _parsed_frames(t)
-    # The parsed requests feed many steps of the batch: written once to the
-    # shared checkpoint folder, so the parse runs once.
+    from .ingest_q import _script_dir
+    # The parsed lines feed four request tables and those feed many steps of
+    # the batch: both are written once to the shared checkpoint folder, so
+    # the parse runs once.
+    parsed = cut_lineage(txlog.parse_scripts(txlog.read_script_lines(t.spark, _script_dir(t))),
+                         "script-lines")
+    valid = txlog.transactions(parsed)[0]
     req = {k: cut_lineage(v, f"script-{k}") for k, v in txlog.request_tables(valid, parsed).items()}
     new = changes.apply_batch({n: t.base(n) for n in ("warehouses", "districts", "customers", "orders",
                                                        "order_lines", "items", "stocks")},

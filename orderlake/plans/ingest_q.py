@@ -83,11 +83,6 @@ def _parsed(t):
     return txlog.transactions(txlog.parse_scripts(lines))
 
 
-def _parsed_frames(t):
-    """(valid transactions, parsed lines) of the client scripts."""
-    parsed = txlog.parse_scripts(txlog.read_script_lines(t.spark, _script_dir(t)))
-    return txlog.transactions(parsed)[0], parsed
-
 
 _TX_SQL = """
 , m AS (SELECT seq, count(*) AS m FROM new_order_line_requests GROUP BY seq),
