@@ -92,8 +92,8 @@ leaf_in AS (SELECT leaf.*, lang_b.budget AS parent_budget FROM leaf JOIN lang_b
 e AS (SELECT domain, lang, source, tokens AS leaf_tokens, budget AS leaf_budget,
              CASE WHEN tokens > 0 THEN floor(budget / tokens)::BIGINT ELSE 0 END AS epochs FROM leaf_b),
 x AS (SELECT d.*, e.leaf_tokens, e.leaf_budget, e.epochs, e.leaf_budget - e.epochs * e.leaf_tokens AS left_over,
-             md5('17:' || e.epochs::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, '')) AS at FROM d JOIN e USING (domain, lang, source)),
-y AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY at, doc_id, n_tokens
+             md5('17:' || e.epochs::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, '')) AS seeded FROM d JOIN e USING (domain, lang, source)),
+y AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY seeded, doc_id, n_tokens
                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM x)
 SELECT doc_id, domain, lang, source, n_tokens, leaf_tokens, leaf_budget,
        CASE WHEN n_tokens = 0 THEN 0 ELSE epochs + CASE WHEN 2 * (left_over - before) >= n_tokens THEN 1 ELSE 0 END END::BIGINT AS copies
