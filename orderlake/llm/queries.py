@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding
+from . import bpe, chunking, mixing, sharding
 from .common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -40,6 +40,10 @@ def op6_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
 
 
+def op9_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.compare_with_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_speculate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
             .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
@@ -48,6 +52,7 @@ def op10_bpe_speculate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hierarchical_mix": op4_hierarchical_mix,
     "op6_bounded_ring": op6_bounded_ring,
+    "op9_gear_chunks": op9_gear_chunks,
     "op10_bpe_speculate": op10_bpe_speculate,
 }
 
