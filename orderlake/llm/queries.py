@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunking, mixing, sharding
+from . import bpe, chunking, mixing, pii, sharding
 from .common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,6 +35,11 @@ def op4_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       domain_weights=DOMAIN_WEIGHTS, lang_weights=LANG_WEIGHTS, source_weights=SOURCE_WEIGHTS)
 
 
+def op5_context_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+            .select("doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256", pii.spans_text(F.col("entities")).alias("spans")))
+
+
 def op6_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (sharding.assign_shards(read_table(spark, sf_dir, "documents"), n_shards=24)
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
@@ -51,6 +56,7 @@ def op10_bpe_speculate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hierarchical_mix": op4_hierarchical_mix,
+    "op5_context_patterns": op5_context_patterns,
     "op6_bounded_ring": op6_bounded_ring,
     "op9_gear_chunks": op9_gear_chunks,
     "op10_bpe_speculate": op10_bpe_speculate,
