@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunking, mixing, pii, sharding
-from .common import read_table
+from . import bpe, chunking, mixing, pii, sharding, toxicity
+from .common import fold, read_table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -30,6 +30,13 @@ def domain_of_source():
     return F.concat(F.lit("d"), F.pmod(number, F.lit(4)).cast("string"))
 
 
+def op3_compression_contrast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return (toxicity.score(docs, model)
+            .select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "n_windows", "n_above"))
+
+
 def op4_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"), domain_of_source(), budget_num=3, budget_den=4, max_epochs=3, seed=17,
                       domain_weights=DOMAIN_WEIGHTS, lang_weights=LANG_WEIGHTS, source_weights=SOURCE_WEIGHTS)
@@ -55,6 +62,7 @@ def op10_bpe_speculate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_compression_contrast": op3_compression_contrast,
     "op4_hierarchical_mix": op4_hierarchical_mix,
     "op5_context_patterns": op5_context_patterns,
     "op6_bounded_ring": op6_bounded_ring,
