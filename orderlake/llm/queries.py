@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunking, lm, mixing, pii, sharding, toxicity
+from . import bpe, chunking, jaccard, lm, mixing, pii, sharding, toxicity
 from .common import fold, read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,10 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op2_vertical_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op3_compression_contrast(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
@@ -67,6 +71,7 @@ def op10_bpe_speculate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
+    "op2_vertical_jaccard": op2_vertical_jaccard,
     "op3_compression_contrast": op3_compression_contrast,
     "op4_hierarchical_mix": op4_hierarchical_mix,
     "op5_context_patterns": op5_context_patterns,
