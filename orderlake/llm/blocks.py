@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import text_slices
 
-BLOCK_SCHEMA = ("block string, doc_ids array<{kind}>, roles array<int>, lengths array<int>, n_words long, vocab binary, words binary")
+BLOCK_SCHEMA = ("block string, doc_ids array<{kind}>, role int, lengths array<int>, n_words long, vocab binary, words binary")
 ROWS_SCHEMA = "ord int, bucket int, block string, n int, keys binary, counts array<binary>"
 TOTALS_SCHEMA = "ord int, block string, bucket int, n int, types long, totals array<binary>"
 
@@ -37,6 +37,28 @@ class _Numbers(dict):
         return n
 
 
+class _Open:
+    """A block that is being filled; all its documents have one role, which its name begins with."""
+
+    def __init__(self, role: int):
+        self.role, self.numbers, self.parts, self.ids, self.lengths, self.total = role, _Numbers(), [], [], [], 0
+
+    def add(self, doc_id: int | None, text: str) -> None:
+        w = text.encode("utf-8", "surrogatepass").lower().split()
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, w), dtype="<u4", count=len(w)))
+        self.ids.append(doc_id)
+        self.lengths.append(len(w))
+        self.total += len(w)
+
+    def close(self, id_type: pa.DataType) -> pa.RecordBatch:
+        vocab = np.fromiter(map(xxhash.xxh3_64_intdigest, self.numbers), dtype="<u8", count=len(self.numbers))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([f"{self.role}-{uuid.uuid4().hex}"]), pa.array([self.ids], pa.list_(id_type)), pa.array([self.role], pa.int32()),
+             pa.array([self.lengths], pa.list_(pa.int32())), pa.array([self.total], pa.int64()), pa.array([vocab.tobytes()], pa.binary()),
+             pa.array([squeeze(smallest(np.concatenate(self.parts)))], pa.binary())],
+            names=["block", "doc_ids", "role", "lengths", "n_words", "vocab", "words"])
+
+
 def squeeze(a: np.ndarray) -> bytes:
     """An integer array, byte plane by byte plane, compressed."""
     planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
@@ -55,39 +77,24 @@ def smallest(a: np.ndarray) -> np.ndarray:
 
 
 def make_blocks(docs: DataFrame, block_words: int = 1_000_000) -> DataFrame:
-    """``docs``: doc_id, text, role. Words are runs of other than space and
+    """``docs``: doc_id, text, role (a small number; a block holds one role). Words are runs of other than space and
     \\t-\\r, A-Z in lower case; a text is split whole, whatever its length."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, parts, ids, roles, lengths, total = _Numbers(), [], [], [], [], 0
-
-        def block() -> pa.RecordBatch:
-            vocab = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), dtype="<u8", count=len(numbers))
-            words = np.concatenate(parts) if parts else np.empty(0, dtype="<u4")
-            return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(id_type)), pa.array([roles], pa.list_(pa.int32())),
-                 pa.array([lengths], pa.list_(pa.int32())), pa.array([total], pa.int64()), pa.array([vocab.tobytes()], pa.binary()),
-                 pa.array([squeeze(smallest(words))], pa.binary())],
-                names=["block", "doc_ids", "roles", "lengths", "n_words", "vocab", "words"])
-
-        id_type = None
+        open_: dict[int, _Open] = {}
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            batch_ids, batch_roles = batch.column("doc_id").to_pylist(), batch.column("role").to_pylist()
+            ids, roles = batch.column("doc_id").to_pylist(), batch.column("role").to_pylist()
             for start, texts in text_slices(batch):
                 for k, text in enumerate(texts, start):
-                    w = text.encode("utf-8", "surrogatepass").lower().split()
-                    parts.append(np.fromiter(map(numbers.__getitem__, w), dtype="<u4", count=len(w)))
-                    ids.append(batch_ids[k])
-                    roles.append(batch_roles[k])
-                    lengths.append(len(w))
-                    total += len(w)
-                    if total >= block_words:
-                        yield block()
-                        numbers, parts, ids, roles, lengths, total = _Numbers(), [], [], [], [], 0
-        if ids:
-            yield block()
+                    o = open_.setdefault(roles[k], _Open(roles[k]))
+                    o.add(ids[k], text)
+                    if o.total >= block_words:
+                        yield o.close(id_type)
+                        del open_[roles[k]]
+        for o in open_.values():
+            yield o.close(id_type)
 
     return cut_lineage(docs.select("doc_id", "text", "role").mapInArrow(run, BLOCK_SCHEMA.format(kind=kind)), "blocks")
 

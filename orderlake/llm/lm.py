@@ -28,12 +28,12 @@ END, START = 0x5EED0000000000E1, 0x5EED0000000000B5
 KEPT, DELETED, UNSEEN = 0, 1, 2
 BUCKETS = 24
 #: Estimates are tabulated in steps of 1 / STEPS decades for EM.
-STEPS, DECADES = 10, 13
+STEPS, DECADES = 4, 13
 
 
-def sequence(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a block: tokens of all texts, each with its end; number of the text, its
-    role, and whether a token is the first of its text."""
+def sequence(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: tokens of all texts, each with its end; number of the text, and
+    whether a token is the first of its text."""
     words, lengths = B.block_words(row)
     n = lengths + 1
     last = np.cumsum(n) - 1
@@ -43,8 +43,7 @@ def sequence(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     tokens[inside] = words
     first = np.zeros(len(tokens), dtype=bool)
     first[last - n + 1] = True
-    doc = np.repeat(np.arange(len(n)), n)
-    return tokens, doc, np.array(row["roles"], dtype=np.int64)[doc], first
+    return tokens, np.repeat(np.arange(len(n)), n), first
 
 
 def grams(tokens: np.ndarray, first: np.ndarray, bits: int) -> dict[int, np.ndarray]:
@@ -85,14 +84,14 @@ class Model:
 
 
 def estimates(row: dict, bits: int, which: int, n_tokens: int, n_docs: int) -> tuple:
-    """(doc, role, c1, f3, x3, f2, x2, f1) of every token of a block under the counts ``which``."""
-    tokens, doc, role, first = sequence(row)
+    """(doc, c1, f3, x3, f2, x2, f1) of every token of a block under the counts ``which``."""
+    tokens, doc, first = sequence(row)
     c = {o: B.totals_of(row, o, which)[numbered(h)[1]] for o, h in grams(tokens, first, bits).items()}
     # the context of a token is the gram that ends before it; a text starts as often as there are texts
     before = lambda a: np.where(first, n_docs, np.r_[0, a[:-1]] if len(a) else a)
     x3, x2 = before(c[2]), before(c[1])
     f3, f2 = c[3] / np.maximum(x3, 1), c[2] / np.maximum(x2, 1)
-    return doc, role, c[1], np.minimum(f3, 1.0), x3, np.minimum(f2, 1.0), x2, c[1] / max(n_tokens, 1)
+    return doc, c[1], np.minimum(f3, 1.0), x3, np.minimum(f2, 1.0), x2, c[1] / max(n_tokens, 1)
 
 
 def mixture(f3, b3, f2, b2, f1, model: Model) -> np.ndarray:
@@ -145,42 +144,39 @@ def score_documents(docs: DataFrame, held_out_fold: int = 1, deleted_fold: int =
     t = id_text(docs, id_col, text_col).withColumn("fold", fold(F.col("doc_id"), folds))
     role = F.when(F.col("fold") == held_out_fold, UNSEEN).when(F.col("fold") == deleted_fold, DELETED).otherwise(KEPT)
     blocks = B.make_blocks(t.select("doc_id", "text", role.alias("role")), block_words)
-    part = F.explode(F.arrays_zip("roles", "lengths")).alias("x")
-    size = {r["role"]: (r["t"], r["d"]) for r in blocks.select(part).groupBy(F.col("x.roles").alias("role"))
-            .agg(F.sum(F.col("x.lengths") + F.lit(1).cast("long")).alias("t"), F.count(F.lit(1)).alias("d")).collect()}
+    size = {r["role"]: (r["w"] + r["d"], r["d"]) for r in blocks.groupBy("role").agg(F.sum("n_words").alias("w"), F.sum(F.size("lengths")).alias("d")).collect()}
     total = sum(n for n, _ in size.values())
     buckets, bits = B.n_buckets(total), B.key_bits(total)
     kept, deleted = size.get(KEPT, (0, 0)), size.get(DELETED, (0, 0))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in B.block_rows(batches):
-            tokens, _, role, first = sequence(row)
+            tokens, _, first = sequence(row)
             for o, h in grams(tokens, first, bits).items():
                 keys, number = numbered(h)
-                counts = [np.bincount(number, weights=role == r, minlength=len(keys)).astype(np.int64) for r in (KEPT, DELETED)]
+                n = np.bincount(number, minlength=len(keys))
+                counts = [n if row["role"] == r else np.zeros(len(keys), dtype=np.int64) for r in (KEPT, DELETED)]
                 yield B.send_rows(o, row["block"], keys, counts, buckets, bits if o > 1 else 64)
 
-    sent = blocks.select("block", "roles", "lengths", "n_words", "vocab", "words").mapInArrow(send, B.ROWS_SCHEMA)
-    # totals: 0 of the kept documents, 1 of all training documents
+    sent = blocks.select("block", "role", "lengths", "n_words", "vocab", "words").mapInArrow(send, B.ROWS_SCHEMA)
+    # totals: 0 of the kept documents, 1 of the deleted ones
     totals = B.total_up(sent, "lm-totals")
     types = totals.where("ord = 1").agg(F.sum("types")).first()[0] or 0
     model = Model(kept[0] + deleted[0], types, kept[1] + deleted[1], (0.0,) * BUCKETS, (0.0,) * BUCKETS, 0.5)
-    joined = B.with_totals(blocks, totals)
-
     def tabulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = lambda f: np.where(f > 0, np.clip(np.rint((np.log10(np.maximum(f, 1e-300)) + DECADES) * STEPS), 0, None) + 1, 0).astype(np.int64)
         for row in B.block_rows(batches):
-            _, role, _, f3, x3, f2, x2, f1 = estimates(row, bits, 0, kept[0], kept[1])
-            d = role == DELETED
-            key = bucket_of(x3[d])
-            for col, base in ((step(f3[d]), 256), (bucket_of(x2[d]), 256), (step(f2[d]), 256), (step(f1[d]), 256)):
-                key = key * base + col
+            _, _, f3, x3, f2, x2, f1 = estimates(row, bits, 0, kept[0], kept[1])
+            key = bucket_of(x3)
+            for col in (step(f3), bucket_of(x2), step(f2), step(f1)):
+                key = key * 256 + col
             u, n = np.unique(key, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(n, pa.int64())], names=["event", "n"])
 
     if kept[0] and deleted[0]:
         # the steps and buckets bound the number of rows, whatever the corpus
-        events = joined.mapInArrow(tabulate, "event long, n long").groupBy("event").agg(F.sum("n").alias("n")).toPandas()
+        own = F.col("block").startswith(f"{DELETED}-")
+        events = B.with_totals(blocks.where(own), totals.where(own)).mapInArrow(tabulate, "event long, n long").groupBy("event").agg(F.sum("n").alias("n")).toPandas()
         e = events["event"].to_numpy()
         table = np.stack([e >> s & 255 for s in (32, 24, 16, 8, 0)], axis=1)
         model = learn_weights(table, events["n"].to_numpy().astype(float), model)
@@ -190,17 +186,17 @@ def score_documents(docs: DataFrame, held_out_fold: int = 1, deleted_fold: int =
         m = shared.value
         base_all = np.log10(m.train_tokens + 0.5 * (m.types + 1))
         for row in B.block_rows(batches):
-            doc, role, c1, f3, x3, f2, x2, f1 = estimates_all(row, bits, m)
+            doc, c1, f3, x3, f2, x2, f1 = estimates_all(row, bits, m)
             n = len(row["lengths"])
             p = np.log10(mixture(f3, bucket_of(x3), f2, bucket_of(x2), f1, m))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_ids"], kind), pa.array(np.array(row["roles"]) == UNSEEN), pa.array(np.array(row["lengths"], dtype=np.int64) + 1),
+                [pa.array(row["doc_ids"], kind), pa.array(np.full(n, row["role"] == UNSEEN)), pa.array(np.array(row["lengths"], dtype=np.int64) + 1),
                  pa.array(np.bincount(doc, weights=c1 > 0, minlength=n).astype(np.int64)), pa.array(np.full(n, m.train_tokens, dtype=np.int64)),
                  pa.array(np.bincount(doc, weights=np.log10(c1 + 0.5) - base_all, minlength=n)), pa.array(np.bincount(doc, weights=p, minlength=n))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kind = pa.int64() if t.schema["doc_id"].dataType.simpleString() == "bigint" else None
-    return joined.mapInArrow(score, f"doc_id {t.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, "
+    return B.with_totals(blocks, totals).mapInArrow(score, f"doc_id {t.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, "
                                     "train_tokens long, base_score double, score double")
 
 
