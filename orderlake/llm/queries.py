@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chunking, jaccard, langid, lm, mixing, pii, sharding, toxicity
+from . import bpe, chunking, flatgraph, jaccard, langid, lm, mixing, pii, sharding, toxicity
 from .common import fold, read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -66,6 +66,10 @@ def op7_crf_words(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "n_words", "n_switches"))
 
 
+def op8_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.compare_with_edits(read_table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_context_patterns": op5_context_patterns,
     "op6_bounded_ring": op6_bounded_ring,
     "op7_crf_words": op7_crf_words,
+    "op8_flat_graph": op8_flat_graph,
     "op9_gear_chunks": op9_gear_chunks,
     "op10_bpe_speculate": op10_bpe_speculate,
 }
