@@ -72,7 +72,7 @@ def leaf_budgets(leaves: DataFrame, budget_num: int, budget_den: int, max_epochs
 
 def mix(docs: DataFrame, domain: Column, budget_num: int = 3, budget_den: int = 4, max_epochs: int = 3, seed: int = 17,
         domain_weights: Mapping[str, int] | None = None, lang_weights: Mapping[str, int] | None = None,
-        source_weights: Mapping[str, int] | None = None, default_weight: int = 1) -> DataFrame:
+        source_weights: Mapping[str, int] | None = None, default_weight: int = 1, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, domain, lang, source, n_tokens, leaf_tokens, leaf_budget, copies), a row per document.
 
     ``domain`` is an expression over ``docs``; weights are whole numbers of 1
@@ -85,7 +85,7 @@ def mix(docs: DataFrame, domain: Column, budget_num: int = 3, budget_den: int =
     """
     name = lambda c: F.coalesce(c.cast("string"), F.lit("(none)"))
     rows = cut_lineage(docs.select(
-        F.col("doc_id"), name(domain).alias("domain"), name(F.col("lang")).alias("lang"), name(F.col("source")).alias("source"),
+        F.col(f"`{id_col}`").alias("doc_id"), name(domain).alias("domain"), name(F.col("lang")).alias("lang"), name(F.col("source")).alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(TOKEN)), F.lit(0)).cast("long").alias("n_tokens")), "mix-rows")
     leaves = rows.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens"))
     budgets = cut_lineage(

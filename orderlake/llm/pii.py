@@ -215,11 +215,14 @@ def spans_text(entities) -> "F.Column":
     return F.array_join(F.transform(entities, lambda e: F.concat_ws(":", F.get(names, e["k"]), e["start"].cast("string"), e["end"].cast("string"))), ",")
 
 
-def mask_text(text: str, entities) -> str:
-    """Entities replaced by <KIND>; overlapping ones as one, named by the first."""
-    out, at = [], 0
-    for s, k, e in sorted((x["start"], x["k"], x["end"]) for x in entities):
-        if s >= at:
-            out += [text[at:s], f"<{KINDS[k].upper()}>"]
-        at = max(at, e)
-    return "".join(out) + text[at:]
+def mask(text, entities) -> "F.Column":
+    """The text with its entities replaced by <KIND>; overlapping ones as one, named by
+    the first. A null array leaves the text as it is."""
+    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+    state = F.aggregate(
+        entities, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
+        lambda a, e: F.when(e["start"] >= a["at"], F.struct(
+            e["end"].alias("at"), F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), (e["start"] - a["at"]).cast("int")), F.get(names, e["k"])).alias("out")))
+        .otherwise(F.struct(F.greatest(a["at"], e["end"]).alias("at"), a["out"].alias("out"))),
+        lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    return F.when(entities.isNull(), text).otherwise(state)

@@ -224,6 +224,37 @@ def summaries(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     return d.mapInArrow(run, f"{kinds}, hist array<long>, top array<long>")
 
 
+def probabilities(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability of label 1, windows, and windows over the highest threshold of each text."""
+    con = _contrast(model)
+    own = [windows_of(t) for t in texts]
+    got = [summary(o, b) for o, b in zip(own, con.bins(own))]
+    hist, top = np.array([h for h, _ in got]), np.array([t for _, t in got])
+    if not model.weights:
+        return np.full(len(texts), model.prior), hist.sum(axis=1), np.zeros(len(texts), dtype=np.int64)
+    x = (features(hist, top, model.thresholds) - np.array(model.center)) / np.array(model.scale)
+    p = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights[:-1]) + model.weights[-1], -30, 30)))
+    return p, hist.sum(axis=1), hist[:, model.thresholds[-1]:].sum(axis=1)
+
+
+def drop_toxic(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns as they are, but those that score ``least`` or more
+    (null texts count as empty). One scan, no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_text = None
+        for batch in batches:
+            at_text = batch.schema.get_field_index(text_col) if at_text is None else at_text
+            texts = ["" if t is None else t for t in batch.column(at_text).to_pylist()]
+            for start in range(0, len(texts), 500):
+                part = texts[start:start + 500]
+                keep = probabilities(part, shared.value)[0] < least
+                yield batch.slice(start, len(part)).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted, n_windows, n_above), a row per row of ``docs``.
 
@@ -235,22 +266,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        con = _contrast(m)
         for batch in batches:
             for start, texts in text_slices(batch):
-                own = [windows_of(t) for t in texts]
-                got = [summary(o, b) for o, b in zip(own, con.bins(own))]
-                hist, top = np.array([h for h, _ in got]), np.array([t for _, t in got])
-                if m.weights:
-                    x = (features(hist, top, m.thresholds) - np.array(m.center)) / np.array(m.scale)
-                    p = 1 / (1 + np.exp(-np.clip(x @ np.array(m.weights[:-1]) + m.weights[-1], -30, 30)))
-                    above = hist[:, m.thresholds[-1]:].sum(axis=1)
-                else:
-                    p, above = np.full(len(texts), m.prior), np.zeros(len(texts), dtype=np.int64)
+                p, windows, above = probabilities(texts, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(start, len(texts)), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32)),
-                     pa.array(hist.sum(axis=1), pa.int64()), pa.array(above, pa.int64())], names=["doc_id", "score", "predicted", "n_windows", "n_above"])
+                     pa.array(windows, pa.int64()), pa.array(above, pa.int64())], names=["doc_id", "score", "predicted", "n_windows", "n_above"])
 
     t = id_text(docs, id_col, text_col)
     return t.mapInArrow(run, f"doc_id {t.schema['doc_id'].dataType.simpleString()}, score double, predicted int, n_windows long, n_above long")
