@@ -60,10 +60,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     docs, row = with_row_ids(docs)
     side = f"entities_{uuid.uuid4().hex}"
     found = pii.find_personal_data(docs, id_col=row).where(F.size("entities") > 0).select(F.col("doc_id").alias(row), F.col("entities").alias(side))
-    text = pii.mask(F.col("text"), F.col(side))
-    changed = {"text": text, "n_chars": F.when(F.col(side).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast("long")}
-    return (docs.join(broadcast_if_small(found, f"size({side})"), row, "left")
-            .select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns]))
+    joined = docs.join(broadcast_if_small(found, f"size({side})"), row, "left").withColumn("text", pii.mask(F.col("text"), F.col(side)))
+    if "n_chars" in columns:
+        joined = joined.withColumn("n_chars", F.when(F.col(side).isNull(), F.col("n_chars")).otherwise(F.length("text")).cast("long"))
+    return joined.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
