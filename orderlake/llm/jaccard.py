@@ -8,7 +8,7 @@ Which pairs to count: a document can only link if enough of its n-grams occur
 elsewhere at all, and linked pairs share an n-gram among the first ones of
 both (prefixes). Documents with equal sets are one node. Since the answer is
 the group of each document, a group of near copies needn't be compared pair by
-pair: each round every node is compared with one pivot of an n-gram it shares,
+pair: each round every node is compared with a few pivots of n-grams it shares,
 and n-grams whose nodes are all in one component are done. What is left
 between components at the end is compared in full, so no link is lost.
 """
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -175,7 +175,7 @@ def may_link(num: int, den: int):
     return ((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & (rest >= need))
 
 
-def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, pivot_rounds: int = 8, block_words: int = 1_000_000,
+def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, pivot_rounds: int = 8, pivots: int = 8, block_words: int = 1_000_000,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of ``docs``.
 
@@ -216,13 +216,16 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, p
         if last:  # all that is left between components
             x, y = (here.select("gram", F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("at").alias(f"at_{s}"), F.col("c").alias(f"c_{s}")) for s in "ab")
             pairs = x.join(y, "gram").where("a < b and c_a <> c_b").where(may_link(num, den)).select("a", "b", "n_a", "n_b").distinct()
-        else:  # each node with the pivot that most of its n-grams name
-            pivot = here.groupBy("gram").agg(F.min_by(F.struct("node", "n", "at", "c"), F.xxhash64("node", F.lit(turn))).alias("v"))
+        else:  # each node with the pivots that most of its n-grams name
+            first = F.row_number().over(Window.partitionBy("gram").orderBy(F.xxhash64("node", F.lit(turn)), "node"))
+            pivot = (here.select("gram", "node", "n", "at", "c").withColumn("r", first).where(F.col("r") <= pivots)
+                     .select("gram", F.struct("node", "n", "at", "c").alias("v")))
             pairs = (here.join(pivot, "gram").where("c <> v.c")
                      .select(F.col("node").alias("a"), F.col("v.node").alias("b"), F.col("n").alias("n_a"), F.col("v.n").alias("n_b"),
                              F.col("at").alias("at_a"), F.col("v.at").alias("at_b")).where(may_link(num, den))
                      .groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("times"))
-                     .groupBy("a").agg(F.max_by(F.struct("b", "n_a", "n_b"), F.struct("times", "b")).alias("v")).select("a", "v.*"))
+                     .withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("times"), "b")))
+                     .where(F.col("r") <= pivots).drop("r", "times"))
         found = cut_lineage(linked(pairs, pieces, num, den), "jaccard-links")
         links = found if links is None else links.union(found)
         labels = components(links)
