@@ -62,8 +62,9 @@ def leaf_budgets(leaves: DataFrame, budget_num: int, budget_den: int, max_epochs
             .withColumn("w", weight_of("lang", lang_weights, default_weight)))
     dom = (lang.groupBy("domain").agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
            .withColumn("w", weight_of("domain", domain_weights, default_weight)))
-    total = dom.agg(F.floor(F.sum("tokens") * budget_num / budget_den).cast("long").alias("parent_budget"))
-    dom = share_out(dom.join(F.broadcast(total)).withColumn("root", F.lit(0)), ["root"], "domain")  # one row is broadcast
+    # one row per domain
+    total = F.floor(F.sum("tokens").over(Window.partitionBy("root")) * budget_num / budget_den).cast("long")
+    dom = share_out(dom.withColumn("root", F.lit(0)).withColumn("parent_budget", total), ["root"], "domain")
     lang = share_out(lang.join(dom.select("domain", F.col("budget").alias("parent_budget")), "domain"), ["domain"], "lang")
     s = share_out(s.join(lang.select("domain", "lang", F.col("budget").alias("parent_budget")), ["domain", "lang"]),
                   ["domain", "lang"], "source")
