@@ -34,10 +34,16 @@ def apply_delta(base: DataFrame, delta: DataFrame, keys: list[str], updates: dic
     return j.select(*[updates[c].alias(c) if c in updates else F.col(c) for c in base.columns])
 
 
-def insert_if_absent(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """INSERT ... IF NOT EXISTS for a batch: rows whose key is absent."""
-    new = rows.select(*base.columns).join(base.select(*keys), keys, "left_anti")
-    return base.unionByName(new)
+def insert_if_absent(base: DataFrame, rows: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
+    """INSERT ... IF NOT EXISTS for a batch.
+
+    A row is inserted if its key is absent. Of several rows with one key the
+    first by ``order_by`` (default: by all columns) is tried; the later ones find
+    the key taken.
+    """
+    cols = base.columns
+    first = (rows.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.struct(*(order_by or cols))).alias("r")).select("r.*"))
+    return base.unionByName(first.select(*cols).join(base.select(*keys), keys, "left_anti"))
 
 
 # ------------------------------------------------------------------ Payment

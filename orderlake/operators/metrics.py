@@ -17,36 +17,42 @@ from pyspark.sql import functions as F
 from .skew import running_totals
 
 
+#: Ranges of latencies that a client's values are dealt to.
+RANGES = 64
+
+
 def _r4(c):
     return F.round(c, 4).cast("decimal(18,4)")
 
 
-def cents(c):
-    """A latency in ms (two decimals) as an exact integer number of 1/100 ms."""
-    return F.round(F.col(c) * F.lit(100)).cast("long")
+def nanos(c):
+    """A latency in ms as an integer number of its millionths (nanoseconds)."""
+    return F.round(F.col(c) * F.lit(1000000)).cast("long")
 
 
-def mean_e4(total: str, n: str, scale: int = 2):
+def mean_e4(total: str, n: str, scale: int = 6):
     """Mean of values whose exact sum is ``total`` / 10**scale, rounded half
     up to four decimals with integer arithmetic only (``div``), so the result
     does not depend on the order of a floating-point sum."""
-    f = 10 ** (4 - scale)
-    q = F.expr(f"(CAST({total} AS DECIMAL(38,0)) * {f} * 2 + {n}) div ({n} * 2)")
+    f = 10 ** (scale - 4)
+    q = F.expr(f"(CAST({total} AS DECIMAL(38,0)) * 2 + {n} * {f}) div ({n} * {2 * f})")
     return F.when(F.col(n) > 0, (q.cast("decimal(20,0)") * F.lit(0.0001).cast("decimal(4,4)"))
                   ).cast("decimal(18,4)")
 
 
 def latency_histogram(events: DataFrame) -> DataFrame:
     return events.groupBy("client", "latency_ms").agg(F.count(F.lit(1)).alias("freq"),
-                                                      F.sum(cents("latency_ms")).alias("cents"))
+                                                      F.sum(nanos("latency_ms")).alias("nanos"))
 
 
 def cumulative_histogram(events: DataFrame) -> DataFrame:
-    """(client, latency_ms, freq, cents, cum): cumulative count per client in
-    latency order, range-split on the latency itself so a busy client is
-    spread over many tasks."""
-    h = latency_histogram(events).withColumn("__c", cents("latency_ms"))
-    return running_totals(h, ["client"], ["latency_ms"], {"cum": F.col("freq")}, range_col="__c")
+    """(client, latency_ms, freq, nanos, cum): cumulative count per client in
+    latency order. Split into ranges at quantiles of all latencies, so a busy
+    client is spread over many tasks whatever its values are."""
+    cuts = sorted(set(events.select("latency_ms").approxQuantile("latency_ms", [k / RANGES for k in range(1, RANGES)], 0.25 / RANGES)))
+    above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("latency_ms"))) if cuts else F.lit(0)
+    h = latency_histogram(events).withColumn("__c", above)
+    return running_totals(h, ["client"], ["latency_ms"], {"cum": F.col("freq")}, range_col="__c", width=1)
 
 
 def _value_at(rank_col: str):
@@ -65,7 +71,7 @@ def client_latency_stats(events: DataFrame) -> DataFrame:
     cumulative histogram, so no task holds a client's values.
     """
     cum = cumulative_histogram(events)
-    tot = cum.groupBy("client").agg(F.sum("freq").alias("n"), F.sum("cents").alias("s"))
+    tot = cum.groupBy("client").agg(F.sum("freq").alias("n"), F.sum("nanos").alias("s"))
     cols = []
     for p in (50, 95, 99):
         h100 = (F.col("n") - 1) * F.lit(p)
@@ -106,7 +112,7 @@ def client_latency_stats_exclusive(events: DataFrame) -> DataFrame:
     """
     cum = cumulative_histogram(events)
     tot = cum.groupBy("client").agg(F.sum("freq").alias("n"),
-                                  F.sum("cents").alias("s"))
+                                  F.sum("nanos").alias("s"))
     j95, d95 = _exclusive_ranks(F.col("n"), 95)
     j99, d99 = _exclusive_ranks(F.col("n"), 99)
     ranks = tot.select("client", "n", "s",
@@ -144,15 +150,15 @@ def client_throughput(events: DataFrame) -> DataFrame:
     g = events.groupBy("client").agg(
         F.count(F.lit(1)).alias("n_txn"),
         F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts")).alias("elapsed_us"),
-        F.sum(cents("latency_ms")).alias("cents"))
+        F.sum(nanos("latency_ms")).alias("nanos"))
     # Exact decimals: elapsed in microseconds -> seconds (6 places), summed
-    # latency in 1/100 ms -> seconds (5 places).
+    # latency in nanoseconds -> seconds (9 places).
     elapsed = (F.col("elapsed_us").cast("decimal(20,0)") * F.lit(0.000001).cast("decimal(6,6)")).cast("decimal(20,6)")
-    lat = (F.col("cents").cast("decimal(20,0)") * F.lit(0.00001).cast("decimal(5,5)")).cast("decimal(20,5)")
+    lat = (F.col("nanos").cast("decimal(20,0)") * F.lit(0.000000001).cast("decimal(9,9)")).cast("decimal(29,9)")
     return g.select("client", "n_txn", elapsed.alias("elapsed_s"), lat.alias("latency_s"),
                     _r4(F.try_divide(F.col("n_txn"), elapsed.cast("double"))).alias("txn_per_s"),
                     _r4(F.try_divide(F.col("n_txn"), lat.cast("double"))).alias("txn_per_latency_s"),
-                    mean_e4("cents", "n_txn").alias("mean_ms"))
+                    mean_e4("nanos", "n_txn").alias("mean_ms"))
 
 
 def throughput_summary(per_client: DataFrame) -> DataFrame:

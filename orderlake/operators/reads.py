@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from ..functions.scalar import full_name
 from ..session import cut_lineage
 from . import derived
-from .skew import hot_keys, salted_join
+from .skew import grid_join
 
 # ---------------------------------------------------------------- Order-Status
 
@@ -101,22 +101,21 @@ def stock_level(requests: DataFrame, districts: DataFrame, order_lines: DataFram
     """Items of the last L orders whose home stock is below T (T-S).
 
     ``count_lines=False`` counts distinct items; ``True`` counts joined lines,
-    an item on two lines counting twice (V4). Requests with no such item
-    report 0.
+    an item on two lines counting twice (V4). Each distinct (w, d, T, L) is
+    computed once; every request row, also a repeated one, gets its own
+    answer. Requests with no such item report 0.
     """
-    req = requests.select("w_id", "d_id", "threshold", "last_l")
-    lines = _last_l_lines(req, districts, order_lines)
+    keys = ["w_id", "d_id", "threshold", "last_l"]
+    lines = _last_l_lines(requests.select(*keys).distinct(), districts, order_lines)
     if not count_lines:
-        lines = lines.select("w_id", "d_id", "threshold", "last_l", "ol_i_id").distinct()
+        lines = lines.select(*keys, "ol_i_id").distinct()
     s = stocks.select(F.col("s_w_id").alias("w_id"), F.col("s_i_id").alias("ol_i_id"), "s_quantity")
     low = (lines.join(s, ["w_id", "ol_i_id"], "inner")
                 .filter(F.col("s_quantity") < F.col("threshold"))
-                .groupBy("w_id", "d_id", "threshold", "last_l")
-                .agg(F.count(F.lit(1)).alias("n")))
+                .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
     out = "low_stock_lines" if count_lines else "low_stock_count"
-    return (req.join(low, ["w_id", "d_id", "threshold", "last_l"], "left")
-               .select("w_id", "d_id", "threshold", "last_l",
-                       F.coalesce(F.col("n"), F.lit(0)).cast("long").alias(out)))
+    return (requests.join(low, keys, "left")
+                    .select(*requests.columns, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias(out)))
 
 
 # --------------------------------------------------------------- Popular-Item
@@ -135,7 +134,7 @@ def popular_items(requests: DataFrame, districts: DataFrame, orders: DataFrame,
                   order_lines: DataFrame, items: DataFrame, customers: DataFrame,
                   mode: str = "max") -> DataFrame:
     """Popular lines of the last L orders of each district, with names (T-I)."""
-    req = requests.select("w_id", "d_id", "last_l")
+    req = requests.select("w_id", "d_id", "last_l").distinct()
     o = last_l_orders(req, districts, orders)
     pl = _popular_lines_of(o, order_lines, mode).select(
         F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"),
@@ -145,8 +144,9 @@ def popular_items(requests: DataFrame, districts: DataFrame, orders: DataFrame,
     it = items.select("i_id", "i_name")
     j = (o.join(pl, ["w_id", "d_id", "o_id"], "inner")
           .join(c, ["w_id", "d_id", "c_id"], "inner")
-          .join(it, "i_id", "inner"))
-    return j.select("w_id", "d_id", "last_l", "o_id", "o_entry_d", "c_first", "c_middle", "c_last",
+          .join(it, "i_id", "inner")
+          .join(requests, ["w_id", "d_id", "last_l"], "inner"))  # each request its own answer
+    return j.select(*requests.columns, "o_id", "o_entry_d", "c_first", "c_middle", "c_last",
                     "i_id", "i_name", "ol_quantity")
 
 
@@ -159,23 +159,22 @@ def popular_items_pct(requests: DataFrame, districts: DataFrame, orders: DataFra
     the requested L (V2); ``count='orders'`` counts an order once, ``'lines'``
     counts every popular line (V3).
     """
-    req = requests.select("w_id", "d_id", "last_l")
-    o = last_l_orders(req, districts, orders).select("w_id", "d_id", "last_l", "o_id")
-    found = o.groupBy("w_id", "d_id", "last_l").agg(F.count(F.lit(1)).alias("n_found"))
+    keys = ["w_id", "d_id", "last_l"]
+    # The selected orders feed three branches: computed once per distinct request.
+    o = cut_lineage(last_l_orders(requests.select(*keys).distinct(), districts, orders).select(*keys, "o_id"), "last-l-orders")
+    found = o.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_found"))
     pl = _popular_lines_of(o, order_lines, mode).select(
         F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"),
         F.col("ol_o_id").alias("o_id"), F.col("ol_i_id").alias("i_id"))
     hits = o.join(pl, ["w_id", "d_id", "o_id"], "inner")
     if count == "orders":
         hits = hits.distinct()
-    per_item = hits.groupBy("w_id", "d_id", "last_l", "i_id").agg(F.count(F.lit(1)).alias("n_orders"))
+    per_item = hits.groupBy(*keys, "i_id").agg(F.count(F.lit(1)).alias("n_orders"))
     it = items.select("i_id", "i_name")
-    j = per_item.join(found, ["w_id", "d_id", "last_l"], "inner").join(it, "i_id", "inner")
+    j = per_item.join(found, keys, "inner").join(it, "i_id", "inner").join(requests, keys, "inner")
     den = F.col("n_found") if denominator == "found" else F.col("last_l")
     pct = F.bround(F.col("n_orders") * F.lit(100.0) / den, 2).cast("decimal(6,2)")
-    # Most popular first within each request (O6); a distributed range sort.
-    return (j.select("w_id", "d_id", "last_l", "i_id", "i_name", "n_orders", "n_found", pct.alias("pct"))
-             .orderBy("w_id", "d_id", "last_l", F.col("n_orders").desc(), "i_id"))
+    return j.select(*requests.columns, "i_id", "i_name", "n_orders", "n_found", pct.alias("pct"))
 
 
 # ---------------------------------------------------------------- Top-Balance
@@ -197,10 +196,14 @@ def top_balance(customers: DataFrame, districts: DataFrame, warehouses: DataFram
         W.orderBy(F.col("c_balance").desc_nulls_last(), "c_w_id", "c_d_id", "c_id")).cast("int"))
     d = districts.select("d_w_id", "d_id", "d_name")
     w = warehouses.select("w_id", "w_name")
-    # ``ranked`` has at most k rows: a proven bound, so it is the broadcast side.
-    j = (F.broadcast(ranked)
-         .join(d, (F.col("c_w_id") == d.d_w_id) & (F.col("c_d_id") == d.d_id), "left")
-         .join(w, F.col("c_w_id") == w.w_id, "left"))
+    # ``ranked`` has at most k rows: it is broadcast to cut each dimension to
+    # at most k rows, which in turn are broadcast (an outer join can't broadcast
+    # the side it preserves).
+    few = F.broadcast(ranked.select("c_w_id", "c_d_id").distinct())
+    d = d.join(few, (d.d_w_id == few.c_w_id) & (d.d_id == few.c_d_id), "left_semi")
+    w = w.join(few, w.w_id == few.c_w_id, "left_semi")
+    j = (ranked.join(F.broadcast(d), (ranked.c_w_id == d.d_w_id) & (ranked.c_d_id == d.d_id), "left")
+         .join(F.broadcast(w), ranked.c_w_id == w.w_id, "left"))
     return j.select("rank", "c_w_id", "c_d_id", "c_id", "c_first", "c_middle", "c_last",
                     full_name("c_first", "c_middle", "c_last").alias("customer_name"),
                     "c_balance", "w_name", "d_name")
@@ -268,56 +271,48 @@ def item_pairs(arrays: DataFrame, keep_order: bool = False) -> DataFrame:
     return p.select(*cols, "p.i1_id", "p.i2_id").distinct()
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """The pair table feeds the hot-key count and both join sides; it is
-    written once as a parquet table in the shared checkpoint folder, so it
-    is neither recomputed three times nor rebuilt from scratch when an
-    executor is lost, and the hot-key count reads only the item columns."""
-    return cut_lineage(df, "item-pairs")
-
-
-def _pair_matches(pairs: DataFrame, requests: DataFrame | None, keep_order: bool,
-                  salts: int, hot_threshold: int) -> DataFrame:
+def _pair_matches(pairs: DataFrame, requests: DataFrame | None, keep_order: bool, cell_rows: int) -> DataFrame:
     """Join item pairs of requested customers with item pairs of everyone,
     keeping only customers in another warehouse (J7, F4).
 
-    The join is on (i1, i2). A pair bought by very many customers is a hot
-    key. Hot keys are counted on the full pair table ("theirs", which
-    contains every requesting side); that side is split over ``salts`` tasks
-    and the requesting side ("mine") is copied once per salt for hot keys.
+    The join is on (i1, i2), and both sides of a pair are split: with m and n
+    rows it becomes a grid of ceil(m / cell_rows) x ceil(n / cell_rows) cells,
+    so no task emits more than about cell_rows^2 rows of one pair, whatever
+    the counts (see ``skew.grid_join``).
     """
     ks = ["w_id", "d_id", "c_id"] + (["o_id"] if keep_order else [])
     mine = pairs if requests is None else pairs.join(
         requests.select("w_id", "d_id", "c_id").distinct(), ["w_id", "d_id", "c_id"], "left_semi")
-    theirs = pairs.select(*[F.col(c).alias(f"r_{c}") for c in ks], "i1_id", "i2_id")
-    hot = hot_keys(pairs, ["i1_id", "i2_id"], hot_threshold)
-    j = salted_join(theirs, mine, ["i1_id", "i2_id"], salts=salts, left_salt_col="r_c_id", hot=hot)
-    return j.filter(F.col("w_id") != F.col("r_w_id"))
+    mine = cut_lineage(mine, "asked-pairs")
+    # only pairs that a requested customer bought can match
+    theirs = (pairs.join(mine.select("i1_id", "i2_id").distinct(), ["i1_id", "i2_id"], "left_semi")
+              .select(*[F.col(c).alias(f"r_{c}") for c in ks], "i1_id", "i2_id"))
+    return grid_join(mine, theirs, ["i1_id", "i2_id"], cell_rows).filter(F.col("w_id") != F.col("r_w_id"))
 
 
 def related_customers(orders: DataFrame, order_lines: DataFrame, requests: DataFrame | None = None,
-                      salts: int = 32, hot_threshold: int = 1_000_000) -> DataFrame:
+                      cell_rows: int = 1_000) -> DataFrame:
     """Customers of other warehouses with an order sharing at least two
     distinct items with an order of the requested customer (T-R).
 
-    Output: one row per (customer, related customer), both directions.
+    Output: one row per (requested customer, related customer).
     """
-    pairs = _checkpointed(item_pairs(order_item_arrays(orders, order_lines)))
-    m = _pair_matches(pairs, requests, False, salts, hot_threshold)
+    pairs = cut_lineage(item_pairs(order_item_arrays(orders, order_lines)), "item-pairs")
+    m = _pair_matches(pairs, requests, False, cell_rows)
     return m.select("w_id", "d_id", "c_id", F.col("r_w_id"), F.col("r_d_id"), F.col("r_c_id")).distinct()
 
 
 def order_overlaps(orders: DataFrame, order_lines: DataFrame, requests: DataFrame | None = None,
-                   salts: int = 32, hot_threshold: int = 1_000_000) -> DataFrame:
-    """Pairs of orders in different warehouses sharing at least two distinct
-    items, with the number of shared items (J19, U3).
+                   cell_rows: int = 1_000) -> DataFrame:
+    """Orders of the requested customers and orders in other warehouses that
+    share at least two distinct items, with the number of shared items (J19, U3).
 
     Candidates come from the pair join (every qualifying order pair shares a
     pair of items); the overlap is then counted from the matched pairs: the
     distinct items appearing in them.
     """
-    pairs = _checkpointed(item_pairs(order_item_arrays(orders, order_lines), keep_order=True))
-    m = _pair_matches(pairs, requests, True, salts, hot_threshold)
+    pairs = cut_lineage(item_pairs(order_item_arrays(orders, order_lines), keep_order=True), "item-pairs")
+    m = _pair_matches(pairs, requests, True, cell_rows)
     ks = ["w_id", "d_id", "c_id", "o_id", "r_w_id", "r_d_id", "r_c_id", "r_o_id"]
     return (m.select(*ks, F.explode(F.array("i1_id", "i2_id")).alias("i_id"))
              .groupBy(*ks).agg(F.count_distinct("i_id").alias("overlap")))

@@ -73,61 +73,28 @@ def sequence_numbers(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     return r.withColumn(out, F.col(out).cast("long"))
 
 
-# Fixed bound on the broadcast hot-key list: the hottest keys only.
-MAX_HOT_KEYS = 10_000
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """The (at most ``max_keys``) hottest keys with more than ``threshold`` rows.
-
-    The list has a fixed row bound, so it may be broadcast whatever the data
-    size. Keys beyond the bound are still joined exactly, only without the
-    extra split (AQE's skew-join split still applies to them).
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold)
-    return counts.orderBy(F.col("__n").desc(), *keys).limit(max_keys).select(*keys)
-
-
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                salts: int = 32, threshold: int = 1_000_000, left_salt_col: str | None = None,
-                hot: DataFrame | None = None) -> DataFrame:
-    """Equi-join that spreads keys with more than ``threshold`` rows.
-
-    For a hot key the left rows are split into ``salts`` groups (by a hash of
-    ``left_salt_col`` or of the whole row) and the right rows are copied once
-    per salt; other keys keep salt 0 and are not copied. Each (key, salt)
-    pair then goes to its own task. The hot-key list has a fixed row bound
-    (``hot_keys``) and is broadcast.
+def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cell_rows: int = 1_000) -> DataFrame:
+    """Inner equi-join whose work per task is bounded by its output.
+
+    For each key the rows of both sides are counted; with m and n rows the key
+    gets a grid of ceil(m / cell_rows) rows and ceil(n / cell_rows) columns. A
+    left row falls into one grid row by its hash and is copied to all columns, a
+    right row the other way round, and the join is on (keys, grid row, column).
+    Every matching pair meets in exactly one cell, so the result is the plain
+    join's; a key with millions of rows on both sides is spread over its output.
+    Keys of one cell, the usual case, are not copied. The grid is joined to both
+    sides by key. Columns other than the keys must differ between the sides.
     """
     keys = list(keys)
-    if hot is None:
-        hot = hot_keys(left, keys, threshold)
-    hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    salt_src = F.col(left_salt_col) if left_salt_col else F.hash(*[F.col(c) for c in left.columns])
-    lft = (left.join(hot, on=keys, how="left")
-               .withColumn("__salt", F.when(F.col("__hot"), F.pmod(salt_src, F.lit(salts))).otherwise(0))
-               .drop("__hot"))
-    rgt = (right.join(hot, on=keys, how="left")
-                .withColumn("__salt", F.explode(
-                    F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                     .otherwise(F.array(F.lit(0)))))
-                .drop("__hot"))
-    return lft.join(rgt, on=[*keys, "__salt"], how=how).drop("__salt")
-
-
-def running_max(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str,
-                out: str, range_col: str | None = None, width: int = DEFAULT_RANGE_WIDTH) -> DataFrame:
-    """Running max of ``value`` per group (NULLs ignored), e.g. to carry the
-    last header position forward. Same range-split plan as ``running_totals``:
-    per-range maxima, a prefix max over ranges, a local running max."""
-    keys = list(keys)
-    rc = range_col or order_cols[0]
-    rng = "__range"
-    d = df.withColumn(rng, F.floor(F.col(rc) / F.lit(width)).cast("long"))
-    totals = d.groupBy(*keys, rng).agg(F.max(value).alias("__t"))
-    wo = W.partitionBy(*keys).orderBy(rng).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*keys, rng, F.max("__t").over(wo).alias("__o"))
-    wl = W.partitionBy(*keys, rng).orderBy(*order_cols).rowsBetween(W.unboundedPreceding, 0)
-    local = d.select(*df.columns, rng, F.max(value).over(wl).alias("__l"))
-    j = local.join(offsets, on=[*keys, rng], how="inner")
-    return j.select(*df.columns, F.greatest(F.col("__o"), F.col("__l")).alias(out))
+    count = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias(name))
+    grid = count(left, "__rows").join(count(right, "__cols"), keys, "inner")
+
+    def deal(df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        g = df.join(grid, keys, "inner")
+        place = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(own_n)).cast("int")
+        return (g.withColumn(own, place).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
+                .drop("__rows", "__cols"))
+
+    a = deal(left, "__r", "__rows", "__c", "__cols")
+    b = deal(right, "__c", "__cols", "__r", "__rows")
+    return a.join(b, [*keys, "__r", "__c"], "inner").drop("__r", "__c")

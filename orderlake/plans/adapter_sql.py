@@ -9,6 +9,9 @@ _DIST = "\n".join(
     for k in range(1, 11)
 )
 
+# Orders that arrive as New-Order requests.
+_HELD_BACK = " WHERE o_orderkey % 10 <> 0"
+
 ADAPTER_SQL = f"""
 WITH
 warehouses AS (
@@ -129,16 +132,18 @@ new_order_line_requests AS (
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   WHERE l.l_orderkey IN (SELECT seq FROM new_order_requests)),
 delivery_requests AS (
-  SELECT w_id AS seq, w_id, CAST(w_id % 10 + 1 AS INTEGER) AS carrier_id,
+  SELECT w_id * 10 + j AS seq, w_id, CAST((w_id + j) % 10 + 1 AS INTEGER) AS carrier_id,
     TIMESTAMP '2024-02-01 00:00:00' AS delivery_d
-  FROM warehouses),
+  FROM warehouses JOIN (VALUES (0), (1), (2)) v(j) ON v.j <= w_id % 3),
 customer_requests AS (
-  SELECT c_w_id AS w_id, c_d_id AS d_id, c_id FROM customers),
+  SELECT c_id AS seq, c_w_id AS w_id, c_d_id AS d_id, c_id FROM customers),
+related_requests AS (SELECT * FROM customer_requests WHERE c_id % 100 = 0),
 stock_level_requests AS (
-  SELECT d_w_id AS w_id, d_id, CAST(40 AS INTEGER) AS threshold, CAST(20 AS INTEGER) AS last_l
-  FROM districts),
+  SELECT (d_w_id * 20 + d_id) * 2 + j AS seq, d_w_id AS w_id, d_id, CAST(40 AS INTEGER) AS threshold, CAST(20 AS INTEGER) AS last_l
+  FROM districts JOIN (VALUES (0), (1)) v(j) ON v.j <= (d_w_id + d_id) % 2),
 popular_requests AS (
-  SELECT d_w_id AS w_id, d_id, CAST(20 AS INTEGER) AS last_l FROM districts),
+  SELECT (d_w_id * 20 + d_id) * 2 + j AS seq, d_w_id AS w_id, d_id, CAST(20 AS INTEGER) AS last_l
+  FROM districts JOIN (VALUES (0), (1)) v(j) ON v.j <= (d_w_id + d_id) % 2),
 transaction_events AS (
   SELECT CAST(user_id % 20 AS INTEGER) AS client, event_id AS seq, ts,
     event_type AS txn_type, value AS latency_ms
@@ -146,13 +151,15 @@ transaction_events AS (
 """
 
 
-def with_adapter(body: str) -> str:
-    """Prefix an oracle query body with the adapter CTEs.
+def with_adapter(body: str, split: bool = False) -> str:
+    """Prefix an oracle query body with the adapter CTEs; ``split`` holds the
+    orders that arrive as requests back from the base tables.
 
     ``body`` may start with ``, name AS (...)`` to add more CTEs, followed by
     the final SELECT.
     """
     body = body.strip()
+    adapter = ADAPTER_SQL if split else ADAPTER_SQL.replace(_HELD_BACK, "")
     if body.startswith(","):
-        return ADAPTER_SQL + body
-    return ADAPTER_SQL + "\n" + body
+        return adapter + body
+    return adapter + "\n" + body

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from ..operators import audit, changes
 from .derived_q import _db_state_sql
 from ..session import cut_lineage
@@ -146,8 +148,8 @@ def _new_lines(t):
                                    t.items, t.stocks)
 
 
-register("new_order_headers", _NEW_ORDER + "SELECT * FROM hdr")(_headers)
-register("new_order_lines", _NEW_ORDER + "SELECT * FROM nl")(_new_lines)
+register("new_order_headers", _NEW_ORDER + "SELECT * FROM hdr", split=True)(_headers)
+register("new_order_lines", _NEW_ORDER + "SELECT * FROM nl", split=True)(_new_lines)
 
 register("new_order_stock", _NEW_ORDER + """
 , su AS (SELECT supply_w_id AS s_w_id, i_id AS s_i_id, sum(quantity) AS used, count(*) AS n,
@@ -162,7 +164,7 @@ SELECT st.* EXCLUDE (s_quantity, s_ytd, s_order_cnt, s_remote_cnt, used, n, remo
   CAST(s_order_cnt + n AS INTEGER) AS s_order_cnt,
   CAST(s_remote_cnt + remote AS INTEGER) AS s_remote_cnt
 FROM st
-""")(lambda t: changes.new_order_stock(t.stocks, t.new_order_line_requests, t.new_order_requests, t.items))
+""", split=True)(lambda t: changes.new_order_stock(t.stocks, t.new_order_line_requests, t.new_order_requests, t.items))
 
 register("new_order_stock_trace", _NEW_ORDER + """
 SELECT seq, line_no, supply_w_id AS s_w_id, i_id AS s_i_id, quantity,
@@ -170,14 +172,14 @@ SELECT seq, line_no, supply_w_id AS s_w_id, i_id AS s_i_id, quantity,
        AS INTEGER) AS s_quantity_after
 FROM (SELECT *, sum(quantity) OVER (PARTITION BY supply_w_id, i_id ORDER BY seq, line_no
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM chk) x
-""")(lambda t: changes.new_order_stock_trace(t.new_order_line_requests, t.new_order_requests,
+""", split=True)(lambda t: changes.new_order_stock_trace(t.new_order_line_requests, t.new_order_requests,
                                              t.items, t.stocks))
 
 register("new_order_districts", """
 , n AS (SELECT w_id, d_id, count(*) AS n FROM new_order_requests GROUP BY w_id, d_id)
 SELECT d.* EXCLUDE (d_next_o_id), CAST(d.d_next_o_id + coalesce(n.n, 0) AS INTEGER) AS d_next_o_id
 FROM districts d LEFT JOIN n ON n.w_id = d.d_w_id AND n.d_id = d.d_id
-""")(lambda t: changes.new_order_districts(t.districts, t.new_order_requests))
+""", split=True)(lambda t: changes.new_order_districts(t.districts, t.new_order_requests))
 
 register("new_order_totals", _NEW_ORDER + """
 , amt AS (SELECT ol_w_id, ol_d_id, ol_o_id, CAST(sum(ol_amount) AS DECIMAL(18,2)) AS amount
@@ -192,7 +194,7 @@ LEFT JOIN amt a ON a.ol_w_id = h.o_w_id AND a.ol_d_id = h.o_d_id AND a.ol_o_id =
 JOIN warehouses w ON w.w_id = h.o_w_id
 JOIN districts d ON d.d_w_id = h.o_w_id AND d.d_id = h.o_d_id
 JOIN customers c ON c.c_w_id = h.o_w_id AND c.c_d_id = h.o_d_id AND c.c_id = h.o_c_id
-""")(lambda t: changes.new_order_totals(_headers(t), _new_lines(t), t.warehouses, t.districts, t.customers))
+""", split=True)(lambda t: changes.new_order_totals(_headers(t), _new_lines(t), t.warehouses, t.districts, t.customers))
 
 register("new_order_popular_lines", _NEW_ORDER + """
 SELECT h.seq, nl.ol_w_id, nl.ol_d_id, nl.ol_o_id, nl.ol_number, nl.ol_i_id, it.i_name, nl.ol_quantity
@@ -201,7 +203,17 @@ JOIN hdr h ON h.o_w_id = nl.ol_w_id AND h.o_d_id = nl.ol_d_id AND h.o_id = nl.ol
 JOIN items it ON it.i_id = nl.ol_i_id
 WHERE nl.ol_quantity = (SELECT max(y.ol_quantity) FROM nl y
                         WHERE y.ol_w_id = nl.ol_w_id AND y.ol_d_id = nl.ol_d_id AND y.ol_o_id = nl.ol_o_id)
-""")(lambda t: changes.new_order_popular_lines(_headers(t), _new_lines(t), t.items))
+""", split=True)(lambda t: changes.new_order_popular_lines(_headers(t), _new_lines(t), t.items))
+
+def _insert_with_conflicts(t):
+    """Every new order twice (the second one later and different) and every
+    present order once more: only the first new ones get in."""
+    h = _headers(t).select("seq", *t.orders.columns)
+    again = h.withColumn("seq", F.col("seq") + 10**12).withColumn("o_ol_cnt", F.col("o_ol_cnt") + 1)
+    present = t.orders.select(F.lit(-1).cast("long").alias("seq"), "*").withColumn("o_carrier_id", F.lit(99))
+    rows = h.unionByName(again).unionByName(present.select(*h.columns))
+    return changes.insert_if_absent(t.orders, rows, ["o_w_id", "o_d_id", "o_id"], ["seq"])
+
 
 register("insert_if_absent", _NEW_ORDER + """
 SELECT * FROM w_orders
@@ -210,7 +222,7 @@ SELECT h.o_w_id, h.o_d_id, h.o_id, h.o_c_id, h.o_carrier_id, h.o_ol_cnt, h.o_all
 FROM hdr h
 WHERE NOT EXISTS (SELECT 1 FROM w_orders o
                   WHERE o.o_w_id = h.o_w_id AND o.o_d_id = h.o_d_id AND o.o_id = h.o_id)
-""")(lambda t: changes.insert_if_absent(t.orders, _headers(t), ["o_w_id", "o_d_id", "o_id"]))
+""", split=True)(lambda t: _insert_with_conflicts(t))
 
 # ------------------------------------------------------------- whole batch
 
@@ -266,7 +278,7 @@ st2 AS (SELECT s.s_quantity - coalesce(su.used, 0) + 100 * CASE WHEN 10 - (s.s_q
 """
 
 register("db_state_after_batch", _NEW_ORDER + _BATCH_SQL + _db_state_sql(
-    "wh2", "di2", "cu2", "ord3", "lines2", "st2"))(_batch_state)
+    "wh2", "di2", "cu2", "ord3", "lines2", "st2"), split=True)(_batch_state)
 
 
 def _log_batch_state(t):
@@ -292,4 +304,4 @@ _LOG_NEW_ORDER = _NEW_ORDER.replace(
     "row_number() OVER (PARTITION BY r.w_id, r.d_id ORDER BY r.seq % 20, r.seq)")
 
 register("db_state_after_script_batch", _LOG_NEW_ORDER + _BATCH_SQL + _db_state_sql(
-    "wh2", "di2", "cu2", "ord3", "lines2", "st2"))(_log_batch_state)
+    "wh2", "di2", "cu2", "ord3", "lines2", "st2"), split=True)(_log_batch_state)

@@ -24,27 +24,37 @@ def _scratch(t, name):
 # --------------------------------------------------------------- CSV ingest
 
 
+def _measure(field, sql: bool) -> str:
+    """What is summed of a column: its numbers, the lengths of its texts, its times in seconds."""
+    kind, c = field.dataType.simpleString(), field.name
+    if kind == "string":
+        return f"length({c})"
+    if kind == "timestamp_ntz":
+        return f"epoch_us({c}) // 1000000" if sql else f"timestampdiff(SECOND, timestamp_ntz '1970-01-01', {c})"
+    return c
+
+
 def _ingest(t):
+    """All seven tables written as CSV without a header and read back: rows,
+    values and sums of every column."""
     base = _scratch(t, "ingest")
-    parts = []
+    out = None
     for name, schema in BASE_SCHEMAS.items():
         path = f"{base}/{name}"
         csv_io.write_csv(t.base(name).select(*schema.fieldNames()), path, header=False)
         df = csv_io.read_csv(t.spark, path, schema, header=False)
-        k = PRIMARY_KEYS[name][-1]
-        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"),
-                            F.sum(F.col(k).cast("long")).alias("key_sum"))
-                       .select(F.lit(name).alias("table_name"), "n_rows", "key_sum"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        per = [F.struct(F.lit(f.name).alias("column_name"), F.count(f.name).alias("n_values"),
+                        F.sum(F.expr(_measure(f, False)).cast("decimal(24,4)")).cast("decimal(34,4)").alias("total")) for f in schema]
+        part = (df.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*per).alias("c"))
+                  .select(F.lit(name).alias("table_name"), "n_rows", F.explode("c").alias("c")).select("table_name", "n_rows", "c.*"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
 _INGEST_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(sum({PRIMARY_KEYS[name][-1]}) AS BIGINT) AS key_sum "
-    f"FROM {'w_orders' if name == 'orders' else name}"
-    for name in BASE_SCHEMAS)
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows, '{f.name}' AS column_name, count({f.name}) AS n_values, "
+    f"CAST(sum(CAST({_measure(f, True)} AS DECIMAL(24,4))) AS DECIMAL(34,4)) AS total FROM {'w_orders' if name == 'orders' else name}"
+    for name, schema in BASE_SCHEMAS.items() for f in schema)
 
 register("ingest_base_tables", _INGEST_SQL)(_ingest)
 
@@ -66,11 +76,32 @@ def _null_token(t):
 
 register("null_token_load", "SELECT * FROM w_orders")(_null_token)
 
+
+def _csv_rejects(t):
+    """Orders as CSV, of which some lines have a text for a number or end early."""
+    path = _scratch(t, "csv-rejects")
+    c = [F.coalesce(F.col(f).cast("string"), F.lit("null")) for f in ORDER.fieldNames()]
+    line = (F.when(F.col("o_c_id") % 7 == 0, F.concat_ws(",", *c[:2], F.lit("x"), *c[3:]))
+             .when(F.col("o_c_id") % 7 == 1, F.concat_ws(",", *c[:4])).otherwise(F.concat_ws(",", *c)))
+    t.orders.select(line.alias("value")).write.mode("overwrite").text(path)
+    rows, rejects = csv_io.read_csv_checked(t.spark, path, ORDER)
+    return (rows.agg(F.lit("row").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum(F.col("o_id").cast("long")).alias("total"))
+            .unionByName(rejects.groupBy(F.when(F.size(F.split("line", ",")) == 4, "short").otherwise("value").alias("kind"))
+                         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.split("line", ",")[1]).cast("long")).alias("total"))))
+
+
+register("csv_rejects", """
+SELECT 'row' AS kind, count(*) AS n, CAST(sum(o_id) AS BIGINT) AS total FROM w_orders WHERE o_c_id % 7 > 1
+UNION ALL
+SELECT CASE WHEN o_c_id % 7 = 1 THEN 'short' ELSE 'value' END, count(*), CAST(sum(length(CAST(o_d_id AS VARCHAR))) AS BIGINT)
+FROM w_orders WHERE o_c_id % 7 <= 1 GROUP BY 1
+""")(_csv_rejects)
+
 # ---------------------------------------------------------- transaction log
 
 
 def _script_dir(t):
-    key = (id(t.spark), t.sf_dir)
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, t.split)
     d = _SCRIPTS.get(key)
     if d is None:
         d = txlog.write_scripts(t, _scratch(t, "scripts"))
@@ -213,7 +244,7 @@ WHERE ol.ol_delivery_d IS NOT NULL
 
 register("client_latency_stats", """
 SELECT client, count(*) AS n_txn,
-  CAST(CAST((sum(CAST(round(latency_ms * 100) AS BIGINT)) * 100 * 2 + count(*)) // (2 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms,
+  CAST(CAST((sum(CAST(round(latency_ms * 1000000) AS BIGINT)) * 2 + count(*) * 100) // (200 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms,
   CAST(round(quantile_cont(latency_ms, 0.5), 4) AS DECIMAL(18,4)) AS median_ms,
   CAST(round(quantile_cont(latency_ms, 0.95), 4) AS DECIMAL(18,4)) AS p95_ms,
   CAST(round(quantile_cont(latency_ms, 0.99), 4) AS DECIMAL(18,4)) AS p99_ms
@@ -236,11 +267,11 @@ x AS (
     95 * (k.n + 1) - 100 * k.j95 AS d95, 99 * (k.n + 1) - 100 * k.j99 AS d99,
     max(CASE WHEN r.rk = k.j95 THEN r.v END) AS a95, max(CASE WHEN r.rk = k.j95 + 1 THEN r.v END) AS b95,
     max(CASE WHEN r.rk = k.j99 THEN r.v END) AS a99, max(CASE WHEN r.rk = k.j99 + 1 THEN r.v END) AS b99,
-    sum(CAST(round(r.v * 100) AS BIGINT)) AS s, median(r.v) AS med
+    sum(CAST(round(r.v * 1000000) AS BIGINT)) AS s, median(r.v) AS med
   FROM k JOIN r ON r.client = k.client
   GROUP BY k.client, k.n, k.j95, k.j99)
 SELECT client, n AS n_txn,
-  CAST(CAST((s * 100 * 2 + n) // (2 * n) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms,
+  CAST(CAST((s * 2 + n * 100) // (200 * n) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms,
   CAST(round(med, 4) AS DECIMAL(18,4)) AS median_ms,
   CAST(round((a95 * (100 - d95) + b95 * d95) / 100, 4) AS DECIMAL(18,4)) AS p95_ms,
   CAST(round((a99 * (100 - d99) + b99 * d99) / 100, 4) AS DECIMAL(18,4)) AS p99_ms
@@ -263,14 +294,14 @@ _THROUGHPUT_SQL = """
   SELECT client, count(*) AS n_txn,
     CAST(CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DECIMAL(20,0)) * CAST(0.000001 AS DECIMAL(6,6))
          AS DECIMAL(20,6)) AS elapsed_s,
-    CAST(CAST(sum(CAST(round(latency_ms * 100) AS BIGINT)) AS DECIMAL(20,0)) * CAST(0.00001 AS DECIMAL(5,5)) AS DECIMAL(20,5)) AS latency_s,
-    sum(CAST(round(latency_ms * 100) AS BIGINT)) AS cents
+    CAST(CAST(sum(CAST(round(latency_ms * 1000000) AS BIGINT)) AS DECIMAL(20,0)) * CAST(0.000000001 AS DECIMAL(9,9)) AS DECIMAL(29,9)) AS latency_s,
+    sum(CAST(round(latency_ms * 1000000) AS BIGINT)) AS nanos
   FROM transaction_events GROUP BY client),
 tp AS (
   SELECT client, n_txn, elapsed_s, latency_s,
     CAST(round(n_txn / CAST(elapsed_s AS DOUBLE), 4) AS DECIMAL(18,4)) AS txn_per_s,
     CAST(round(n_txn / CAST(latency_s AS DOUBLE), 4) AS DECIMAL(18,4)) AS txn_per_latency_s,
-    CAST(CAST((cents * 100 * 2 + n_txn) // (2 * n_txn) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms
+    CAST(CAST((nanos * 2 + n_txn * 100) // (200 * n_txn) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms
   FROM g)
 """
 
@@ -295,7 +326,7 @@ FROM payment_requests GROUP BY w_id, d_id, c_id
 
 register("stream_window_latency", """
 SELECT date_trunc('day', ts) AS window_start, client, count(*) AS n_txn,
-  CAST(CAST((sum(CAST(round(latency_ms * 100) AS BIGINT)) * 100 * 2 + count(*)) // (2 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms, max(latency_ms) AS max_latency_ms
+  CAST(CAST((sum(CAST(round(latency_ms * 1000000) AS BIGINT)) * 2 + count(*) * 100) // (200 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms, max(latency_ms) AS max_latency_ms
 FROM transaction_events GROUP BY 1, 2
 """)(lambda t: streams.stream_window_latency(t.spark, t.sf_dir))
 

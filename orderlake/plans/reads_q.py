@@ -65,20 +65,20 @@ FROM customer_requests r
 # ------------------------------------------------------------ last L orders
 
 register("last_l_orders", """
-SELECT r.w_id, r.d_id, r.last_l, o.o_id, o.o_c_id AS c_id, o.o_entry_d
+SELECT r.seq, r.w_id, r.d_id, r.last_l, o.o_id, o.o_c_id AS c_id, o.o_entry_d
 FROM popular_requests r
 JOIN districts d ON d.d_w_id = r.w_id AND d.d_id = r.d_id
 JOIN w_orders o ON o.o_w_id = r.w_id AND o.o_d_id = r.d_id
   AND o.o_id >= d.d_next_o_id - r.last_l AND o.o_id < d.d_next_o_id
 """)(lambda t: reads.last_l_orders(t.popular_requests, t.districts, t.orders)
-     .select("w_id", "d_id", "last_l", "o_id", "c_id", "o_entry_d"))
+     .select("seq", "w_id", "d_id", "last_l", "o_id", "c_id", "o_entry_d"))
 
 # ------------------------------------------------------------------ T-S
 
 _STOCK_KEYS = """
 , keys AS (
   SELECT r.w_id, r.d_id, r.threshold, r.last_l, d.d_next_o_id
-  FROM stock_level_requests r JOIN districts d ON d.d_w_id = r.w_id AND d.d_id = r.d_id),
+  FROM (SELECT DISTINCT w_id, d_id, threshold, last_l FROM stock_level_requests) r JOIN districts d ON d.d_w_id = r.w_id AND d.d_id = r.d_id),
 lines AS (
   SELECT k.w_id, k.d_id, k.threshold, k.last_l, ol.ol_i_id
   FROM keys k JOIN order_lines ol ON ol.ol_w_id = k.w_id AND ol.ol_d_id = k.d_id
@@ -91,7 +91,7 @@ register("stock_level", _STOCK_KEYS + """
   FROM (SELECT DISTINCT * FROM lines) l
   JOIN stocks s ON s.s_w_id = l.w_id AND s.s_i_id = l.ol_i_id
   WHERE s.s_quantity < l.threshold GROUP BY 1, 2, 3, 4)
-SELECT r.w_id, r.d_id, r.threshold, r.last_l, CAST(coalesce(low.n, 0) AS BIGINT) AS low_stock_count
+SELECT r.seq, r.w_id, r.d_id, r.threshold, r.last_l, CAST(coalesce(low.n, 0) AS BIGINT) AS low_stock_count
 FROM stock_level_requests r
 LEFT JOIN low ON low.w_id = r.w_id AND low.d_id = r.d_id AND low.threshold = r.threshold AND low.last_l = r.last_l
 """)(lambda t: reads.stock_level(t.stock_level_requests, t.districts, t.order_lines, t.stocks))
@@ -101,7 +101,7 @@ register("stock_level_lines", _STOCK_KEYS + """
   SELECT l.w_id, l.d_id, l.threshold, l.last_l, count(*) AS n
   FROM lines l JOIN stocks s ON s.s_w_id = l.w_id AND s.s_i_id = l.ol_i_id
   WHERE s.s_quantity < l.threshold GROUP BY 1, 2, 3, 4)
-SELECT r.w_id, r.d_id, r.threshold, r.last_l, CAST(coalesce(low.n, 0) AS BIGINT) AS low_stock_lines
+SELECT r.seq, r.w_id, r.d_id, r.threshold, r.last_l, CAST(coalesce(low.n, 0) AS BIGINT) AS low_stock_lines
 FROM stock_level_requests r
 LEFT JOIN low ON low.w_id = r.w_id AND low.d_id = r.d_id AND low.threshold = r.threshold AND low.last_l = r.last_l
 """)(lambda t: reads.stock_level(t.stock_level_requests, t.districts, t.order_lines, t.stocks,
@@ -119,7 +119,7 @@ pl AS (
 
 _LAST_L = """
 lo AS (
-  SELECT r.w_id, r.d_id, r.last_l, o.o_id, o.o_c_id AS c_id, o.o_entry_d
+  SELECT r.seq, r.w_id, r.d_id, r.last_l, o.o_id, o.o_c_id AS c_id, o.o_entry_d
   FROM popular_requests r
   JOIN districts d ON d.d_w_id = r.w_id AND d.d_id = r.d_id
   JOIN w_orders o ON o.o_w_id = r.w_id AND o.o_d_id = r.d_id
@@ -135,7 +135,7 @@ WHERE x.ol_quantity = (SELECT max(y.ol_quantity) FROM order_lines y
      .select("ol_w_id", "ol_d_id", "ol_o_id", "ol_number", "ol_i_id", "ol_quantity"))
 
 register("popular_items", ", " + _POPULAR_MAX + ", " + _LAST_L + """
-SELECT lo.w_id, lo.d_id, lo.last_l, lo.o_id, lo.o_entry_d, c.c_first, c.c_middle, c.c_last,
+SELECT lo.seq, lo.w_id, lo.d_id, lo.last_l, lo.o_id, lo.o_entry_d, c.c_first, c.c_middle, c.c_last,
   pl.i_id, it.i_name, pl.ol_quantity
 FROM lo JOIN pl ON pl.w_id = lo.w_id AND pl.d_id = lo.d_id AND pl.o_id = lo.o_id
 JOIN customers c ON c.c_w_id = lo.w_id AND c.c_d_id = lo.d_id AND c.c_id = lo.c_id
@@ -143,16 +143,34 @@ JOIN items it ON it.i_id = pl.i_id
 """)(lambda t: reads.popular_items(t.popular_requests, t.districts, t.orders, t.order_lines,
                                    t.items, t.customers))
 
-register("popular_items_pct", ", " + _POPULAR_MAX + ", " + _LAST_L + """
-, found AS (SELECT w_id, d_id, last_l, count(*) AS n_found FROM lo GROUP BY 1, 2, 3),
-hits AS (SELECT DISTINCT lo.w_id, lo.d_id, lo.last_l, lo.o_id, pl.i_id
+_PCT = """
+, found AS (SELECT seq, w_id, d_id, last_l, count(*) AS n_found FROM lo GROUP BY 1, 2, 3, 4),
+hits AS (SELECT {distinct} lo.seq, lo.w_id, lo.d_id, lo.last_l, lo.o_id, pl.i_id
          FROM lo JOIN pl ON pl.w_id = lo.w_id AND pl.d_id = lo.d_id AND pl.o_id = lo.o_id),
-per AS (SELECT w_id, d_id, last_l, i_id, count(*) AS n_orders FROM hits GROUP BY 1, 2, 3, 4)
-SELECT per.w_id, per.d_id, per.last_l, per.i_id, it.i_name, per.n_orders, f.n_found,
-  CAST(round_even(CAST(per.n_orders AS DOUBLE) * 100.0 / f.n_found, 2) AS DECIMAL(6,2)) AS pct
-FROM per JOIN found f ON f.w_id = per.w_id AND f.d_id = per.d_id AND f.last_l = per.last_l
+per AS (SELECT seq, i_id, count(*) AS n_orders FROM hits GROUP BY 1, 2)
+SELECT f.seq, f.w_id, f.d_id, f.last_l, per.i_id, it.i_name, per.n_orders, f.n_found,
+  CAST(round_even(CAST(per.n_orders AS DOUBLE) * 100.0 / {by}, 2) AS DECIMAL(6,2)) AS pct
+FROM per JOIN found f ON f.seq = per.seq
 JOIN items it ON it.i_id = per.i_id
-""")(lambda t: reads.popular_items_pct(t.popular_requests, t.districts, t.orders, t.order_lines, t.items))
+"""
+
+register("popular_items_pct", ", " + _POPULAR_MAX + ", " + _LAST_L + _PCT.format(distinct="DISTINCT", by="f.n_found"))(
+    lambda t: reads.popular_items_pct(t.popular_requests, t.districts, t.orders, t.order_lines, t.items))
+
+# The requested number of orders as denominator, every popular line counted.
+register("popular_items_pct_of_l", ", " + _POPULAR_MAX + ", " + _LAST_L + _PCT.format(distinct="", by="f.last_l"))(
+    lambda t: reads.popular_items_pct(t.popular_requests, t.districts, t.orders, t.order_lines, t.items,
+                                      denominator="L", count="lines"))
+
+# Every line of positive quantity of the last orders.
+register("popular_items_all_lines", ", pl AS (SELECT ol_w_id AS w_id, ol_d_id AS d_id, ol_o_id AS o_id, ol_i_id AS i_id, ol_quantity "
+         "FROM order_lines WHERE ol_quantity > 0), " + _LAST_L + """
+SELECT lo.seq, lo.w_id, lo.d_id, lo.last_l, lo.o_id, lo.o_entry_d, c.c_first, c.c_middle, c.c_last,
+  pl.i_id, it.i_name, pl.ol_quantity
+FROM lo JOIN pl ON pl.w_id = lo.w_id AND pl.d_id = lo.d_id AND pl.o_id = lo.o_id
+JOIN customers c ON c.c_w_id = lo.w_id AND c.c_d_id = lo.d_id AND c.c_id = lo.c_id
+JOIN items it ON it.i_id = pl.i_id
+""")(lambda t: reads.popular_items(t.popular_requests, t.districts, t.orders, t.order_lines, t.items, t.customers, mode="all"))
 
 # ------------------------------------------------------------------ T-R
 
@@ -164,7 +182,8 @@ _ORDER_ITEMS = """
 ov AS (
   SELECT a.w_id, a.d_id, a.c_id, a.o_id, b.w_id AS r_w_id, b.d_id AS r_d_id, b.c_id AS r_c_id,
     b.o_id AS r_o_id, count(DISTINCT a.i_id) AS overlap
-  FROM oi a JOIN oi b ON a.i_id = b.i_id AND a.w_id <> b.w_id
+  FROM oi a JOIN related_requests r ON r.w_id = a.w_id AND r.d_id = a.d_id AND r.c_id = a.c_id
+  JOIN oi b ON a.i_id = b.i_id AND a.w_id <> b.w_id
   GROUP BY a.w_id, a.d_id, a.c_id, a.o_id, b.w_id, b.d_id, b.c_id, b.o_id)
 """
 
@@ -173,14 +192,14 @@ SELECT DISTINCT w_id, d_id, c_id, r_w_id, r_d_id, r_c_id FROM ov WHERE overlap >
 """
 
 register("related_customers", _RELATED_SQL)(
-    lambda t: reads.related_customers(t.orders, t.order_lines))
+    lambda t: reads.related_customers(t.orders, t.order_lines, t.related_requests))
 
 register("related_customers_overlap", _RELATED_SQL)(
-    lambda t: reads.related_customers_overlap(t.orders, t.order_lines))
+    lambda t: reads.related_customers_overlap(t.orders, t.order_lines, t.related_requests))
 
 register("order_overlap_size", _ORDER_ITEMS + """
 SELECT w_id, d_id, c_id, o_id, r_w_id, r_d_id, r_c_id, r_o_id, overlap FROM ov WHERE overlap >= 2
-""")(lambda t: reads.order_overlaps(t.orders, t.order_lines))
+""")(lambda t: reads.order_overlaps(t.orders, t.order_lines, t.related_requests))
 
 register("item_pairs", """
 , oi AS (
@@ -219,6 +238,6 @@ def _union_items(t):
     return base.unionByName(req)
 
 
-register("union_all_items", _UNION_SRC + "SELECT w_id, i_id, source FROM u")(_union_items)
-register("union_distinct_items", _UNION_SRC + "SELECT DISTINCT w_id, i_id FROM u")(
+register("union_all_items", _UNION_SRC + "SELECT w_id, i_id, source FROM u", split=True)(_union_items)
+register("union_distinct_items", _UNION_SRC + "SELECT DISTINCT w_id, i_id FROM u", split=True)(
     lambda t: _union_items(t).select("w_id", "i_id").distinct())

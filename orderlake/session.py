@@ -78,6 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cur = sc.getCheckpointDir()
     if cur:
         return cur
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="orderlake-ckpt-")
     sc.setCheckpointDir(d)
     return d
@@ -85,8 +87,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """Folder for a written intermediate table, under the shared checkpoint dir."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+    return f"{_scratch_root(spark)}/{name}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, when none of its results is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..operators.skew import sequence_numbers
-from ..sources.schema import BASE_SCHEMAS
 
 # Fixed values of the adapter (FIXTURES.md section 3).
 DISTRICTS_PER_WAREHOUSE = 10
@@ -53,7 +52,8 @@ def _addr(prefix: str, key_cols, name_col):
 class Tables:
     """The seven base tables plus the request tables of one data set."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, split: bool = False):
+        self.split = split  # hold back the orders that arrive as New-Order requests
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
@@ -111,7 +111,9 @@ class Tables:
 
     @cached_property
     def _base_orders_numbered(self) -> DataFrame:
-        o = self._orders_keyed.filter(F.col("o_orderkey") % NEW_ORDER_EVERY != 0)
+        o = self._orders_keyed
+        if self.split:
+            o = o.filter(F.col("o_orderkey") % NEW_ORDER_EVERY != 0)
         # Order numbers per district by order key; range-split so a busy
         # district is numbered by many tasks.
         o = sequence_numbers(o, ["o_w_id", "o_d_id"], ["o_orderkey"], "__rn")
@@ -273,30 +275,42 @@ class Tables:
 
     @cached_property
     def delivery_requests(self) -> DataFrame:
-        return self.warehouses.select(
-            F.col("w_id").alias("seq"),
+        """One to three requests per warehouse."""
+        w = self.warehouses.select("w_id", F.explode(F.sequence(F.lit(0), F.col("w_id") % 3)).alias("j"))
+        return w.select(
+            (F.col("w_id") * 10 + F.col("j")).alias("seq"),
             "w_id",
-            (F.col("w_id") % 10 + 1).cast("int").alias("carrier_id"),
+            ((F.col("w_id") + F.col("j")) % 10 + 1).cast("int").alias("carrier_id"),
             ts_ntz(DELIVERY_TS).alias("delivery_d"),
         )
 
     @cached_property
     def customer_requests(self) -> DataFrame:
-        """Order-Status and Related-Customer requests: every customer."""
+        """Order-Status requests: every customer."""
         return self.customers.select(
-            F.col("c_w_id").alias("w_id"), F.col("c_d_id").alias("d_id"), "c_id")
+            F.col("c_id").alias("seq"), F.col("c_w_id").alias("w_id"), F.col("c_d_id").alias("d_id"), "c_id")
+
+    @cached_property
+    def related_requests(self) -> DataFrame:
+        """Related-Customer searches: every customer whose id is divisible by 100, against all."""
+        return self.customer_requests.filter(F.col("c_id") % 100 == 0)
+
+    def _asked(self) -> DataFrame:
+        """Every district once, every second one twice: clients repeat requests."""
+        return (self.districts.select("d_w_id", "d_id", F.explode(F.sequence(F.lit(0), (F.col("d_w_id") + F.col("d_id")) % 2)).alias("j"))
+                .withColumn("seq", (F.col("d_w_id") * 20 + F.col("d_id")) * 2 + F.col("j")))
 
     @cached_property
     def stock_level_requests(self) -> DataFrame:
-        return self.districts.select(
-            F.col("d_w_id").alias("w_id"), "d_id",
+        return self._asked().select(
+            "seq", F.col("d_w_id").alias("w_id"), "d_id",
             F.lit(STOCK_LEVEL_T).cast("int").alias("threshold"),
             F.lit(LAST_L).cast("int").alias("last_l"))
 
     @cached_property
     def popular_requests(self) -> DataFrame:
-        return self.districts.select(
-            F.col("d_w_id").alias("w_id"), "d_id", F.lit(LAST_L).cast("int").alias("last_l"))
+        return self._asked().select(
+            "seq", F.col("d_w_id").alias("w_id"), "d_id", F.lit(LAST_L).cast("int").alias("last_l"))
 
     @cached_property
     def transaction_events(self) -> DataFrame:
@@ -312,96 +326,3 @@ class Tables:
 
     def base(self, name: str) -> DataFrame:
         return getattr(self, name)
-
-
-REQUEST_TABLES = ["payment_requests", "new_order_requests", "new_order_line_requests",
-                  "delivery_requests", "customer_requests", "stock_level_requests",
-                  "popular_requests", "transaction_events"]
-
-
-class ParquetTables(Tables):
-    """Base and request tables already stored as parquet (the production
-    layout: requests arrive as data, they are not re-derived per query)."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, table_dir: str):
-        super().__init__(spark, sf_dir)
-        self.table_dir = table_dir.rstrip("/")
-
-    def _stored(self, name):
-        return self.spark.read.parquet(f"{self.table_dir}/{name}")
-
-    @cached_property
-    def warehouses(self):
-        return self._stored("warehouses")
-
-    @cached_property
-    def districts(self):
-        return self._stored("districts")
-
-    @cached_property
-    def customers(self):
-        return self._stored("customers")
-
-    @cached_property
-    def orders(self):
-        return self._stored("orders")
-
-    @cached_property
-    def items(self):
-        return self._stored("items")
-
-    @cached_property
-    def order_lines(self):
-        return self._stored("order_lines")
-
-    @cached_property
-    def stocks(self):
-        return self._stored("stocks")
-
-    @cached_property
-    def payment_requests(self):
-        return self._stored("payment_requests")
-
-    @cached_property
-    def new_order_requests(self):
-        return self._stored("new_order_requests")
-
-    @cached_property
-    def new_order_line_requests(self):
-        return self._stored("new_order_line_requests")
-
-    @cached_property
-    def delivery_requests(self):
-        return self._stored("delivery_requests")
-
-    @cached_property
-    def customer_requests(self):
-        return self._stored("customer_requests")
-
-    @cached_property
-    def stock_level_requests(self):
-        return self._stored("stock_level_requests")
-
-    @cached_property
-    def popular_requests(self):
-        return self._stored("popular_requests")
-
-    @cached_property
-    def transaction_events(self):
-        return self._stored("transaction_events")
-
-
-def write_base_tables(t: Tables, out_dir: str, mode: str = "overwrite", requests: bool = True) -> None:
-    """Persist the seven base tables (and the request tables) as parquet.
-
-    Base tables are sorted within partitions by the primary key, which keeps
-    parquet min/max stats tight, so key filters skip row groups.
-    """
-    from ..sources.schema import PRIMARY_KEYS
-    out = out_dir.rstrip("/")
-    for name in BASE_SCHEMAS:
-        df = t.base(name)
-        df.sortWithinPartitions(*PRIMARY_KEYS[name]).write.mode(mode).parquet(f"{out}/{name}")
-    if requests:
-        for name in REQUEST_TABLES:
-            getattr(t, name).write.mode(mode).parquet(f"{out}/{name}")

@@ -89,7 +89,15 @@ def read_script_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"))
-    return raw.withColumn("client", F.regexp_extract("file", r"client=(\d+)", 1).cast("int"))
+    return with_client(raw)
+
+
+def with_client(lines: DataFrame) -> DataFrame:
+    """Add the client: the number in a ``client=K`` folder, else the file's stem
+    (``7.txt``); null where neither is a number."""
+    folder = F.regexp_extract("file", r"client=(\d+)/", 1)
+    stem = F.regexp_extract("file", r"([^/]*?)(\.[^/.]*)?$", 1)
+    return lines.withColumn("client", F.when(folder != "", folder).otherwise(stem).try_cast("int"))
 
 
 def _fields(c):
@@ -201,12 +209,12 @@ def transactions(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
                & c("threshold").isNotNull() & c("last_l").isNotNull())
          .when(c("txn_type") == "I", c("w_id").isNotNull() & c("d_id").isNotNull() & c("last_l").isNotNull())
          .otherwise(c("w_id").isNotNull() & c("d_id").isNotNull() & c("c_id").isNotNull()))
-    ok = c("known") & c("arity_ok") & F.coalesce(numeric_ok, F.lit(False))
+    ok = c("client").isNotNull() & c("known") & c("arity_ok") & F.coalesce(numeric_ok, F.lit(False))
     complete = (c("txn_type") != "N") | (c("n_found") == c("n_items"))
     cols = ["file", "client", "line_no", "txn_type", "w_id", "d_id", "c_id", "amount", "carrier_id",
             "threshold", "last_l", "n_items"]
     valid = typed.filter(ok & complete).select(*cols)
-    reason = (F.when(~c("known"), "unknown_type").when(~c("arity_ok"), "short_record")
+    reason = (F.when(c("client").isNull(), "unknown_client").when(~c("known"), "unknown_type").when(~c("arity_ok"), "short_record")
                .when(~ok, "bad_number").otherwise("incomplete_order"))
     bad_headers = typed.filter(~(ok & complete)).select("file", "client", "line_no", reason.alias("reason"))
     orphans = p.filter((c("kind") == "item") & ~c("attached")).select(
@@ -227,11 +235,16 @@ def new_order_items(parsed: DataFrame) -> DataFrame:
 def request_tables(valid: DataFrame, parsed: DataFrame) -> dict:
     """Request tables of the write transactions found in the scripts.
 
-    ``seq`` orders requests as the clients issued them: by client file, then
-    by line (client * 2^40 + line number). Entry and delivery times are the
+    ``seq`` orders requests as the clients issued them: by client, then by the
+    client's files in the order of their names, then by line
+    (client * 2^45 + file number * 2^32 + line number). Entry and delivery times are the
     time of the run, as when the transactions are executed.
     """
-    seq = (F.col("client").cast("long") * F.lit(1 << 40) + F.col("line_no")).alias("seq")
+    # one row per file
+    files = (valid.groupBy("client", "file").agg(F.count(F.lit(1)).alias("n"))
+             .select("file", (F.row_number().over(W.partitionBy("client").orderBy("file")) - 1).cast("long").alias("file_no")))
+    valid = valid.join(files, "file")
+    seq = (F.col("client").cast("long") * F.lit(1 << 45) + F.col("file_no") * F.lit(1 << 32) + F.col("line_no")).alias("seq")
     now = F.localtimestamp()
     pay = valid.filter(F.col("txn_type") == "P").select(seq, "w_id", "d_id", "c_id", "amount")
     heads = valid.filter(F.col("txn_type") == "N")

@@ -1,21 +1,22 @@
-"""Structured Streaming versions of the client feed.
+"""Structured Streaming versions of the client feed.
 
 Each stream reads files as they arrive, runs with ``trigger(availableNow)``
-(process what is there, then stop) and writes its result through
-``foreachBatch`` into a parquet table under the shared checkpoint folder;
-the batch id is written with the rows so a replayed batch overwrites, never
-duplicates. Aggregations use ``complete`` mode with state bounded by the
-number of groups (types, customers, day x client windows).
+(process what is there, then stop) and keeps its checkpoint and its result
+under ``location``: a later call with the same location goes on where the
+last one stopped. Without a location a new folder under the shared checkpoint
+folder is taken. Every micro-batch writes a folder named by its batch id, so a
+replayed batch overwrites what it wrote; results are read over all batches.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.metrics import mean_e4
+from ..operators.metrics import mean_e4, nanos
 from ..session import scratch_table_path
 from ..sources import txlog
 
@@ -23,59 +24,83 @@ EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type
                  "value DOUBLE, props STRING")
 
 
-def _run_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Run a streaming aggregate to completion and return the final table."""
-    base = scratch_table_path(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
-    out = f"{base}/out"
+def _place(spark: SparkSession, name: str, location: str | None) -> str:
+    return location or scratch_table_path(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        # complete mode: every batch carries the whole result; overwrite makes
-        # a replay of the same batch idempotent.
-        batch.write.mode("overwrite").parquet(out)
 
-    q = (df.writeStream.outputMode("complete").foreachBatch(sink)
-           .option("checkpointLocation", f"{base}/checkpoint")
-           .trigger(availableNow=True).start())
+def _run(df: DataFrame, base: str, sink, mode: str = "append") -> None:
+    """Process what has arrived since the last run at ``base``."""
+    q = (df.writeStream.outputMode(mode).foreachBatch(sink)
+           .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
 
 
-def events_stream(spark: SparkSession, sf_dir: str, pattern: str = "events.parquet") -> DataFrame:
-    """Event files arriving in ``sf_dir`` (one file per micro-batch)."""
-    return (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", pattern)
-                 .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+def _written(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All batches at ``path`` with their ``batch``; none if nothing has arrived yet."""
+    try:
+        return spark.read.schema(f"{schema}, batch LONG").parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], f"{schema}, batch LONG")
+
+
+def _updates(df: DataFrame, keys: list[str], name: str, location: str | None) -> DataFrame:
+    """Run an aggregate in update mode: each batch writes only the groups it
+    changed; the latest row of a group counts."""
+    spark = df.sparkSession
+    base = _place(spark, name, location)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+
+    _run(df, base, sink, "update")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    rest = [c for c in df.columns if c not in keys]
+    return (_written(spark, f"{base}/out", fields).groupBy(*keys)
+            .agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*").select(*df.columns))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    """The events table as it grows: one file or a folder of any number of files."""
+    r = spark.readStream.schema(EVENTS_SCHEMA)
+    if files_per_batch:
+        r = r.option("maxFilesPerTrigger", files_per_batch)
+    return r.parquet(f"{sf_dir.rstrip('/')}/events.parquet*")
 
 
-def stream_transaction_counts(spark: SparkSession, script_dir: str) -> DataFrame:
-    """Count well-formed transaction headers per type as script files arrive.
+def stream_transaction_counts(spark: SparkSession, script_dir: str, location: str | None = None) -> DataFrame:
+    """Valid transactions per type as script files arrive.
 
-    Line-local rules only (a stream has no file order): a header line with
-    enough fields counts; item lines are skipped.
+    A file is never cut across micro-batches, so each batch is parsed by the
+    same rules as a batch job, with item lines and rejects.
     """
-    lines = spark.readStream.text(script_dir)
-    f = F.transform(F.split(F.col("value"), ","), lambda x: F.trim(x))
-    code = F.upper(f[0])
-    need = F.try_element_at(F.create_map(*[x for k, v in txlog.MIN_FIELDS.items()
-                                           for x in (F.lit(k), F.lit(v))]), code)
-    ok = code.rlike("^[A-Z]$") & need.isNotNull() & (F.size(f) >= need)
-    counts = (lines.select(code.alias("txn_type"), ok.alias("ok")).filter("ok")
-                   .groupBy("txn_type").agg(F.count(F.lit(1)).alias("n_txn")))
-    return _run_to_table(spark, counts, "txn-counts")
-
-
-def stream_payment_totals(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
+    base = _place(spark, "txn-counts", location)
+    lines = spark.readStream.text(script_dir).select(
+        F.col("value").alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        valid, _ = txlog.transactions(txlog.parse_scripts(txlog.with_client(batch.withColumn("pos", F.monotonically_increasing_id()))))
+        (valid.groupBy("txn_type").agg(F.count(F.lit(1)).alias("n_txn"))
+              .write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}"))
+
+    _run(lines, base, sink)
+    return _written(spark, f"{base}/out", "txn_type STRING, n_txn LONG").groupBy("txn_type").agg(F.sum("n_txn").alias("n_txn"))
+
+
+def stream_payment_totals(spark: SparkSession, sf_dir: str, customers: DataFrame, location: str | None = None,
+                          files_per_batch: int | None = None) -> DataFrame:
     """Running payment totals per customer from the event feed (R2).
 
     Stream-static join with the customer table gives each payment its
-    warehouse and district; totals are kept per customer in state.
+    warehouse and district; totals are kept per customer in state, and a batch
+    writes the customers it touched.
     """
-    e = events_stream(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    e = events_stream(spark, sf_dir, files_per_batch).filter(F.col("event_type") == "purchase")
     c = customers.select("c_id", "c_w_id", "c_d_id")
     j = e.join(c, e.user_id == c.c_id, "inner")
     agg = (j.groupBy(F.col("c_w_id").alias("w_id"), F.col("c_d_id").alias("d_id"), "c_id")
             .agg(F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(18,2)").alias("paid"),
                  F.count(F.lit(1)).alias("n_payments")))
-    return _run_to_table(spark, agg, "payments")
+    return _updates(agg, ["w_id", "d_id", "c_id"], "payments", location)
 
 
 def _epoch_ntz():
@@ -91,60 +116,46 @@ def instant_to_ntz(c):
     return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
 
 
-def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20) -> DataFrame:
+def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20, location: str | None = None,
+                          files_per_batch: int | None = None, lateness: str = "1 hour") -> DataFrame:
     """Per-day, per-client transaction count and latency.
 
-    Event time is ``ts`` (wall clock, read as UTC); a one-hour watermark
-    bounds lateness.
+    Event time is ``ts`` (wall clock, read as UTC). In update mode the watermark
+    drops the state of a day once the newest event of earlier batches is
+    ``lateness`` past its end; rows that come later still are left out.
     """
-    e = events_stream(spark, sf_dir).select(
+    e = events_stream(spark, sf_dir, files_per_batch).select(
         ntz_to_instant(F.col("ts")).alias("ts"),
         (F.col("user_id") % clients).cast("int").alias("client"),
         F.col("value").alias("latency_ms"))
-    agg = (e.withWatermark("ts", "1 hour")
+    agg = (e.withWatermark("ts", lateness)
             .groupBy(F.window("ts", "1 day"), "client")
-            .agg(F.count(F.lit(1)).alias("n_txn"),
-                 F.sum(F.round(F.col("latency_ms") * 100).cast("long")).alias("cents"),
+            .agg(F.count(F.lit(1)).alias("n_txn"), F.sum(nanos("latency_ms")).alias("nanos"),
                  F.max("latency_ms").alias("max_latency_ms")))
     out = agg.select(instant_to_ntz(F.col("window.start")).alias("window_start"), "client", "n_txn",
-                     mean_e4("cents", "n_txn").alias("mean_ms"), "max_latency_ms")
-    return _run_to_table(spark, out, "window-latency")
+                     mean_e4("nanos", "n_txn").alias("mean_ms"), "max_latency_ms")
+    return _updates(out, ["window_start", "client"], "window-latency", location)
 
 
 def stream_top_balance(spark: SparkSession, sf_dir: str, customers: DataFrame, districts: DataFrame,
-                       warehouses: DataFrame, k: int = 10, pattern: str = "events.parquet") -> DataFrame:
+                       warehouses: DataFrame, k: int = 10, location: str | None = None, files_per_batch: int | None = None) -> DataFrame:
     """Top balances kept current as payments arrive.
 
-    Each micro-batch of purchase events becomes a new version of the
-    customer table: batch n reads version n, applies the batch's payment
-    deltas (``payment_customers``: aggregated per customer, one join) and
-    writes version n + 1 under the shared checkpoint folder. A replayed
-    batch rewrites the same version from the same input, so the result is
-    idempotent. The top k is then read from the latest version.
+    A micro-batch writes what each customer paid in it, aggregated, so it costs
+    as much as the batch, not as the customer table. The balances are the
+    customer table less the payments of all batches; the top k is read from them.
     """
-    from ..operators.changes import payment_customers
+    from ..operators.changes import apply_delta
     from ..operators.reads import top_balance
 
-    base = scratch_table_path(spark, f"stream-top-balance-{uuid.uuid4().hex[:12]}")
-    cust_cols = customers.columns
-    customers.write.mode("overwrite").parquet(f"{base}/customers/v-0")
-    latest = {"version": 0}
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        cur = spark.read.parquet(f"{base}/customers/v-{batch_id}")
-        keys = cur.select("c_id", "c_w_id", "c_d_id")
-        pay = (batch.join(keys, batch.user_id == keys.c_id, "inner")
-                    .select(F.col("event_id").alias("seq"), F.col("c_w_id").alias("w_id"),
-                            F.col("c_d_id").alias("d_id"), "c_id",
-                            F.col("value").cast("decimal(12,2)").alias("amount")))
-        new = payment_customers(cur.select(*cust_cols), pay)
-        new.write.mode("overwrite").parquet(f"{base}/customers/v-{batch_id + 1}")
-        latest["version"] = max(latest["version"], batch_id + 1)
-
-    e = events_stream(spark, sf_dir, pattern).filter(F.col("event_type") == "purchase")
-    q = (e.writeStream.foreachBatch(apply)
-          .option("checkpointLocation", f"{base}/checkpoint")
-          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    final = spark.read.parquet(f"{base}/customers/v-{latest['version']}")
-    return top_balance(final, districts, warehouses, k)
+    base = _place(spark, "top-balance", location)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy(F.col("user_id").alias("c_id")).agg(F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(18,2)").alias("paid"))
+              .write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}"))
+
+    _run(events_stream(spark, sf_dir, files_per_batch).filter(F.col("event_type") == "purchase"), base, sink)
+    paid = _written(spark, f"{base}/out", "c_id LONG, paid DECIMAL(18,2)").groupBy("c_id").agg(F.sum("paid").alias("__paid"))
+    now = apply_delta(customers, paid, ["c_id"], {
+        "c_balance": (F.col("c_balance") - F.coalesce(F.col("__paid"), F.lit(0))).cast("decimal(12,2)")})
+    return top_balance(now, districts, warehouses, k)

@@ -22,3 +22,5 @@ def spark():
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderlake-test-"))
     yield spark
+    from orderlake.session import drop_scratch
+    drop_scratch(spark)

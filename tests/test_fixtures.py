@@ -204,7 +204,7 @@ def test_related_customer_cases(spark):
     got2 = [(r.r_w_id, r.r_c_id) for r in reads.related_customers_overlap(o, ol, req).collect()]
     assert got2 == [(2, 2)]
     # the hot-key path gives the same answer
-    got3 = [(r.r_w_id, r.r_c_id) for r in reads.related_customers(o, ol, req, salts=3, hot_threshold=0).collect()]
+    got3 = [(r.r_w_id, r.r_c_id) for r in reads.related_customers(o, ol, req, cell_rows=1).collect()]
     assert got3 == [(2, 2)]
 
 

@@ -32,7 +32,7 @@ def test_payment_deltas_agree(spark):
 
 
 def test_new_order_invariants(spark):
-    t = tables_for(spark, SF)
+    t = tables_for(spark, SF, split=True)
     req, lr = t.new_order_requests, t.new_order_line_requests
     nd = changes.new_order_districts(t.districts, req)
     assert _sum(nd, "d_next_o_id") - _sum(t.districts, "d_next_o_id") == req.count()
@@ -61,12 +61,14 @@ def test_delivery_invariants(spark):
     assert _sum(nc, "c_delivery_cnt") == n
     no = changes.deliver_orders(t.orders, dl)
     assert no.filter("o_carrier_id IS NULL").count() == q0 - n
-    # at most one delivered order per district per request
-    assert dl.groupBy("w_id", "d_id").count().filter("count > 1").count() == 0
+    # at most one delivered order per district per request, and warehouses with three requests deliver three
+    assert dl.groupBy("seq", "w_id", "d_id").count().filter("count > 1").count() == 0
+    assert dl.groupBy("w_id", "d_id").count().filter("count > 3").count() == 0
+    assert dl.groupBy("w_id", "d_id").count().filter("count > 1").count() > 0
 
 
 def test_whole_batch_invariants(spark):
-    t = tables_for(spark, SF)
+    t = tables_for(spark, SF, split=True)
     base = {n: t.base(n) for n in ("warehouses", "districts", "customers", "orders", "order_lines",
                                    "items", "stocks")}
     new = changes.apply_batch(base, t.payment_requests, t.new_order_requests, t.new_order_line_requests,
@@ -85,3 +87,14 @@ def test_whole_batch_invariants(spark):
     undelivered_before = base["orders"].filter("o_carrier_id IS NULL").count() + n_new
     assert new["orders"].filter("o_carrier_id IS NULL").count() == undelivered_before - n_del
     assert new["stocks"].filter("s_quantity < 10").count() == 0
+
+
+def test_repeated_requests_get_the_same_answer(spark):
+    from orderlake.operators import reads
+    t = tables_for(spark, SF)
+    for count_lines, out in ((False, "low_stock_count"), (True, "low_stock_lines")):
+        once = t.stock_level_requests.dropDuplicates(["w_id", "d_id", "threshold", "last_l"])
+        a = {(r.w_id, r.d_id): r[out] for r in reads.stock_level(once, t.districts, t.order_lines, t.stocks, count_lines).collect()}
+        rows = reads.stock_level(t.stock_level_requests, t.districts, t.order_lines, t.stocks, count_lines).collect()
+        assert len(rows) == t.stock_level_requests.count() > len(a)
+        assert all(r[out] == a[r.w_id, r.d_id] for r in rows)

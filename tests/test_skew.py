@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderlake.operators.skew import running_max, running_totals, salted_join, sequence_numbers
+from orderlake.operators.skew import grid_join, running_totals, sequence_numbers
 
 
 def _hot_rows(n=3000, seed=5):
@@ -33,27 +33,20 @@ def test_sequence_numbers_equal_row_number(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_running_max_carries_forward(spark):
-    rows = [(1, i, i if i % 7 == 0 else None) for i in range(1, 200)]
-    df = spark.createDataFrame(rows, "f int, pos long, h long")
-    got = {r.pos: r.last for r in running_max(df, ["f"], ["pos"], "h", "last", width=16).collect()}
-    assert got[6] is None and got[7] == 7 and got[13] == 7 and got[14] == 14 and got[199] == 196
-
-
-def test_salted_join_equals_join(spark):
+def test_grid_join_equals_join(spark):
     left = spark.createDataFrame([(0 if i % 3 else i % 5, i) for i in range(600)], "k int, a int")
-    right = spark.createDataFrame([(k, k * 10 + j) for k in range(5) for j in range(3)], "k int, b int")
-    got = salted_join(left, right, ["k"], salts=4, threshold=50, left_salt_col="a")
+    right = spark.createDataFrame([(k, k * 10 + j) for k in range(6) for j in range(30)], "k int, b int")
+    got = grid_join(left, right, ["k"], cell_rows=16)
     want = left.join(right, "k")
     assert sorted(got.select("k", "a", "b").collect()) == sorted(want.select("k", "a", "b").collect())
 
 
-def test_salted_join_with_capped_hot_list_is_exact(spark):
-    from orderlake.operators.skew import hot_keys
-    left = spark.createDataFrame([(i % 3, i) for i in range(900)], "k int, a int")   # three hot keys
-    right = spark.createDataFrame([(k, k * 10 + j) for k in range(3) for j in range(4)], "k int, b int")
-    hot = hot_keys(left, ["k"], threshold=10, max_keys=1)
-    assert hot.count() == 1
-    got = salted_join(left, right, ["k"], salts=5, left_salt_col="a", hot=hot)
-    want = left.join(right, "k")
-    assert sorted(got.select("k", "a", "b").collect()) == sorted(want.select("k", "a", "b").collect())
+def test_one_hot_pair_is_spread_by_its_output(spark):
+    """4,000 buyers of one pair on each side: no cell holds more than its share of 16 million rows."""
+    left = spark.range(4000).select(F.lit(1).alias("i"), F.col("id").alias("a"))
+    right = spark.range(4000).select(F.lit(1).alias("i"), F.col("id").alias("b"))
+    j = grid_join(left, right, ["i"], cell_rows=500)
+    assert j.count() == 4000 * 4000
+    cell = (F.pmod(F.xxhash64("i", "a"), F.lit(8)), F.pmod(F.xxhash64("i", "b"), F.lit(8)))
+    most = j.groupBy(*cell).count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert most[1] == 64 and most[0] < 16_000_000 / 64 * 1.3
