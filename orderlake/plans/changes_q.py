@@ -298,10 +298,10 @@ def _log_batch_state(t):
 
 
 # Same state as db_state_after_batch, except that new orders are numbered in
-# the order the client scripts issue them: by client (seq % 20), then seq.
+# the order the client scripts issue them: by client (seq % 20), then by file ((seq // 20) % 2), then seq.
 _LOG_NEW_ORDER = _NEW_ORDER.replace(
     "row_number() OVER (PARTITION BY r.w_id, r.d_id ORDER BY r.seq)",
-    "row_number() OVER (PARTITION BY r.w_id, r.d_id ORDER BY r.seq % 20, r.seq)")
+    "row_number() OVER (PARTITION BY r.w_id, r.d_id ORDER BY r.seq % 20, (r.seq // 20) % 2, r.seq)")
 
 register("db_state_after_script_batch", _LOG_NEW_ORDER + _BATCH_SQL + _db_state_sql(
     "wh2", "di2", "cu2", "ord3", "lines2", "st2"), split=True)(_log_batch_state)

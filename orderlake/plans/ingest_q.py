@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import epoch_ms_between
 from ..operators import metrics, reads
-from ..session import scratch_table_path
+from ..session import cut_lineage, scratch_table_path
 from ..sources import csv_io, txlog
 from ..sources.schema import BASE_SCHEMAS, ORDER, ORDER_LINE, PRIMARY_KEYS
 from ..streaming import streams
@@ -130,7 +130,7 @@ tx AS (
   UNION ALL SELECT CAST(c_id % 20 AS INTEGER), 'O', w_id, d_id, c_id, NULL, NULL, NULL, NULL, NULL
   FROM customer_requests
   UNION ALL SELECT CAST(c_id % 20 AS INTEGER), 'R', w_id, d_id, c_id, NULL, NULL, NULL, NULL, NULL
-  FROM customer_requests
+  FROM related_requests
   UNION ALL SELECT CAST((w_id * 10 + d_id) % 20 AS INTEGER), 'S', w_id, d_id, NULL, NULL, NULL, threshold,
     last_l, NULL FROM stock_level_requests
   UNION ALL SELECT CAST((w_id * 10 + d_id) % 20 AS INTEGER), 'I', w_id, d_id, NULL, NULL, NULL, NULL,
@@ -149,10 +149,85 @@ register("transaction_mix", _MIX_SQL)(
     lambda t: _parsed(t)[0].groupBy("txn_type").agg(F.count(F.lit(1)).alias("n_txn")))
 
 register("transaction_log_rejects", """
-SELECT CAST(event_id % 20 AS INTEGER) AS client, 'short_record' AS reason, count(*) AS n
-FROM events WHERE event_type = 'error' GROUP BY 1
+SELECT CAST(event_id % 20 AS INTEGER) AS client,
+  CASE event_id % 5 WHEN 0 THEN 'short_record' WHEN 1 THEN 'bad_number' WHEN 2 THEN 'unknown_type'
+    WHEN 3 THEN 'incomplete_order' ELSE 'orphan_line' END AS reason, count(*) AS n
+FROM events WHERE event_type = 'error' GROUP BY 1, 2
 """)(lambda t: _parsed(t)[1].groupBy("client", "reason").agg(F.count(F.lit(1)).alias("n")))
 
+
+
+def _script_requests(t):
+    """Requests of all types as the client scripts hold them; parsed once."""
+    parsed = cut_lineage(txlog.parse_scripts(txlog.read_script_lines(t.spark, _script_dir(t))), "script-lines")
+    valid = cut_lineage(txlog.transactions(parsed)[0], "script-valid")
+    return txlog.request_tables(valid, parsed)
+
+
+register("script_order_status", """
+, last AS (SELECT o_w_id AS w_id, o_d_id AS d_id, o_c_id AS c_id, max(o_id) AS o_id FROM w_orders GROUP BY 1, 2, 3)
+SELECT CAST(r.c_id % 20 AS INTEGER) AS client, r.w_id, r.d_id, r.c_id, l.o_id, ol.ol_number, ol.ol_i_id, ol.ol_quantity, ol.ol_amount
+FROM customer_requests r JOIN last l ON l.w_id = r.w_id AND l.d_id = r.d_id AND l.c_id = r.c_id
+LEFT JOIN order_lines ol ON ol.ol_w_id = l.w_id AND ol.ol_d_id = l.d_id AND ol.ol_o_id = l.o_id
+""", split=True)(lambda t: _script_order_status(t))
+
+
+def _script_order_status(t):
+    r = _script_requests(t)["order_status"]
+    answer = reads.order_status(r, t.customers, t.orders, t.order_lines)
+    return (r.select("client", "w_id", "d_id", "c_id").join(answer, ["w_id", "d_id", "c_id"])
+            .select("client", "w_id", "d_id", "c_id", "o_id", "ol_number", "ol_i_id", "ol_quantity", "ol_amount"))
+
+
+register("script_stock_level", """
+, keys AS (SELECT DISTINCT r.w_id, r.d_id, r.threshold, r.last_l, d.d_next_o_id
+           FROM stock_level_requests r JOIN districts d ON d.d_w_id = r.w_id AND d.d_id = r.d_id),
+low AS (SELECT k.w_id, k.d_id, k.threshold, k.last_l, count(DISTINCT ol.ol_i_id) AS n
+        FROM keys k JOIN order_lines ol ON ol.ol_w_id = k.w_id AND ol.ol_d_id = k.d_id
+          AND ol.ol_o_id >= k.d_next_o_id - k.last_l AND ol.ol_o_id < k.d_next_o_id
+        JOIN stocks s ON s.s_w_id = k.w_id AND s.s_i_id = ol.ol_i_id WHERE s.s_quantity < k.threshold GROUP BY 1, 2, 3, 4)
+SELECT CAST((r.w_id * 10 + r.d_id) % 20 AS INTEGER) AS client, r.w_id, r.d_id, r.threshold, r.last_l, CAST(coalesce(low.n, 0) AS BIGINT) AS low_stock_count
+FROM stock_level_requests r LEFT JOIN low USING (w_id, d_id, threshold, last_l)
+""", split=True)(lambda t: reads.stock_level(_script_requests(t)["stock_level"], t.districts, t.order_lines, t.stocks).drop("seq"))
+
+register("script_popular_items", """
+, pl AS (SELECT x.ol_w_id AS w_id, x.ol_d_id AS d_id, x.ol_o_id AS o_id, x.ol_i_id AS i_id, x.ol_quantity FROM order_lines x
+         WHERE x.ol_quantity = (SELECT max(y.ol_quantity) FROM order_lines y
+                                WHERE y.ol_w_id = x.ol_w_id AND y.ol_d_id = x.ol_d_id AND y.ol_o_id = x.ol_o_id))
+SELECT CAST((r.w_id * 10 + r.d_id) % 20 AS INTEGER) AS client, r.w_id, r.d_id, r.last_l, o.o_id, o.o_entry_d, c.c_first, c.c_middle, c.c_last,
+  pl.i_id, it.i_name, pl.ol_quantity
+FROM popular_requests r JOIN districts d ON d.d_w_id = r.w_id AND d.d_id = r.d_id
+JOIN w_orders o ON o.o_w_id = r.w_id AND o.o_d_id = r.d_id AND o.o_id >= d.d_next_o_id - r.last_l AND o.o_id < d.d_next_o_id
+JOIN pl ON pl.w_id = o.o_w_id AND pl.d_id = o.o_d_id AND pl.o_id = o.o_id
+JOIN customers c ON c.c_w_id = o.o_w_id AND c.c_d_id = o.o_d_id AND c.c_id = o.o_c_id
+JOIN items it ON it.i_id = pl.i_id
+""", split=True)(lambda t: reads.popular_items(_script_requests(t)["popular_items"], t.districts, t.orders, t.order_lines,
+                                               t.items, t.customers).drop("seq"))
+
+register("script_related_customers", """
+, oi AS (SELECT DISTINCT o.o_w_id AS w_id, o.o_d_id AS d_id, o.o_c_id AS c_id, o.o_id, ol.ol_i_id AS i_id
+         FROM w_orders o JOIN order_lines ol ON ol.ol_w_id = o.o_w_id AND ol.ol_d_id = o.o_d_id AND ol.ol_o_id = o.o_id),
+ov AS (SELECT a.w_id, a.d_id, a.c_id, b.w_id AS r_w_id, b.d_id AS r_d_id, b.c_id AS r_c_id, count(DISTINCT a.i_id) AS n
+       FROM oi a JOIN related_requests r ON r.w_id = a.w_id AND r.d_id = a.d_id AND r.c_id = a.c_id
+       JOIN oi b ON a.i_id = b.i_id AND a.w_id <> b.w_id GROUP BY a.w_id, a.d_id, a.c_id, a.o_id, b.w_id, b.d_id, b.c_id, b.o_id)
+SELECT DISTINCT w_id, d_id, c_id, r_w_id, r_d_id, r_c_id FROM ov WHERE n >= 2
+""", split=True)(lambda t: reads.related_customers(t.orders, t.order_lines, _script_requests(t)["related_customers"]))
+
+register("script_top_balance", """
+, top AS (SELECT c_w_id, c_d_id, c_id, c_balance,
+            CAST(row_number() OVER (ORDER BY c_balance DESC NULLS LAST, c_w_id, c_d_id, c_id) AS INTEGER) AS rank FROM customers)
+SELECT CAST(w.w_id % 20 AS INTEGER) AS client, t.rank, t.c_w_id, t.c_d_id, t.c_id, t.c_balance
+FROM warehouses w JOIN top t ON t.rank <= 10
+""", split=True)(lambda t: _script_top_balance(t))
+
+
+def _script_top_balance(t):
+    """Each T record gets the ten rows."""
+    top = reads.top_balance(t.customers, t.districts, t.warehouses).select("rank", "c_w_id", "c_d_id", "c_id", "c_balance")
+    asked = _script_requests(t)["top_balance"].select("client", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("rank"))
+    return asked.join(F.broadcast(top), "rank").select("client", "rank", "c_w_id", "c_d_id", "c_id", "c_balance")  # ten rows
+
+
 # ------------------------------------------------------------------ scalars
 
 register("safe_int_parse", """

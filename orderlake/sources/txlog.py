@@ -27,8 +27,10 @@ ITEM_FIELDS = 3
 def script_lines(t) -> DataFrame:
     """The lines of the client scripts derived from the request tables.
 
-    Columns: client, k1, k2, k3 (order inside the client file), text. Error
-    events become truncated Payment records, which the parser must reject.
+    Columns: client, k1, k2, k3 (order inside the client's files), text. Error
+    events become faulty records of five kinds, by event number: too short, a
+    text for a number, an unknown type, a New-Order with fewer lines than it
+    says, an item line without an order. The parser must reject them all.
     """
     def rec(df, client, k1, code, text):
         return df.select(client.cast("int").alias("client"), k1.cast("long").alias("k1"),
@@ -52,16 +54,23 @@ def script_lines(t) -> DataFrame:
             F.concat_ws(",", F.lit("D"), s("w_id"), s("carrier_id"))),
         rec(t.customer_requests, s("c_id") % 20, s("c_id"), "O",
             F.concat_ws(",", F.lit("O"), s("w_id"), s("d_id"), s("c_id"))),
-        rec(t.customer_requests, s("c_id") % 20, s("c_id"), "R",
+        rec(t.related_requests, s("c_id") % 20, s("c_id"), "R",
             F.concat_ws(",", F.lit("R"), s("w_id"), s("d_id"), s("c_id"))),
         rec(t.stock_level_requests, (s("w_id") * 10 + s("d_id")) % 20, s("w_id") * 10 + s("d_id"), "S",
             F.concat_ws(",", F.lit("S"), s("w_id"), s("d_id"), s("threshold"), s("last_l"))),
         rec(t.popular_requests, (s("w_id") * 10 + s("d_id")) % 20, s("w_id") * 10 + s("d_id"), "I",
             F.concat_ws(",", F.lit("I"), s("w_id"), s("d_id"), s("last_l"))),
         rec(t.warehouses, s("w_id") % 20, s("w_id"), "T", F.lit("T")),
-        rec(t.raw("events").filter(s("event_type") == "error"), s("event_id") % 20, s("event_id"), "P",
-            F.concat_ws(",", F.lit("P"), s("user_id"))),
     ]
+    error = t.raw("events").filter(s("event_type") == "error")
+    fault = s("event_id") % 5
+    texts = (F.when(fault == 0, F.array(F.concat_ws(",", F.lit("P"), s("user_id"))))
+             .when(fault == 1, F.array(F.lit("P,1,1,x,5.00")))
+             .when(fault == 2, F.array(F.lit("Q,1,2")))
+             .when(fault == 3, F.array(F.concat_ws(",", F.lit("N"), s("user_id"), F.lit("1,1,3")), F.lit("1,1,1")))
+             .otherwise(F.array(F.lit("1,1,1"))))
+    parts.append(error.select((s("event_id") % 20).cast("int").alias("client"), s("event_id").cast("long").alias("k1"), F.lit("Z").alias("k2"),
+                              F.posexplode(texts).alias("k3", "text")).withColumn("k3", s("k3").cast("long")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -69,11 +78,11 @@ def script_lines(t) -> DataFrame:
 
 
 def write_scripts(t, out_dir: str) -> str:
-    """Write one text file per client (``client=K/part-*.txt``), lines in
-    script order."""
-    lines = script_lines(t)
-    (lines.repartition("client").sortWithinPartitions("client", "k1", "k2", "k3")
-          .select("client", "text").write.mode("overwrite").partitionBy("client").text(out_dir))
+    """Write two text files per client (``client=K/part=P/*.txt``), lines in
+    script order; a record and its lines are in one file."""
+    lines = script_lines(t).withColumn("part", (F.col("k1") / 20).cast("long") % 2)
+    (lines.repartition("client", "part").sortWithinPartitions("client", "part", "k1", "k2", "k3")
+          .select("client", "part", "text").write.mode("overwrite").partitionBy("client", "part").text(out_dir))
     return out_dir
 
 
@@ -233,7 +242,7 @@ def new_order_items(parsed: DataFrame) -> DataFrame:
 
 
 def request_tables(valid: DataFrame, parsed: DataFrame) -> dict:
-    """Request tables of the write transactions found in the scripts.
+    """Request tables of all eight transaction types found in the scripts.
 
     ``seq`` orders requests as the clients issued them: by client, then by the
     client's files in the order of their names, then by line
@@ -257,4 +266,10 @@ def request_tables(valid: DataFrame, parsed: DataFrame) -> dict:
                               "supply_w_id", "quantity"))
     deliveries = valid.filter(F.col("txn_type") == "D").select(seq, "w_id", "carrier_id",
                                                                 now.alias("delivery_d"))
-    return {"payments": pay, "new_orders": new_orders, "new_lines": new_lines, "deliveries": deliveries}
+    def of(code: str, *cols: str) -> DataFrame:
+        return valid.filter(F.col("txn_type") == code).select(seq, "client", *cols)
+
+    return {"payments": pay, "new_orders": new_orders, "new_lines": new_lines, "deliveries": deliveries,
+            "order_status": of("O", "w_id", "d_id", "c_id"), "stock_level": of("S", "w_id", "d_id", "threshold", "last_l"),
+            "popular_items": of("I", "w_id", "d_id", "last_l"), "top_balance": of("T"),
+            "related_customers": of("R", "w_id", "d_id", "c_id")}

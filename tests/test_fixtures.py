@@ -312,8 +312,21 @@ def test_transaction_script_parse_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-def test_top_balance_stream_over_several_batches(spark, tmp_path):
-    """Three event files = three micro-batches = three customer versions."""
+def _event_files(spark, tmp_path, numbers):
+    """Events as a folder of part files, as any table of more than one file is."""
+    from orderlake.streaming import streams
+    d = tmp_path / "events.parquet"
+    d.mkdir(exist_ok=True)
+    for b in numbers:
+        rows = [(b * 100 + c, dt.datetime(2024, 1, 1, b), c, "purchase", float(c * (b + 1)), "{}")
+                for c in range(1, 13)] + [(b * 100 + 50, dt.datetime(2024, 1, 1, b), 1, "view", 99.0, "{}")]
+        spark.createDataFrame(rows, streams.EVENTS_SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"batch{b}"))
+        src = next(p for p in (tmp_path / f"batch{b}").iterdir() if p.name.endswith(".parquet"))
+        src.rename(d / f"part-{b}.parquet")
+
+
+def test_streams_over_several_batches_stop_and_resume(spark, tmp_path):
+    """Two event files, one per micro-batch; then a third one arrives at the same location."""
     from orderlake.streaming import streams
     cu = table(spark, "customers", [dict(c_w_id=1, c_d_id=1, c_id=c, c_first="F", c_middle="OE",
                                          c_last=f"C{c}", c_balance=Decimal("100.00"),
@@ -321,17 +334,86 @@ def test_top_balance_stream_over_several_batches(spark, tmp_path):
                                     for c in range(1, 13)])
     di = table(spark, "districts", [dict(d_w_id=1, d_id=1, d_name="D1")])
     wh = table(spark, "warehouses", [dict(w_id=1, w_name="W")])
-    schema = streams.EVENTS_SCHEMA
-    for b in range(3):
-        rows = [(b * 100 + c, dt.datetime(2024, 1, 1, b), c, "purchase", float(c * (b + 1)), "{}")
-                for c in range(1, 13)] + [(b * 100 + 50, dt.datetime(2024, 1, 1, b), 1, "view", 99.0, "{}")]
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"batch{b}"))
-        src = next(p for p in (tmp_path / f"batch{b}").iterdir() if p.name.endswith(".parquet"))
-        src.rename(tmp_path / f"events-{b}.parquet")
-    got = streams.stream_top_balance(spark, str(tmp_path), cu, di, wh, k=3, pattern="events-*.parquet")
-    rows = [(r.rank, r.c_id, r.c_balance) for r in got.orderBy("rank").collect()]
-    # customer c paid c * (1 + 2 + 3) in total
-    assert rows == [(1, 1, Decimal("94.00")), (2, 2, Decimal("88.00")), (3, 3, Decimal("82.00"))]
+    sf = str(tmp_path)
+
+    def top():
+        got = streams.stream_top_balance(spark, sf, cu, di, wh, k=3, location=f"{sf}/top", files_per_batch=1)
+        return [(r.rank, r.c_id, r.c_balance) for r in got.orderBy("rank").collect()]
+
+    def paid():
+        got = streams.stream_payment_totals(spark, sf, cu, location=f"{sf}/paid", files_per_batch=1)
+        return {r.c_id: (r.paid, r.n_payments) for r in got.collect()}
+
+    def days():
+        got = streams.stream_window_latency(spark, sf, location=f"{sf}/days", files_per_batch=1)
+        return {r.client: (r.n_txn, r.max_latency_ms) for r in got.collect()}
+
+    _event_files(spark, tmp_path, [0, 1])
+    # customer c has paid c * (1 + 2)
+    assert top() == [(1, 1, Decimal("97.00")), (2, 2, Decimal("94.00")), (3, 3, Decimal("91.00"))]
+    assert paid() == {c: (Decimal(3 * c), 2) for c in range(1, 13)}
+    assert days()[2] == (2, 4.0)
+    assert top() == [(1, 1, Decimal("97.00")), (2, 2, Decimal("94.00")), (3, 3, Decimal("91.00"))]  # nothing new
+    _event_files(spark, tmp_path, [2])
+    assert top() == [(1, 1, Decimal("94.00")), (2, 2, Decimal("88.00")), (3, 3, Decimal("82.00"))]
+    assert paid() == {c: (Decimal(6 * c), 3) for c in range(1, 13)}
+    assert days()[2] == (3, 6.0)
+
+
+def test_stream_counts_equal_the_batch(spark, tmp_path):
+    """Incomplete orders and bad numbers don't count in either."""
+    from orderlake.streaming import streams
+    (tmp_path / "0.txt").write_text("N,1,1,1,2\n5,1,3\nP,1,1,x,1.00\nT\n")
+    (tmp_path / "1.txt").write_text("P,1,1,1,1.00\nT\n")
+    want = {"T": 2, "P": 1}
+    got = streams.stream_transaction_counts(spark, str(tmp_path), location=str(tmp_path / "_state"))
+    assert {r.txn_type: r.n_txn for r in got.collect()} == want
+    valid, _ = txlog.transactions(txlog.parse_scripts(txlog.read_script_lines(spark, str(tmp_path / "*.txt"))))
+    assert {r.txn_type: r["count"] for r in valid.groupBy("txn_type").count().collect()} == want
+
+
+def test_several_files_of_a_client_keep_their_orders_apart(spark, tmp_path):
+    """Files named by client, and part files of one client: unique request numbers, lines with their order."""
+    d = tmp_path / "client=3"
+    d.mkdir()
+    for k in range(2):
+        (d / f"part-{k}.txt").write_text(f"N,{k},1,1,2\n{k}1,1,3\n{k}2,1,4\n")
+    (tmp_path / "7.txt").write_text("P,1,1,1,10.50\n")
+    (tmp_path / "notes.txt").write_text("T\n")
+    parsed = txlog.parse_scripts(txlog.read_script_lines(spark, f"{tmp_path}/{{*.txt,client=3}}"))
+    valid, rejects = txlog.transactions(parsed)
+    assert sorted((r.client, r.txn_type) for r in valid.collect()) == [(3, "N"), (3, "N"), (7, "P")]
+    assert [r.reason for r in rejects.collect()] == ["unknown_client"]
+    req = txlog.request_tables(valid, parsed)
+    orders_ = {r.seq: r.c_id for r in req["new_orders"].collect()}
+    items = sorted((orders_[r.seq], r.line_no, r.i_id) for r in req["new_lines"].collect())
+    assert len(orders_) == 2 and items == [(0, 1, 1), (0, 2, 2), (1, 1, 11), (1, 2, 12)]
+
+
+def test_insert_if_absent_takes_the_first_of_a_key(spark):
+    base = spark.createDataFrame([(1, "old")], "k int, v string")
+    rows = spark.createDataFrame([(1, "no", 1), (2, "late", 9), (2, "first", 2), (3, "only", 3)], "k int, v string, seq int")
+    got = sorted((r.k, r.v) for r in changes.insert_if_absent(base, rows, ["k"], ["seq"]).collect())
+    assert got == [(1, "old"), (2, "first"), (3, "only")]
+
+
+def test_csv_keeps_malformed_lines_apart(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    schema = StructType([StructField("a", IntegerType()), StructField("b", IntegerType()), StructField("c", StringType())])
+    p = tmp_path / "f.csv"
+    p.write_text("a,b,c\n1,2,x\n3,null,y\nq,4,z\n5,6\n7,8,9,10\n")
+    rows, rejects = csv_io.read_csv_checked(spark, str(p), schema, header=True)
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, 2, "x"), (3, None, "y")]
+    assert sorted(r.line for r in rejects.collect()) == ["5,6", "7,8,9,10", "q,4,z"]
+    assert rows.select("a").count() == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv_io.read_csv(spark, str(p), schema, header=True, fail=True).collect()
+
+
+def test_means_are_of_raw_latencies(spark):
+    ev = spark.createDataFrame([(0, 0.004)] * 3, "client int, latency_ms double")
+    assert metrics.client_latency_stats(ev).first().mean_ms == Decimal("0.0040")
+    assert metrics.client_latency_stats_exclusive(ev).first().mean_ms == Decimal("0.0040")
 
 
 def test_dist_info_literal_or_from_stock(spark):
