@@ -57,7 +57,3 @@ def refilled_stock(q0, consumed) -> Column:
 def epoch_ms_between(start, end) -> Column:
     """Whole milliseconds from ``start`` to ``end`` (time-zone independent)."""
     return F.timestamp_diff("MILLISECOND", col(start), col(end)).cast("long")
-
-
-def safe_int(c) -> Column:
-    return F.expr(f"try_cast({c} AS INT)") if isinstance(c, str) else c.try_cast("int")

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.schema import FOREIGN_KEYS, LENGTH_LIMITS, PRIMARY_KEYS
+from ..sources.schema import BASE_SCHEMAS, FOREIGN_KEYS, LENGTH_LIMITS, PRIMARY_KEYS
 
 # The fifteen audited totals, in the order they are reported.
 DB_STATE_METRICS = [
@@ -76,13 +76,14 @@ def audit_primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def audit_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Child rows without a parent, per foreign key (Q2): anti joins."""
+    """Child rows without a parent, per foreign key (Q2): anti joins. A key with a
+    NULL in it refers to nothing and passes."""
     parts = []
     for child, ccols, parent, pcols in FOREIGN_KEYS:
         c = tables[child].select(*[F.col(a).alias(f"k{i}") for i, a in enumerate(ccols)])
-        p = tables[parent].select(*[F.col(a).alias(f"k{i}") for i, a in enumerate(pcols)]).distinct()
+        p = tables[parent].select(*[F.col(a).alias(f"k{i}") for i, a in enumerate(pcols)])
         keys = [f"k{i}" for i in range(len(ccols))]
-        orphans = c.join(p, keys, "left_anti")
+        orphans = c.dropna("any").join(p, keys, "left_anti")
         parts.append(orphans.agg(F.count(F.lit(1)).cast("long").alias("n_orphans"))
                      .select(F.lit(child).alias("child"), F.lit(",".join(ccols)).alias("child_cols"),
                              F.lit(parent).alias("parent"), "n_orphans"))
@@ -112,6 +113,24 @@ def audit_lengths(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def audit_precision(tables: dict[str, DataFrame]) -> DataFrame:
+    """Decimal columns: declared precision and scale, those of the column as it is,
+    and values beyond the declared range (Q4)."""
+    parts = []
+    for name, schema in BASE_SCHEMAS.items():
+        own = {f.name: f.dataType for f in tables[name].schema}
+        rules = [(f.name, f.dataType) for f in schema if f.dataType.typeName() == "decimal"]
+        if not rules:
+            continue
+        wide = tables[name].agg(*[F.count(F.when(F.abs(F.col(c)) >= F.lit(10 ** (d.precision - d.scale)).cast("decimal(38,0)"), 1)).alias(c) for c, d in rules])
+        long = wide.unpivot([], [c for c, _ in rules], "column_name", "n_out_of_range")
+        says = F.create_map(*[x for c, d in rules for x in (F.lit(c), F.lit(f"{d.precision},{d.scale}"))])
+        have = F.create_map(*[x for c, _ in rules for x in (F.lit(c), F.lit(f"{own[c].precision},{own[c].scale}"))])
+        parts.append(long.select(F.lit(name).alias("table_name"), "column_name", says[F.col("column_name")].alias("declared"),
+                                 have[F.col("column_name")].alias("actual"), F.col("n_out_of_range").cast("long").alias("n_out_of_range")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def row_count_reconcile(pairs: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     """Raw versus processed row counts."""
     parts = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import audit, changes
+from ..operators import audit, changes, derived
 from .derived_q import _db_state_sql
 from ..session import cut_lineage
 from ..sources import txlog
@@ -224,6 +224,46 @@ WHERE NOT EXISTS (SELECT 1 FROM w_orders o
                   WHERE o.o_w_id = h.o_w_id AND o.o_d_id = h.o_d_id AND o.o_id = h.o_id)
 """, split=True)(lambda t: _insert_with_conflicts(t))
 
+# Every 17th requested line names an item that isn't there: such lines are
+# rejected, the rest of their orders goes ahead.
+register("new_order_rejects", """
+, l AS (SELECT seq, line_no, CASE WHEN (seq + line_no) % 17 = 0 THEN i_id + 10000000 ELSE i_id END AS i_id, supply_w_id, quantity
+        FROM new_order_line_requests)
+SELECT l.seq, l.line_no, l.i_id, l.supply_w_id, l.quantity FROM l
+WHERE NOT EXISTS (SELECT 1 FROM items i WHERE i.i_id = l.i_id)
+   OR NOT EXISTS (SELECT 1 FROM stocks s WHERE s.s_w_id = l.supply_w_id AND s.s_i_id = l.i_id)
+""", split=True)(lambda t: _rejected_lines(t))
+
+
+def _rejected_lines(t):
+    faulty = F.when((F.col("seq") + F.col("line_no")) % 17 == 0, F.col("i_id") + 10_000_000).otherwise(F.col("i_id"))
+    lines = t.new_order_line_requests.withColumn("i_id", faulty)
+    return (changes.new_order_checked_lines(lines, t.new_order_requests, t.items, t.stocks).filter(~F.col("accepted"))
+            .select("seq", "line_no", "i_id", "supply_w_id", "quantity"))
+
+
+# Derived tables after a batch: the batch's own rows are added, nothing is rebuilt.
+register("upkeep_customer_order_items", _NEW_ORDER + """
+SELECT DISTINCT o.o_w_id AS w_id, o.o_d_id AS d_id, o.o_c_id AS c_id, o.o_id, ol.ol_i_id AS i_id
+FROM (SELECT o_w_id, o_d_id, o_c_id, o_id FROM w_orders UNION ALL SELECT o_w_id, o_d_id, o_c_id, o_id FROM hdr) o
+JOIN (SELECT ol_w_id, ol_d_id, ol_o_id, ol_i_id FROM order_lines UNION ALL SELECT ol_w_id, ol_d_id, ol_o_id, ol_i_id FROM nl) ol
+  ON ol.ol_w_id = o.o_w_id AND ol.ol_d_id = o.o_d_id AND ol.ol_o_id = o.o_id
+""", split=True)(lambda t: derived.customer_order_items(t.orders, t.order_lines).unionByName(
+    derived.customer_order_items(_headers(t), _new_lines(t))))
+
+register("upkeep_undelivered_orders", _NEW_ORDER + """
+SELECT o_w_id, o_d_id, o_id, o_c_id FROM w_orders WHERE o_carrier_id IS NULL
+UNION ALL SELECT o_w_id, o_d_id, o_id, o_c_id FROM hdr
+""", split=True)(lambda t: derived.undelivered_orders(t.orders).unionByName(derived.undelivered_orders(_headers(t))))
+
+register("upkeep_orders_by_customer", _NEW_ORDER + """
+SELECT c.c_w_id, c.c_d_id, c.c_id, o.o_id, o.o_entry_d, o.o_carrier_id, o.o_ol_cnt, c.c_first, c.c_middle, c.c_last
+FROM (SELECT o_w_id, o_d_id, o_c_id, o_id, o_entry_d, o_carrier_id, o_ol_cnt FROM w_orders
+      UNION ALL SELECT o_w_id, o_d_id, o_c_id, o_id, o_entry_d, o_carrier_id, o_ol_cnt FROM hdr) o
+JOIN customers c ON c.c_w_id = o.o_w_id AND c.c_d_id = o.o_d_id AND c.c_id = o.o_c_id
+""", split=True)(lambda t: derived.orders_by_customer(t.orders, t.customers).unionByName(
+    derived.orders_by_customer(_headers(t), t.customers)))
+
 # ------------------------------------------------------------- whole batch
 
 

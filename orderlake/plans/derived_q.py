@@ -53,6 +53,20 @@ JOIN customers c ON c.c_w_id = pl.w_id AND c.c_d_id = pl.d_id AND c.c_id = o.o_c
 JOIN items it ON it.i_id = pl.i_id
 """)(lambda t: derived.popular_items_snapshot(t.orders, t.order_lines, t.items, t.customers))
 
+register("popular_items_snapshot_min", """
+, pl AS (
+  SELECT ol_w_id AS w_id, ol_d_id AS d_id, ol_o_id AS o_id, ol_i_id AS i_id, ol_quantity
+  FROM (SELECT *, dense_rank() OVER (PARTITION BY ol_w_id, ol_d_id, ol_o_id ORDER BY ol_quantity) AS rk
+        FROM order_lines) x
+  WHERE rk = 1)
+SELECT pl.w_id, pl.d_id, pl.o_id, o.o_entry_d, o.o_c_id AS c_id, c.c_first, c.c_middle, c.c_last,
+  pl.i_id, it.i_name, pl.ol_quantity
+FROM pl
+JOIN w_orders o ON o.o_w_id = pl.w_id AND o.o_d_id = pl.d_id AND o.o_id = pl.o_id
+JOIN customers c ON c.c_w_id = pl.w_id AND c.c_d_id = pl.d_id AND c.c_id = o.o_c_id
+JOIN items it ON it.i_id = pl.i_id
+""")(lambda t: derived.popular_items_snapshot(t.orders, t.order_lines, t.items, t.customers, mode="min"))
+
 register("top_balance_table", """
 SELECT c.c_w_id, c.c_d_id, c.c_id, c.c_balance, c.c_first, c.c_middle, c.c_last, w.w_name, d.d_name
 FROM customers c
@@ -178,6 +192,18 @@ register("audit_pk", _pk_sql())(lambda t: audit.audit_primary_keys(_base(t)))
 register("audit_fk", _fk_sql())(lambda t: audit.audit_foreign_keys(_base(t)))
 register("audit_lengths", _len_sql())(lambda t: audit.audit_lengths(_base(t)))
 
+def _precision_sql():
+    from ..sources.schema import BASE_SCHEMAS
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, '{f.name}' AS column_name, '{f.dataType.precision},{f.dataType.scale}' AS declared, "
+        f"'{f.dataType.precision},{f.dataType.scale}' AS actual, "
+        f"CAST(count(*) FILTER (WHERE abs({f.name}) >= {10 ** (f.dataType.precision - f.dataType.scale)}) AS BIGINT) AS n_out_of_range "
+        f"FROM {'w_orders' if name == 'orders' else name}"
+        for name, schema in BASE_SCHEMAS.items() for f in schema if f.dataType.typeName() == "decimal")
+
+
+register("audit_precision", _precision_sql())(lambda t: audit.audit_precision(_base(t)))
+
 register("audit_check_carrier", """
 SELECT CAST(count(*) FILTER (WHERE NOT (o_carrier_id BETWEEN 1 AND 10)) AS BIGINT) AS n_violations,
   CAST(count(*) FILTER (WHERE o_carrier_id IS NULL) AS BIGINT) AS n_null_carrier,
@@ -210,4 +236,4 @@ SELECT table_name, raw_rows, processed_rows, raw_rows - processed_rows AS diff F
     (SELECT count(*) FROM w_orders) + (SELECT count(*) FROM new_order_requests)
   UNION ALL SELECT 'order_lines', (SELECT count(*) FROM lineitem),
     (SELECT count(*) FROM order_lines) + (SELECT count(*) FROM new_order_line_requests)) x
-""")(_reconcile)
+""", split=True)(_reconcile)

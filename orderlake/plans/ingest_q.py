@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.scalar import epoch_ms_between
 from ..operators import metrics, reads
 from ..session import cut_lineage, scratch_table_path
-from ..sources import csv_io, txlog
-from ..sources.schema import BASE_SCHEMAS, ORDER, ORDER_LINE, PRIMARY_KEYS
+from ..sources import catalog, csv_io, txlog
+from ..sources.schema import BASE_SCHEMAS, ORDER, ORDER_LINE
+from ..sources.testdata import CLIENTS
 from ..streaming import streams
 from .registry import register
 
@@ -77,6 +78,40 @@ def _null_token(t):
 register("null_token_load", "SELECT * FROM w_orders")(_null_token)
 
 
+def _delimited(t):
+    """Tab-separated, with \\N for NULL."""
+    path = _scratch(t, "delimited")
+    csv_io.write_csv(t.orders.select(*ORDER.fieldNames()), path, null_token="\\N", sep="\t")
+    return csv_io.read_csv(t.spark, path, ORDER, null_token="\\N", sep="\t")
+
+
+register("delimited_load", "SELECT * FROM w_orders")(_delimited)
+
+
+def _all_strings(t):
+    """Every column read as text."""
+    path = _scratch(t, "all-strings")
+    csv_io.write_csv(t.items, path)
+    return csv_io.read_csv(t.spark, path, ", ".join(f"{c} STRING" for c in t.items.columns))
+
+
+register("all_string_scan", "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ("i_id", "i_name", "i_price", "i_im_id", "i_data"))
+         + " FROM items")(_all_strings)
+
+
+def _catalog_load(t):
+    """Catalog tables created, loaded from columns in another order, dropped (their files stay) and created again over them."""
+    place, db = _scratch(t, "catalog"), f"load_{uuid.uuid4().hex[:12]}"
+    catalog.create_base_tables(t.spark, place, db)
+    catalog.load_table(t.orders.select(*reversed(t.orders.columns)), db, "orders")
+    catalog.drop_tables(t.spark, db)
+    catalog.create_base_tables(t.spark, place, db)
+    return t.spark.table(f"{db}.orders")
+
+
+register("catalog_load", "SELECT * FROM w_orders")(_catalog_load)
+
+
 def _csv_rejects(t):
     """Orders as CSV, of which some lines have a text for a number or end early."""
     path = _scratch(t, "csv-rejects")
@@ -359,7 +394,8 @@ def _summary_from_metrics_file(t):
     (S13) and summarised (A11)."""
     path = _scratch(t, "client-metrics")
     per_client = metrics.client_throughput(t.transaction_events)
-    csv_io.write_csv(per_client, path, header=True, null_token=None, mode="append")
+    for half in (F.col("client") < CLIENTS // 2, F.col("client") >= CLIENTS // 2):  # each run of clients appends its own
+        csv_io.write_csv(per_client.filter(half), path, header=True, null_token=None, mode="append")
     back = csv_io.read_csv(t.spark, path, per_client.schema, header=True, null_token=None)
     return metrics.throughput_summary(back)
 

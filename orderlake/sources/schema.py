@@ -110,5 +110,5 @@ LENGTH_LIMITS = {
                   ("c_phone", 16), ("c_credit", 2), ("c_data", 500)],
     "items": [("i_name", 24), ("i_data", 50)],
     "order_lines": [("ol_dist_info", 24)],
-    "stocks": [("s_data", 50)],
+    "stocks": [*[(f"s_dist_{k:02d}", 24) for k in range(1, 11)], ("s_data", 50)],
 }
