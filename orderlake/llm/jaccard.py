@@ -160,11 +160,13 @@ def count_overlaps(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
 
 
 def linked(pairs: DataFrame, pieces: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) whose overlap reaches num / den of the union."""
+    """The components (c_a, c_b) of the pairs (a, b, n_a, n_b, c_a, c_b) whose overlap
+    reaches num / den of the union."""
     pairs = cut_lineage(pairs, "jaccard-pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     o = count_overlaps(pairs, narrowed(pieces, "node", nodes))
-    return (pairs.join(o, ["a", "b"]).where(den * F.col("overlap") >= num * (F.col("n_a") + F.col("n_b") - F.col("overlap"))).select("a", "b"))
+    return (pairs.join(o, ["a", "b"]).where(den * F.col("overlap") >= num * (F.col("n_a") + F.col("n_b") - F.col("overlap")))
+            .select("c_a", "c_b").distinct())
 
 
 def may_link(num: int, den: int):
@@ -175,7 +177,7 @@ def may_link(num: int, den: int):
     return ((den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & (rest >= need))
 
 
-def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, pivot_rounds: int = 8, pivots: int = 8, block_words: int = 1_000_000,
+def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, pivot_rounds: int = 8, pivots: int = 4, block_words: int = 1_000_000,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of ``docs``.
 
@@ -187,53 +189,57 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, p
     """
     t = id_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     sets = shingle_sets(t, n, num, den, block_words)
-    # rows of the prefixes: node, n, gram, at; only n-grams of two nodes or more matter
-    rows = (sets.where("prefix is not null").select("node", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("prefix", "places")).alias("p"))
-            .select("node", "n", F.col("p.prefix").alias("gram"), F.col("p.places").alias("at")).distinct())
+    # rows of the prefixes: node, n, alone, gram, at; only n-grams of two nodes or more matter
+    rows = (sets.where("size(prefix) > 0")
+            .select("node", F.col("n_shingles").alias("n"), F.col("places")[0].alias("alone"), F.explode(F.arrays_zip("prefix", "places")).alias("p"))
+            .select("node", "n", "alone", F.col("p.prefix").alias("gram"), F.col("p.places").alias("at")).distinct())
     rows = cut_lineage(rows, "jaccard-prefixes")
     several = rows.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("gram")
     rows = cut_lineage(rows.join(several, "gram"), "jaccard-rows")
     start = rows.count()
+    labels = None
     if start:
         of = sets.where("pieces is not null").select("node", "pieces", "sizes")
         pieces = cut_lineage(narrowed(of, "node", rows.select("node")).dropDuplicates(["node"])
                              .select("node", F.posexplode(F.arrays_zip("pieces", "sizes")).alias("fragment", "p"))
                              .select("node", "fragment", F.col("p.sizes").alias("size"), F.col("p.pieces").alias("piece")).where("size > 0"), "jaccard-pieces")
-    links = None
-    labels = None
+        labels = cut_lineage(rows.select("node", F.col("node").alias("c")).distinct(), "jaccard-labels")
     for turn in range(pivot_rounds + 1):
         if not start:
             break
-        here = rows.withColumn("c", F.col("node")) if labels is None else (
-            rows.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"))
+        here = rows.join(labels, "node")
         by = here.groupBy("gram", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("gram").agg(
             F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-        here = cut_lineage(here.join(by, "gram"), "jaccard-open")
-        left = here.select("gram", "m", "same").distinct().agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2)).first()[0]
+        by = cut_lineage(by.select("gram", ((F.col("m") * F.col("m") - F.col("same")) / 2).alias("pairs")), "jaccard-open")
+        left = by.agg(F.sum("pairs")).first()[0]
         if not left:
             break
+        here = here.join(by.select("gram"), "gram")
         last = turn == pivot_rounds or left <= max(start, 100_000)
         if last:  # all that is left between components
-            x, y = (here.select("gram", F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("at").alias(f"at_{s}"), F.col("c").alias(f"c_{s}")) for s in "ab")
-            pairs = x.join(y, "gram").where("a < b and c_a <> c_b").where(may_link(num, den)).select("a", "b", "n_a", "n_b").distinct()
-        else:  # each node with the pivots that most of its n-grams name
-            first = F.row_number().over(Window.partitionBy("gram").orderBy(F.xxhash64("node", F.lit(turn)), "node"))
-            pivot = (here.select("gram", "node", "n", "at", "c").withColumn("r", first).where(F.col("r") <= pivots)
+            x, y = (here.select("gram", *[F.col(c).alias(f"{k}_{s}") for c, k in (("node", "node"), ("n", "n"), ("at", "at"), ("c", "c"))]) for s in "ab")
+            pairs = (x.join(y, "gram").where("node_a < node_b and c_a <> c_b").where(may_link(num, den))
+                     .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b", "c_a", "c_b").distinct())
+        else:
+            # each node with the pivots that most of its n-grams name; pivots are the nodes with the fewest
+            # n-grams of their own, as the text that others were copied from; each round the next ones
+            order = F.row_number().over(Window.partitionBy("gram").orderBy(F.col("alone") / F.col("n"), F.xxhash64("node"), "node"))
+            pivot = (here.withColumn("r", order).where(F.col("r") <= pivots * (turn + 1)).where(F.col("r") > pivots * turn)
                      .select("gram", F.struct("node", "n", "at", "c").alias("v")))
             pairs = (here.join(pivot, "gram").where("c <> v.c")
                      .select(F.col("node").alias("a"), F.col("v.node").alias("b"), F.col("n").alias("n_a"), F.col("v.n").alias("n_b"),
-                             F.col("at").alias("at_a"), F.col("v.at").alias("at_b")).where(may_link(num, den))
-                     .groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("times"))
+                             F.col("at").alias("at_a"), F.col("v.at").alias("at_b"), F.col("c").alias("c_a"), F.col("v.c").alias("c_b"))
+                     .where(may_link(num, den)).groupBy("a", "b", "n_a", "n_b", "c_a", "c_b").agg(F.count(F.lit(1)).alias("times"))
                      .withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("times"), "b")))
                      .where(F.col("r") <= pivots).drop("r", "times"))
-        found = cut_lineage(linked(pairs, pieces, num, den), "jaccard-links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
+        # components are joined to larger ones, so each round handles its own links only
+        to = components(linked(pairs, pieces, num, den), "c_a", "c_b").select(F.col("node").alias("c"), "component")
+        labels = cut_lineage(labels.join(to, "c", "left").select("node", F.coalesce("component", "c").alias("c")), "jaccard-labels")
         if last:
             break
     named = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     if labels is not None:
-        named = named.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
+        named = named.join(labels, "node", "left").withColumn("c", F.coalesce("c", "node"))
         named = named.select("node", "c", "first").join(named.groupBy("c").agg(F.min("first").alias("component_id")), "c").select("node", "component_id")
     else:
         named = named.select("node", F.col("first").alias("component_id"))
