@@ -215,7 +215,8 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, p
         if not left:
             break
         here = here.join(by.select("gram"), "gram")
-        last = turn == pivot_rounds or left <= max(start, 100_000)
+        # pairs that only share an n-gram cost a comparison of sizes and places each, so many of them may be left
+        last = turn == pivot_rounds or turn > 0 and left <= max(20 * start, 10_000_000) or left <= start
         if last:  # all that is left between components
             x, y = (here.select("gram", *[F.col(c).alias(f"{k}_{s}") for c, k in (("node", "node"), ("n", "n"), ("at", "at"), ("c", "c"))]) for s in "ab")
             pairs = (x.join(y, "gram").where("node_a < node_b and c_a <> c_b").where(may_link(num, den))
