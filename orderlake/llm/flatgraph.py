@@ -4,11 +4,17 @@ Vectors are dealt to overlapping shards around cluster centres. Each shard
 builds a flat graph: every vector is joined to nearest and some random ones,
 pruned so that no neighbour is much closer to another neighbour. The adjacency
 lists of all shards are united per vector and sent back. In each shard a
-greedy search runs for every vector from the medoids over the united graph
-and goes on expanding as long as vectors in range turn up; what it reaches is
-verified in double precision. Recall is audited against brute force for
-a stated set of queries; if it is too low, shards overlap more and the search
-keeps more.
+greedy search runs for every vector, from the medoids and the vector's own
+neighbours, over the united graph and goes on expanding as long as vectors in
+range turn up; what it reaches is verified in double precision.
+
+The search stays in the shard, so a pair is found only if some shard holds
+both. With more centres that gets rarer at the same overlap; the overlap is
+therefore fitted to the centres on planted pairs at exactly the radius. Recall
+is audited against brute force for a stated set of queries, by the number of
+their links, so a large group can't hide small ones; while it is too low,
+shards overlap more and the search keeps more, and at last all pairs of
+vectors are compared.
 
 Equal vectors are one node with a number of copies. A shard larger than
 ``max_cell`` is cut into blocks, and each pair of blocks is a cell of its own,
@@ -53,6 +59,17 @@ def fit_centers(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return c
 
 
+def needed_overlap(x: np.ndarray, centers: np.ndarray, radius: float, share: float, least: int) -> int:
+    """The smallest overlap, ``least`` or more, at which ``share`` of the pairs have a
+    shard in common that a vector of ``x`` makes with one at exactly the radius, in a random direction."""
+    z = np.random.default_rng(7).standard_normal(x.shape)
+    z -= np.einsum("ij,ij->i", z, x)[:, None] * x
+    y = radius * x + np.sqrt(max(0.0, 1 - radius * radius)) * z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+    rank = [np.argsort(np.argsort(-(v @ centers.T), axis=1, kind="stable"), axis=1) for v in (x, y)]
+    need = np.sort(np.maximum(*rank).min(axis=1) + 1)
+    return max(min(least, len(centers)), int(need[max(0, int(np.ceil(share * len(need))) - 1)]))
+
+
 def robust_prune(sim: np.ndarray, pools: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """Of each row's pool (indices, -1 for none, nearest first), up to ``degree``
     neighbours: the nearest left is taken, and those that it is ``alpha`` times
@@ -119,6 +136,8 @@ def range_search(x: np.ndarray, lists: list[np.ndarray], radius: float, slack: f
     q = np.arange(n)
     first = medoids(x, entries)
     sim[:, first] = x @ x[first].T
+    whose, to = np.repeat(q, degree), flat.astype(np.int64)
+    sim[whose, to] = np.maximum(np.einsum("ij,ij->i", x[whose], x[to]), -1.0)
     sim[q, q] = -2.0
     done[q, q] = True
     live = q
@@ -227,12 +246,22 @@ def near_pairs(nodes: DataFrame, centers: np.ndarray, radius: float, overlap: in
     return cut_lineage(found.union(found.select(F.col("b"), F.col("a"))).distinct(), "graph-links")
 
 
-def audit(nodes: DataFrame, links: DataFrame, radius: float, every: int, most: int) -> float:
-    """Share of the true links of the nodes divisible by ``every`` (at most ``most``, in
-    the order of a hash) that were found; 1 if there are none."""
-    queries = nodes.where(F.col("node") % every == 0).orderBy(F.xxhash64("node"), "node").limit(most).select("node", "embedding").collect()
-    if not queries:
-        return 1.0
+def all_pairs(nodes: DataFrame, center: np.ndarray, radius: float, max_cell: int) -> DataFrame:
+    """(a, b), both ways: all pairs of nodes in range, block by block."""
+    def compare(group: list[dict]) -> pa.RecordBatch:
+        ids = np.array([r["node"] for r in group])
+        x = unit([r["embedding"] for r in group])
+        i, j = np.nonzero(x @ x.T >= radius)
+        return pa.RecordBatch.from_arrays([pa.array(ids[i[i != j]]), pa.array(ids[j[i != j]])], names=["a", "b"])
+
+    return cut_lineage(by_cell(into_cells(deal(nodes, center, 1), max_cell), compare, "a long, b long").distinct(), "graph-links")
+
+
+def audit(nodes: DataFrame, links: DataFrame, radius: float, most: int) -> float:
+    """Share of true links that were found, of the first ``most`` nodes in the order of
+    a hash: the mean over the nodes of 1, 2 to 3, 4 to 7, ... true links each, of which
+    the lowest counts; 1 if there are no links."""
+    queries = nodes.orderBy(F.xxhash64("node"), "node").limit(most).select("node", "embedding").collect()
     shared = nodes.sparkSession.sparkContext.broadcast((np.array([r["node"] for r in queries]), unit([r["embedding"] for r in queries])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,13 +274,15 @@ def audit(nodes: DataFrame, links: DataFrame, radius: float, every: int, most: i
                 yield pa.RecordBatch.from_arrays([pa.array(ids[j][other]), pa.array(own[i][other])], names=["a", "b"])
 
     true = nodes.select("node", "embedding").mapInArrow(run, "a long, b long")
-    got = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count(F.lit(1)), F.count("hit")).first()
-    return got[1] / got[0] if got[0] else 1.0
+    share = (true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").groupBy("a")
+             .agg(F.count(F.lit(1)).alias("n"), (F.count("hit") / F.count(F.lit(1))).alias("share")))
+    worst = share.groupBy(F.length(F.bin("n"))).agg(F.avg("share").alias("share")).agg(F.min("share")).first()[0]
+    return 1.0 if worst is None else worst
 
 
 def near_duplicates(vectors: DataFrame, radius: float = 0.9, shard_size: int = 500, sample: int = 20_000, max_centers: int = 4_096, overlap: int = 2,
                     beam: int = 24, degree: int = 16, near: int = 40, random: int = 12, alpha: float = 1.2, slack: float = 0.05, entries: int = 8,
-                    max_cell: int = 3_000, audit_every: int = 100, audit_most: int = 1_000, min_recall: float = 0.95, tries: int = 3,
+                    max_cell: int = 3_000, shared: float = 0.99, audit_most: int = 1_000, min_recall: float = 0.95, tries: int = 3,
                     id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept, audit_recall), a row per row of ``vectors``.
 
@@ -260,7 +291,9 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.9, shard_size: int = 5
     commonest, link with nothing. Equal rows are linked copies; an empty table
     gives no rows; further columns are ignored. Centres are fitted on a sample of
     ``sample`` vectors (in the order of a hash), at most ``max_centers``; every
-    vector is indexed and searched.
+    vector is indexed and searched. A vector goes to ``overlap`` shards, or as
+    many as give ``shared`` of planted pairs a common one; they are doubled while
+    the audit is below ``min_recall``, and after ``tries`` all pairs are compared.
     """
     spark = vectors.sparkSession
     v = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<float>").alias("embedding"))
@@ -277,13 +310,18 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.9, shard_size: int = 5
     recall, best = 1.0, None
     if n > 1:
         picked = nodes.orderBy(F.xxhash64("node"), "node").limit(sample).select("embedding").collect()
-        centers = fit_centers(unit([r["embedding"] for r in picked]), min(max_centers, -(-n // shard_size)))
+        x = unit([r["embedding"] for r in picked])
+        centers = fit_centers(x, min(max_centers, -(-n // shard_size)))
+        wide = needed_overlap(x[:2_000], centers, radius, shared, overlap)
         for t in range(tries):
-            links = near_pairs(nodes, centers, radius, overlap + t, beam << t, degree, near, random, alpha, slack, entries, max_cell)
+            links = near_pairs(nodes, centers, radius, wide << t, beam << t, degree, near, random, alpha, slack, entries, max_cell)
             best = links if best is None else cut_lineage(best.union(links).distinct(), "graph-links")
-            recall = audit(nodes, best, radius, audit_every, audit_most)
+            recall = audit(nodes, best, radius, audit_most)
             if recall >= min_recall:
                 break
+        else:
+            best = all_pairs(nodes, centers[:1], radius, max_cell)
+            recall = audit(nodes, best, radius, audit_most)
     if best is None:
         best = spark.createDataFrame([], "a long, b long")
     labels = components(best)

@@ -48,6 +48,31 @@ def test_flat_graph_finds_links(spark, cell):
     assert flatgraph.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_flat_graph_finds_pairs_between_many_centres(spark):
+    """Pairs alone in space at the radius, beside a large group whose links are nearly all there are."""
+    rng = np.random.default_rng(4)
+
+    def normal(n):
+        v = rng.normal(size=(n, 64))
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+    x, z = normal(1500), normal(1500)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.901 * x + np.sqrt(1 - 0.901 ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    group = normal(1) + 0.02 * rng.normal(size=(300, 64))
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, y, group]))]
+    r = flatgraph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), shard_size=15, sample=300).collect()
+    c = {q["vec_id"]: q for q in r}
+    assert np.mean([c[k]["component_id"] == c[1500 + k]["component_id"] == k for k in range(1500)]) >= 0.95
+    assert all(c[k]["n_links"] == 299 for k in range(3000, 3300)) and r[0]["audit_recall"] >= 0.95
+
+
+def test_flat_graph_compares_all_pairs_where_the_search_fails(spark):
+    rng = np.random.default_rng(0)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(300, 8)))]
+    r = flatgraph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), shard_size=10, max_cell=60, min_recall=1.0, tries=0).collect()
+    assert sorted((x["vec_id"], x["n_links"], x["component_id"], x["kept"]) for x in r) == brute(rows) and r[0]["audit_recall"] == 1.0
+
+
 def test_robust_prune_drops_hidden_neighbours():
     x = flatgraph.unit([[1, 0, 0], [0.99, 0.1, 0], [0.98, 0.15, 0], [0, 0, 1]])
     out = flatgraph.robust_prune(x @ x.T, np.array([[1, 2, 3], [0, 2, 3], [1, 0, 3], [0, 1, 2]]), 3, 1.2)
