@@ -4,12 +4,12 @@ Strict expressions with checks (address parts, Luhn sum, digit counts) find
 seed entities. The words around them induce lexical patterns: the two words
 before, the word before, the words before and after. Patterns and the
 identifier-like strings they stand beside form a graph; Spark scores both
-sides in turn: a pattern by the mean score of the distinct strings it meets,
-a string by the patterns it is met by. Strings that no strict expression
+sides in turn: a pattern by its seeds and found strings against the strings it
+meets that are proven to be something else, a string by the patterns it is met by. Strings that no strict expression
 takes, but which patterns of high confidence stand beside, are found too.
 
 Text is scanned once, by Arrow batches; the graph has rows only for
-identifier-like strings and lives in DataFrames throughout.
+identifier-like strings and numbers and lives in DataFrames throughout.
 """
 
 from __future__ import annotations
@@ -124,8 +124,8 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
                 j += 1
             if upto > s:
                 continue
-            if e - s <= 120 and (forms := form_of(m[0])):
-                out.append((s, e, None, m[0].lower(), patterns_at(text, s, e), sorted(forms)))
+            if e - s <= 120:  # those of no form speak against patterns
+                out.append((s, e, None, m[0].lower(), patterns_at(text, s, e), sorted(form_of(m[0]))))
     return out
 
 
@@ -160,16 +160,20 @@ def score_patterns(edges: DataFrame, rounds: int, min_seeds: int, min_confidence
 
     ``edges``: distinct (pattern, instance, seed_k, forms); seed_k is null for
     candidates. A pattern needs ``min_seeds`` distinct seeds of its kind; its
-    confidence is the mean score of the distinct instances it meets (seeds: 1
-    for their own kind, 0 for others) and one more of score 0, so that few
-    instances can't prove a pattern. A candidate scores
-    1 - product(1 - confidence) over the good patterns that meet it.
+    confidence is the mean score of the distinct instances it meets whose score
+    is known (seeds: 1 for their own kind; 0 for seeds of other kinds and strings
+    that can't be of the kind by their form; candidates count with their score
+    once they have one) and one more of score 0, so that few instances can't
+    prove a pattern. A candidate scores 1 - product(1 - confidence) over the good
+    patterns that meet it.
     """
     spark = edges.sparkSession
     size = edges.groupBy("pattern").agg(F.countDistinct("instance").alias("size"))
     seeds = edges.where("seed_k is not null").groupBy("pattern", F.col("seed_k").alias("k")).agg(F.countDistinct("instance").alias("seeds"))
+    fit = edges.select("pattern", "instance", F.explode("forms").alias("k")).groupBy("pattern", "k").agg(F.countDistinct("instance").alias("fit"))
     # only patterns with enough seeds can ever be good
-    able = cut_lineage(seeds.where(F.col("seeds") >= min_seeds).join(size, "pattern"), "pii-patterns")
+    able = cut_lineage(seeds.where(F.col("seeds") >= min_seeds).join(size, "pattern").join(fit, ["pattern", "k"])
+                       .select("pattern", "k", "seeds", (F.col("size") - F.col("fit")).alias("against")), "pii-patterns")
     cand = cut_lineage(edges.where("seed_k is null").withColumn("k", F.explode("forms")).select("pattern", "instance", "k").distinct()
                        .join(able.select("pattern", "k"), ["pattern", "k"]), "pii-candidates")
     score = spark.createDataFrame([], "instance string, k int, score double")
@@ -177,7 +181,8 @@ def score_patterns(edges: DataFrame, rounds: int, min_seeds: int, min_confidence
     for _ in range(rounds):
         gain = cand.join(score, ["instance", "k"]).groupBy("pattern", "k").agg(F.sum("score").alias("gain"))
         good = cut_lineage(able.join(gain, ["pattern", "k"], "left")
-                           .withColumn("confidence", (F.col("seeds") + F.coalesce(F.col("gain"), F.lit(0.0))) / (F.col("size") + 1))
+                           .withColumn("shown", F.col("seeds") + F.coalesce(F.col("gain"), F.lit(0.0)))
+                           .withColumn("confidence", F.col("shown") / (F.col("shown") + F.col("against") + 1))
                            .where(F.col("confidence") >= min_confidence).select("pattern", "k", "confidence"), "pii-good")
         score = cut_lineage(cand.join(good, ["pattern", "k"]).groupBy("instance", "k")
                             .agg((1 - F.exp(F.sum(F.log(1.0 - F.least(F.col("confidence"), F.lit(0.999999)))))).alias("score")), "pii-scores")

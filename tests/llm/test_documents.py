@@ -238,6 +238,17 @@ def test_patterns_find_unseen_identifiers(spark):
     assert [(e["start"], e["k"], e["end"]) for e in r[100]] == [(20, 3, 31)] and r[101] == []
 
 
+def test_patterns_find_as_many_unseen_identifiers_as_seeds(spark):
+    """Strings not yet scored don't speak against a pattern; seeds of other kinds and strings of no fitting form do."""
+    rows = [(k, f"please dial hotline +1 555 010 {1000 + k} today") for k in range(20)]
+    rows += [(100 + k, f"please dial hotline 555-{1000 + k}-77 today") for k in range(30)]
+    rows += [(200 + k, f"see desk +1 555 020 {1000 + k}") for k in range(20)] + [(300 + k, f"see desk {k + 10}") for k in range(20)] + [(400, "see desk 555-0100-77")]
+    rows += [(500 + k, f"write at +1 555 030 {1000 + k}") for k in range(20)] + [(600 + k, f"write at m{k}@b.org") for k in range(20)] + [(700, "write at 555-0100-78")]
+    r = {x["doc_id"]: x["entities"] for x in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all([(e["start"], e["k"], e["end"]) for e in r[100 + k]] == [(20, 3, 31)] for k in range(30))
+    assert r[300] == r[400] == r[700] == []
+
+
 def test_personal_data_odd_rows(spark, odd):
     r = {x["doc_id"]: x for x in pii.find_personal_data(odd).collect()}
     assert len(r) == len({i for i, _ in ROWS})
