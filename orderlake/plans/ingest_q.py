@@ -204,7 +204,7 @@ register("script_order_status", """
 SELECT CAST(r.c_id % 20 AS INTEGER) AS client, r.w_id, r.d_id, r.c_id, l.o_id, ol.ol_number, ol.ol_i_id, ol.ol_quantity, ol.ol_amount
 FROM customer_requests r JOIN last l ON l.w_id = r.w_id AND l.d_id = r.d_id AND l.c_id = r.c_id
 LEFT JOIN order_lines ol ON ol.ol_w_id = l.w_id AND ol.ol_d_id = l.d_id AND ol.ol_o_id = l.o_id
-""", split=True)(lambda t: _script_order_status(t))
+""")(lambda t: _script_order_status(t))
 
 
 def _script_order_status(t):
@@ -223,7 +223,7 @@ low AS (SELECT k.w_id, k.d_id, k.threshold, k.last_l, count(DISTINCT ol.ol_i_id)
         JOIN stocks s ON s.s_w_id = k.w_id AND s.s_i_id = ol.ol_i_id WHERE s.s_quantity < k.threshold GROUP BY 1, 2, 3, 4)
 SELECT CAST((r.w_id * 10 + r.d_id) % 20 AS INTEGER) AS client, r.w_id, r.d_id, r.threshold, r.last_l, CAST(coalesce(low.n, 0) AS BIGINT) AS low_stock_count
 FROM stock_level_requests r LEFT JOIN low USING (w_id, d_id, threshold, last_l)
-""", split=True)(lambda t: reads.stock_level(_script_requests(t)["stock_level"], t.districts, t.order_lines, t.stocks).drop("seq"))
+""")(lambda t: reads.stock_level(_script_requests(t)["stock_level"], t.districts, t.order_lines, t.stocks).drop("seq"))
 
 register("script_popular_items", """
 , pl AS (SELECT x.ol_w_id AS w_id, x.ol_d_id AS d_id, x.ol_o_id AS o_id, x.ol_i_id AS i_id, x.ol_quantity FROM order_lines x
@@ -236,7 +236,7 @@ JOIN w_orders o ON o.o_w_id = r.w_id AND o.o_d_id = r.d_id AND o.o_id >= d.d_nex
 JOIN pl ON pl.w_id = o.o_w_id AND pl.d_id = o.o_d_id AND pl.o_id = o.o_id
 JOIN customers c ON c.c_w_id = o.o_w_id AND c.c_d_id = o.o_d_id AND c.c_id = o.o_c_id
 JOIN items it ON it.i_id = pl.i_id
-""", split=True)(lambda t: reads.popular_items(_script_requests(t)["popular_items"], t.districts, t.orders, t.order_lines,
+""")(lambda t: reads.popular_items(_script_requests(t)["popular_items"], t.districts, t.orders, t.order_lines,
                                                t.items, t.customers).drop("seq"))
 
 register("script_related_customers", """
@@ -246,14 +246,14 @@ ov AS (SELECT a.w_id, a.d_id, a.c_id, b.w_id AS r_w_id, b.d_id AS r_d_id, b.c_id
        FROM oi a JOIN related_requests r ON r.w_id = a.w_id AND r.d_id = a.d_id AND r.c_id = a.c_id
        JOIN oi b ON a.i_id = b.i_id AND a.w_id <> b.w_id GROUP BY a.w_id, a.d_id, a.c_id, a.o_id, b.w_id, b.d_id, b.c_id, b.o_id)
 SELECT DISTINCT w_id, d_id, c_id, r_w_id, r_d_id, r_c_id FROM ov WHERE n >= 2
-""", split=True)(lambda t: reads.related_customers(t.orders, t.order_lines, _script_requests(t)["related_customers"]))
+""")(lambda t: reads.related_customers(t.orders, t.order_lines, _script_requests(t)["related_customers"]))
 
 register("script_top_balance", """
 , top AS (SELECT c_w_id, c_d_id, c_id, c_balance,
             CAST(row_number() OVER (ORDER BY c_balance DESC NULLS LAST, c_w_id, c_d_id, c_id) AS INTEGER) AS rank FROM customers)
 SELECT CAST(w.w_id % 20 AS INTEGER) AS client, t.rank, t.c_w_id, t.c_d_id, t.c_id, t.c_balance
 FROM warehouses w JOIN top t ON t.rank <= 10
-""", split=True)(lambda t: _script_top_balance(t))
+""")(lambda t: _script_top_balance(t))
 
 
 def _script_top_balance(t):

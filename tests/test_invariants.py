@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlake.operators import changes
-from orderlake.plans.registry import tables_for
+from orderlake.plans.registry import SPLIT, run, tables_for
 from orderlake.sources.schema import PRIMARY_KEYS
 
 SF = "/root/testdata/sf0.001"
@@ -98,3 +98,16 @@ def test_repeated_requests_get_the_same_answer(spark):
         rows = reads.stock_level(t.stock_level_requests, t.districts, t.order_lines, t.stocks, count_lines).collect()
         assert len(rows) == t.stock_level_requests.count() > len(a)
         assert all(r[out] == a[r.w_id, r.d_id] for r in rows)
+
+
+def test_script_order_status_reads_all_orders(spark):
+    """Each customer's last order, those included that New-Order queries hold back."""
+    t = tables_for(spark, SF)
+    last = {tuple(r) for r in t.orders.groupBy("o_w_id", "o_d_id", "o_c_id").agg(F.max("o_id")).collect()}
+    got = run("script_order_status", spark, SF).select("w_id", "d_id", "c_id", "o_id").distinct().collect()
+    assert {tuple(r) for r in got} == last
+
+
+@pytest.mark.parametrize("name", ["script_order_status", "script_stock_level", "script_popular_items", "script_related_customers", "script_top_balance"])
+def test_script_reads_hold_no_orders_back(name):
+    assert name not in SPLIT
