@@ -246,15 +246,15 @@ def near_pairs(nodes: DataFrame, centers: np.ndarray, radius: float, overlap: in
     return cut_lineage(found.union(found.select(F.col("b"), F.col("a"))).distinct(), "graph-links")
 
 
-def all_pairs(nodes: DataFrame, center: np.ndarray, radius: float, max_cell: int) -> DataFrame:
-    """(a, b), both ways: all pairs of nodes in range, block by block."""
+def all_pairs(members: DataFrame, radius: float) -> DataFrame:
+    """(a, b), both ways: all pairs of nodes in range, cell by cell."""
     def compare(group: list[dict]) -> pa.RecordBatch:
         ids = np.array([r["node"] for r in group])
         x = unit([r["embedding"] for r in group])
         i, j = np.nonzero(x @ x.T >= radius)
         return pa.RecordBatch.from_arrays([pa.array(ids[i[i != j]]), pa.array(ids[j[i != j]])], names=["a", "b"])
 
-    return cut_lineage(by_cell(into_cells(deal(nodes, center, 1), max_cell), compare, "a long, b long").distinct(), "graph-links")
+    return cut_lineage(by_cell(members, compare, "a long, b long").distinct(), "graph-links")
 
 
 def audit(nodes: DataFrame, links: DataFrame, radius: float, most: int) -> float:
@@ -287,8 +287,9 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.9, shard_size: int = 5
     """(vec_id, n_links, component_id, kept, audit_recall), a row per row of ``vectors``.
 
     Vectors link at a cosine of ``radius`` or more. Null, empty and zero vectors
-    and those with a null or non-finite component, or of another length than the
-    commonest, link with nothing. Equal rows are linked copies; an empty table
+    and those with a null or non-finite component link with nothing, and no vector
+    links with one of another length. The commonest length and those in more than
+    ``max_cell`` rows are searched one by one, the others compared whole. Equal rows are linked copies; an empty table
     gives no rows; further columns are ignored. Centres are fitted on a sample of
     ``sample`` vectors (in the order of a hash), at most ``max_centers``; every
     vector is indexed and searched. A vector goes to ``overlap`` shards, or as
@@ -302,13 +303,15 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.9, shard_size: int = 5
             & F.exists("embedding", lambda e: e != 0) & F.col("vec_id").isNotNull())
     v = v.withColumn("h1", F.when(fine, F.xxhash64("embedding"))).withColumn("h2", F.when(fine, F.xxhash64(F.lit(1), F.col("embedding"))))
     v = cut_lineage(v, "vectors")
-    size = v.where("h1 is not null").groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim = size[0]["d"] if size else 0
-    nodes = cut_lineage(v.where(F.col("h1").isNotNull() & (F.size("embedding") == dim)).groupBy("h1", "h2")
+    lengths = v.where("h1 is not null").groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").collect()  # a row for each length
+    large = [r["d"] for k, r in enumerate(lengths) if not k or r["count"] > max_cell]
+    every = cut_lineage(v.where("h1 is not null").groupBy("h1", "h2")
                         .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")), "graph-nodes")
-    n = nodes.count()
-    recall, best = 1.0, None
-    if n > 1:
+
+    def search(nodes: DataFrame) -> tuple[DataFrame | None, float]:
+        n, recall, best = nodes.count(), 1.0, None
+        if n < 2:
+            return best, recall
         picked = nodes.orderBy(F.xxhash64("node"), "node").limit(sample).select("embedding").collect()
         x = unit([r["embedding"] for r in picked])
         centers = fit_centers(x, min(max_centers, -(-n // shard_size)))
@@ -318,10 +321,22 @@ def near_duplicates(vectors: DataFrame, radius: float = 0.9, shard_size: int = 5
             best = links if best is None else cut_lineage(best.union(links).distinct(), "graph-links")
             recall = audit(nodes, best, radius, audit_most)
             if recall >= min_recall:
-                break
-        else:
-            best = all_pairs(nodes, centers[:1], radius, max_cell)
-            recall = audit(nodes, best, radius, audit_most)
+                return best, recall
+        best = all_pairs(into_cells(deal(nodes, centers[:1], 1), max_cell), radius)
+        return best, audit(nodes, best, radius, audit_most)
+
+    recall, best = 1.0, None
+    for d in large:
+        links, share = search(every.where(F.size("embedding") == d))
+        recall = min(recall, share)
+        if links is not None:
+            best = links if best is None else best.union(links)
+    if len(large) < len(lengths):
+        rest = every.where(~F.size("embedding").isin(large)).select(
+            F.size("embedding").alias("shard"), F.lit(0).alias("lo"), F.lit(0).alias("hi"), "node", "embedding")
+        links = all_pairs(rest, radius)
+        best = links if best is None else best.union(links)
+    nodes = every
     if best is None:
         best = spark.createDataFrame([], "a long, b long")
     labels = components(best)

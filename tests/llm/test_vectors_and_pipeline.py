@@ -73,6 +73,14 @@ def test_flat_graph_compares_all_pairs_where_the_search_fails(spark):
     assert sorted((x["vec_id"], x["n_links"], x["component_id"], x["kept"]) for x in r) == brute(rows) and r[0]["audit_recall"] == 1.0
 
 
+def test_flat_graph_links_vectors_of_every_length(spark):
+    rng = np.random.default_rng(1)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(40)]
+    rows += [(100, [1.0, 2.0]), (101, [1.0, 2.0]), (102, [1.0, 2.1]), (103, [-1.0, 2.0]), (104, [1.0, 2.0, 0.0])]
+    r = {x["vec_id"]: x for x in flatgraph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert [r[k]["n_links"] for k in range(100, 105)] == [2, 2, 2, 0, 0] and [r[k]["component_id"] for k in range(100, 105)] == [100, 100, 100, 103, 104]
+
+
 def test_robust_prune_drops_hidden_neighbours():
     x = flatgraph.unit([[1, 0, 0], [0.99, 0.1, 0], [0.98, 0.15, 0], [0, 0, 1]])
     out = flatgraph.robust_prune(x @ x.T, np.array([[1, 2, 3], [0, 2, 3], [1, 0, 3], [0, 1, 2]]), 3, 1.2)
