@@ -12,16 +12,23 @@ holds a whole key in one task.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scalar import address_line, money, refilled_stock
+from ..functions.scalar import STOCK_FLOOR, STOCK_REFILL, address_line, money, refilled_stock
 from ..session import cut_lineage
-from . import derived
-from .skew import running_totals, sequence_numbers
+from . import derived, stock
+from .skew import running_lows, running_totals, sequence_numbers
 
 # Districts per warehouse served by one Delivery request.
 DISTRICTS_PER_WAREHOUSE = 10
 
+# A stock as the lines name it.
+STOCK_KEY = ["supply_w_id", "i_id"]
+
+# Order numbers counted together when the head of a delivery queue is looked for.
+QUEUE_RANGE = 1024
+
 
 def apply_delta(base: DataFrame, delta: DataFrame, keys: list[str], updates: dict) -> DataFrame:
     """Left join of the base with per-key deltas, then the update expressions.
@@ -105,28 +112,89 @@ def oldest_undelivered(orders: DataFrame) -> DataFrame:
              .agg(F.min("o_id").alias("o_id"), F.min_by("o_c_id", "o_id").alias("c_id")))
 
 
+def oldest_in_queue(orders: DataFrame, wanted: DataFrame, width: int = QUEUE_RANGE) -> DataFrame:
+    """(w_id, d_id, k, o_id, c_id): the ``most`` oldest undelivered orders of each district in ``wanted`` (w_id, d_id, most).
+
+    The backlog is counted by (district, range of ``width`` order numbers); the
+    counts tell which ranges hold the first ``most``, and only the orders of
+    those are fetched and numbered: at most ``most`` + ``width`` a district,
+    however long the queue is.
+    """
+    u = derived.undelivered_orders(orders).select(
+        F.col("o_w_id").alias("w_id"), F.col("o_d_id").alias("d_id"), "o_id", F.col("o_c_id").alias("c_id"),
+        F.floor(F.col("o_id") / F.lit(width)).cast("long").alias("__range"))
+    earlier = W.partitionBy("w_id", "d_id").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    counts = u.groupBy("w_id", "d_id", "__range").agg(F.count(F.lit(1)).alias("__n")).join(wanted, ["w_id", "d_id"])
+    ranges = counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).where("__before < most").drop("__n")
+    here = W.partitionBy("w_id", "d_id", "__range").orderBy("o_id")
+    numbered = u.join(ranges, ["w_id", "d_id", "__range"]).withColumn("k", F.col("__before") + F.row_number().over(here))
+    return numbered.where("k <= most").select("w_id", "d_id", "k", "o_id", "c_id")
+
+
+def _delivery_attempts(requests: DataFrame) -> DataFrame:
+    """One row per request and district; ``attempt`` counts the requests of the warehouse.
+    A request without a delivery time is stamped with the current time (X12)."""
+    rq = sequence_numbers(requests.select("seq", "w_id", "carrier_id",
+                                          F.coalesce(F.col("delivery_d"), F.localtimestamp()).alias("delivery_d")),
+                          ["w_id"], ["seq"], "attempt")
+    return rq.select("seq", "w_id", "carrier_id", "delivery_d", "attempt",
+                     F.explode(F.sequence(F.lit(1), F.lit(DISTRICTS_PER_WAREHOUSE))).alias("d_id"))
+
+
 def delivered_orders(orders: DataFrame, requests: DataFrame) -> DataFrame:
     """Orders delivered by a batch of Delivery requests.
 
     A request names a warehouse; it delivers the oldest undelivered order of
     each of the warehouse's districts. The k-th request of a warehouse (in
-    request order) takes the k-th oldest undelivered order of each district:
-    both sides are numbered and matched by an equi join on
-    (warehouse, district, number).
+    request order) takes the k-th oldest undelivered order of each district,
+    if there are so many.
     """
-    # A request without a delivery time is stamped with the current time.
-    rq = sequence_numbers(requests.select("seq", "w_id", "carrier_id",
-                                          F.coalesce(F.col("delivery_d"), F.localtimestamp()).alias("delivery_d")),
-                          ["w_id"], ["seq"], "k")
-    rq = rq.select("seq", "w_id", "carrier_id", "delivery_d", "k",
-                   F.explode(F.sequence(F.lit(1), F.lit(DISTRICTS_PER_WAREHOUSE))).alias("d_id"))
-    u = derived.undelivered_orders(orders).select(
-        F.col("o_w_id").alias("w_id"), F.col("o_d_id").alias("d_id"), "o_id", F.col("o_c_id").alias("c_id"))
-    un = sequence_numbers(u, ["w_id", "d_id"], ["o_id"], "k")
-    return (un.join(rq, ["w_id", "d_id", "k"], "inner")
+    rq = _delivery_attempts(requests).withColumnRenamed("attempt", "k")
+    wanted = requests.groupBy("w_id").agg(F.count(F.lit(1)).alias("most")).select(
+        "w_id", "most", F.explode(F.sequence(F.lit(1), F.lit(DISTRICTS_PER_WAREHOUSE))).alias("d_id"))
+    return (oldest_in_queue(orders, wanted).join(rq, ["w_id", "d_id", "k"], "inner")
               .select("seq", "w_id", "d_id", "o_id", "c_id", "carrier_id", "delivery_d"))
 
 
+def delivery_replay(orders: DataFrame, requests: DataFrame, arrivals: DataFrame, districts: DataFrame) -> DataFrame:
+    """What each Delivery request finds in each district, when orders arrive in between.
+
+    ``arrivals`` are the new orders (seq, o_w_id, o_d_id, o_id, o_c_id) of the same
+    script, ``orders`` and ``districts`` the tables before it. A request sees the orders
+    before it in ``seq``; where a district has none left it takes nothing, and
+    uses up nothing of what comes later.
+
+    A row per request and district: seq, w_id, d_id, o_id, c_id (NULL if there was
+    nothing), carrier_id, delivery_d.
+
+    With B orders at the start, arrivals +1 and requests -1, a running sum S and its least
+    value so far L, max(0, -(B + L)) requests have found nothing yet. So a request
+    is served if it doesn't raise that number, and the order it takes is the one at the place
+    (requests so far - those that found nothing) of the queue: the backlog first,
+    then the arrivals by number. S and L come from ``running_lows``: no district is
+    replayed by one task, and of the backlog only what is taken is numbered.
+    """
+    tries = _delivery_attempts(requests)
+    events = (tries.withColumns({"step": F.lit(-1), "turn": F.lit(1)})
+              .unionByName(arrivals.select("seq", F.col("o_w_id").alias("w_id"), F.col("o_d_id").alias("d_id"), F.lit(1).alias("step"),
+                                           F.lit(0).alias("turn")), allowMissingColumns=True))
+    backlog = (derived.undelivered_orders(orders).groupBy(F.col("o_w_id").alias("w_id"), F.col("o_d_id").alias("d_id"))
+               .agg(F.count(F.lit(1)).alias("waiting")))
+    scanned = running_lows(events, ["w_id", "d_id"], ["seq", "turn"], F.col("step")).where("step = -1")
+    waiting = F.coalesce(F.col("waiting"), F.lit(0))
+    idle = lambda low: F.greatest(F.lit(0), -(waiting + F.col(low)))
+    served = F.when(idle("low") == idle("low_before"), F.col("attempt") - idle("low"))
+    tried = cut_lineage(scanned.join(backlog, ["w_id", "d_id"], "left").select(
+        "seq", "w_id", "d_id", "carrier_id", "delivery_d", waiting.alias("waiting"), served.alias("k")), "delivery-attempts")
+    wanted = tried.where("k <= waiting").groupBy("w_id", "d_id").agg(F.max("k").alias("most"))
+    first = districts.select(F.col("d_w_id").alias("o_w_id"), F.col("d_id").alias("o_d_id"), "d_next_o_id")
+    came = (arrivals.join(first, ["o_w_id", "o_d_id"]).join(backlog.withColumnsRenamed({"w_id": "o_w_id", "d_id": "o_d_id"}), ["o_w_id", "o_d_id"], "left")
+            .select(F.col("o_w_id").alias("w_id"), F.col("o_d_id").alias("d_id"), (waiting + F.col("o_id") - F.col("d_next_o_id") + 1).alias("k"), "o_id",
+                    F.col("o_c_id").alias("c_id")))
+    queue = oldest_in_queue(orders, wanted).unionByName(came)
+    return tried.join(queue, ["w_id", "d_id", "k"], "left").select("seq", "w_id", "d_id", "o_id", "c_id", "carrier_id", "delivery_d")
+
+
 def deliver_orders(orders: DataFrame, delivered: DataFrame) -> DataFrame:
     d = delivered.select(F.col("w_id").alias("o_w_id"), F.col("d_id").alias("o_d_id"), "o_id",
                          F.col("carrier_id").alias("__carrier"))
@@ -195,15 +263,17 @@ def new_order_checked_lines(line_requests: DataFrame, requests: DataFrame, items
 
 
 def new_order_headers(requests: DataFrame, line_requests: DataFrame, districts: DataFrame,
-                      items: DataFrame, stocks: DataFrame) -> DataFrame:
-    """New orders with their numbers.
+                      items: DataFrame, stocks: DataFrame, checked: DataFrame | None = None) -> DataFrame:
+    """New orders with their numbers (W3, A16, A22, V5). ``checked``: the checked lines, if they are at hand.
 
     o_id = d_next_o_id + (rank of the request in its district) - 1; the rank
     comes from ``sequence_numbers``. o_ol_cnt counts accepted lines;
     o_all_local is 1 when every accepted line is supplied by the home
     warehouse.
     """
-    lines = new_order_checked_lines(line_requests, requests, items, stocks).filter("accepted")
+    if checked is None:
+        checked = new_order_checked_lines(line_requests, requests, items, stocks)
+    lines = checked.filter("accepted")
     per = (lines.groupBy("seq")
            .agg(F.count(F.lit(1)).alias("n_lines"),
                 F.min((F.col("supply_w_id") == F.col("w_id")).cast("int")).alias("all_local"),
@@ -225,14 +295,17 @@ def new_order_headers(requests: DataFrame, line_requests: DataFrame, districts:
 
 
 def new_order_lines(headers: DataFrame, line_requests: DataFrame, requests: DataFrame,
-                    items: DataFrame, stocks: DataFrame, dist_info: str = "literal") -> DataFrame:
+                    items: DataFrame, stocks: DataFrame, dist_info: str = "literal",
+                    checked: DataFrame | None = None) -> DataFrame:
     """The order lines inserted by the batch.
 
     ``dist_info='literal'`` writes ``S_DIST_<d>`` (V17, the reference's
     behaviour); ``'stock'`` reads the supplying stock row's s_dist_<d>.
     """
     by_stock = dist_info == "stock"
-    lines = new_order_checked_lines(line_requests, requests, items, stocks, with_dist=by_stock).filter("accepted")
+    if checked is None or by_stock:
+        checked = new_order_checked_lines(line_requests, requests, items, stocks, with_dist=by_stock)
+    lines = checked.filter("accepted")
     dist = F.col("s_dist") if by_stock else F.concat(F.lit("S_DIST_"), F.col("d_id").cast("string"))
     h = headers.select("seq", "o_id")
     j = lines.join(h, "seq", "inner")
@@ -246,21 +319,42 @@ def new_order_lines(headers: DataFrame, line_requests: DataFrame, requests: Data
         dist.alias("ol_dist_info"))
 
 
+def _beyond_sums(checked: DataFrame) -> DataFrame | None:
+    """Accepted lines of the stocks for which sums don't tell the result: a stock below the floor, or a
+    quantity below 0 or above the refill. None if there are none. ``checked`` is a written table."""
+    lines = checked.filter("accepted")
+    odd = (F.col("q0") < STOCK_FLOOR) | (F.col("quantity") < 0) | (F.col("quantity") > STOCK_REFILL)
+    if not lines.filter(odd).limit(1).count():
+        return None
+    return lines.join(lines.filter(odd).select(*STOCK_KEY).distinct(), STOCK_KEY, "left_semi")
+
+
 def new_order_stock(stocks: DataFrame, line_requests: DataFrame, requests: DataFrame,
-                    items: DataFrame) -> DataFrame:
+                    items: DataFrame, checked: DataFrame | None = None) -> DataFrame:
     """Stock table after the batch.
 
-    Per (warehouse, item): the final quantity follows from the total
-    consumed (closed form of the refill fold), so only a grouped sum is
-    needed; ytd, order count and remote count are sums too.
+    Per (warehouse, item): ytd, order count and remote count are sums. So is the
+    final quantity (closed form of the refill fold) where stocks start at the floor or above and
+    quantities lie between 0 and the refill; the lines of all other stocks are
+    composed in order (``stock.final_stock``).
     """
-    lines = new_order_checked_lines(line_requests, requests, items, stocks).filter("accepted")
+    if checked is None:
+        checked = cut_lineage(new_order_checked_lines(line_requests, requests, items, stocks), "new-order-checked")
+    lines = checked.filter("accepted")
     d = (lines.groupBy(F.col("supply_w_id").alias("s_w_id"), F.col("i_id").alias("s_i_id"))
               .agg(F.sum("quantity").alias("__used"), F.count(F.lit(1)).alias("__n"),
                    F.sum(F.when(F.col("supply_w_id") != F.col("w_id"), 1).otherwise(0)).alias("__remote")))
     used = F.coalesce(F.col("__used"), F.lit(0))
+    quantity = refilled_stock("s_quantity", used)
+    odd = _beyond_sums(checked)
+    if odd is not None:
+        final = stock.final_stock(odd, STOCK_KEY, ["seq", "line_no"], out="__final")
+        d = d.join(final.withColumnsRenamed({"supply_w_id": "s_w_id", "i_id": "s_i_id"}), ["s_w_id", "s_i_id"], "left")
+        quantity = F.coalesce("__final", F.when(F.col("__used").isNull(), F.col("s_quantity")).otherwise(quantity))
+    else:
+        quantity = F.when(F.col("__used").isNull(), F.col("s_quantity")).otherwise(quantity)
     return apply_delta(stocks, d, ["s_w_id", "s_i_id"], {
-        "s_quantity": refilled_stock("s_quantity", used),
+        "s_quantity": quantity,
         "s_ytd": (F.col("s_ytd") + used).cast("decimal(12,2)"),
         "s_order_cnt": (F.col("s_order_cnt") + F.coalesce(F.col("__n"), F.lit(0))).cast("int"),
         "s_remote_cnt": (F.col("s_remote_cnt") + F.coalesce(F.col("__remote"), F.lit(0))).cast("int"),
@@ -272,14 +366,18 @@ def new_order_stock_trace(line_requests: DataFrame, requests: DataFrame, items:
     """Stock quantity after each accepted line, in request order (W4 trace).
 
     A running sum per (warehouse, item) over (seq, line_no) feeds the closed
-    form, so no sequential loop is needed.
+    form, so no sequential loop is needed; stocks beyond its domain are composed
+    line by line, range by range (``stock.stock_trace``).
     """
-    lines = (new_order_checked_lines(line_requests, requests, items, stocks).filter("accepted")
-             .select("seq", "line_no", "supply_w_id", "i_id", "quantity", "q0"))
-    run = running_totals(lines, ["supply_w_id", "i_id"], ["seq", "line_no"],
-                         {"__used": F.col("quantity")})
-    return run.select("seq", "line_no", F.col("supply_w_id").alias("s_w_id"), F.col("i_id").alias("s_i_id"),
-                      "quantity", refilled_stock("q0", "__used").alias("s_quantity_after"))
+    checked = cut_lineage(new_order_checked_lines(line_requests, requests, items, stocks), "new-order-checked")
+    lines = checked.filter("accepted").select("seq", "line_no", *STOCK_KEY, "quantity", "q0")
+    odd = _beyond_sums(checked)
+    plain = lines if odd is None else lines.join(odd.select(*STOCK_KEY).distinct(), STOCK_KEY, "left_anti")
+    run = running_totals(plain, STOCK_KEY, ["seq", "line_no"], {"__used": F.col("quantity")})
+    out = run.select("seq", "line_no", *STOCK_KEY, "quantity", refilled_stock("q0", "__used").alias("s_quantity_after"))
+    if odd is not None:
+        out = out.unionByName(stock.stock_trace(odd, STOCK_KEY, ["seq", "line_no"]))
+    return out.withColumnsRenamed({"supply_w_id": "s_w_id", "i_id": "s_i_id"})
 
 
 def new_order_districts(districts: DataFrame, requests: DataFrame) -> DataFrame:
@@ -327,37 +425,35 @@ def new_order_popular_lines(headers: DataFrame, new_lines: DataFrame, items: Dat
 
 
 def apply_batch(tables: dict, payments: DataFrame, new_orders: DataFrame, new_lines: DataFrame,
-                deliveries: DataFrame, checkpoint: bool = True) -> dict:
+                deliveries: DataFrame, in_order: bool = False) -> dict:
     """Apply one batch of requests and return the new version of every table.
 
-    Order inside the batch: payments, then new orders, then deliveries
-    (payment and delivery deltas on a customer add up, so their order does
-    not matter; deliveries see the orders the batch inserted). The orders
-    and order lines versions are read by four delivery steps, so the rows the
-    batch inserts are written as parquet tables in the shared checkpoint
-    folder first (lineage cut, no recomputation of the New-Order plan, and a
-    lost executor does not replay the batch); the base rows are already
-    stored.
+    Payments add up with everything else, so their place doesn't matter. With
+    ``in_order`` a delivery sees the new orders before it in ``seq``, which all
+    requests share (``delivery_replay``); without, new orders come first and
+    deliveries see them all.
+
+    The checked lines feed headers, lines and stock, the inserted rows and the
+    deliveries several steps each: these are written once as parquet tables
+    in the shared checkpoint folder (lineage cut, no plan is run twice, and a
+    lost executor does not replay the batch); the base rows are already stored.
     """
     wh = payment_warehouses(tables["warehouses"], payments)
     di = payment_districts(tables["districts"], payments)
     cu = payment_customers(tables["customers"], payments)
     items, stocks = tables["items"], tables["stocks"]
-    h = new_order_headers(new_orders, new_lines, tables["districts"], items, stocks)
-    nl = new_order_lines(h, new_lines, new_orders, items, stocks)
-    st = new_order_stock(stocks, new_lines, new_orders, items)
+    checked = cut_lineage(new_order_checked_lines(new_lines, new_orders, items, stocks), "new-order-checked")
+    h = cut_lineage(new_order_headers(new_orders, new_lines, tables["districts"], items, stocks, checked=checked), "new-orders")
+    nl = cut_lineage(new_order_lines(h, new_lines, new_orders, items, stocks, checked=checked), "new-order-lines")
+    st = new_order_stock(stocks, new_lines, new_orders, items, checked=checked)
     di = new_order_districts(di, new_orders)
-    orders = tables["orders"]
-    new_orders_rows = h.select(*orders.columns)
-    if checkpoint:
-        # The base versions are already stored; only the batch's new rows are
-        # written (parquet in the shared checkpoint folder), which cuts their
-        # lineage before the four delivery steps read them.
-        new_orders_rows = cut_lineage(new_orders_rows, "new-orders")
-        nl = cut_lineage(nl, "new-order-lines")
-    orders = orders.unionByName(new_orders_rows)
+    orders = tables["orders"].unionByName(h.select(*tables["orders"].columns))
     lines = tables["order_lines"].unionByName(nl)
-    dl = delivered_orders(orders, deliveries)
+    if in_order:
+        dl = delivery_replay(tables["orders"], deliveries, h, tables["districts"]).where("o_id is not null")
+    else:
+        dl = delivered_orders(orders, deliveries)
+    dl = cut_lineage(dl, "delivered")
     return {
         "warehouses": wh,
         "districts": di,

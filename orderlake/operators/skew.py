@@ -73,6 +73,32 @@ def sequence_numbers(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     return r.withColumn(out, F.col(out).cast("long"))
 
 
+def running_lows(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value, range_col: str | None = None,
+                 width: int = DEFAULT_RANGE_WIDTH) -> DataFrame:
+    """Add ``run`` (the running sum of ``value`` up to and including the row), ``low`` (the least
+    running sum so far, 0 before the first row counted in) and ``low_before`` (the same without the row).
+
+    Sums and their least values go together over ranges: a range that starts at a sum of s has its
+    least value at s plus its own. So each (key, range) is scanned by itself, its
+    total and least value are carried on by a window over the ranges, and no step holds a
+    whole group. ``range_col`` as in ``running_totals``.
+    """
+    keys, order_cols = list(keys), list(order_cols)
+    rng = "__range"
+    d = df.withColumns({rng: F.floor(F.col(range_col or order_cols[0]) / F.lit(width)).cast("long"), "__v": value})
+    here = W.partitionBy(*keys, rng).orderBy(*order_cols)
+    upto, before = here.rowsBetween(W.unboundedPreceding, 0), here.rowsBetween(W.unboundedPreceding, -1)
+    local = d.withColumn("__l", F.sum("__v").over(upto))
+    local = local.withColumns({"__low": F.min("__l").over(upto), "__low_before": F.min("__l").over(before)})
+    earlier = W.partitionBy(*keys).orderBy(rng).rowsBetween(W.unboundedPreceding, -1)
+    ranges = local.groupBy(*keys, rng).agg(F.sum("__v").alias("__t"), F.min("__l").alias("__least"))
+    ranges = ranges.withColumn("__start", F.coalesce(F.sum("__t").over(earlier), F.lit(0)))
+    ranges = ranges.select(*keys, rng, "__start", F.least(F.lit(0), F.min(F.col("__start") + F.col("__least")).over(earlier)).alias("__carried"))
+    low = lambda c: F.least("__carried", F.col("__start") + F.col(c))  # noqa: E731 (least ignores NULL)
+    return local.join(ranges, [*keys, rng]).select(*df.columns, (F.col("__start") + F.col("__l")).alias("run"), low("__low").alias("low"),
+                                                   low("__low_before").alias("low_before"))
+
+
 def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cell_rows: int = 1_000) -> DataFrame:
     """Inner equi-join whose work per task is bounded by its output.
 

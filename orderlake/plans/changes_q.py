@@ -9,6 +9,7 @@ from ..operators import audit, changes, derived
 from .derived_q import _db_state_sql
 from ..session import cut_lineage
 from ..sources import txlog
+from .ingest_q import script_requests
 from .registry import register
 
 # ------------------------------------------------------------------ Payment
@@ -175,6 +176,45 @@ FROM (SELECT *, sum(quantity) OVER (PARTITION BY supply_w_id, i_id ORDER BY seq,
 """, split=True)(lambda t: changes.new_order_stock_trace(t.new_order_line_requests, t.new_order_requests,
                                              t.items, t.stocks))
 
+# Quantities up to 350, among them returns, on stocks from 0 to 22: line by line in SQL.
+_ODD_LINES = """
+, odd_lines AS (SELECT seq, line_no, i_id, supply_w_id, CASE (seq + line_no) % 4 WHEN 0 THEN quantity * 7 WHEN 1 THEN -quantity ELSE quantity END AS quantity
+                FROM new_order_line_requests),
+odd AS (
+  SELECT l.*, s.s_quantity % 23 AS q0, row_number() OVER (PARTITION BY l.supply_w_id, l.i_id ORDER BY l.seq, l.line_no) AS i
+  FROM odd_lines l JOIN new_order_requests r ON r.seq = l.seq JOIN items it ON it.i_id = l.i_id
+  JOIN stocks s ON s.s_w_id = l.supply_w_id AND s.s_i_id = l.i_id),
+trace AS (
+  WITH RECURSIVE f AS (
+    SELECT *, q0 - quantity + CASE WHEN q0 - quantity < 10 THEN 100 ELSE 0 END AS q FROM odd WHERE i = 1
+    UNION ALL
+    SELECT o.*, f.q - o.quantity + CASE WHEN f.q - o.quantity < 10 THEN 100 ELSE 0 END
+    FROM f JOIN odd o ON o.supply_w_id = f.supply_w_id AND o.i_id = f.i_id AND o.i = f.i + 1)
+  SELECT * FROM f)
+"""
+
+
+def _odd_lines(t):
+    kind = (F.col("seq") + F.col("line_no")) % 4
+    quantity = F.when(kind == 0, F.col("quantity") * 7).when(kind == 1, -F.col("quantity")).otherwise(F.col("quantity")).cast("int")
+    return t.new_order_line_requests.withColumn("quantity", quantity)
+
+
+def _low_stocks(t):
+    return t.stocks.withColumn("s_quantity", F.col("s_quantity") % 23)
+
+
+register("new_order_stock_trace_any", _ODD_LINES + """
+SELECT seq, line_no, supply_w_id AS s_w_id, i_id AS s_i_id, CAST(quantity AS INTEGER) AS quantity, CAST(q AS INTEGER) AS s_quantity_after FROM trace
+""", split=True)(lambda t: changes.new_order_stock_trace(_odd_lines(t), t.new_order_requests, t.items, _low_stocks(t)))
+
+register("new_order_stock_any", _ODD_LINES + """
+, last AS (SELECT supply_w_id, i_id, arg_max(q, i) AS q FROM trace GROUP BY 1, 2)
+SELECT s.s_w_id, s.s_i_id, CAST(coalesce(last.q, s.s_quantity % 23) AS INTEGER) AS s_quantity
+FROM stocks s LEFT JOIN last ON last.supply_w_id = s.s_w_id AND last.i_id = s.s_i_id
+""", split=True)(lambda t: changes.new_order_stock(_low_stocks(t), _odd_lines(t), t.new_order_requests, t.items)
+                .select("s_w_id", "s_i_id", "s_quantity"))
+
 register("new_order_districts", """
 , n AS (SELECT w_id, d_id, count(*) AS n FROM new_order_requests GROUP BY w_id, d_id)
 SELECT d.* EXCLUDE (d_next_o_id), CAST(d.d_next_o_id + coalesce(n.n, 0) AS INTEGER) AS d_next_o_id
@@ -289,13 +329,7 @@ ord2 AS (SELECT o_w_id, o_d_id, o_id, o_c_id, o_carrier_id, o_ol_cnt FROM w_orde
          UNION ALL SELECT o_w_id, o_d_id, o_id, o_c_id, o_carrier_id, o_ol_cnt FROM hdr),
 lines2 AS (SELECT ol_w_id, ol_d_id, ol_o_id, ol_amount, ol_quantity FROM order_lines
            UNION ALL SELECT ol_w_id, ol_d_id, ol_o_id, ol_amount, ol_quantity FROM nl),
-und AS (SELECT o_w_id AS w_id, o_d_id AS d_id, o_id, o_c_id AS c_id,
-          row_number() OVER (PARTITION BY o_w_id, o_d_id ORDER BY o_id) AS k
-        FROM ord2 WHERE o_carrier_id IS NULL),
-rq AS (SELECT w_id, carrier_id, row_number() OVER (PARTITION BY w_id ORDER BY seq) AS k FROM delivery_requests),
-delivered AS (SELECT und.w_id, und.d_id, und.o_id, und.c_id, rq.carrier_id
-              FROM und JOIN rq ON rq.w_id = und.w_id AND rq.k = und.k),
-ord3 AS (SELECT o.o_id, o.o_ol_cnt FROM ord2 o),
+@DELIVERED@ord3 AS (SELECT o.o_id, o.o_ol_cnt FROM ord2 o),
 amt AS (SELECT dl.w_id, dl.d_id, dl.c_id, sum(l.ol_amount) AS amount
         FROM delivered dl JOIN lines2 l ON l.ol_w_id = dl.w_id AND l.ol_d_id = dl.d_id AND l.ol_o_id = dl.o_id
         GROUP BY 1, 2, 3),
@@ -317,31 +351,92 @@ st2 AS (SELECT s.s_quantity - coalesce(su.used, 0) + 100 * CASE WHEN 10 - (s.s_q
         FROM stocks s LEFT JOIN su ON su.s_w_id = s.s_w_id AND su.s_i_id = s.s_i_id)
 """
 
-register("db_state_after_batch", _NEW_ORDER + _BATCH_SQL + _db_state_sql(
+_BATCH_DELIVERED = """und AS (SELECT o_w_id AS w_id, o_d_id AS d_id, o_id, o_c_id AS c_id,
+          row_number() OVER (PARTITION BY o_w_id, o_d_id ORDER BY o_id) AS k
+        FROM ord2 WHERE o_carrier_id IS NULL),
+rq AS (SELECT w_id, carrier_id, row_number() OVER (PARTITION BY w_id ORDER BY seq) AS k FROM delivery_requests),
+delivered AS (SELECT und.w_id, und.d_id, und.o_id, und.c_id, rq.carrier_id
+              FROM und JOIN rq ON rq.w_id = und.w_id AND rq.k = und.k),
+"""
+
+# Deliveries and new orders of each district line by line: a delivery takes an order if one waits.
+_REPLAY = """
+step_events AS (
+  SELECT r.w_id, r.d_id, r.seq % 20 AS client, (r.seq // 20) % 2 AS part, r.seq AS k1, 'N' AS code, NULL::INTEGER AS carrier_id FROM new_order_requests r
+  UNION ALL SELECT b.w_id, g.d_id, b.client, b.part, b.k1, 'D', b.carrier_id FROM script_deliveries b CROSS JOIN range(1, 11) g(d_id)),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY w_id, d_id ORDER BY client, part, k1, code) AS i FROM step_events),
+waiting AS (SELECT o_w_id AS w_id, o_d_id AS d_id, count(*) AS n FROM w_orders WHERE o_carrier_id IS NULL GROUP BY 1, 2),
+line_by_line AS (
+  WITH RECURSIVE s AS (
+    SELECT d.d_w_id AS w_id, d.d_id, 0::BIGINT AS i, coalesce(w.n, 0)::BIGINT AS queued, 0::BIGINT AS taken, NULL::BIGINT AS k,
+           NULL::BIGINT AS client, NULL::VARCHAR AS code, NULL::INTEGER AS carrier_id
+    FROM districts d LEFT JOIN waiting w ON w.w_id = d.d_w_id AND w.d_id = d.d_id
+    UNION ALL
+    SELECT s.w_id, s.d_id, e.i,
+           CASE WHEN e.code = 'N' THEN s.queued + 1 WHEN s.queued > 0 THEN s.queued - 1 ELSE 0 END,
+           CASE WHEN e.code = 'D' AND s.queued > 0 THEN s.taken + 1 ELSE s.taken END,
+           CASE WHEN e.code = 'D' AND s.queued > 0 THEN s.taken + 1 END, e.client, e.code, e.carrier_id
+    FROM s JOIN numbered e ON e.w_id = s.w_id AND e.d_id = s.d_id AND e.i = s.i + 1)
+  SELECT * FROM s WHERE code = 'D'),
+queue AS (
+  SELECT w_id, d_id, o_id, c_id, row_number() OVER (PARTITION BY w_id, d_id ORDER BY o_id) AS k
+  FROM (SELECT o_w_id AS w_id, o_d_id AS d_id, o_id, o_c_id AS c_id FROM w_orders WHERE o_carrier_id IS NULL
+        UNION ALL SELECT o_w_id, o_d_id, o_id, o_c_id FROM hdr)),
+attempts AS (
+  SELECT l.client, l.w_id, l.d_id, l.carrier_id, q.o_id, q.c_id
+  FROM line_by_line l LEFT JOIN queue q ON q.w_id = l.w_id AND q.d_id = l.d_id AND q.k = l.k),
+delivered AS (SELECT * FROM attempts WHERE o_id IS NOT NULL),
+"""
+
+_FEW_DELIVERIES = """
+, script_deliveries AS (
+  SELECT w_id, w_id % 20 AS client, (seq // 20) % 2 AS part, seq AS k1, carrier_id FROM delivery_requests),
+"""
+
+_BUSY_DELIVERIES = """
+, script_deliveries AS (
+  SELECT c.c_w_id AS w_id, e.event_id % 20 AS client, (e.event_id // 20) % 2 AS part, e.event_id AS k1, CAST(e.event_id % 10 + 1 AS INTEGER) AS carrier_id
+  FROM events e JOIN customers c ON c.c_id = e.user_id WHERE e.event_type = 'click'),
+"""
+
+register("db_state_after_batch", _NEW_ORDER + _BATCH_SQL.replace("@DELIVERED@", _BATCH_DELIVERED) + _db_state_sql(
     "wh2", "di2", "cu2", "ord3", "lines2", "st2"), split=True)(_batch_state)
 
 
-def _log_batch_state(t):
-    from .ingest_q import _script_dir
-    # The parsed lines feed four request tables and those feed many steps of
-    # the batch: both are written once to the shared checkpoint folder, so
-    # the parse runs once.
-    parsed = cut_lineage(txlog.parse_scripts(txlog.read_script_lines(t.spark, _script_dir(t))),
-                         "script-lines")
-    valid = txlog.transactions(parsed)[0]
-    req = {k: cut_lineage(v, f"script-{k}") for k, v in txlog.request_tables(valid, parsed).items()}
+def _log_batch_state(t, lines=txlog.script_lines):
+    """The scripts' records applied in the order of their lines."""
+    req = script_requests(t, lines)
     new = changes.apply_batch({n: t.base(n) for n in ("warehouses", "districts", "customers", "orders",
                                                        "order_lines", "items", "stocks")},
-                              req["payments"], req["new_orders"], req["new_lines"], req["deliveries"])
+                              req["payments"], req["new_orders"], req["new_lines"], req["deliveries"], in_order=True)
     return audit.db_state(new["warehouses"], new["districts"], new["customers"], new["orders"],
                           new["order_lines"], new["stocks"])
 
 
-# Same state as db_state_after_batch, except that new orders are numbered in
-# the order the client scripts issue them: by client (seq % 20), then by file ((seq // 20) % 2), then seq.
+# New orders are numbered in the order the client scripts issue them: by client
+# (seq % 20), then by file ((seq // 20) % 2), then seq.
 _LOG_NEW_ORDER = _NEW_ORDER.replace(
     "row_number() OVER (PARTITION BY r.w_id, r.d_id ORDER BY r.seq)",
     "row_number() OVER (PARTITION BY r.w_id, r.d_id ORDER BY r.seq % 20, (r.seq // 20) % 2, r.seq)")
 
-register("db_state_after_script_batch", _LOG_NEW_ORDER + _BATCH_SQL + _db_state_sql(
-    "wh2", "di2", "cu2", "ord3", "lines2", "st2"), split=True)(_log_batch_state)
+
+def _replay_state_sql(deliveries: str) -> str:
+    batch = _BATCH_SQL.strip().removeprefix(",").replace("@DELIVERED@", "")
+    return _LOG_NEW_ORDER + deliveries + _REPLAY + batch + _db_state_sql("wh2", "di2", "cu2", "ord3", "lines2", "st2")
+
+
+register("db_state_after_script_batch", _replay_state_sql(_FEW_DELIVERIES), split=True)(_log_batch_state)
+register("db_state_after_busy_scripts", _replay_state_sql(_BUSY_DELIVERIES), split=True)(lambda t: _log_batch_state(t, txlog.busy_lines))
+
+register("script_deliveries", _LOG_NEW_ORDER + _BUSY_DELIVERIES + _REPLAY.strip().removesuffix(",") + """
+SELECT CAST(client AS INTEGER) AS client, CAST(w_id AS INTEGER) AS w_id, CAST(d_id AS INTEGER) AS d_id, carrier_id, o_id, c_id FROM attempts
+""", split=True)(lambda t: _script_deliveries(t))
+
+
+def _script_deliveries(t):
+    """What each D record of the busy scripts finds in each district."""
+    req = script_requests(t, txlog.busy_lines)
+    h = cut_lineage(changes.new_order_headers(req["new_orders"], req["new_lines"], t.districts, t.items, t.stocks), "new-orders")
+    found = changes.delivery_replay(t.orders, req["deliveries"], h, t.districts)
+    return found.select(F.shiftright("seq", 45).cast("int").alias("client"), "w_id", "d_id", "carrier_id", "o_id", "c_id")

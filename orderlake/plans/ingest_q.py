@@ -135,11 +135,12 @@ FROM w_orders WHERE o_c_id % 7 <= 1 GROUP BY 1
 # ---------------------------------------------------------- transaction log
 
 
-def _script_dir(t):
-    key = (t.spark.sparkContext.applicationId, t.sf_dir, t.split)
+def _script_dir(t, lines=txlog.script_lines):
+    """The folder of the client scripts that ``lines`` derives from the tables; written once an application."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, t.split, lines.__name__)
     d = _SCRIPTS.get(key)
     if d is None:
-        d = txlog.write_scripts(t, _scratch(t, "scripts"))
+        d = txlog.write_scripts(t, _scratch(t, "scripts"), lines(t))
         _SCRIPTS[key] = d
     return d
 
@@ -185,18 +186,26 @@ register("transaction_mix", _MIX_SQL)(
 
 register("transaction_log_rejects", """
 SELECT CAST(event_id % 20 AS INTEGER) AS client,
-  CASE event_id % 5 WHEN 0 THEN 'short_record' WHEN 1 THEN 'bad_number' WHEN 2 THEN 'unknown_type'
-    WHEN 3 THEN 'incomplete_order' ELSE 'orphan_line' END AS reason, count(*) AS n
-FROM events WHERE event_type = 'error' GROUP BY 1, 2
+  reason, count(*) AS n
+FROM events JOIN (VALUES (0, 'short_record'), (1, 'bad_number'), (2, 'unknown_type'), (3, 'incomplete_order'), (4, 'orphan_line'),
+                         (5, 'incomplete_order'), (5, 'bad_number')) f(fault, reason) ON f.fault = event_id % 6
+WHERE event_type = 'error' GROUP BY 1, 2
 """)(lambda t: _parsed(t)[1].groupBy("client", "reason").agg(F.count(F.lit(1)).alias("n")))
 
 
 
-def _script_requests(t):
-    """Requests of all types as the client scripts hold them; parsed once."""
-    parsed = cut_lineage(txlog.parse_scripts(txlog.read_script_lines(t.spark, _script_dir(t))), "script-lines")
-    valid = cut_lineage(txlog.transactions(parsed)[0], "script-valid")
-    return txlog.request_tables(valid, parsed)
+_REQUESTS: dict[tuple, dict] = {}
+
+
+def script_requests(t, lines=txlog.script_lines) -> dict:
+    """Requests of all types as the client scripts hold them. Scripts are parsed and written once an application; those who read
+    one type read its rows only."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, t.split, lines.__name__)
+    if key not in _REQUESTS:
+        parsed = cut_lineage(txlog.parse_scripts(txlog.read_script_lines(t.spark, _script_dir(t, lines))), "script-lines")
+        valid = cut_lineage(txlog.transactions(parsed)[0], "script-valid")
+        _REQUESTS[key] = {k: cut_lineage(v, f"script-{k}") for k, v in txlog.request_tables(valid, parsed).items()}
+    return _REQUESTS[key]
 
 
 register("script_order_status", """
@@ -208,7 +217,7 @@ LEFT JOIN order_lines ol ON ol.ol_w_id = l.w_id AND ol.ol_d_id = l.d_id AND ol.o
 
 
 def _script_order_status(t):
-    r = _script_requests(t)["order_status"]
+    r = script_requests(t)["order_status"]
     answer = reads.order_status(r, t.customers, t.orders, t.order_lines)
     return (r.select("client", "w_id", "d_id", "c_id").join(answer, ["w_id", "d_id", "c_id"])
             .select("client", "w_id", "d_id", "c_id", "o_id", "ol_number", "ol_i_id", "ol_quantity", "ol_amount"))
@@ -223,7 +232,7 @@ low AS (SELECT k.w_id, k.d_id, k.threshold, k.last_l, count(DISTINCT ol.ol_i_id)
         JOIN stocks s ON s.s_w_id = k.w_id AND s.s_i_id = ol.ol_i_id WHERE s.s_quantity < k.threshold GROUP BY 1, 2, 3, 4)
 SELECT CAST((r.w_id * 10 + r.d_id) % 20 AS INTEGER) AS client, r.w_id, r.d_id, r.threshold, r.last_l, CAST(coalesce(low.n, 0) AS BIGINT) AS low_stock_count
 FROM stock_level_requests r LEFT JOIN low USING (w_id, d_id, threshold, last_l)
-""")(lambda t: reads.stock_level(_script_requests(t)["stock_level"], t.districts, t.order_lines, t.stocks).drop("seq"))
+""")(lambda t: reads.stock_level(script_requests(t)["stock_level"], t.districts, t.order_lines, t.stocks).drop("seq"))
 
 register("script_popular_items", """
 , pl AS (SELECT x.ol_w_id AS w_id, x.ol_d_id AS d_id, x.ol_o_id AS o_id, x.ol_i_id AS i_id, x.ol_quantity FROM order_lines x
@@ -236,7 +245,7 @@ JOIN w_orders o ON o.o_w_id = r.w_id AND o.o_d_id = r.d_id AND o.o_id >= d.d_nex
 JOIN pl ON pl.w_id = o.o_w_id AND pl.d_id = o.o_d_id AND pl.o_id = o.o_id
 JOIN customers c ON c.c_w_id = o.o_w_id AND c.c_d_id = o.o_d_id AND c.c_id = o.o_c_id
 JOIN items it ON it.i_id = pl.i_id
-""")(lambda t: reads.popular_items(_script_requests(t)["popular_items"], t.districts, t.orders, t.order_lines,
+""")(lambda t: reads.popular_items(script_requests(t)["popular_items"], t.districts, t.orders, t.order_lines,
                                                t.items, t.customers).drop("seq"))
 
 register("script_related_customers", """
@@ -246,7 +255,7 @@ ov AS (SELECT a.w_id, a.d_id, a.c_id, b.w_id AS r_w_id, b.d_id AS r_d_id, b.c_id
        FROM oi a JOIN related_requests r ON r.w_id = a.w_id AND r.d_id = a.d_id AND r.c_id = a.c_id
        JOIN oi b ON a.i_id = b.i_id AND a.w_id <> b.w_id GROUP BY a.w_id, a.d_id, a.c_id, a.o_id, b.w_id, b.d_id, b.c_id, b.o_id)
 SELECT DISTINCT w_id, d_id, c_id, r_w_id, r_d_id, r_c_id FROM ov WHERE n >= 2
-""")(lambda t: reads.related_customers(t.orders, t.order_lines, _script_requests(t)["related_customers"]))
+""")(lambda t: reads.related_customers(t.orders, t.order_lines, script_requests(t)["related_customers"]))
 
 register("script_top_balance", """
 , top AS (SELECT c_w_id, c_d_id, c_id, c_balance,
@@ -259,7 +268,7 @@ FROM warehouses w JOIN top t ON t.rank <= 10
 def _script_top_balance(t):
     """Each T record gets the ten rows."""
     top = reads.top_balance(t.customers, t.districts, t.warehouses).select("rank", "c_w_id", "c_d_id", "c_id", "c_balance")
-    asked = _script_requests(t)["top_balance"].select("client", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("rank"))
+    asked = script_requests(t)["top_balance"].select("client", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("rank"))
     return asked.join(F.broadcast(top), "rank").select("client", "rank", "c_w_id", "c_d_id", "c_id", "c_balance")  # ten rows
 
 

@@ -24,32 +24,57 @@ MIN_FIELDS = {"N": 5, "P": 5, "D": 3, "O": 4, "S": 5, "I": 4, "T": 1, "R": 4}
 ITEM_FIELDS = 3
 
 
+def _record(df, client, k1, code, text):
+    return df.select(client.cast("int").alias("client"), k1.cast("long").alias("k1"),
+                     F.lit(code).alias("k2"), F.lit(0).cast("long").alias("k3"), text.alias("text"))
+
+
+def _order_records(t) -> list[DataFrame]:
+    """New-Order records and their item lines."""
+    s = F.col
+    lines = t.new_order_line_requests
+    m = lines.groupBy("seq").agg(F.count(F.lit(1)).alias("m"))
+    heads = t.new_order_requests.join(m, "seq", "left").withColumn("m", F.coalesce("m", F.lit(0)))
+    return [_record(heads, s("seq") % 20, s("seq"), "N", F.concat_ws(",", F.lit("N"), s("c_id"), s("w_id"), s("d_id"), s("m"))),
+            lines.join(t.new_order_requests.select("seq"), "seq").select(
+                (s("seq") % 20).cast("int").alias("client"), s("seq").cast("long").alias("k1"),
+                F.lit("N").alias("k2"), s("line_no").cast("long").alias("k3"),
+                F.concat_ws(",", s("i_id"), s("supply_w_id"), s("quantity")).alias("text"))]
+
+
+def _payment_records(t) -> DataFrame:
+    s = F.col
+    return _record(t.payment_requests, s("seq") % 20, s("seq"), "P",
+                   F.concat_ws(",", F.lit("P"), s("w_id"), s("d_id"), s("c_id"), s("amount").cast("string")))
+
+
+def busy_lines(t) -> DataFrame:
+    """Scripts of new orders, payments and many deliveries (a click of a customer asks for one in
+    its warehouse), as they come in turn: districts run empty between new orders."""
+    s = F.col
+    e = t.raw("events").filter(s("event_type") == "click")
+    c = t.customers.select("c_id", "c_w_id")
+    clicks = e.join(c, e.user_id == c.c_id).select(s("event_id").alias("seq"), s("c_w_id").alias("w_id"), (s("event_id") % 10 + 1).alias("carrier_id"))
+    out = _record(clicks, s("seq") % 20, s("seq"), "D", F.concat_ws(",", F.lit("D"), s("w_id"), s("carrier_id")))
+    for p in [*_order_records(t), _payment_records(t)]:
+        out = out.unionByName(p)
+    return out
+
+
 def script_lines(t) -> DataFrame:
     """The lines of the client scripts derived from the request tables.
 
     Columns: client, k1, k2, k3 (order inside the client's files), text. Error
-    events become faulty records of five kinds, by event number: too short, a
+    events become faulty records of six kinds, by event number: too short, a
     text for a number, an unknown type, a New-Order with fewer lines than it
-    says, an item line without an order. The parser must reject them all.
+    says, an item line without an order, a New-Order with a text for a quantity.
+    The parser must reject them all.
     """
-    def rec(df, client, k1, code, text):
-        return df.select(client.cast("int").alias("client"), k1.cast("long").alias("k1"),
-                         F.lit(code).alias("k2"), F.lit(0).cast("long").alias("k3"), text.alias("text"))
-
-    nreq = t.new_order_requests
-    nlines = t.new_order_line_requests
-    m = nlines.groupBy("seq").agg(F.count(F.lit(1)).alias("m"))
-    nh = nreq.join(m, "seq", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     s = F.col
+    rec = _record
     parts = [
-        rec(nh, s("seq") % 20, s("seq"), "N",
-            F.concat_ws(",", F.lit("N"), s("c_id"), s("w_id"), s("d_id"), s("m"))),
-        nlines.join(nreq.select("seq"), "seq").select(
-            (s("seq") % 20).cast("int").alias("client"), s("seq").cast("long").alias("k1"),
-            F.lit("N").alias("k2"), s("line_no").cast("long").alias("k3"),
-            F.concat_ws(",", s("i_id"), s("supply_w_id"), s("quantity")).alias("text")),
-        rec(t.payment_requests, s("seq") % 20, s("seq"), "P",
-            F.concat_ws(",", F.lit("P"), s("w_id"), s("d_id"), s("c_id"), s("amount").cast("string"))),
+        *_order_records(t),
+        _payment_records(t),
         rec(t.delivery_requests, s("w_id") % 20, s("seq"), "D",
             F.concat_ws(",", F.lit("D"), s("w_id"), s("carrier_id"))),
         rec(t.customer_requests, s("c_id") % 20, s("c_id"), "O",
@@ -63,12 +88,13 @@ def script_lines(t) -> DataFrame:
         rec(t.warehouses, s("w_id") % 20, s("w_id"), "T", F.lit("T")),
     ]
     error = t.raw("events").filter(s("event_type") == "error")
-    fault = s("event_id") % 5
+    fault = s("event_id") % 6
     texts = (F.when(fault == 0, F.array(F.concat_ws(",", F.lit("P"), s("user_id"))))
              .when(fault == 1, F.array(F.lit("P,1,1,x,5.00")))
              .when(fault == 2, F.array(F.lit("Q,1,2")))
              .when(fault == 3, F.array(F.concat_ws(",", F.lit("N"), s("user_id"), F.lit("1,1,3")), F.lit("1,1,1")))
-             .otherwise(F.array(F.lit("1,1,1"))))
+             .when(fault == 4, F.array(F.lit("1,1,1")))
+             .otherwise(F.array(F.concat_ws(",", F.lit("N"), s("user_id"), F.lit("1,1,2")), F.lit("1,1,1"), F.lit("3,1,y"))))
     parts.append(error.select((s("event_id") % 20).cast("int").alias("client"), s("event_id").cast("long").alias("k1"), F.lit("Z").alias("k2"),
                               F.posexplode(texts).alias("k3", "text")).withColumn("k3", s("k3").cast("long")))
     out = parts[0]
@@ -77,11 +103,13 @@ def script_lines(t) -> DataFrame:
     return out
 
 
-def write_scripts(t, out_dir: str) -> str:
-    """Write two text files per client (``client=K/part=P/*.txt``), lines in
-    script order; a record and its lines are in one file."""
-    lines = script_lines(t).withColumn("part", (F.col("k1") / 20).cast("long") % 2)
-    (lines.repartition("client", "part").sortWithinPartitions("client", "part", "k1", "k2", "k3")
+def write_scripts(t, out_dir: str, lines: DataFrame | None = None) -> str:
+    """Write the client scripts (``client=K/part=P/*.txt``), lines in script
+    order; a record and its lines are in one file. Ranges of (client, part, k1) go to tasks
+    by sampled bounds, so files and tasks grow with the rows, and a client's files
+    in the order of their names hold its lines in order."""
+    lines = (script_lines(t) if lines is None else lines).withColumn("part", (F.col("k1") / 20).cast("long") % 2)
+    (lines.repartitionByRange("client", "part", "k1").sortWithinPartitions("client", "part", "k1", "k2", "k3")
           .select("client", "part", "text").write.mode("overwrite").partitionBy("client", "part").text(out_dir))
     return out_dir
 
@@ -173,14 +201,17 @@ def transactions(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid transactions and rejected lines.
 
     A header is valid when it has enough numeric fields; a New-Order header
-    also needs its M item lines right after it. Item lines beyond M, before
-    any header, or after another type of header are orphans. A New-Order
-    header and its item lines share (file, header_line), so one grouped
-    aggregate counts the attached items; orphans are found line by line.
+    also needs its M item lines right after it (M = 0 is an order without
+    lines). An item line needs three numbers; without, it is rejected, and its
+    order is incomplete. Item lines beyond M, before any header, or after
+    another type of header are orphans. A New-Order header and its item lines share
+    (file, header_line), so one grouped aggregate counts the attached
+    items; orphans are found line by line.
     """
-    attached = ((F.col("kind") == "item") & (F.col("header_code") == "N") & (F.col("item_idx") >= 1)
-                & (F.col("item_idx") <= F.col("header_m")) & (F.size("fields") >= ITEM_FIELDS))
-    p = parsed.withColumn("attached", F.coalesce(attached, F.lit(False)))
+    placed = ((F.col("kind") == "item") & (F.col("header_code") == "N") & (F.col("item_idx") >= 1)
+              & (F.col("item_idx") <= F.col("header_m")))
+    numbers = _long(F.col("fields"), 1).isNotNull() & _int(F.col("fields"), 2).isNotNull() & _int(F.col("fields"), 3).isNotNull()
+    p = parsed.withColumn("placed", F.coalesce(placed, F.lit(False))).withColumn("attached", F.col("placed") & numbers)
     groups = (p.filter((F.col("kind") == "header") | F.col("attached"))
                .groupBy("file", "header_line")
                .agg(F.min("client").alias("client"),
@@ -211,7 +242,7 @@ def transactions(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(c("txn_type") == "T", True)
          .when(c("txn_type") == "D", c("w_id").isNotNull() & c("carrier_id").isNotNull())
          .when(c("txn_type") == "N", c("w_id").isNotNull() & c("d_id").isNotNull()
-               & c("c_id").isNotNull() & c("n_items").isNotNull())
+               & c("c_id").isNotNull() & (c("n_items") >= 0))
          .when(c("txn_type") == "P", c("w_id").isNotNull() & c("d_id").isNotNull()
                & c("c_id").isNotNull() & c("amount").isNotNull())
          .when(c("txn_type") == "S", c("w_id").isNotNull() & c("d_id").isNotNull()
@@ -226,8 +257,8 @@ def transactions(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     reason = (F.when(c("client").isNull(), "unknown_client").when(~c("known"), "unknown_type").when(~c("arity_ok"), "short_record")
                .when(~ok, "bad_number").otherwise("incomplete_order"))
     bad_headers = typed.filter(~(ok & complete)).select("file", "client", "line_no", reason.alias("reason"))
-    orphans = p.filter((c("kind") == "item") & ~c("attached")).select(
-        "file", "client", "line_no", F.lit("orphan_line").alias("reason"))
+    wrong = F.when(~c("placed"), "orphan_line").when(F.size("fields") < ITEM_FIELDS, "short_record").otherwise("bad_number")
+    orphans = p.filter((c("kind") == "item") & ~c("attached")).select("file", "client", "line_no", wrong.alias("reason"))
     return valid, bad_headers.unionByName(orphans)
 
 
