@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import audit, changes, derived
+from ..operators import audit, changes, derived, upkeep
 from .derived_q import _db_state_sql
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_table_path
 from ..sources import txlog
 from .ingest_q import script_requests
 from .registry import register
@@ -282,27 +283,90 @@ def _rejected_lines(t):
             .select("seq", "line_no", "i_id", "supply_w_id", "quantity"))
 
 
-# Derived tables after a batch: the batch's own rows are added, nothing is rebuilt.
+# Derived tables stored once and kept up by the deltas of a batch (operators/upkeep.py); the SQL builds them anew.
+
+
+def _stored(t, name):
+    """The derived table of the base tables, stored; its path."""
+    path = scratch_table_path(t.spark, f"stored-{name}-{uuid.uuid4().hex[:12]}")
+    rows = {"customer_order_items": lambda: upkeep.customer_order_items(t.orders, t.order_lines), "undelivered_orders": lambda: derived.undelivered_orders(t.orders),
+            "orders_by_customer": lambda: derived.orders_by_customer(t.orders, t.customers)}[name]()
+    upkeep.store(rows, path, upkeep.PARTITION[name])
+    return path
+
+
+def _kept_up(t, name, *deltas):
+    path = _stored(t, name)
+    for d in deltas:
+        upkeep.apply(t.spark, path, d, upkeep.PARTITION[name])
+    return upkeep.read(t.spark, path)
+
+
+def _new_orders(t):
+    """The new orders as rows of ``orders``, written once."""
+    return cut_lineage(_headers(t).select(*t.orders.columns), "new-orders")
+
+
+def _delivered_delta(t, new):
+    """The change of the orders, new ones included, by the Delivery requests."""
+    after = t.orders.unionByName(new)
+    return upkeep.delivery_delta(after, cut_lineage(changes.delivered_orders(after, t.delivery_requests), "delivered"))
+
+
 register("upkeep_customer_order_items", _NEW_ORDER + """
 SELECT DISTINCT o.o_w_id AS w_id, o.o_d_id AS d_id, o.o_c_id AS c_id, o.o_id, ol.ol_i_id AS i_id
 FROM (SELECT o_w_id, o_d_id, o_c_id, o_id FROM w_orders UNION ALL SELECT o_w_id, o_d_id, o_c_id, o_id FROM hdr) o
 JOIN (SELECT ol_w_id, ol_d_id, ol_o_id, ol_i_id FROM order_lines UNION ALL SELECT ol_w_id, ol_d_id, ol_o_id, ol_i_id FROM nl) ol
   ON ol.ol_w_id = o.o_w_id AND ol.ol_d_id = o.o_d_id AND ol.ol_o_id = o.o_id
-""", split=True)(lambda t: derived.customer_order_items(t.orders, t.order_lines).unionByName(
-    derived.customer_order_items(_headers(t), _new_lines(t))))
+""", split=True)(lambda t: _kept_up(t, "customer_order_items", upkeep.customer_order_items_delta(
+    t.orders, upkeep.came(_new_orders(t)), t.order_lines, upkeep.came(_new_lines(t)))))
+
+# Every third line of an order is taken back: its item stays while another line has it.
+register("upkeep_returned_lines", """
+SELECT DISTINCT o.o_w_id AS w_id, o.o_d_id AS d_id, o.o_c_id AS c_id, o.o_id, ol.ol_i_id AS i_id
+FROM w_orders o JOIN order_lines ol ON ol.ol_w_id = o.o_w_id AND ol.ol_d_id = o.o_d_id AND ol.ol_o_id = o.o_id
+WHERE ol.ol_number % 3 <> 0
+""")(lambda t: _kept_up(t, "customer_order_items", upkeep.customer_order_items_delta(
+    t.orders, None, t.order_lines, upkeep.went(t.order_lines.where("ol_number % 3 = 0")))))
 
 register("upkeep_undelivered_orders", _NEW_ORDER + """
 SELECT o_w_id, o_d_id, o_id, o_c_id FROM w_orders WHERE o_carrier_id IS NULL
 UNION ALL SELECT o_w_id, o_d_id, o_id, o_c_id FROM hdr
-""", split=True)(lambda t: derived.undelivered_orders(t.orders).unionByName(derived.undelivered_orders(_headers(t))))
+""", split=True)(lambda t: _kept_up(t, "undelivered_orders", upkeep.undelivered_delta(upkeep.came(_new_orders(t)))))
 
 register("upkeep_orders_by_customer", _NEW_ORDER + """
 SELECT c.c_w_id, c.c_d_id, c.c_id, o.o_id, o.o_entry_d, o.o_carrier_id, o.o_ol_cnt, c.c_first, c.c_middle, c.c_last
 FROM (SELECT o_w_id, o_d_id, o_c_id, o_id, o_entry_d, o_carrier_id, o_ol_cnt FROM w_orders
       UNION ALL SELECT o_w_id, o_d_id, o_c_id, o_id, o_entry_d, o_carrier_id, o_ol_cnt FROM hdr) o
 JOIN customers c ON c.c_w_id = o.o_w_id AND c.c_d_id = o.o_d_id AND c.c_id = o.o_c_id
-""", split=True)(lambda t: derived.orders_by_customer(t.orders, t.customers).unionByName(
-    derived.orders_by_customer(_headers(t), t.customers)))
+""", split=True)(lambda t: _kept_up(t, "orders_by_customer", upkeep.orders_by_customer_delta(upkeep.came(_new_orders(t)), t.customers)))
+
+_AFTER_DELIVERY = _NEW_ORDER + """
+, all_orders AS (SELECT o_w_id, o_d_id, o_id, o_c_id, o_entry_d, o_carrier_id, o_ol_cnt FROM w_orders
+                 UNION ALL SELECT o_w_id, o_d_id, o_id, o_c_id, o_entry_d, o_carrier_id, o_ol_cnt FROM hdr),
+und AS (SELECT *, row_number() OVER (PARTITION BY o_w_id, o_d_id ORDER BY o_id) AS k FROM all_orders WHERE o_carrier_id IS NULL),
+rq AS (SELECT w_id, carrier_id, row_number() OVER (PARTITION BY w_id ORDER BY seq) AS k FROM delivery_requests),
+now AS (
+  SELECT o.* EXCLUDE (o_carrier_id), coalesce(o.o_carrier_id, rq.carrier_id) AS o_carrier_id
+  FROM all_orders o
+  LEFT JOIN und ON und.o_w_id = o.o_w_id AND und.o_d_id = o.o_d_id AND und.o_id = o.o_id
+  LEFT JOIN rq ON rq.w_id = und.o_w_id AND rq.k = und.k)
+"""
+
+register("upkeep_undelivered_after_delivery", _AFTER_DELIVERY + "SELECT o_w_id, o_d_id, o_id, o_c_id FROM now WHERE o_carrier_id IS NULL",
+         split=True)(lambda t: _after_delivery(t, "undelivered_orders", upkeep.undelivered_delta))
+
+register("upkeep_carriers_by_customer", _AFTER_DELIVERY + """
+SELECT c.c_w_id, c.c_d_id, c.c_id, o.o_id, o.o_entry_d, o.o_carrier_id, o.o_ol_cnt, c.c_first, c.c_middle, c.c_last
+FROM now o JOIN customers c ON c.c_w_id = o.o_w_id AND c.c_d_id = o.o_d_id AND c.c_id = o.o_c_id
+""", split=True)(lambda t: _after_delivery(t, "orders_by_customer", lambda d: upkeep.orders_by_customer_delta(d, t.customers)))
+
+
+def _after_delivery(t, name, delta):
+    """A batch of new orders, then one of deliveries: the carrier of an order is copied to where the order is stored."""
+    new = _new_orders(t)
+    return _kept_up(t, name, delta(upkeep.came(new)), delta(_delivered_delta(t, new)))
+
 
 # ------------------------------------------------------------- whole batch
 
