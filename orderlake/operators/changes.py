@@ -329,35 +329,38 @@ def _beyond_sums(checked: DataFrame) -> DataFrame | None:
     return lines.join(lines.filter(odd).select(*STOCK_KEY).distinct(), STOCK_KEY, "left_semi")
 
 
-def new_order_stock(stocks: DataFrame, line_requests: DataFrame, requests: DataFrame,
-                    items: DataFrame, checked: DataFrame | None = None) -> DataFrame:
-    """Stock table after the batch.
+def stock_changes(checked: DataFrame) -> DataFrame:
+    """Per stock that accepted lines touch: ``used``, ``n`` lines, ``remote`` ones and the final ``quantity``.
 
-    Per (warehouse, item): ytd, order count and remote count are sums. So is the
-    final quantity (closed form of the refill fold) where stocks start at the floor or above and
-    quantities lie between 0 and the refill; the lines of all other stocks are
-    composed in order (``stock.final_stock``).
+    The final quantity follows from the sum (closed form of the refill fold) where stocks start at the
+    floor or above and quantities lie between 0 and the refill; the lines of
+    all other stocks are composed in order (``stock.final_stock``). ``checked`` is a written table.
     """
-    if checked is None:
-        checked = cut_lineage(new_order_checked_lines(line_requests, requests, items, stocks), "new-order-checked")
-    lines = checked.filter("accepted")
-    d = (lines.groupBy(F.col("supply_w_id").alias("s_w_id"), F.col("i_id").alias("s_i_id"))
-              .agg(F.sum("quantity").alias("__used"), F.count(F.lit(1)).alias("__n"),
-                   F.sum(F.when(F.col("supply_w_id") != F.col("w_id"), 1).otherwise(0)).alias("__remote")))
-    used = F.coalesce(F.col("__used"), F.lit(0))
-    quantity = refilled_stock("s_quantity", used)
+    d = (checked.filter("accepted").groupBy(F.col("supply_w_id").alias("s_w_id"), F.col("i_id").alias("s_i_id"))
+         .agg(F.sum("quantity").alias("used"), F.count(F.lit(1)).alias("n"),
+              F.sum(F.when(F.col("supply_w_id") != F.col("w_id"), 1).otherwise(0)).alias("remote"), F.min("q0").alias("__q0")))
+    quantity = refilled_stock("__q0", "used")
     odd = _beyond_sums(checked)
     if odd is not None:
         final = stock.final_stock(odd, STOCK_KEY, ["seq", "line_no"], out="__final")
         d = d.join(final.withColumnsRenamed({"supply_w_id": "s_w_id", "i_id": "s_i_id"}), ["s_w_id", "s_i_id"], "left")
-        quantity = F.coalesce("__final", F.when(F.col("__used").isNull(), F.col("s_quantity")).otherwise(quantity))
-    else:
-        quantity = F.when(F.col("__used").isNull(), F.col("s_quantity")).otherwise(quantity)
+        quantity = F.coalesce("__final", quantity)
+    return d.select("s_w_id", "s_i_id", "used", "n", "remote", quantity.alias("quantity"))
+
+
+def new_order_stock(stocks: DataFrame, line_requests: DataFrame, requests: DataFrame,
+                    items: DataFrame, checked: DataFrame | None = None) -> DataFrame:
+    """Stock table after the batch (W4, X3, X4): per (warehouse, item) what
+    ``stock_changes`` sums up; ``checked``: the checked lines as a written table, if they are at hand."""
+    if checked is None:
+        checked = cut_lineage(new_order_checked_lines(line_requests, requests, items, stocks), "new-order-checked")
+    d = stock_changes(checked).withColumnsRenamed({"used": "__used", "n": "__n", "remote": "__remote", "quantity": "__quantity"})
+    more = lambda c: F.coalesce(F.col(c), F.lit(0))
     return apply_delta(stocks, d, ["s_w_id", "s_i_id"], {
-        "s_quantity": quantity,
-        "s_ytd": (F.col("s_ytd") + used).cast("decimal(12,2)"),
-        "s_order_cnt": (F.col("s_order_cnt") + F.coalesce(F.col("__n"), F.lit(0))).cast("int"),
-        "s_remote_cnt": (F.col("s_remote_cnt") + F.coalesce(F.col("__remote"), F.lit(0))).cast("int"),
+        "s_quantity": F.coalesce("__quantity", "s_quantity"),
+        "s_ytd": (F.col("s_ytd") + more("__used")).cast("decimal(12,2)"),
+        "s_order_cnt": (F.col("s_order_cnt") + more("__n")).cast("int"),
+        "s_remote_cnt": (F.col("s_remote_cnt") + more("__remote")).cast("int"),
     })
 
 

@@ -10,7 +10,8 @@ from ..operators import audit, changes, derived, upkeep
 from .derived_q import _db_state_sql
 from ..session import cut_lineage, scratch_table_path
 from ..sources import txlog
-from .ingest_q import script_requests
+from ..streaming import streams
+from .ingest_q import script_requests, slices
 from .registry import register
 
 # ------------------------------------------------------------------ Payment
@@ -504,3 +505,26 @@ def _script_deliveries(t):
     h = cut_lineage(changes.new_order_headers(req["new_orders"], req["new_lines"], t.districts, t.items, t.stocks), "new-orders")
     found = changes.delivery_replay(t.orders, req["deliveries"], h, t.districts)
     return found.select(F.shiftright("seq", 45).cast("int").alias("client"), "w_id", "d_id", "carrier_id", "o_id", "c_id")
+
+# ------------------------------------------------------------- as a stream
+
+
+def _streamed(t, which):
+    """Four slices of the requests arrive, and the stream is run again after each."""
+    lines = (t.new_order_line_requests.groupBy("seq")
+             .agg(F.sort_array(F.collect_list(F.struct("line_no", "i_id", "supply_w_id", "quantity"))).alias("lines")))  # some dozen lines an order
+    rows = t.new_order_requests.join(lines, "seq", "left").withColumn("lines", F.coalesce("lines", F.array().cast(lines.schema["lines"].dataType)))
+    place, out = scratch_table_path(t.spark, f"stream-new-orders-{uuid.uuid4().hex[:12]}"), None
+    for feed in slices(t, rows, F.col("seq")):
+        out = streams.stream_new_orders(t.spark, feed, t.districts, t.items, t.stocks, location=place)
+    return out[which]
+
+
+register("stream_new_orders", _NEW_ORDER + "SELECT * FROM hdr", split=True)(lambda t: _streamed(t, 0))
+
+register("stream_new_order_stock", _NEW_ORDER + """
+SELECT s.s_w_id, s.s_i_id, CAST(s.s_quantity - u.used + 100 * CASE WHEN 10 - (s.s_quantity - u.used) > 0
+       THEN (10 - (s.s_quantity - u.used) + 99) // 100 ELSE 0 END AS INTEGER) AS s_quantity
+FROM (SELECT supply_w_id, i_id, sum(quantity) AS used FROM chk GROUP BY 1, 2) u
+JOIN stocks s ON s.s_w_id = u.supply_w_id AND s.s_i_id = u.i_id
+""", split=True)(lambda t: _streamed(t, 1))

@@ -444,11 +444,49 @@ SELECT w_id, d_id, c_id, CAST(sum(amount) AS DECIMAL(18,2)) AS paid, count(*) AS
 FROM payment_requests GROUP BY w_id, d_id, c_id
 """)(lambda t: streams.stream_payment_totals(t.spark, t.sf_dir, t.customers))
 
+def slices(t, rows, by, n=4, newest_first=False):
+    """``rows`` as files that arrive one slice (of equal widths of ``by``) after the other: the folder, after each slice."""
+    path = f"{_scratch(t, 'feed')}/events.parquet"
+    lowest, highest = rows.agg(F.min(by), F.max(by)).first()
+    if lowest is None:
+        rows.write.parquet(path)
+        yield path
+        return
+    part = F.floor((by - lowest) / ((highest - lowest) // n + 1))
+    for k in range(n):
+        rows.where(part == (n - 1 - k if newest_first else k)).write.mode("append").parquet(path)
+        yield path
+
+
+def arriving(t, rows, by, newest_first=False):
+    """The folder when all slices have arrived."""
+    return list(slices(t, rows, by, newest_first=newest_first))[-1]
+
+
+def _late_events(t):
+    """The events, of which the newest arrive first."""
+    from os.path import dirname
+    seconds = F.expr("timestampdiff(SECOND, timestamp_ntz '1970-01-01', ts)")
+    return dirname(arriving(t, t.raw("events"), seconds, newest_first=True))
+
+
 register("stream_window_latency", """
 SELECT date_trunc('day', ts) AS window_start, client, count(*) AS n_txn,
   CAST(CAST((sum(CAST(round(latency_ms * 1000000) AS BIGINT)) * 2 + count(*) * 100) // (200 * count(*)) AS DECIMAL(20,0)) * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4)) AS mean_ms, max(latency_ms) AS max_latency_ms
 FROM transaction_events GROUP BY 1, 2
-""")(lambda t: streams.stream_window_latency(t.spark, t.sf_dir))
+""")(lambda t: streams.stream_window_latency(t.spark, _late_events(t), files_per_batch=1))
+
+register("stream_window_quantiles", """
+, v AS (SELECT date_trunc('day', ts) AS window_start, client, CAST(round(latency_ms * 1000000) AS BIGINT) AS ns FROM transaction_events),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_start, client ORDER BY ns) AS rk, count(*) OVER (PARTITION BY window_start, client) AS n FROM v),
+x AS (
+  SELECT window_start, client, n AS n_txn, min(CASE WHEN rk * 100 >= n * 50 THEN ns END) AS a, min(CASE WHEN rk * 100 >= n * 95 THEN ns END) AS b,
+    min(CASE WHEN rk * 100 >= n * 99 THEN ns END) AS c
+  FROM r GROUP BY 1, 2, 3)
+SELECT window_start, client, n_txn, """ + ", ".join(
+    f"(({c} >> greatest(0, length(bin({c})) - 8)) << greatest(0, length(bin({c})) - 8)) + ((1::BIGINT << greatest(0, length(bin({c})) - 8)) - 1) // 2 AS p{q}_ns"
+    for c, q in (("a", 50), ("b", 95), ("c", 99))) + " FROM x")(
+    lambda t: streams.stream_window_quantiles(t.spark, _late_events(t), files_per_batch=1))
 
 register("stream_top_balance", """
 , pay AS (SELECT w_id, d_id, c_id, sum(amount) AS paid FROM payment_requests GROUP BY 1, 2, 3),
@@ -462,4 +500,11 @@ SELECT CAST(row_number() OVER (ORDER BY t.c_balance DESC NULLS LAST, t.c_w_id, t
 FROM top t
 LEFT JOIN districts d ON d.d_w_id = t.c_w_id AND d.d_id = t.c_d_id
 LEFT JOIN warehouses w ON w.w_id = t.c_w_id
-""")(lambda t: streams.stream_top_balance(t.spark, t.sf_dir, t.customers, t.districts, t.warehouses))
+""")(lambda t: _stream_top_balance(t))
+
+
+def _stream_top_balance(t):
+    from os.path import dirname
+    feed = dirname(arriving(t, t.raw("events"), F.col("event_id")))
+    return streams.stream_top_balance(t.spark, feed, t.customers, t.districts, t.warehouses, files_per_batch=1)
+

@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators import changes
 from ..operators.metrics import mean_e4, nanos
-from ..session import scratch_table_path
+from ..operators.reads import top_balance
+from ..session import cut_lineage, scratch_table_path
 from ..sources import txlog
 
 EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
@@ -37,10 +39,40 @@ def _run(df: DataFrame, base: str, sink, mode: str = "append") -> None:
 
 def _written(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All batches at ``path`` with their ``batch``; none if nothing has arrived yet."""
-    try:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return spark.read.schema(f"{schema}, batch LONG").parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], f"{schema}, batch LONG")
+    return spark.createDataFrame([], f"{schema}, batch LONG")
+
+
+class Versions:
+    """Tables that a stream keeps at ``base``, a version for each batch. Batch n reads the version
+    before it and writes its own, so a replayed batch does the same again; older versions than these two go."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base
+
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str, batch: int) -> str:
+        return f"{self.base}/{name}/version={batch}"
+
+    def numbers(self, name: str) -> list[int]:
+        """Versions that were written to the end."""
+        p, fs = self._fs(f"{self.base}/{name}/version=*/_SUCCESS")
+        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in fs.globStatus(p) or [])
+
+    def read(self, name: str, before: int | None = None) -> DataFrame:
+        """The newest version, or the newest before a batch."""
+        return self.spark.read.parquet(self._path(name, max(n for n in self.numbers(name) if before is None or n < before)))
+
+    def write(self, name: str, rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(self._path(name, batch))
+        for n in [n for n in self.numbers(name) if n < batch][:-1]:
+            p, fs = self._fs(self._path(name, n))
+            fs.delete(p, True)
 
 
 def _updates(df: DataFrame, keys: list[str], name: str, location: str | None) -> DataFrame:
@@ -103,59 +135,175 @@ def stream_payment_totals(spark: SparkSession, sf_dir: str, customers: DataFrame
     return _updates(agg, ["w_id", "d_id", "c_id"], "payments", location)
 
 
-def _epoch_ntz():
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+EPOCH = "1970-01-01 00:00:00"
+#: Bits of a latency that its code keeps: codes are at most 2^-BITS of the value away from it.
+BITS = 8
 
 
-def ntz_to_instant(c):
-    """Wall-clock time read as UTC -> instant, whatever the session time zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
+def window_start(ts: str, seconds: int):
+    """Start of the window of a wall-clock time, whatever the session time zone."""
+    epoch = F.lit(EPOCH).cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
+    width = F.lit(seconds * 1_000_000)
+    return F.timestamp_add("MICROSECOND", (micros - F.pmod(micros, width)), epoch)
 
 
-def instant_to_ntz(c):
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
+def value_code(value: str):
+    """A whole number by its length and its leading BITS bits, in the order of the values."""
+    n = f"abs({value})"
+    shift = f"greatest(0, length(bin({n})) - {BITS})"
+    return F.expr(f"(CASE WHEN {value} < 0 THEN -1 ELSE 1 END) * ({shift} * {1 << BITS} + shiftright({n}, {shift}))").cast("long")
 
 
-def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20, location: str | None = None,
-                          files_per_batch: int | None = None, lateness: str = "1 hour") -> DataFrame:
-    """Per-day, per-client transaction count and latency.
+def code_middle(code: str):
+    """The middle of the numbers of a code."""
+    n = f"abs({code})"
+    shift = f"CAST({n} div {1 << BITS} AS INT)"
+    return F.expr(f"(CASE WHEN {code} < 0 THEN -1 ELSE 1 END) * (shiftleft({n} % {1 << BITS}, {shift}) + (shiftleft(1L, {shift}) - 1) div 2)")
 
-    Event time is ``ts`` (wall clock, read as UTC). In update mode the watermark
-    drops the state of a day once the newest event of earlier batches is
-    ``lateness`` past its end; rows that come later still are left out.
+
+PARTIAL = "window_start TIMESTAMP_NTZ, client INT, code LONG, n LONG, nanos LONG, top DOUBLE"
+
+
+def window_partials(spark: SparkSession, sf_dir: str, clients: int, location: str | None, files_per_batch: int | None, seconds: int) -> DataFrame:
+    """(window_start, client, code, n, nanos, top) of all events that have arrived, in whatever order.
+
+    Each batch writes what it holds of each window, as counts by code of the latency, sums
+    and maxima; these are merged when they are read. A window stays open for
+    good: there is no watermark, and no state but the written partials.
     """
-    e = events_stream(spark, sf_dir, files_per_batch).select(
-        ntz_to_instant(F.col("ts")).alias("ts"),
-        (F.col("user_id") % clients).cast("int").alias("client"),
-        F.col("value").alias("latency_ms"))
-    agg = (e.withWatermark("ts", lateness)
-            .groupBy(F.window("ts", "1 day"), "client")
-            .agg(F.count(F.lit(1)).alias("n_txn"), F.sum(nanos("latency_ms")).alias("nanos"),
-                 F.max("latency_ms").alias("max_latency_ms")))
-    out = agg.select(instant_to_ntz(F.col("window.start")).alias("window_start"), "client", "n_txn",
-                     mean_e4("nanos", "n_txn").alias("mean_ms"), "max_latency_ms")
-    return _updates(out, ["window_start", "client"], "window-latency", location)
+    base = _place(spark, "windows", location)
 
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        e = batch.select(window_start("ts", seconds).alias("window_start"), (F.col("user_id") % clients).cast("int").alias("client"),
+                         nanos("value").alias("nanos"), "value")
+        (e.withColumn("code", value_code("nanos")).groupBy("window_start", "client", "code")
+          .agg(F.count(F.lit(1)).alias("n"), F.sum("nanos").alias("nanos"), F.max("value").alias("top"))
+          .write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}"))
 
-def stream_top_balance(spark: SparkSession, sf_dir: str, customers: DataFrame, districts: DataFrame,
-                       warehouses: DataFrame, k: int = 10, location: str | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """Top balances kept current as payments arrive.
+    _run(events_stream(spark, sf_dir, files_per_batch), base, sink)
+    return (_written(spark, f"{base}/out", PARTIAL).groupBy("window_start", "client", "code")
+            .agg(F.sum("n").alias("n"), F.sum("nanos").alias("nanos"), F.max("top").alias("top")))
+
+
+def stream_window_latency(spark: SparkSession, sf_dir: str, clients: int = 20, location: str | None = None,
+                          files_per_batch: int | None = None, seconds: int = 86_400) -> DataFrame:
+    """Per-day, per-client transaction count and latency (R3), late files included. Event time is ``ts`` (wall clock)."""
+    p = window_partials(spark, sf_dir, clients, location, files_per_batch, seconds)
+    return (p.groupBy("window_start", "client").agg(F.sum("n").alias("n_txn"), F.sum("nanos").alias("nanos"), F.max("top").alias("max_latency_ms"))
+            .select("window_start", "client", "n_txn", mean_e4("nanos", "n_txn").alias("mean_ms"), "max_latency_ms"))
 
-    A micro-batch writes what each customer paid in it, aggregated, so it costs
-    as much as the batch, not as the customer table. The balances are the
-    customer table less the payments of all batches; the top k is read from them.
+
+def stream_window_quantiles(spark: SparkSession, sf_dir: str, percents: tuple[int, ...] = (50, 95, 99), clients: int = 20, location: str | None = None,
+                            files_per_batch: int | None = None, seconds: int = 86_400) -> DataFrame:
+    """Per-day, per-client quantiles of the latency in nanoseconds (p50_ns, ...), late files included.
+
+    The p-th percentile is the value of rank ceil(n p / 100). The rank is exact; the value is the middle of its
+    code, at most 2^-8 of it away (exact below 256 ns). A window has at most some thousand codes, however many
+    events it holds.
     """
-    from ..operators.changes import apply_delta
-    from ..operators.reads import top_balance
+    p = window_partials(spark, sf_dir, clients, location, files_per_batch, seconds)
+    whole = W.partitionBy("window_start", "client")
+    c = p.withColumns({"upto": F.sum("n").over(whole.orderBy("code").rowsBetween(W.unboundedPreceding, 0)), "n_txn": F.sum("n").over(whole)})
+    at = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("n_txn") * q, F.col("code"))).alias(f"p{q}")
+    return (c.groupBy("window_start", "client").agg(F.max("n_txn").alias("n_txn"), *[at(q) for q in percents])
+            .select("window_start", "client", "n_txn", *[code_middle(f"p{q}").alias(f"p{q}_ns") for q in percents]))
+
+
+BALANCE = ["c_w_id", "c_d_id", "c_id", "c_first", "c_middle", "c_last", "c_balance"]
+
 
+def _best(customers: DataFrame, keep: int, floor=None) -> DataFrame:
+    """The ``keep`` highest balances of each warehouse with the highest of the rest as ``floor`` (null: there is no rest);
+    ``floor``: what is known of others that aren't in ``customers``."""
+    order = [F.col("c_balance").desc_nulls_last(), "c_d_id", "c_id"]
+    few = customers.withColumn("__rank", F.row_number().over(W.partitionBy("c_w_id").orderBy(*order))).where(F.col("__rank") <= keep + 1)
+    next_best = F.max(F.when(F.col("__rank") == keep + 1, F.col("c_balance"))).over(W.partitionBy("c_w_id"))
+    known = next_best if floor is None else F.greatest(next_best, F.max(floor).over(W.partitionBy("c_w_id")))
+    return few.withColumn("floor", known).where(F.col("__rank") <= keep).select(*BALANCE, "floor")
+
+
+def stream_top_balance(spark: SparkSession, sf_dir: str, customers: DataFrame, districts: DataFrame,
+                       warehouses: DataFrame, k: int = 10, location: str | None = None, files_per_batch: int | None = None,
+                       spare: int = 4) -> DataFrame:
+    """Top balances kept current as payments arrive.
+
+    For each warehouse the ``spare`` * k highest balances are kept, and a floor that no
+    other customer's balance is above. Payments lower balances, so a batch changes
+    the kept rows only. While k kept balances of a warehouse lie above its
+    floor, its top k is among them; where they don't any more, that
+    warehouse alone is read again, with the payments of all batches so far. A
+    customer whose balance rises (a payment below 0) is looked up and joins the kept.
+    """
     base = _place(spark, "top-balance", location)
+    kept = Versions(spark, base)
+    rows = customers.select(*BALANCE)
+    if not kept.numbers("top"):
+        kept.write("top", _best(rows, spare * k), -1)
+
+    def now(who: DataFrame) -> DataFrame:
+        """Customers with their balances after all payments up to now."""
+        paid = _written(spark, f"{base}/out", "c_id LONG, paid DECIMAL(18,2)").groupBy("c_id").agg(F.sum("paid").alias("__paid"))
+        return changes.apply_delta(who, paid, ["c_id"], {"c_balance": (F.col("c_balance") - F.coalesce(F.col("__paid"), F.lit(0))).cast("decimal(12,2)")})
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         (batch.groupBy(F.col("user_id").alias("c_id")).agg(F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(18,2)").alias("paid"))
               .write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}"))
+        paid = spark.read.parquet(f"{base}/out/batch={batch_id}")
+        top = kept.read("top", before=batch_id)
+        new = changes.apply_delta(top, paid.withColumnRenamed("paid", "__paid"), ["c_id"], {
+            "c_balance": (F.col("c_balance") - F.coalesce(F.col("__paid"), F.lit(0))).cast("decimal(12,2)")})
+        risen = paid.where("paid < 0").join(top, "c_id", "left_anti").select("c_id")
+        if risen.limit(1).count():
+            found = now(rows.join(risen, "c_id", "left_semi")).withColumn("floor", F.lit(None).cast("decimal(12,2)"))
+            new = _best(new.unionByName(found), spare * k, F.col("floor"))
+        new = cut_lineage(new, "top-balances")
+        dry = (new.groupBy("c_w_id").agg(F.max("floor").alias("floor"), F.count_if(F.col("c_balance") > F.col("floor")).alias("above"))
+               .where((F.col("floor").isNotNull()) & (F.col("above") < k)).select("c_w_id"))
+        if dry.limit(1).count():
+            again = _best(now(rows.join(dry, "c_w_id", "left_semi")), spare * k)
+            new = new.join(dry, "c_w_id", "left_anti").unionByName(again)
+        kept.write("top", new, batch_id)
 
     _run(events_stream(spark, sf_dir, files_per_batch).filter(F.col("event_type") == "purchase"), base, sink)
-    paid = _written(spark, f"{base}/out", "c_id LONG, paid DECIMAL(18,2)").groupBy("c_id").agg(F.sum("paid").alias("__paid"))
-    now = apply_delta(customers, paid, ["c_id"], {
-        "c_balance": (F.col("c_balance") - F.coalesce(F.col("__paid"), F.lit(0))).cast("decimal(12,2)")})
-    return top_balance(now, districts, warehouses, k)
+    return top_balance(kept.read("top"), districts, warehouses, k)
+
+
+ORDERS_SCHEMA = ("seq BIGINT, w_id INT, d_id INT, c_id BIGINT, entry_d TIMESTAMP_NTZ, "
+                 "lines ARRAY<STRUCT<line_no: INT, i_id: BIGINT, supply_w_id: INT, quantity: INT>>")
+
+
+def stream_new_orders(spark: SparkSession, feed: str, districts: DataFrame, items: DataFrame, stocks: DataFrame, location: str | None = None,
+                      files_per_batch: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """New orders as they arrive (R1, W3, W4): (the numbered orders, the touched stocks).
+
+    Each row of ``feed`` (parquet files) is a request with its lines. Two tables are kept from batch to batch: the next
+    order number of each district and the quantity of each stock that was touched. A batch is
+    numbered and its stocks are folded by the operators of the batch job, which split
+    busy districts and items over tasks; a keyed state would hold each in one task. A batch
+    starts from the version before it, so a replay gives the same.
+    """
+    base = _place(spark, "new-orders", location)
+    kept = Versions(spark, base)
+    if not kept.numbers("districts"):
+        kept.write("districts", districts.select("d_w_id", "d_id", "d_next_o_id"), -1)
+        kept.write("stocks", spark.createDataFrame([], "s_w_id INT, s_i_id LONG, s_quantity INT"), -1)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.select("seq", F.inline("lines"))
+        requests = batch.drop("lines")
+        before, changed = kept.read("districts", before=batch_id), kept.read("stocks", before=batch_id)
+        current = stocks.select("s_w_id", "s_i_id", F.col("s_quantity").alias("__first")).join(changed, ["s_w_id", "s_i_id"], "left").select(
+            "s_w_id", "s_i_id", F.coalesce("s_quantity", "__first").alias("s_quantity"))
+        checked = cut_lineage(changes.new_order_checked_lines(lines, requests, items, current), "new-order-checked")
+        (changes.new_order_headers(requests, lines, before, items, current, checked=checked)
+         .write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}"))
+        new = changes.stock_changes(checked).select("s_w_id", "s_i_id", F.col("quantity").alias("s_quantity"))
+        kept.write("stocks", changed.join(new, ["s_w_id", "s_i_id"], "left_anti").unionByName(new), batch_id)
+        kept.write("districts", changes.new_order_districts(before, requests), batch_id)
+
+    r = spark.readStream.schema(ORDERS_SCHEMA)
+    _run((r.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else r).parquet(feed), base, sink)
+    numbered = _written(spark, f"{base}/out", "seq LONG, o_w_id INT, o_d_id INT, o_id INT, o_c_id LONG, o_carrier_id INT, o_ol_cnt INT, o_all_local INT, "
+                                              "o_entry_d TIMESTAMP_NTZ, total_quantity LONG").drop("batch")
+    return numbered, kept.read("stocks")
