@@ -35,3 +35,21 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", max_chars: int = 2_
         size += len(t)
     if start < len(texts):
         yield start, texts[start:]
+
+
+class WorkerCache(dict):
+    """What an operator keeps in a Python worker between tasks, by model. Workers serve one stage after another: when an operator
+    starts, what the others have kept goes, so a worker never holds the caches of several."""
+
+    _all: list[WorkerCache] = []
+
+    def __init__(self) -> None:
+        super().__init__()
+        WorkerCache._all.append(self)
+
+    def get_or_make(self, key, make):
+        if key not in self:
+            for cache in WorkerCache._all:
+                cache.clear()
+            self[key] = make()
+        return self[key]

@@ -23,14 +23,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, id_text, text_slices
+from .common import WorkerCache, fold, id_text, text_slices
 
 _WORD = re.compile(r"[^\W\d_]+")
-SEGMENT = 256
+SEGMENT = 512
 
 
 @dataclass
@@ -47,34 +46,64 @@ class Model:
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters (Unicode's categories L), in lower case."""
+    words = _WORD.findall(text.lower())
+    if not "".join(words).isalpha():  # re counts numerals such as Roman ones and fractions as letters
+        words = [w for own in words for w in "".join(c if c.isalpha() else " " for c in own).split()]
+    return words
 
 
-def features(word: str, bits: int, lexicon: dict[str, int]) -> list[int]:
-    """Numbers of a word's features; of a very long word, of its two ends' 32 letters."""
-    w = word if len(word) <= 64 else word[:32] + word[-32:]
-    b = f"^{w}$"
-    names = {f"p{b[:k]}" for k in (2, 3, 4)} | {f"s{b[-k:]}" for k in (2, 3, 4)} | {"w" + w}
-    for n in (1, 2, 3):
-        names.update(b[i:i + n] for i in range(len(b) - n + 1))
-    held = lexicon.get(w, 0)
-    names.update(f"l{k}" for k in range(held.bit_length()) if held >> k & 1)
-    mask, digest = (1 << bits) - 1, xxhash.xxh3_64_intdigest
-    return [digest(x) & mask for x in names]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray, kind: int = 0) -> np.ndarray:
+    x = (x + np.uint64(kind)) * _STEP
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
 
 class Features:
-    """Feature numbers of a list of words, flat; sums over them by word."""
+    """Feature numbers of a list of words, and sums over them by word.
+
+    Of ``^word$``: letter n-grams of 1 to 3, prefixes and suffixes of 2 to 4, the
+    whole, and the lexicons that hold it. Numbers are hashes of the code points, made for all words at once.
+    """
 
     def __init__(self, words: list[str], model: Model):
-        rows = [features(w, model.bits, model.lexicon) for w in words]
-        self.flat = np.fromiter((f for r in rows for f in r), dtype=np.int64)
-        size = np.array([len(r) for r in rows], dtype=np.int64)
-        self.starts, self.word = np.cumsum(size) - size, np.repeat(np.arange(len(rows)), size)
-        self.scale = 1 / np.sqrt(size)[:, None]
+        n = len(words)
+        marked = "".join([f"^{w}$" for w in words])
+        c = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+        size = np.fromiter(map(len, words), dtype=np.int64, count=n) + 2
+        start = np.cumsum(size) - size
+        word = np.repeat(np.arange(n), size)
+        at = np.arange(len(c)) - start[word]
+        rest = size[word] - at
+        flat, own = [_mixed(c, 1)], [word]
+        run = c
+        for k in (2, 3, 4):
+            run = run[:len(run) - 1] * _STEP + c[k - 1:]  # k characters from each place on
+            whole = rest[:len(run)] >= k
+            if k < 4:
+                flat.append(_mixed(run[whole], k))
+                own.append(word[:len(run)][whole])
+            long = size >= k
+            for kind, place in ((10 + k, start), (20 + k, start + size - k)):
+                flat.append(_mixed(run[place[long]], kind))
+                own.append(np.flatnonzero(long))
+        power = np.multiply.accumulate(np.full(int(size.max(initial=1)), _STEP)) if n else np.zeros(0, np.uint64)
+        if n:
+            flat.append(_mixed(np.add.reduceat(_mixed(c, 5) * power[at], start), 30))
+            own.append(np.arange(n))
+        held = [(i, k) for i, w in enumerate(words) if (bits := model.lexicon.get(w)) for k in range(bits.bit_length()) if bits >> k & 1]
+        flat.append(_mixed(np.array([k for _, k in held], dtype=np.uint64), 40))
+        own.append(np.array([i for i, _ in held], dtype=np.int64))
+        self.n, self.word = n, np.concatenate(own)
+        self.flat = (np.concatenate(flat) & np.uint64((1 << model.bits) - 1)).astype(np.int64)
+        self.scale = 1 / np.sqrt(np.maximum(np.bincount(self.word, minlength=n), 1))[:, None]
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(weights[self.flat], self.starts, axis=0) * self.scale
+        x = weights[self.flat]
+        return np.stack([np.bincount(self.word, weights=x[:, k], minlength=self.n) for k in range(x.shape[1])], axis=1) * self.scale
 
     def gradient(self, g: np.ndarray, n: int) -> np.ndarray:
         g = (g * self.scale)[self.word]
@@ -95,7 +124,7 @@ def forward_backward(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray, pair
     if not len(n):
         return np.zeros((0, k)), np.zeros((k, k)) if pairs else None
     p = np.exp(e - e.max(axis=1, keepdims=True))
-    t = np.exp(trans - trans.max())
+    t = np.exp(trans - trans.max()).astype(p.dtype)
     parts = -(-n // SEGMENT)
     chain = np.repeat(np.arange(len(n)), parts)
     nth = np.arange(len(chain)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -105,21 +134,25 @@ def forward_backward(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray, pair
     begin, size, chain, nth = begin[order], size[order], chain[order], nth[order]
     active = np.searchsorted(-size, -np.arange(int(size[0])) - 1, side="right")  # segments with a word at each step
     m = len(size)
-    into, out = np.full((m, k), 1.0 / k), np.full((m, k), 1.0)
+    into, out = np.full((m, k), 1.0 / k, dtype=p.dtype), np.full((m, k), 1.0, dtype=p.dtype)
     most = int(parts.max())
     if most > 1:
-        mat = np.tile(np.eye(k), (m, 1, 1))
-        for s, a in enumerate(active):
-            x = (mat[:a] @ t) * p[begin[:a] + s][:, None, :]
-            mat[:a] = x / x.max(axis=(1, 2), keepdims=True)
+        cut = np.flatnonzero(parts[chain] > 1)  # segments of chains that have several
+        place, number = begin[cut], np.full(m, -1, dtype=np.int64)
+        number[cut] = np.arange(len(cut))
+        mat = np.tile(np.eye(k, dtype=p.dtype), (len(cut), 1, 1))
+        for s in range(int(size[cut[0]])):
+            a = int(np.searchsorted(-size[cut], -s - 1, side="right"))
+            x = (mat[:a].reshape(-1, k) @ t).reshape(-1, k, k) * p[place[:a] + s][:, None, :]
+            mat[:a] = x / x.reshape(a, -1).max(axis=1)[:, None, None]
         at = np.full((len(n), most), -1, dtype=np.int64)
         at[chain, nth] = np.arange(m)
         for j in range(1, most):
             h = at[:, j] >= 0
-            v = np.einsum("ik,ikl->il", into[at[h, j - 1]], mat[at[h, j - 1]])
+            v = np.einsum("ik,ikl->il", into[at[h, j - 1]], mat[number[at[h, j - 1]]])
             into[at[h, j]] = v / v.sum(axis=1, keepdims=True)
             h = at[:, most - j] >= 0
-            v = np.einsum("ikl,il->ik", mat[at[h, most - j]], out[at[h, most - j]])
+            v = np.einsum("ikl,il->ik", mat[number[at[h, most - j]]], out[at[h, most - j]])
             out[at[h, most - j - 1]] = v / v.max(axis=1, keepdims=True)
     alpha = np.empty_like(p)
     v = into
@@ -252,13 +285,13 @@ class Labeller:
         if len(self.number) > self.cache_words:
             self.number, self.scores = {}, self.scores[:0]
         new = sorted({w for c in chains for w in c}.difference(self.number))
-        for j in range(0, len(new), 50_000):
-            part = new[j:j + 50_000]
+        for j in range(0, len(new), 20_000):
+            part = new[j:j + 20_000]
             self.scores = np.concatenate([self.scores, Features(part, self.model).scores(self.model.weights).astype(np.float32)])
             self.number.update(zip(part, range(len(self.number), len(self.number) + len(part))))
         get = self.number.__getitem__
         at = np.fromiter((i for c in chains for i in map(get, c)), dtype=np.int64)
-        return self.scores[at].astype(np.float64)
+        return self.scores[at]
 
     def label(self, texts: list[str]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
         """Words of each text, their number, and label probabilities of all words."""
@@ -267,7 +300,7 @@ class Labeller:
         return chains, lengths, forward_backward(self.emissions(chains), lengths, self.model.transitions)[0]
 
 
-_LABELLERS: dict[bytes, Labeller] = {}
+_LABELLERS = WorkerCache()
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -283,10 +316,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        if m is not None and m.key not in _LABELLERS:
-            _LABELLERS.clear()
-            _LABELLERS[m.key] = Labeller(m)
-        tool = _LABELLERS[m.key] if m is not None else None
+        tool = None if m is None else _LABELLERS.get_or_make(m.key, lambda: Labeller(m))
         for batch in batches:
             for start, texts in text_slices(batch):
                 pred, score = np.array(["und"] * len(texts), dtype=object), np.zeros(len(texts))
@@ -296,7 +326,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
                     has = count > 0
                     if has.any():
                         first = np.cumsum(count[has]) - count[has]
-                        share = np.add.reduceat(post, first, axis=0) / count[has][:, None]
+                        share = np.add.reduceat(post, first, axis=0, dtype=np.float64) / count[has][:, None]
                         best = share.argmax(axis=1)
                         pred[has] = np.array(m.langs, dtype=object)[best]
                         score[has] = np.minimum(share[np.arange(len(best)), best], 1.0)

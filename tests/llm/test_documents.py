@@ -314,6 +314,13 @@ def test_forward_backward_is_exact():
         langid.SEGMENT = old
 
 
+def test_only_letters_are_words(spark, docs):
+    assert langid.words_of("½ ² Ⅷ ① Élan l'été x²y ΣΑΣ") == ["élan", "l", "été", "x", "y", "σας"]
+    tool = langid.train(docs)
+    rows = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ ①"), (3, "42 + 1"), (4, "\u0301")], "doc_id long, text string")
+    assert {(r["lang_pred"], r["score"]) for r in langid.identify(rows, tool).collect()} == {("und", 0.0)}
+
+
 @data
 def test_language_accuracy_and_odd_rows(spark, docs, odd):
     model = langid.train(docs)
