@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from ..functions.scalar import full_name
 from ..session import cut_lineage
 from . import derived
-from .skew import grid_join
+from .skew import grid_join, interval_join
 
 # ---------------------------------------------------------------- Order-Status
 
@@ -69,31 +69,28 @@ def order_status_check(requests: DataFrame, customers: DataFrame, orders: DataFr
 # ------------------------------------------------------------- last L orders
 
 
-def last_l_orders(requests: DataFrame, districts: DataFrame, orders: DataFrame) -> DataFrame:
+def _last_l(requests: DataFrame, districts: DataFrame) -> DataFrame:
+    """Requests with the order numbers ``__low`` to ``__high`` that they ask for: the half-open [N - L, N)."""
     d = districts.select(F.col("d_w_id").alias("w_id"), "d_id", "d_next_o_id")
-    r = (requests.join(d, ["w_id", "d_id"], "inner")
-                 .filter(F.col("d_next_o_id") > 1)
-                 .select(*requests.columns,
-                         F.explode(F.sequence(F.greatest(F.col("d_next_o_id") - F.col("last_l"), F.lit(1)),
-                                              F.col("d_next_o_id") - 1)).alias("o_id")))
+    return requests.join(d, ["w_id", "d_id"], "inner").select(
+        *requests.columns, F.greatest(F.col("d_next_o_id") - F.col("last_l"), F.lit(1)).alias("__low"), (F.col("d_next_o_id") - 1).alias("__high"))
+
+
+def last_l_orders(requests: DataFrame, districts: DataFrame, orders: DataFrame) -> DataFrame:
+    """The last L orders of each request's district, a range join (``skew.interval_join``): a request costs the same for any L."""
     o = orders.select(F.col("o_w_id").alias("w_id"), F.col("o_d_id").alias("d_id"), "o_id",
                       F.col("o_c_id").alias("c_id"), "o_entry_d")
-    return r.join(o, ["w_id", "d_id", "o_id"], "inner")
+    j = interval_join(o, _last_l(requests, districts), ["w_id", "d_id"], "o_id", "__low", "__high")
+    return j.select(*requests.columns, "o_id", "c_id", "o_entry_d")
 
 
 # ---------------------------------------------------------------- Stock-Level
 
 
 def _last_l_lines(requests: DataFrame, districts: DataFrame, order_lines: DataFrame) -> DataFrame:
-    d = districts.select(F.col("d_w_id").alias("w_id"), "d_id", "d_next_o_id")
-    keys = (requests.join(d, ["w_id", "d_id"], "inner")
-                    .filter(F.col("d_next_o_id") > 1)
-                    .select(*requests.columns,
-                            F.explode(F.sequence(F.greatest(F.col("d_next_o_id") - F.col("last_l"), F.lit(1)),
-                                                 F.col("d_next_o_id") - 1)).alias("o_id")))
     ol = order_lines.select(F.col("ol_w_id").alias("w_id"), F.col("ol_d_id").alias("d_id"),
                             F.col("ol_o_id").alias("o_id"), "ol_number", "ol_i_id", "ol_quantity")
-    return keys.join(ol, ["w_id", "d_id", "o_id"], "inner")
+    return interval_join(ol, _last_l(requests, districts), ["w_id", "d_id"], "o_id", "__low", "__high").drop("__low", "__high")
 
 
 def stock_level(requests: DataFrame, districts: DataFrame, order_lines: DataFrame,
@@ -285,8 +282,8 @@ def _pair_matches(pairs: DataFrame, requests: DataFrame | None, keep_order: bool
         requests.select("w_id", "d_id", "c_id").distinct(), ["w_id", "d_id", "c_id"], "left_semi")
     mine = cut_lineage(mine, "asked-pairs")
     # only pairs that a requested customer bought can match
-    theirs = (pairs.join(mine.select("i1_id", "i2_id").distinct(), ["i1_id", "i2_id"], "left_semi")
-              .select(*[F.col(c).alias(f"r_{c}") for c in ks], "i1_id", "i2_id"))
+    theirs = cut_lineage(pairs.join(mine.select("i1_id", "i2_id").distinct(), ["i1_id", "i2_id"], "left_semi")
+                         .select(*[F.col(c).alias(f"r_{c}") for c in ks], "i1_id", "i2_id"), "matching-pairs")
     return grid_join(mine, theirs, ["i1_id", "i2_id"], cell_rows).filter(F.col("w_id") != F.col("r_w_id"))
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import cut_lineage
+
 # Default width of one range of the ordering key. A group contributes one
 # small total row per range, and each range is sorted by one task.
 DEFAULT_RANGE_WIDTH = 1 << 16
@@ -99,6 +101,35 @@ def running_lows(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                                                    low("__low_before").alias("low_before"))
 
 
+#: Ranges that an interval is cut into at least (and twice as many at most).
+INTERVAL_PARTS = 64
+
+
+def interval_join(rows: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, low: str, high: str) -> DataFrame:
+    """Rows with ``keys`` alike and ``at`` between ``low`` and ``high`` (whole numbers, not below 0), each with its interval.
+
+    An interval of any length is cut into at most 2 * INTERVAL_PARTS + 1 ranges of 2^level numbers,
+    with the least level that allows it; a row has its range's number on each level
+    in use. The join is on (keys, level, range), and what lies beyond the ends drops out.
+    So a request costs the same whether it asks for a hundred orders or a million, and a
+    range holds 1/64 of an interval at most. Columns other than the keys must differ.
+    """
+    keys = list(keys)
+    length = F.col(high) - F.col(low) + 1
+    level = F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(INTERVAL_PARTS)))).cast("int")
+    cut = intervals.where(F.col(low) <= F.col(high)).withColumn("__level", level)
+    first, last = F.expr(f"shiftright(CAST({low} AS BIGINT), __level)"), F.expr(f"shiftright(CAST({high} AS BIGINT), __level)")
+    asked = cut.withColumn("__range", F.explode(F.sequence(first, last)))
+    levels = cut.select(F.sort_array(F.collect_set("__level"))).scalar()  # 58 levels at most
+    placed = rows.withColumn("__level", F.explode(levels)).withColumn("__range", F.expr(f"shiftright(CAST({at} AS BIGINT), __level)"))
+    met = asked.join(placed, [*keys, "__level", "__range"]).where(F.col(at).between(F.col(low), F.col(high)))
+    return met.drop("__level", "__range")
+
+
+#: Keys with more than one cell that are broadcast; counted first, beyond it they are joined by a shuffle.
+FEW_KEYS = 100_000
+
+
 def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cell_rows: int = 1_000) -> DataFrame:
     """Inner equi-join whose work per task is bounded by its output.
 
@@ -108,17 +139,24 @@ def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], cell_rows:
     right row the other way round, and the join is on (keys, grid row, column).
     Every matching pair meets in exactly one cell, so the result is the plain
     join's; a key with millions of rows on both sides is spread over its output.
-    Keys of one cell, the usual case, are not copied. The grid is joined to both
-    sides by key. Columns other than the keys must differ between the sides.
+    Keys of one cell, the usual case, are not copied. Only the others are
+    looked up, in a broadcast table as long as they are few: so a hot key's rows
+    are dealt where they are, before any shuffle. Both sides are read twice and should be
+    stored. Columns other than the keys must differ between the sides.
     """
     keys = list(keys)
     count = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(cell_rows)).cast("int").alias(name))
-    grid = count(left, "__rows").join(count(right, "__cols"), keys, "inner")
+    grid = cut_lineage(count(left, "__rows").join(count(right, "__cols"), keys, "inner").where("__rows > 1 or __cols > 1"), "join-grid")
+    n = grid.count()
+    if not n:
+        return left.join(right, keys, "inner")
+    grid = F.broadcast(grid) if n <= FEW_KEYS else grid
 
     def deal(df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
-        g = df.join(grid, keys, "inner")
-        place = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(own_n)).cast("int")
-        return (g.withColumn(own, place).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
+        g = df.join(grid, keys, "left")
+        cells = lambda c: F.coalesce(F.col(c), F.lit(1))
+        place = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), cells(own_n)).cast("int")
+        return (g.withColumn(own, place).withColumn(other, F.explode(F.sequence(F.lit(0), cells(other_n) - 1)))
                 .drop("__rows", "__cols"))
 
     a = deal(left, "__r", "__rows", "__c", "__cols")

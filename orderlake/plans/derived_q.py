@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from ..operators import audit, derived
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import audit, changes, derived, fingerprints, ordered, upkeep
+from ..sources.schema import BASE_SCHEMAS
 from .registry import register
 
 # ------------------------------------------------------------- derived tables
@@ -237,3 +243,59 @@ SELECT table_name, raw_rows, processed_rows, raw_rows - processed_rows AS diff F
   UNION ALL SELECT 'order_lines', (SELECT count(*) FROM lineitem),
     (SELECT count(*) FROM order_lines) + (SELECT count(*) FROM new_order_line_requests)) x
 """, split=True)(_reconcile)
+
+# ------------------------------------------------------ content fingerprints
+
+#: Table -> what its fingerprints are kept by.
+_PARTS = {"warehouses": "w_id", "districts": "d_w_id", "customers": "c_w_id", "orders": "o_w_id", "items": "i_id % 16", "order_lines": "ol_w_id", "stocks": "s_w_id"}
+
+
+def _prints(t, name, table=None):
+    return fingerprints.fingerprints((t.base(name) if table is None else table).select(*BASE_SCHEMAS[name].fieldNames()), name, F.expr(_PARTS[name]))
+
+
+def _prints_sql(name: str, source: str) -> str:
+    def own(f):
+        """A decimal without digits before the point is written with its 0, as Spark does."""
+        d = f.dataType
+        return f"CAST({f.name} AS DECIMAL({d.precision + 1},{d.scale}))" if d.typeName() == "decimal" and d.precision == d.scale else f.name
+
+    text = ", ".join(rf"coalesce(replace(replace(CAST({c} AS VARCHAR), '\', '\\'), '|', '\p'), '\N')" for c in map(own, BASE_SCHEMAS[name]))
+    return (f"SELECT '{name}' AS table_name, CAST({_PARTS[name]} AS VARCHAR) AS part, count(*) AS n_rows, "
+            f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 15) AS BIGINT)) % 1152921504606846976 AS BIGINT) AS hash FROM {source} GROUP BY ALL")
+
+
+register("audit_fingerprints", "\nUNION ALL\n".join(_prints_sql(n, "w_orders" if n == "orders" else n) for n in _PARTS))(
+    lambda t: reduce(DataFrame.unionByName, [_prints(t, n) for n in _PARTS]))
+
+# In every fifth warehouse one order has another line count: as many rows, other content.
+register("audit_altered_partitions", """
+SELECT 'orders' AS table_name, CAST(o_w_id AS VARCHAR) AS part, count(*) AS left_rows, count(*) AS right_rows
+FROM w_orders GROUP BY o_w_id HAVING o_w_id % 5 = 0 AND count(*) FILTER (WHERE o_d_id = 1 AND o_id = 1) > 0
+""")(lambda t: fingerprints.differing(_prints(t, "orders"), _prints(t, "orders", t.orders.withColumn("o_ol_cnt", F.when(
+    F.expr("o_w_id % 5 = 0 and o_d_id = 1 and o_id = 1"), F.col("o_ol_cnt") + 1).otherwise(F.col("o_ol_cnt"))))))
+
+
+def _prints_after_delivery(t):
+    """The orders' fingerprints carried on by the change of a batch of deliveries."""
+    change = upkeep.delivery_delta(t.orders, changes.delivered_orders(t.orders, t.delivery_requests))
+    return fingerprints.merged(_prints(t, "orders"), fingerprints.fingerprints(
+        change.select(*BASE_SCHEMAS["orders"].fieldNames(), upkeep.WEIGHT), "orders", F.expr(_PARTS["orders"]), F.col(upkeep.WEIGHT)))
+
+
+register("audit_fingerprints_after_delivery", """
+, und AS (SELECT *, row_number() OVER (PARTITION BY o_w_id, o_d_id ORDER BY o_id) AS k FROM w_orders WHERE o_carrier_id IS NULL),
+rq AS (SELECT w_id, carrier_id, row_number() OVER (PARTITION BY w_id ORDER BY seq) AS k FROM delivery_requests),
+now AS (
+  SELECT o.* EXCLUDE (o_carrier_id), coalesce(o.o_carrier_id, rq.carrier_id) AS o_carrier_id
+  FROM w_orders o LEFT JOIN und ON und.o_w_id = o.o_w_id AND und.o_d_id = o.o_d_id AND und.o_id = o.o_id
+  LEFT JOIN rq ON rq.w_id = und.o_w_id AND rq.k = und.k)
+""" + _prints_sql("orders", "now"))(_prints_after_delivery)
+
+# ------------------------------------------------------------ ordered results
+
+register("customer_order_items_sorted", """
+SELECT *, row_number() OVER (ORDER BY w_id, d_id, c_id, o_id, i_id) AS position
+FROM (SELECT DISTINCT o.o_w_id AS w_id, o.o_d_id AS d_id, o.o_c_id AS c_id, o.o_id, ol.ol_i_id AS i_id
+      FROM w_orders o JOIN order_lines ol ON ol.ol_w_id = o.o_w_id AND ol.ol_d_id = o.o_d_id AND ol.ol_o_id = o.o_id) x
+""")(lambda t: ordered.customer_order_items_sorted(derived.customer_order_items(t.orders, t.order_lines)))

@@ -112,6 +112,22 @@ def _catalog_load(t):
 register("catalog_load", "SELECT * FROM w_orders")(_catalog_load)
 
 
+def _colocated(t, buckets=8):
+    """Orders and order lines loaded into bucketed tables and joined bucket by bucket."""
+    place, db = _scratch(t, "colocated"), f"buckets_{uuid.uuid4().hex[:12]}"
+    catalog.create_base_tables(t.spark, place, db, bucketed=True, buckets=buckets)
+    for name in ("orders", "order_lines"):
+        catalog.load_table(t.base(name), db, name, buckets=buckets)
+    return catalog.colocated_order_lines(t.spark, db)
+
+
+register("order_lines_colocated", """
+SELECT o.o_w_id, o.o_d_id, o.o_id, o.o_c_id, CAST(sum(ol.ol_amount) AS DECIMAL(18,2)) AS amount, count(*) AS n_lines
+FROM w_orders o JOIN order_lines ol ON ol.ol_w_id = o.o_w_id AND ol.ol_d_id = o.o_d_id AND ol.ol_o_id = o.o_id
+GROUP BY 1, 2, 3, 4
+""")(_colocated)
+
+
 def _csv_rejects(t):
     """Orders as CSV, of which some lines have a text for a number or end early."""
     path = _scratch(t, "csv-rejects")

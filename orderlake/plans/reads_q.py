@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import derived, reads
+from ..operators import derived, ordered, reads
 from .registry import register
 
 # ------------------------------------------------------------------ T-T
@@ -73,6 +73,13 @@ JOIN w_orders o ON o.o_w_id = r.w_id AND o.o_d_id = r.d_id
 """)(lambda t: reads.last_l_orders(t.popular_requests, t.districts, t.orders)
      .select("seq", "w_id", "d_id", "last_l", "o_id", "c_id", "o_entry_d"))
 
+# Whatever L is: the last million orders of every district.
+register("last_l_orders_million", """
+SELECT r.seq, r.w_id, r.d_id, CAST(1000000 AS INTEGER) AS last_l, o.o_id, o.o_c_id AS c_id, o.o_entry_d
+FROM popular_requests r JOIN districts d ON d.d_w_id = r.w_id AND d.d_id = r.d_id
+JOIN w_orders o ON o.o_w_id = r.w_id AND o.o_d_id = r.d_id AND o.o_id >= d.d_next_o_id - 1000000 AND o.o_id < d.d_next_o_id
+""")(lambda t: reads.last_l_orders(t.popular_requests.withColumn("last_l", F.lit(1_000_000)), t.districts, t.orders))
+
 # ------------------------------------------------------------------ T-S
 
 _STOCK_KEYS = """
@@ -157,6 +164,11 @@ JOIN items it ON it.i_id = per.i_id
 register("popular_items_pct", ", " + _POPULAR_MAX + ", " + _LAST_L + _PCT.format(distinct="DISTINCT", by="f.n_found"))(
     lambda t: reads.popular_items_pct(t.popular_requests, t.districts, t.orders, t.order_lines, t.items))
 
+register("popular_items_ranked", ", " + _POPULAR_MAX + ", " + _LAST_L + ", pct AS (SELECT * FROM ("
+         + _PCT.format(distinct="DISTINCT", by="f.n_found").strip().removeprefix(",").replace("found AS (", "WITH found AS (", 1) + """))
+SELECT *, row_number() OVER (PARTITION BY seq ORDER BY n_orders DESC, i_id) AS rank FROM pct
+""")(lambda t: ordered.popular_items_ranked(reads.popular_items_pct(t.popular_requests, t.districts, t.orders, t.order_lines, t.items)))
+
 # The requested number of orders as denominator, every popular line counted.
 register("popular_items_pct_of_l", ", " + _POPULAR_MAX + ", " + _LAST_L + _PCT.format(distinct="", by="f.last_l"))(
     lambda t: reads.popular_items_pct(t.popular_requests, t.districts, t.orders, t.order_lines, t.items,
