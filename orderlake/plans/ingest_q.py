@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.scalar import epoch_ms_between
-from ..operators import metrics, reads
+from ..operators import metrics, overlap, reads
 from ..session import cut_lineage, scratch_table_path
 from ..sources import catalog, csv_io, txlog
 from ..sources.schema import BASE_SCHEMAS, ORDER, ORDER_LINE
@@ -271,7 +271,7 @@ ov AS (SELECT a.w_id, a.d_id, a.c_id, b.w_id AS r_w_id, b.d_id AS r_d_id, b.c_id
        FROM oi a JOIN related_requests r ON r.w_id = a.w_id AND r.d_id = a.d_id AND r.c_id = a.c_id
        JOIN oi b ON a.i_id = b.i_id AND a.w_id <> b.w_id GROUP BY a.w_id, a.d_id, a.c_id, a.o_id, b.w_id, b.d_id, b.c_id, b.o_id)
 SELECT DISTINCT w_id, d_id, c_id, r_w_id, r_d_id, r_c_id FROM ov WHERE n >= 2
-""")(lambda t: reads.related_customers(t.orders, t.order_lines, script_requests(t)["related_customers"]))
+""")(lambda t: overlap.related_customers(t.orders, t.order_lines, script_requests(t)["related_customers"]))
 
 register("script_top_balance", """
 , top AS (SELECT c_w_id, c_d_id, c_id, c_balance,

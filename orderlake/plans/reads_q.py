@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import derived, ordered, reads
+from ..operators import derived, ordered, overlap, reads
 from .registry import register
 
 # ------------------------------------------------------------------ T-T
@@ -206,6 +206,10 @@ SELECT DISTINCT w_id, d_id, c_id, r_w_id, r_d_id, r_c_id FROM ov WHERE overlap >
 register("related_customers", _RELATED_SQL)(
     lambda t: reads.related_customers(t.orders, t.order_lines, t.related_requests))
 
+# Items in more than 20 orders are heavy here, so both ways are taken on small data too.
+register("related_customers_weighted", _RELATED_SQL)(
+    lambda t: overlap.related_customers(t.orders, t.order_lines, t.related_requests, light_most=20))
+
 register("related_customers_overlap", _RELATED_SQL)(
     lambda t: reads.related_customers_overlap(t.orders, t.order_lines, t.related_requests))
 

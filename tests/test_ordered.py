@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orderlake.operators import fingerprints, ordered, reads, upkeep
+from orderlake.operators import fingerprints, ordered, overlap, reads, upkeep
 from orderlake.operators.skew import INTERVAL_PARTS, grid_join, interval_join
 from orderlake.sources import catalog
 from test_fixtures import lines, orders, table
@@ -113,3 +113,37 @@ def test_colocated_join_has_no_exchange(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.maxMetadataStringLength")
         catalog.drop_tables(spark, db)
+
+
+@pytest.mark.parametrize("light_most", [0, 5, 20, 10**6])
+def test_related_customers_by_weight(spark, light_most):
+    rnd = random.Random(light_most)
+    head, body, own = [], [], {}
+    for k in range(150):
+        w, c = rnd.randint(1, 3), k % 60
+        head.append((w, 1, k, c))
+        items = {rnd.choice([1, 2, 3, 4]) if rnd.random() < 0.5 else rnd.randint(5, 220) for _ in range(rnd.randint(1, 5))}
+        own[k] = (w, c, items)
+        body += [(w, k, i) for i in items for _ in range(rnd.choice([1, 2]))]
+    o = orders(spark, head)
+    ol = None
+    for w in (1, 2, 3):
+        part = lines(spark, [(k, n, i, 1) for n, (v, k, i) in enumerate(body) if v == w], w=w)
+        ol = part if ol is None else ol.unionByName(part)
+    req = spark.createDataFrame([(w, 1, c) for w in (1, 2, 3) for c in range(0, 60, 2)], "w_id int, d_id int, c_id long")
+    want = {(w, 1, c, v, 1, d) for w, c, a in own.values() for v, d, b in own.values() if w != v and len(a & b) >= 2 and c % 2 == 0}
+    got = overlap.related_customers(o, ol, req, light_most=light_most)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sorted(map(tuple, reads.related_customers(o, ol, req).collect())) == sorted(want)
+
+
+def test_a_pair_with_many_buyers_is_one_mask(spark):
+    """4,000 customers who bought the same two items: one mask, and cells of bounded size instead of 16 million listed pairs."""
+    n = 4_000
+    o = spark.range(n).select((F.col("id") % 2 + 1).cast("int").alias("w_id"), F.lit(1).alias("d_id"), F.col("id").alias("c_id"), F.col("id").cast("int").alias("o_id"))
+    items = o.withColumn("i_id", F.explode(F.array(F.lit(7), F.lit(8)).cast("array<long>")))
+    masks = overlap.with_masks(items, overlap.heavy_items(items))
+    assert [tuple(r) for r in masks.select("low", "high", F.size("light")).distinct().collect()] == [(3, 0, 0)]
+    asked = masks.where("c_id % 100 = 0")
+    found = overlap._by_masks(asked, masks).where("w_id <> r_w_id")
+    assert found.count() == 40 * n // 2
