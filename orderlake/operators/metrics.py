@@ -14,11 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .skew import running_totals
 
 
-#: Ranges of latencies that a client's values are dealt to.
-RANGES = 64
+#: Rows of the histogram that a range of latencies holds, about.
+RANGE_ROWS = 20_000
 
 
 def _r4(c):
@@ -47,11 +48,13 @@ def latency_histogram(events: DataFrame) -> DataFrame:
 
 def cumulative_histogram(events: DataFrame) -> DataFrame:
     """(client, latency_ms, freq, nanos, cum): cumulative count per client in
-    latency order. Split into ranges at quantiles of all latencies, so a busy
-    client is spread over many tasks whatever its values are."""
-    cuts = sorted(set(events.select("latency_ms").approxQuantile("latency_ms", [k / RANGES for k in range(1, RANGES)], 0.25 / RANGES)))
+    latency order. Split into ranges at quantiles of the histogram's latencies, as many as its
+    rows ask for, so a busy client is spread over many tasks whatever its values are and however many."""
+    h = cut_lineage(latency_histogram(events), "latency-histogram")
+    ranges = -(-h.count() // RANGE_ROWS)
+    cuts = sorted(set(h.approxQuantile("latency_ms", [k / ranges for k in range(1, ranges)], 0.25 / ranges))) if ranges > 1 else []
     above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("latency_ms"))) if cuts else F.lit(0)
-    h = latency_histogram(events).withColumn("__c", above)
+    h = h.withColumn("__c", above)
     return running_totals(h, ["client"], ["latency_ms"], {"cum": F.col("freq")}, range_col="__c", width=1)
 
 

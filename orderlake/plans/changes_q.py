@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import audit, changes, derived, upkeep
 from .derived_q import _db_state_sql
 from ..session import cut_lineage, scratch_table_path
-from ..sources import txlog
+from ..sources import txlog, versions
 from ..streaming import streams
 from .ingest_q import script_requests, slices
 from .registry import register
@@ -106,6 +107,46 @@ WHERE o.o_carrier_id IS NULL
                   WHERE dl.w_id = o.o_w_id AND dl.d_id = o.o_d_id AND dl.o_id = o.o_id)
 """)(lambda t: changes.deliver_remaining_queue(t.orders, _delivered(t)))
 
+# Deliveries without a time are stamped with the time of the run.
+register("deliver_now", _DELIVERED + """
+SELECT ol.ol_w_id, ol.ol_d_id, ol.ol_o_id, ol.ol_number, dl.o_id IS NOT NULL AS just_now
+FROM order_lines ol LEFT JOIN delivered dl ON dl.w_id = ol.ol_w_id AND dl.d_id = ol.ol_d_id AND dl.o_id = ol.ol_o_id
+""")(lambda t: _deliver_now(t))
+
+
+def _deliver_now(t):
+    began = F.lit(datetime.datetime.now(datetime.UTC).replace(tzinfo=None) - datetime.timedelta(days=1)).cast("timestamp_ntz")
+    rq = t.delivery_requests.withColumn("delivery_d", F.lit(None).cast("timestamp_ntz"))
+    lines = changes.deliver_lines(t.order_lines, changes.delivered_orders(t.orders, rq))
+    return lines.select("ol_w_id", "ol_d_id", "ol_o_id", "ol_number", F.coalesce(F.col("ol_delivery_d") >= began, F.lit(False)).alias("just_now"))
+
+
+# Deliveries to every second warehouse, on tables stored by warehouse: the other partitions stay as they are.
+_SOME_DELIVERED = _DELIVERED.replace("FROM delivery_requests)", "FROM delivery_requests WHERE w_id % 2 = 0)")
+
+
+def _stored_delivery(t, name, partition, change):
+    path = scratch_table_path(t.spark, f"stored-{name}-{uuid.uuid4().hex[:12]}")
+    versions.write_partitioned(t.base(name), path, [partition])
+    dl = cut_lineage(changes.delivered_orders(t.orders, t.delivery_requests.where("w_id % 2 = 0")), "delivered")
+    versions.rewrite_touched(t.spark, path, dl.select(F.col("w_id").alias(partition)), [partition], lambda old: change(old, dl))
+    return t.spark.read.parquet(path).select(*t.base(name).columns)
+
+
+register("deliver_stored_orders", _SOME_DELIVERED + """
+SELECT o.* EXCLUDE (o_carrier_id), coalesce(dl.carrier_id, o.o_carrier_id) AS o_carrier_id
+FROM w_orders o LEFT JOIN delivered dl ON dl.w_id = o.o_w_id AND dl.d_id = o.o_d_id AND dl.o_id = o.o_id
+""")(lambda t: _stored_delivery(t, "orders", "o_w_id", changes.deliver_orders))
+
+register("deliver_stored_customers", _SOME_DELIVERED + """
+, amt AS (SELECT ol_w_id, ol_d_id, ol_o_id, CAST(sum(ol_amount) AS DECIMAL(18,2)) AS amount FROM order_lines GROUP BY 1, 2, 3),
+dc AS (SELECT dl.w_id, dl.d_id, dl.c_id, sum(coalesce(a.amount, 0)) AS amt, count(*) AS n
+       FROM delivered dl LEFT JOIN amt a ON a.ol_w_id = dl.w_id AND a.ol_d_id = dl.d_id AND a.ol_o_id = dl.o_id GROUP BY 1, 2, 3)
+SELECT c.* EXCLUDE (c_balance, c_delivery_cnt), CAST(c.c_balance + coalesce(dc.amt, 0) AS DECIMAL(12,2)) AS c_balance,
+  CAST(c.c_delivery_cnt + coalesce(dc.n, 0) AS INTEGER) AS c_delivery_cnt
+FROM customers c LEFT JOIN dc ON dc.w_id = c.c_w_id AND dc.d_id = c.c_d_id AND dc.c_id = c.c_id
+""")(lambda t: _stored_delivery(t, "customers", "c_w_id", lambda old, dl: changes.deliver_customers(old, t.order_lines, dl)))
+
 # ---------------------------------------------------------------- New-Order
 
 _NEW_ORDER = """

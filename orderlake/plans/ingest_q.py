@@ -128,6 +128,23 @@ GROUP BY 1, 2, 3, 4
 """)(_colocated)
 
 
+def _clustering(t, buckets=8):
+    """Rows of each bucket file that stand before one with a smaller key."""
+    place, db = _scratch(t, "clustered"), f"clustered_{uuid.uuid4().hex[:12]}"
+    catalog.create_base_tables(t.spark, place, db, bucketed=True, buckets=buckets)
+    out = None
+    for name in ("customers", "orders", "order_lines"):
+        catalog.load_table(t.base(name), db, name, buckets=buckets)
+        part = catalog.clustering_faults(t.spark, db, name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register("clustering_order", "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order FROM {s}"
+    for n, s in (("customers", "customers"), ("orders", "w_orders"), ("order_lines", "order_lines"))))(_clustering)
+
+
 def _csv_rejects(t):
     """Orders as CSV, of which some lines have a text for a number or end early."""
     path = _scratch(t, "csv-rejects")

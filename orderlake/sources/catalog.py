@@ -11,6 +11,7 @@ bucket.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .schema import BASE_SCHEMAS
@@ -71,3 +72,14 @@ def colocated_order_lines(spark: SparkSession, database: str) -> DataFrame:
     per = ol.groupBy("ol_w_id", "ol_d_id", "ol_o_id").agg(F.sum("ol_amount").cast("decimal(18,2)").alias("amount"), F.count(F.lit(1)).alias("n_lines"))
     j = o.join(per, (o.o_w_id == per.ol_w_id) & (o.o_d_id == per.ol_d_id) & (o.o_id == per.ol_o_id))
     return j.select("o_w_id", "o_d_id", "o_id", "o_c_id", "amount", "n_lines")
+
+
+def clustering_faults(spark: SparkSession, database: str, name: str) -> DataFrame:
+    """(table_name, n_rows, n_out_of_order): rows of a bucketed table whose key is smaller than that of the row before
+    it in its file (O5). Each row is compared with its neighbour in the piece of a file that a task reads."""
+    key = F.struct(*BUCKET_KEYS[name])
+    rows = spark.table(f"`{database}`.`{name}`").select(
+        key.alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    before = F.lag("key").over(W.partitionBy("file", "block").orderBy("pos"))
+    return rows.withColumn("before", before).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") > F.col("key")).alias("n_out_of_order")).select(
+        F.lit(name).alias("table_name"), "n_rows", "n_out_of_order")

@@ -8,7 +8,11 @@ overwrite) and leaves every other partition as it is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..session import cut_lineage
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -27,3 +31,13 @@ def write_touched_partitions(rows: DataFrame, path: str, partition_cols: list[st
     """Overwrite only the partitions whose values occur in ``rows``."""
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_cols).parquet(path))
+
+
+def rewrite_touched(spark: SparkSession, path: str, touched: DataFrame, partition_cols: list[str], change: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace the partitions of the table at ``path`` whose values are in ``touched`` by ``change`` of
+    their rows; the others are neither read nor written. The new rows are written aside first, so a
+    change that fails on the way leaves the table as it was. ``change`` must leave rows in each partition."""
+    schema = spark.read.parquet(path).schema
+    parts = cut_lineage(touched.select(*partition_cols).distinct(), "touched")
+    old = spark.read.parquet(path).join(parts, partition_cols, "left_semi").select(*schema.names)
+    write_touched_partitions(cut_lineage(change(old).select(*schema.names), "new-version"), path, partition_cols)

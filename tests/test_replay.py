@@ -98,3 +98,18 @@ def test_item_lines_need_numbers(spark, tmp_path):
         (1, "incomplete_order"), (2, "bad_number"), (4, "incomplete_order"), (5, "short_record"), (7, "bad_number")]
     lines = txlog.request_tables(valid, parsed)["new_lines"]
     assert [(r.i_id, r.quantity) for r in lines.collect()] == [(3, 2)]
+
+
+def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
+    import os
+
+    from orderlake.sources import versions
+    path = f"{tmp_path}/orders"
+    versions.write_partitioned(orders(spark, [(w, 1, k, 5) for w in (1, 2, 3) for k in (1, 2)]), path, ["o_w_id"])
+    before = {w: sorted(os.listdir(f"{path}/o_w_id={w}")) for w in (1, 2, 3)}
+    dl = spark.createDataFrame([(2, 1, 2, 9)], "w_id int, d_id int, o_id int, carrier_id int")
+    versions.rewrite_touched(spark, path, dl.select(F.col("w_id").alias("o_w_id")), ["o_w_id"], lambda old: changes.deliver_orders(old, dl))
+    after = {w: sorted(os.listdir(f"{path}/o_w_id={w}")) for w in (1, 2, 3)}
+    assert after[1] == before[1] and after[3] == before[3] and after[2] != before[2]
+    rows = {(r.o_w_id, r.o_id): r.o_carrier_id for r in spark.read.parquet(path).collect()}
+    assert rows == {(w, k): 9 if (w, k) == (2, 2) else None for w in (1, 2, 3) for k in (1, 2)}
