@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.testdata import Tables
+from ..sources.testdata import StoredTables, Tables
 from .adapter_sql import with_adapter
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -34,10 +34,10 @@ def register(name: str, sql: str | None = None, split: bool = False):
 
 
 def tables_for(spark: SparkSession, sf_dir: str, split: bool = False) -> Tables:
-    """The tables of a data set; kept per application, so a new session never gets those of a dead one."""
+    """The tables of a data set, stored once an application: a new session never gets those of a dead one."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), split)
     if key not in _TABLES_CACHE:
-        _TABLES_CACHE[key] = Tables(spark, sf_dir, split)
+        _TABLES_CACHE[key] = StoredTables(spark, sf_dir, split)
     return _TABLES_CACHE[key]
 
 

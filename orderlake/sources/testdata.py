@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..operators.skew import sequence_numbers
+from ..session import cut_lineage
 
 # Fixed values of the adapter (FIXTURES.md section 3).
 DISTRICTS_PER_WAREHOUSE = 10
@@ -326,3 +327,20 @@ class Tables:
 
     def base(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+
+class StoredTables(Tables):
+    """The tables, of which those that take joins, numbering or products to derive are written once, at their
+    first use, to the shared checkpoint folder: a data set is loaded once and then queried."""
+
+
+def _stored(name: str) -> cached_property:
+    def get(self) -> DataFrame:
+        return cut_lineage(getattr(Tables, name).func(self), f"table-{name}")
+    out = cached_property(get)
+    out.__set_name__(StoredTables, name)
+    return out
+
+
+for _name in ("orders", "order_lines", "districts", "stocks", "payment_requests", "new_order_requests", "new_order_line_requests"):
+    setattr(StoredTables, _name, _stored(_name))
