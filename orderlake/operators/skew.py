@@ -22,6 +22,27 @@ from ..session import cut_lineage
 DEFAULT_RANGE_WIDTH = 1 << 16
 
 
+#: Ranges whose totals are summed up by one task at a time.
+RANGES_TOGETHER = 1 << 16
+
+
+def sums_before(totals: DataFrame, keys: Sequence[str], rng: str, sums: dict[str, str]) -> DataFrame:
+    """``keys``, ``rng`` and, for each column of ``sums``, its sum over the ranges before this one of the same keys.
+
+    The ranges of a key are summed up in stretches of RANGES_TOGETHER numbers, the
+    stretches' totals then by a window of their own: a key whose ordering values are far apart may have a range for
+    each of its rows, and still no window holds more than a stretch.
+    """
+    stretch = F.floor(F.col(rng) / F.lit(RANGES_TOGETHER)).cast("long")
+    t = totals.withColumn("__stretch", stretch)
+    inside = W.partitionBy(*keys, "__stretch").orderBy(rng).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*keys).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
+    near = t.select(*keys, rng, "__stretch", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"__near_{o}") for c, o in sums.items()])
+    far = t.groupBy(*keys, "__stretch").agg(*[F.sum(c).alias(c) for c in sums]).select(
+        *keys, "__stretch", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__far_{o}") for c, o in sums.items()])
+    return near.join(far, [*keys, "__stretch"]).select(*keys, rng, *[(F.col(f"__near_{o}") + F.col(f"__far_{o}")).alias(o) for o in sums.values()])
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                    values: dict, range_col: str | None = None,
                    width: int = DEFAULT_RANGE_WIDTH, inclusive: bool = True) -> DataFrame:
@@ -36,8 +57,8 @@ def running_totals(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 
     Plan: rows are cut into ranges ``floor(range_col / width)``; (1) a grouped
     aggregate gives one total per (group, range) with partial aggregation
-    before the shuffle; (2) a window over those totals gives each range's
-    offset; (3) a window per (group, range) gives the local running sum; the
+    before the shuffle; (2) windows over those totals give each range's
+    offset (``sums_before``); (3) a window per (group, range) gives the local running sum; the
     offset is joined back on (group, range). No step holds a whole group.
     """
     keys = list(keys)
@@ -51,10 +72,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
         d = d.withColumn(tmp[n], values[n])
 
     totals = d.groupBy(*keys, rng).agg(*[F.sum(tmp[n]).alias(f"__t_{tmp[n]}") for n in names])
-    wo = W.partitionBy(*keys).orderBy(rng).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys, rng,
-        *[F.coalesce(F.sum(f"__t_{tmp[n]}").over(wo), F.lit(0)).alias(f"__o_{tmp[n]}") for n in names])
+    offsets = sums_before(totals, keys, rng, {f"__t_{tmp[n]}": f"__o_{tmp[n]}" for n in names})
 
     frame = (W.unboundedPreceding, 0) if inclusive else (W.unboundedPreceding, -1)
     wl = W.partitionBy(*keys, rng).orderBy(*order_cols).rowsBetween(*frame)

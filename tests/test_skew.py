@@ -50,3 +50,14 @@ def test_one_hot_pair_is_spread_by_its_output(spark):
     cell = (F.pmod(F.xxhash64("i", "a"), F.lit(8)), F.pmod(F.xxhash64("i", "b"), F.lit(8)))
     most = j.groupBy(*cell).count().agg(F.max("count"), F.count(F.lit(1))).first()
     assert most[1] == 64 and most[0] < 16_000_000 / 64 * 1.3
+
+
+def test_running_totals_of_a_sparse_key(spark):
+    """Ordering values far apart: a range for nearly every row, in many stretches."""
+    rnd = random.Random(9)
+    rows = [(i % 3, rnd.randrange(1 << 50), rnd.randint(-9, 9)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, seq long, v int")
+    got = running_totals(df, ["k"], ["seq"], {"run": F.col("v"), "n": F.lit(1)}, width=64)
+    w = W.partitionBy("k").orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
+    want = df.withColumn("run", F.sum("v").over(w)).withColumn("n", F.count("v").over(w))
+    assert sorted(got.collect()) == sorted(want.collect())
