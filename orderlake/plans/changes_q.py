@@ -192,8 +192,16 @@ def _new_lines(t):
                                    t.items, t.stocks)
 
 
+def _headers_and_lines(t):
+    """Both, from checked lines and headers that are written once."""
+    rq, lines = t.new_order_requests, t.new_order_line_requests
+    checked = cut_lineage(changes.new_order_checked_lines(lines, rq, t.items, t.stocks), "new-order-checked")
+    h = cut_lineage(changes.new_order_headers(rq, lines, t.districts, t.items, t.stocks, checked=checked), "new-orders")
+    return h, changes.new_order_lines(h, lines, rq, t.items, t.stocks, checked=checked)
+
+
 register("new_order_headers", _NEW_ORDER + "SELECT * FROM hdr", split=True)(_headers)
-register("new_order_lines", _NEW_ORDER + "SELECT * FROM nl", split=True)(_new_lines)
+register("new_order_lines", _NEW_ORDER + "SELECT * FROM nl", split=True)(lambda t: _headers_and_lines(t)[1])
 
 register("new_order_stock", _NEW_ORDER + """
 , su AS (SELECT supply_w_id AS s_w_id, i_id AS s_i_id, sum(quantity) AS used, count(*) AS n,
@@ -277,7 +285,7 @@ LEFT JOIN amt a ON a.ol_w_id = h.o_w_id AND a.ol_d_id = h.o_d_id AND a.ol_o_id =
 JOIN warehouses w ON w.w_id = h.o_w_id
 JOIN districts d ON d.d_w_id = h.o_w_id AND d.d_id = h.o_d_id
 JOIN customers c ON c.c_w_id = h.o_w_id AND c.c_d_id = h.o_d_id AND c.c_id = h.o_c_id
-""", split=True)(lambda t: changes.new_order_totals(_headers(t), _new_lines(t), t.warehouses, t.districts, t.customers))
+""", split=True)(lambda t: changes.new_order_totals(*_headers_and_lines(t), t.warehouses, t.districts, t.customers))
 
 register("new_order_popular_lines", _NEW_ORDER + """
 SELECT h.seq, nl.ol_w_id, nl.ol_d_id, nl.ol_o_id, nl.ol_number, nl.ol_i_id, it.i_name, nl.ol_quantity
@@ -286,7 +294,7 @@ JOIN hdr h ON h.o_w_id = nl.ol_w_id AND h.o_d_id = nl.ol_d_id AND h.o_id = nl.ol
 JOIN items it ON it.i_id = nl.ol_i_id
 WHERE nl.ol_quantity = (SELECT max(y.ol_quantity) FROM nl y
                         WHERE y.ol_w_id = nl.ol_w_id AND y.ol_d_id = nl.ol_d_id AND y.ol_o_id = nl.ol_o_id)
-""", split=True)(lambda t: changes.new_order_popular_lines(_headers(t), _new_lines(t), t.items))
+""", split=True)(lambda t: changes.new_order_popular_lines(*_headers_and_lines(t), t.items))
 
 def _insert_with_conflicts(t):
     """Every new order twice (the second one later and different) and every
