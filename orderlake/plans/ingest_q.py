@@ -217,6 +217,15 @@ _MIX_SQL = _TX_SQL + "SELECT txn_type, count(*) AS n_txn FROM tx GROUP BY txn_ty
 register("transaction_mix", _MIX_SQL)(
     lambda t: _parsed(t)[0].groupBy("txn_type").agg(F.count(F.lit(1)).alias("n_txn")))
 
+def _named_scripts(t):
+    """Scripts as numbered files (0.txt, 1.txt, ...): the client is the file's stem (X11)."""
+    place = txlog.name_by_client(t.spark, txlog.write_scripts(t, _scratch(t, "scripts")), _scratch(t, "named-scripts"))
+    valid, _ = txlog.transactions(txlog.parse_scripts(txlog.read_script_lines(t.spark, f"{place}/*/*.txt")))
+    return valid.groupBy("client", "txn_type").agg(F.count(F.lit(1)).alias("n_txn"))
+
+
+register("named_script_mix", _TX_SQL + "SELECT client, txn_type, count(*) AS n_txn FROM tx GROUP BY client, txn_type")(_named_scripts)
+
 register("transaction_log_rejects", """
 SELECT CAST(event_id % 20 AS INTEGER) AS client,
   reason, count(*) AS n

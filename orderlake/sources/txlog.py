@@ -114,6 +114,24 @@ def write_scripts(t, out_dir: str, lines: DataFrame | None = None) -> str:
     return out_dir
 
 
+def name_by_client(spark: SparkSession, script_dir: str, out_dir: str) -> str:
+    """Move the files of ``write_scripts`` to ``run-N/<client>.txt``, N in the order of a client's files: the
+    form in which clients are started, one numbered file each. Files are renamed, not read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(script_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted(s.getPath().toString() for s in fs.globStatus(path(f"{script_dir}/client=*/part=*/part-*")))
+    seen: dict[str, int] = {}
+    for f in found:
+        client = f.rsplit("client=", 1)[1].split("/")[0]
+        n = seen[client] = seen.get(client, -1) + 1
+        run = path(f"{out_dir}/run-{n:06d}")
+        fs.mkdirs(run)
+        if not fs.rename(path(f), path(run, f"{client}.txt")):
+            raise OSError(f"can't move {f}")
+    return out_dir
+
+
 def read_script_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines with their file, client number and order key inside the file.
 
