@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import epoch_ms_between
 from ..operators import metrics, overlap, reads
-from ..session import cut_lineage, scratch_table_path
+from ..session import cut_lineage, folder_exists, scratch_table_path
 from ..sources import catalog, csv_io, txlog
 from ..sources.schema import BASE_SCHEMAS, ORDER, ORDER_LINE
 from ..sources.testdata import CLIENTS
@@ -172,7 +172,7 @@ def _script_dir(t, lines=txlog.script_lines):
     """The folder of the client scripts that ``lines`` derives from the tables; written once an application."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir, t.split, lines.__name__)
     d = _SCRIPTS.get(key)
-    if d is None:
+    if d is None or not folder_exists(t.spark, d):
         d = txlog.write_scripts(t, _scratch(t, "scripts"), lines(t))
         _SCRIPTS[key] = d
     return d
@@ -243,7 +243,7 @@ def script_requests(t, lines=txlog.script_lines) -> dict:
     """Requests of all types as the client scripts hold them. Scripts are parsed and written once an application; those who read
     one type read its rows only."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir, t.split, lines.__name__)
-    if key not in _REQUESTS:
+    if key not in _REQUESTS or not folder_exists(t.spark, _SCRIPTS[key]):
         parsed = cut_lineage(txlog.parse_scripts(txlog.read_script_lines(t.spark, _script_dir(t, lines))), "script-lines")
         valid = cut_lineage(txlog.transactions(parsed)[0], "script-valid")
         _REQUESTS[key] = {k: cut_lineage(v, f"script-{k}") for k, v in txlog.request_tables(valid, parsed).items()}

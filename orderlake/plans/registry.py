@@ -36,7 +36,7 @@ def register(name: str, sql: str | None = None, split: bool = False):
 def tables_for(spark: SparkSession, sf_dir: str, split: bool = False) -> Tables:
     """The tables of a data set, stored once an application: a new session never gets those of a dead one."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), split)
-    if key not in _TABLES_CACHE:
+    if key not in _TABLES_CACHE or _TABLES_CACHE[key].lost():
         _TABLES_CACHE[key] = StoredTables(spark, sf_dir, split)
     return _TABLES_CACHE[key]
 

@@ -100,6 +100,11 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and
     read it back: later stages start from durable, columnar data (no

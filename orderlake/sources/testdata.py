@@ -8,6 +8,7 @@ All tables are lazy DataFrames; nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..operators.skew import sequence_numbers
-from ..session import cut_lineage
+from ..session import folder_exists, scratch_table_path
 
 # Fixed values of the adapter (FIXTURES.md section 3).
 DISTRICTS_PER_WAREHOUSE = 10
@@ -333,10 +334,22 @@ class StoredTables(Tables):
     """The tables, of which those that take joins, numbering or products to derive are written once, at their
     first use, to the shared checkpoint folder: a data set is loaded once and then queried."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str, split: bool = False):
+        super().__init__(spark, sf_dir, split)
+        self.folder = scratch_table_path(spark, f"tables-{uuid.uuid4().hex[:12]}")
+        self.written = False
+
+    def lost(self) -> bool:
+        """Whether someone has cleared the checkpoint folder meanwhile."""
+        return self.written and not folder_exists(self.spark, self.folder)
+
 
 def _stored(name: str) -> cached_property:
     def get(self) -> DataFrame:
-        return cut_lineage(getattr(Tables, name).func(self), f"table-{name}")
+        path = f"{self.folder}/{name}"
+        getattr(Tables, name).func(self).write.mode("overwrite").parquet(path)
+        self.written = True
+        return self.spark.read.parquet(path)
     out = cached_property(get)
     out.__set_name__(StoredTables, name)
     return out

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import changes
 from ..operators.metrics import mean_e4, nanos
 from ..operators.reads import top_balance
-from ..session import cut_lineage, scratch_table_path
+from ..session import cut_lineage, folder_exists, scratch_table_path
 from ..sources import txlog
 
 EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
@@ -39,8 +39,7 @@ def _run(df: DataFrame, base: str, sink, mode: str = "append") -> None:
 
 def _written(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All batches at ``path`` with their ``batch``; none if nothing has arrived yet."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    if folder_exists(spark, path):
         return spark.read.schema(f"{schema}, batch LONG").parquet(path)
     return spark.createDataFrame([], f"{schema}, batch LONG")
 

@@ -111,3 +111,13 @@ def test_script_order_status_reads_all_orders(spark):
 @pytest.mark.parametrize("name", ["script_order_status", "script_stock_level", "script_popular_items", "script_related_customers", "script_top_balance"])
 def test_script_reads_hold_no_orders_back(name):
     assert name not in SPLIT
+
+
+def test_stored_tables_come_back_when_the_folder_is_cleared(spark):
+    import shutil
+    t = tables_for(spark, SF, split=True)
+    n = t.districts.count()
+    assert tables_for(spark, SF, split=True) is t and t.districts.inputFiles()[0].count("tables-")
+    shutil.rmtree(t.folder.removeprefix("file:"))
+    again = tables_for(spark, SF, split=True)
+    assert again is not t and again.districts.count() == n
