@@ -14,6 +14,7 @@ are broadcast.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_text, text_slices
+from .common import WorkerCache, id_text, text_slices
 
 SPACE = r"\t-\r \x85\xa0  -     　"
 _CONTRACTION = "'(?:s|t|re|ve|m|ll|d)"
@@ -54,6 +55,9 @@ class Tables:
     inner: np.ndarray  # token that ends at a node inside a word, or -1
     final: np.ndarray  # token that ends at a node and the word, or -1
     sound: np.ndarray  # the token is the encoding of its own text
+    letters: str  # character classes beyond ASCII as the tokenizer's library knows them
+    numbers: str
+    lower: dict[int, str]  # where its lower case isn't Python's
 
 
 def byte_letters() -> list[str]:
@@ -69,6 +73,34 @@ def byte_letters() -> list[str]:
     return out
 
 
+#: No character beyond these planes is assigned but private ones and tags.
+LAST = 0x40000
+
+
+def as_class(codes: list[int]) -> str:
+    """Sorted code points as the inside of a character class."""
+    starts = [c for k, c in enumerate(codes) if not k or codes[k - 1] != c - 1]
+    ends = [c for k, c in enumerate(codes) if k + 1 == len(codes) or codes[k + 1] != c + 1]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+
+
+@functools.lru_cache(maxsize=4)
+def characters(path: str) -> tuple[str, str, dict[int, str]]:
+    """Letters, numbers and lower case of the library that a tokenizer file is made for, asked for each code point
+    once a driver: its Unicode tables may be of another year than Python's."""
+    import tokenizers
+    t = tokenizers.Tokenizer.from_file(path)
+    codes = [c for c in range(0x80, LAST) if not 0xD800 <= c <= 0xDFFF]
+    cut: dict[int, list[int]] = {}
+    for k in range(0, len(codes), 2_000):
+        part = codes[k:k + 2_000]
+        for _, (a, b) in t.pre_tokenizer.pre_tokenize_str(" ".join(f"a{chr(c) * 2}b" for c in part)):
+            cut.setdefault(part[a // 5], []).append(b - a)
+    normal = t.normalizer.normalize_str
+    lower = {c: n for c in codes if (n := normal(chr(c))) != chr(c) and n != " " and unicodedata.normalize("NFC", chr(c)).lower() == chr(c)}
+    return as_class([c for c, v in cut.items() if v == [4]]), as_class([c for c, v in cut.items() if v == [1, 1, 1, 1]]), lower
+
+
 def load_tables(path: str) -> Tables:
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -111,7 +143,7 @@ def load_tables(path: str) -> Tables:
         (final if ends else inner)[node] = i
     e = np.array(sorted(edge), dtype=np.int64)
     t = Tables(tokens, special, byte_ids, end_ids, left, right, np.array(keys)[by_key], np.array(ids)[by_key],
-               e, np.array([edge[k] for k in e.tolist()], dtype=np.int64), np.array(inner), np.array(final), np.ones(size, dtype=bool))
+               e, np.array([edge[k] for k in e.tolist()], dtype=np.int64), np.array(inner), np.array(final), np.ones(size, dtype=bool), *characters(path))
     made = np.array(ids)
     sound = compatible(t, left[made], right[made], made)
     for i, ok in zip(made.tolist(), sound.tolist()):
@@ -224,11 +256,13 @@ def propose(t: Tables, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """Encodes texts with a cache of words, emptied when ``cache_words`` are in it
-    (a bound on memory; a word that comes again is just encoded again)."""
+    """Encodes texts with a cache of words, emptied when ``cache_words`` are in it, or ``CACHE_CHARS``
+    characters (a bound on memory; a word that comes again is just encoded again)."""
+
+    CACHE_CHARS = 4_000_000
 
     def __init__(self, tables: Tables, cache_words: int = 400_000):
-        self.t, self.cache_words = tables, cache_words
+        self.t, self.cache_words, self.chars = tables, cache_words, 0
         self.cache: dict[str, bytes] = {}
         self.special = re.compile("(" + "|".join(re.escape(s) for s in sorted(tables.special, key=len, reverse=True)) + ")") if tables.special else None
         self.guessed = self.merged = 0
@@ -240,14 +274,14 @@ class Encoder:
             text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ").lower()  # each letter by itself: no final sigma
             if _ODD.search(text):
-                return self._full().findall(text)
+                return self._full().findall(text.translate(self.t.lower))
             return _QUICK.findall(text)
         return _QUICK.findall(text.lower())
 
     def _full(self):
         if self._full_pattern is None:
-            import regex
-            self._full_pattern = regex.compile(rf"\p{{L}}+|{_CONTRACTION}|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+            letters, numbers = "a-zA-Z" + self.t.letters, "0-9" + self.t.numbers
+            self._full_pattern = re.compile(f"[{letters}]+|{_CONTRACTION}|[{numbers}]|[^{SPACE}{letters}{numbers}]+")
         return self._full_pattern
 
     def learn(self, words: Iterable[str]) -> None:
@@ -257,6 +291,7 @@ class Encoder:
             return
         if len(self.cache) > self.cache_words:
             raise RuntimeError("the cache is emptied between slices only")
+        self.chars += sum(map(len, new))
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
         row, tok = propose(t, raw)
         fine = np.ones(len(new), dtype=bool)
@@ -287,8 +322,9 @@ class Encoder:
             else:
                 own = self.words_of(text)
             pieces.append(own)
-        if len(self.cache) > self.cache_words:
+        if len(self.cache) > self.cache_words or self.chars > self.CACHE_CHARS:
             self.cache.clear()
+            self.chars = 0
         seen = set()
         for own in pieces:
             seen.update(own)
@@ -304,7 +340,7 @@ class Encoder:
         return " ".join(map(self.t.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS = WorkerCache()
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, keep_ids: bool = True, cache_words: int = 400_000,
@@ -322,9 +358,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep_ids: bool = True
     key = f"{tokenizer_path}:{cache_words}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _ENCODERS:
-            _ENCODERS[key] = Encoder(shared.value, cache_words)
-        enc = _ENCODERS[key]
+        enc = _ENCODERS.get_or_make(key, lambda: Encoder(shared.value, cache_words))
         for batch in batches:
             for start, texts in text_slices(batch):
                 ids = enc.encode(texts)
