@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -117,37 +118,45 @@ def fingerprint_documents(docs: DataFrame, sizes: Sizes = Sizes(), id_col: str =
     return t.mapInArrow(run, f"doc_id {t.schema['doc_id'].dataType.simpleString()}, n_chunks long, fingerprint string")
 
 
-def in_ranges(t: DataFrame, n_ranges: int, bins: int = 65_536) -> DataFrame:
+def bounds_up_to(bounds: list[int], value, strictly: bool = False):
+    """How many of the sorted ``bounds`` are at most ``value`` (strictly: below it): first among every s-th
+    of them, then among the s that follow, so some hundred comparisons do for ten thousand bounds."""
+    s = max(1, math.isqrt(len(bounds)))
+    below = (lambda b: b < value) if strictly else (lambda b: b <= value)
+    longs = lambda v: F.array(*[F.lit(x).cast("long") for x in v])
+    block = F.size(F.filter(longs(bounds[::s]), below))
+    rest = F.get(F.array(*[longs(bounds[k:k + s]) for k in range(0, len(bounds), s)]), block - 1)
+    return F.when(block > 0, (block - 1) * s + F.size(F.filter(rest, below))).otherwise(0).cast("long")
+
+
+def in_ranges(t: DataFrame, n_ranges: int) -> DataFrame:
     """Deal (doc_id, text) out by ranges of ids, each also with the first
     document of the following range (own = false; the table's first one for the
     last range), so that every own document finds its successor in its range.
 
-    Ranges of about equal row counts come from a histogram of ``bins`` equal
-    widths (so many rows at most are joined by broadcast, and one row a range);
-    a bin with more rows than a range is cut evenly. Ties of ids go by a hash of
-    the text; null ids come first. One text a range is copied.
+    Ranges lie between quantiles of the ids, whatever their values are; an id in more rows
+    than a range is cut by a hash of the text, which is also the order of its rows. Null ids
+    come first. One text a range is copied.
     """
     spark = t.sparkSession
-    lo, hi, n = t.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    lo, hi = lo or 0, hi or 0
-    width = (hi - lo) // bins + 1
-    bin_of = F.floor((F.coalesce(F.col("doc_id"), F.lit(lo)) - lo) / width).cast("int")
-    counts = t.groupBy(bin_of.alias("bin")).count().orderBy("bin").collect()
-    target, rows, first, used = -(-n // n_ranges) if n else 1, [], 0, 0
-    for b, c in counts:
-        if used and used + c > target:
-            first, used = first + 1, 0
-        parts = -(-c // target)
-        rows.append((b, first, -(-width // parts)))
-        first, used = first + parts - 1, used + c
-        if parts > 1:
-            first, used = first + 1, 0
-    where = F.broadcast(spark.createDataFrame(rows, "bin int, first long, sub long"))
-    inside = F.floor(((F.coalesce(F.col("doc_id"), F.lit(lo)) - lo) % width) / F.col("sub")).cast("long")
-    x = (t.withColumn("bin", bin_of).join(where, "bin").withColumn("range", F.col("first") + inside)
-         .withColumn("tie", F.xxhash64("text")).select("range", "doc_id", "tie", "text"))
+    least = -(1 << 63)
+    i = F.coalesce(F.col("doc_id"), F.lit(least).cast("long"))
+    points = [k / n_ranges for k in range(1, n_ranges)]
+    found = t.agg(F.percentile_approx(i, points, max(10_000, 4 * n_ranges)).alias("q")).first()["q"] if points else None
+    bounds = sorted(found or [])
+    x = t.withColumn("tie", F.xxhash64("text"))
+    if bounds:
+        upto, below = bounds_up_to(bounds, i), bounds_up_to(bounds, i, strictly=True)
+        share = F.col("tie") / F.lit(2.0 ** 64) + F.lit(0.5)
+        x = x.withColumns({"upto": upto, "below": below})
+        many = F.col("upto") - F.col("below")
+        cut = F.col("below") + 1 + F.least(F.floor(share * many), many - 1)
+        x = x.withColumn("range", F.when(many > 1, cut).otherwise(F.col("upto")).cast("long"))
+    else:
+        x = x.withColumn("range", F.lit(0).cast("long"))
+    x = x.select("range", "doc_id", "tie", "text")
     starts = sorted((tuple(r) for r in x.groupBy("range").agg(F.min(F.struct("doc_id", "tie")).alias("f")).select("range", "f.doc_id", "f.tie").collect()))
-    to = [(r, i, k, starts[j - 1][0]) for j, (r, i, k) in enumerate(starts)]  # at most 2 n_ranges + bins rows
+    to = [(r, i, k, starts[j - 1][0]) for j, (r, i, k) in enumerate(starts)]  # a row a range
     lend = F.broadcast(spark.createDataFrame(to, "range long, first_id long, first_tie long, lend_to long"))
     own = F.struct(F.col("range"), F.lit(True).alias("own"))
     lent = F.struct(F.col("lend_to").alias("range"), F.lit(False).alias("own"))

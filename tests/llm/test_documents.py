@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import os
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -314,6 +315,31 @@ def test_forward_backward_is_exact():
         langid.SEGMENT = old
 
 
+def test_bpe_of_characters_of_any_year():
+    """Letters, numbers and lower case as the tokenizer's library has them, for characters that Python knows or doesn't."""
+    import tokenizers
+    path = queries.tokenizer_path()
+    lib, enc = tokenizers.Tokenizer.from_file(path), bpe.Encoder(bpe.load_tables(path))
+    lib.no_truncation()
+    lib.no_padding()
+    newer = [c for c in range(0x80, bpe.LAST) if unicodedata.category(chr(c)) == "Cn"]
+    codes = sorted({*range(0x80, 0x110000, 61), *newer[::7], *enc.t.lower, 0x1c89, 0xa7da, 0x10940, 0x10d50} - set(range(0xd800, 0xe000)))
+    texts = [f"a{chr(c)}b {chr(c)}" for c in codes]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(g, dtype="<u4").tolist() for g in enc.encode(texts)] == want
+
+
+def test_ranges_of_ids_hold_alike_many_rows(spark):
+    """Far ids, and an id in a third of the rows, don't fill a range."""
+    rows = [(k, f"text {k}") for k in range(600)] + [(300, f"again {k}") for k in range(300)] + [(-9 * 10**18, "a"), (9 * 10**18, "b"), (None, "c")]
+    x = chunking.in_ranges(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 30).where("own")
+    counts = [r["count"] for r in x.groupBy("range").count().collect()]
+    assert sum(counts) == len(rows) and max(counts) <= 3 * len(rows) / 30 and len(counts) >= 25
+    ends = x.groupBy("range").agg(F.min(F.struct("doc_id", "tie")).alias("a"), F.max(F.struct("doc_id", "tie")).alias("b")).orderBy("range").collect()
+    key = lambda v: (v["doc_id"] is not None, v["doc_id"] or 0, v["tie"])
+    assert all(key(p["b"]) <= key(n["a"]) for p, n in itertools.pairwise(ends))
+
+
 def test_only_letters_are_words(spark, docs):
     assert langid.words_of("½ ² Ⅷ ① Élan l'été x²y ΣΑΣ") == ["élan", "l", "été", "x", "y", "σας"]
     tool = langid.train(docs)
@@ -367,6 +393,8 @@ def test_fingerprints_odd_rows(spark, odd):
     r = chunking.compare_with_edits(odd.where("doc_id is null or doc_id not in (5, 8)"), n_ranges=3)
     assert got(r, "doc_id", "n_chars", "edited_sha256", "fingerprint") == sorted(plain_edits(rows), key=str)
     assert chunking.compare_with_edits(odd).count() == len(ROWS)
+    far = spark.createDataFrame([(-9 * 10**18, "first text of all"), (9 * 10**18, "the last text"), (0, "between"), (None, "without")], "doc_id long, text string")
+    assert chunking.compare_with_edits(far, n_ranges=3).count() == 4
     one = chunking.compare_with_edits(odd.where("doc_id = 8")).first()
     assert one["edited_sha256"] == hashlib.sha256(b"shortshort").hexdigest() or one["n_chars"] == 10
     assert chunking.compare_with_edits(odd.limit(0)).count() == 0
