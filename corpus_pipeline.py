@@ -27,6 +27,9 @@ from orderlake.session import cut_lineage
 #: Up to so many rows (counted first) are broadcast to a join; beyond, both sides are shuffled.
 BROADCAST_ROWS = 200_000
 
+#: Texts that go to a Python worker at a time, unless the session says otherwise: workers of several stages share an executor.
+BATCH_BYTES = "8m"
+
 
 def with_row_ids(docs: DataFrame) -> tuple[DataFrame, str]:
     """The documents and the name of a column that is different in every row: doc_id
@@ -43,11 +46,22 @@ def broadcast_if_small(rows: DataFrame, weight: str = "1") -> DataFrame:
     return F.broadcast(rows) if (rows.agg(F.sum(F.expr(weight))).first()[0] or 0) <= BROADCAST_ROWS else rows
 
 
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score below 0.5, all columns as they are. Null and empty texts count as texts without
+    contrast, rows that repeat fare alike, texts of any length are scored whole; without rows there are none. Labels come from ``labels``."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked at a similarity of 0.8, the row with the smallest id; rows without words all stay.
+    Where ids are null or repeat, rows are numbered, so of equal rows one stays. Columns as they are; without rows there are none."""
+    small_batches(spark)
     columns = docs.columns
     docs, row = with_row_ids(docs)
     groups = jaccard.jaccard_groups(docs, id_col=row)
@@ -56,6 +70,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, entities in ``text`` replaced by their kind and ``n_chars`` counted anew where something was; null
+    texts stay null, texts of any length are read whole, repeated ids keep their own texts. Other columns as they are."""
+    small_batches(spark)
     columns = docs.columns
     docs, row = with_row_ids(docs)
     side = f"entities_{uuid.uuid4().hex}"
@@ -67,6 +84,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as its leaf of the domain-language-source tree asks, or not at all; rows without words go, as they fill no budget.
+    Null languages and sources are leaves of their own. Columns as they are; without rows there are none."""
     columns = docs.columns
     docs, row = with_row_ids(docs)
     side = f"copies_{uuid.uuid4().hex}"
@@ -78,6 +97,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, ids_sha256, decoded_sha256 of each row; null texts count as empty, repeated rows stay."""
+    small_batches(spark)
     return bpe.encode_documents(docs, tokenizer_path())
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import text_slices
+from .common import WorkerCache, give_back, text_slices
 
 BLOCK_SCHEMA = ("block string, doc_ids array<{kind}>, role int, lengths array<int>, n_words long, vocab binary, words binary")
 ROWS_SCHEMA = "ord int, bucket int, block string, n int, keys binary, counts array<binary>"
@@ -82,6 +82,7 @@ def make_blocks(docs: DataFrame, block_words: int = 1_000_000) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        WorkerCache.release()
         open_: dict[int, _Open] = {}
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
@@ -95,6 +96,8 @@ def make_blocks(docs: DataFrame, block_words: int = 1_000_000) -> DataFrame:
                         del open_[roles[k]]
         for o in open_.values():
             yield o.close(id_type)
+        open_.clear()
+        give_back()
 
     return cut_lineage(docs.select("doc_id", "text", "role").mapInArrow(run, BLOCK_SCHEMA.format(kind=kind)), "blocks")
 

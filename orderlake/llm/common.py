@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +42,15 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", max_chars: int = 2_
         yield start, texts[start:]
 
 
+def give_back() -> None:
+    """Memory that is free goes back to the system; allocators keep it else, and workers live as long as their executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class WorkerCache(dict):
     """What an operator keeps in a Python worker between tasks, by model. Workers serve one stage after another: when an operator
     starts, what the others have kept goes, so a worker never holds the caches of several."""
@@ -47,9 +61,15 @@ class WorkerCache(dict):
         super().__init__()
         WorkerCache._all.append(self)
 
+    @staticmethod
+    def release() -> None:
+        """Empty all caches, and give back the memory that they and earlier batches held: for operators that keep none."""
+        for cache in WorkerCache._all:
+            cache.clear()
+        give_back()
+
     def get_or_make(self, key, make):
         if key not in self:
-            for cache in WorkerCache._all:
-                cache.clear()
+            WorkerCache.release()
             self[key] = make()
         return self[key]

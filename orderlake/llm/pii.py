@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import id_text, text_slices
+from .common import WorkerCache, id_text, text_slices
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -137,6 +137,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                      ("patterns", pa.list_(pa.string())), ("forms", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        WorkerCache.release()
         for batch in batches:
             for start, texts in text_slices(batch):
                 base = [base_spans(t) for t in texts]

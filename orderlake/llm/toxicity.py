@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, id_text, text_slices
+from .common import WorkerCache, fold, give_back, id_text, text_slices
 
 _WINDOW = re.compile(r"[^\W\d_]{1,64}")
 #: Behind and before each window, and in both dictionaries: so even a short block is worth compressing.
@@ -195,15 +195,11 @@ def train(docs: DataFrame, labels: DataFrame, dictionary_folds: Iterator[int] =
     return Model(model.ordinary, model.toxic, thresholds, tuple(mu), tuple(sd), tuple(w), prior)
 
 
-_CONTRASTS: dict[bytes, Contrast] = {}
+_CONTRASTS = WorkerCache()
 
 
 def _contrast(model: Model) -> Contrast:
-    key = hashlib.sha256(model.ordinary + model.toxic).digest()
-    if key not in _CONTRASTS:
-        _CONTRASTS.clear()
-        _CONTRASTS[key] = Contrast(model)
-    return _CONTRASTS[key]
+    return _CONTRASTS.get_or_make(hashlib.sha256(model.ordinary + model.toxic).digest(), lambda: Contrast(model))
 
 
 def summaries(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -246,11 +242,11 @@ def drop_toxic(docs: DataFrame, model: Model, least: float = 0.5, text_col: str
         at_text = None
         for batch in batches:
             at_text = batch.schema.get_field_index(text_col) if at_text is None else at_text
-            texts = ["" if t is None else t for t in batch.column(at_text).to_pylist()]
-            for start in range(0, len(texts), 500):
-                part = texts[start:start + 500]
+            texts = pa.RecordBatch.from_arrays([batch.column(at_text).fill_null("")], names=["text"])
+            for start, part in text_slices(texts):
                 keep = probabilities(part, shared.value)[0] < least
                 yield batch.slice(start, len(part)).filter(pa.array(keep))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
