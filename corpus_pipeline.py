@@ -28,7 +28,7 @@ from orderlake.session import cut_lineage
 BROADCAST_ROWS = 200_000
 
 #: Texts that go to a Python worker at a time, unless the session says otherwise: workers of several stages share an executor.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
 def with_row_ids(docs: DataFrame) -> tuple[DataFrame, str]:
