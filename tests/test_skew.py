@@ -61,3 +61,16 @@ def test_running_totals_of_a_sparse_key(spark):
     w = W.partitionBy("k").orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
     want = df.withColumn("run", F.sum("v").over(w)).withColumn("n", F.count("v").over(w))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_stocks_are_made_by_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    """However few files hold the items: a task makes about ROWS_A_TASK stock rows, and the rows stay the same."""
+    from orderlake.operators import skew
+    from orderlake.sources.testdata import Tables
+    t = Tables(spark, "/root/testdata/sf0.001")
+    items = t.raw("part").count()
+    monkeypatch.setattr(skew, "ROWS_A_TASK", items)
+    stocks = t.stocks
+    assert stocks.rdd.getNumPartitions() == 25
+    assert stocks.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 4 * items
+    assert stocks.count() == stocks.select("s_w_id", "s_i_id").distinct().count() == 25 * items
