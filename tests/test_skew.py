@@ -74,3 +74,26 @@ def test_stocks_are_made_by_as_many_tasks_as_their_rows_need(spark, monkeypatch)
     assert stocks.rdd.getNumPartitions() == 25
     assert stocks.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 4 * items
     assert stocks.count() == stocks.select("s_w_id", "s_i_id").distinct().count() == 25 * items
+
+
+def test_only_pairs_that_can_match_are_built(spark, monkeypatch):
+    """Orders of customers that nobody asked for: only their items that a requested customer has in a pair make pairs."""
+    from orderlake.operators import reads
+    rnd = random.Random(8)
+    lines = [(w, 1, o, rnd.randint(1, 60)) for w in range(3) for o in range(1, 31) for _ in range(rnd.randint(1, 5))]
+    orders = spark.createDataFrame([(w, 1, o, o % 10) for w in range(3) for o in range(1, 31)], "o_w_id int, o_d_id int, o_id int, o_c_id long")
+    order_lines = spark.createDataFrame(lines, "ol_w_id int, ol_d_id int, ol_o_id int, ol_i_id long")
+    asked = spark.createDataFrame([(0, 1, 3), (2, 1, 7)], "w_id int, d_id int, c_id long")
+    items = {}
+    for w, _, o, i in lines:
+        items.setdefault((w, o), set()).add(i)
+    mine = {k: v for k, v in items.items() if (k[0], k[1] % 10) in {(0, 3), (2, 7)}}
+    wanted = set().union(*[v for v in mine.values() if len(v) > 1])
+    seen, pairs = [], reads.item_pairs
+    monkeypatch.setattr(reads, "item_pairs", lambda arrays, keep_order=False: seen.append(arrays) or pairs(arrays, keep_order))
+    got = {tuple(r) for r in reads.order_overlaps(orders, order_lines, asked).collect()}
+    assert got == {(a[0], 1, a[1] % 10, a[1], b[0], 1, b[1] % 10, b[1], len(mine[a] & items[b]))
+                   for a in mine for b in items if a[0] != b[0] and len(mine[a] & items[b]) >= 2}
+    assert got and len(seen) == 2 and {i for r in seen[1].collect() for i in r["items"]} <= wanted
+    related = {tuple(r) for r in reads.related_customers(orders, order_lines, asked).collect()}
+    assert related == {r[:3] + r[4:7] for r in got}
