@@ -30,6 +30,9 @@ BROADCAST_ROWS = 200_000
 #: Texts that go to a Python worker at a time, unless the session says otherwise: workers of several stages share an executor.
 BATCH_BYTES = "4m"
 
+#: Words whose n-grams a Python worker holds at a time: less than op2 alone, as the heap has grown in the stages before.
+BLOCK_WORDS = 400_000
+
 
 def with_row_ids(docs: DataFrame) -> tuple[DataFrame, str]:
     """The documents and the name of a column that is different in every row: doc_id
@@ -64,7 +67,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     small_batches(spark)
     columns = docs.columns
     docs, row = with_row_ids(docs)
-    groups = jaccard.jaccard_groups(docs, id_col=row)
+    groups = jaccard.jaccard_groups(docs, id_col=row, block_words=BLOCK_WORDS)
     gone = broadcast_if_small(groups.where("component_id <> doc_id").select(F.col("doc_id").alias(row)))
     return docs.join(gone, row, "left_anti").select(*columns)
 

@@ -195,3 +195,14 @@ def test_pipeline_odd_rows(spark, tmp_path):
             if name == "personal_data" and not k:
                 assert out.where("text = 'mail <EMAIL> now please do'").count() == 1
         assert corpus_pipeline.run(spark, sf).count() == out.count()
+
+
+@data
+def test_pipeline_holds_the_ngrams_of_few_words_at_a_time(spark, monkeypatch):
+    from orderlake.llm import jaccard
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    seen, groups = [], jaccard.jaccard_groups
+    monkeypatch.setattr(jaccard, "jaccard_groups", lambda d, **kw: seen.append(kw.get("block_words", 1_000_000)) or groups(d, **kw))
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).select("doc_id").collect()}
+    assert seen and max(seen) <= 500_000
+    assert kept == {r["doc_id"] for r in groups(docs).where("component_id = doc_id").collect()}
